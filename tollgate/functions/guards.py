@@ -32,3 +32,17 @@ def small_broadcast(df: DataFrame, what: str = "", limit: int = MAX_BROADCAST_BY
     if size is not None and size <= limit:
         return F.broadcast(df)
     return df
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int, what: str = "") -> DataFrame:
+    """Broadcast a side whose row count is bounded *by construction*.
+
+    For literal policy/registry tables and aggregates with a fixed group set
+    (a global aggregate is one row, a threshold grid 41 rows) the bound is
+    ``max_rows`` whatever the input size.  Catalyst cannot see this (it
+    estimates an aggregate as large as its input without CBO), so the hint is
+    given explicitly.  ``max_rows`` documents the bound at the call site.
+    """
+    if max_rows > 1_000_000:
+        raise ValueError(f"{what}: {max_rows} rows is not a broadcast-sized bound")
+    return F.broadcast(df)

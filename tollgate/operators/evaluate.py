@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tollgate.functions.guards import small_broadcast
+from tollgate.functions.guards import bounded_broadcast, small_broadcast
 
 EVAL_KEYS = ("model", "version", "split")
 
@@ -62,6 +62,35 @@ def confusion_metrics(scored: DataFrame, label: str = "churned", by: Sequence[st
             .drop("_sq", "_ssum"))
 
 
+def segment_confusion(scored: DataFrame, label: str = "churned", segment: str = "segment",
+                      by: Sequence[str] = EVAL_KEYS) -> DataFrame:
+    """Confusion counts and score sums per (group, segment): the one pass that
+    both M4 metrics and M5 segment accuracy are rolled up from."""
+    p, y = F.col("prediction"), F.col(label)
+    return scored.groupBy(*by, segment).agg(
+        F.count_if((p == 1) & (y == 1)).alias("tp"),
+        F.count_if((p == 1) & (y == 0)).alias("fp"),
+        F.count_if((p == 0) & (y == 0)).alias("tn"),
+        F.count_if((p == 0) & (y != 0)).alias("fn"),
+        F.sum(F.pow(F.col("churn_score") - y, 2)).alias("_sq"),
+        F.sum("churn_score").alias("_ssum"),
+        F.count(F.lit(1)).alias("rows"),
+    )
+
+
+def metrics_from_segments(seg: DataFrame, segment: str = "segment", by: Sequence[str] = EVAL_KEYS) -> DataFrame:
+    """M4 + M5 gap from ``segment_confusion`` (tiny input: groups x segments)."""
+    acc = F.round((F.col("tp") + F.col("tn")) / F.greatest(F.col("rows"), F.lit(1)), 4)
+    g = seg.withColumn("_acc", acc).groupBy(*by).agg(
+        *[F.sum(c).alias(c) for c in ("tp", "fp", "tn", "fn", "_sq", "_ssum", "rows")],
+        F.round(F.max("_acc") - F.min("_acc"), 4).alias("segment_accuracy_gap"))
+    n = F.greatest(F.col("rows"), F.lit(1))
+    return (_ratios(g)
+            .withColumn("brier_score", F.round(F.col("_sq") / n, 4))
+            .withColumn("mean_score", F.round(F.col("_ssum") / n, 6))
+            .drop("_sq", "_ssum"))
+
+
 def segment_accuracy(scored: DataFrame, label: str = "churned", segment: str = "segment",
                      by: Sequence[str] = EVAL_KEYS) -> DataFrame:
     """M5: accuracy per segment (round 4) and the max-min gap per group (long form)."""
@@ -119,7 +148,8 @@ def evaluation_gates(metrics_long: DataFrame, policy: DataFrame, by: Sequence[st
     appears once per entity even when its metric is absent.
     """
     entities = metrics_long.select(*by).distinct() if by else None
-    spine = policy.crossJoin(entities) if entities is not None else policy
+    spine = (entities.crossJoin(bounded_broadcast(policy, 1_000, "gate policy"))
+             if entities is not None else policy)
     j = spine.join(metrics_long, [*by, "metric"], "left")
     v, t = F.col("value"), F.col("threshold")
     passed = F.coalesce(F.when(F.col("direction") == "min", v >= t).otherwise(v <= t), F.lit(False))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.functions.exprs import clipped_sigmoid
-from tollgate.functions.guards import small_broadcast
+from tollgate.functions.guards import bounded_broadcast
 
 FEATURES = ("tenure_months", "monthly_spend", "support_tickets", "late_payments", "usage_drop_pct")
 
@@ -59,7 +59,7 @@ def stats_long(stats: DataFrame, features: Sequence[str] = FEATURES, by: Sequenc
 def standardize(df: DataFrame, stats: DataFrame, features: Sequence[str] = FEATURES,
                 keep: Sequence[str] = (), on: Sequence[str] = ()) -> DataFrame:
     """z = (x - mean) / max(std, 1e-9), with stats broadcast (one row per group)."""
-    s = small_broadcast(stats, "feature stats")
+    s = bounded_broadcast(stats, 10_000, "feature stats (one row per group)")
     j = df.join(s, list(on), "inner") if on else df.crossJoin(s)
     return j.select(*keep, *[((F.col(f) - F.col(f"mean_{f}")) / F.greatest(F.col(f"std_{f}"), F.lit(1e-9))).alias(f)
                              for f in features])
@@ -72,7 +72,8 @@ def registered_models(spark: SparkSession) -> DataFrame:
 
 def model_table(spark: SparkSession, train: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
     """Registered weights + feature statistics of the train split = scorable models."""
-    return registered_models(spark).crossJoin(small_broadcast(feature_stats(train, features), "feature stats"))
+    stats = bounded_broadcast(feature_stats(train, features), 1, "global feature stats")
+    return registered_models(spark).crossJoin(stats)
 
 
 def logit_expr(features: Sequence[str] = FEATURES, segment: str = "segment") -> Column:
@@ -92,7 +93,7 @@ def score(df: DataFrame, models: DataFrame, keep: Sequence[str] = (), features:
     broadcast after a size check, so the fact side is never shuffled.
     """
     m = models if model_filter is None else models.filter(model_filter)
-    j = df.crossJoin(small_broadcast(m, "model table"))
+    j = df.crossJoin(bounded_broadcast(m, 1_000, "registered model versions"))
     s = F.round(clipped_sigmoid(logit_expr(features)), 6)
     thr = F.coalesce(F.col("threshold"), F.lit(DEFAULT_THRESHOLD))
     return j.select(*keep, "model", "version", s.alias("churn_score"), thr.alias("threshold")) \

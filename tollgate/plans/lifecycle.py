@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tollgate.functions.guards import bounded_broadcast
 from tollgate.operators import evaluate as ev
 from tollgate.operators import model as mdl
 from tollgate.operators import monitoring as mon
@@ -191,13 +192,12 @@ def gate_table(spark: SparkSession, sf: str) -> DataFrame:
     scored = _scored(spark, sf)
     test = scored.filter(F.col("split") == "test")
     by = ["model", "version"]
-    m = ev.confusion_metrics(test, by=by)
-    gap = ev.segment_accuracy(test, by=by).select(*by, "segment_accuracy_gap").distinct()
+    m = ev.metrics_from_segments(ev.segment_confusion(test, by=by), by=by)
     dq = (qa.validate_dataset(b.churn_base(spark, sf))
           .agg(F.bool_and("passed").cast("double").alias("data_quality_passed")))
     lat = (mon.latency_percentiles(b.prediction_log(spark, sf), by=["model_version"])
            .select(F.col("model_version").alias("version"), F.col("p95").alias("latency_p95_ms")))
-    wide = m.join(gap, by).crossJoin(dq).join(lat, "version", "left")
+    wide = m.crossJoin(bounded_broadcast(dq, 1, "global quality verdict")).join(lat, "version", "left")
     long = ev.metrics_to_long(wide, ["accuracy", "f1", "brier_score", "segment_accuracy_gap",
                                      "data_quality_passed", "latency_p95_ms"], by)
     return ev.evaluation_gates(long, ev.gate_policy(spark), by=by)
