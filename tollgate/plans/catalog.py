@@ -18,6 +18,7 @@ _ORACLE: dict[str, str] = {}
 
 PLAN_MODULES = (
     "tollgate.plans.lifecycle",
+    "tollgate.plans.signals",
 )
 
 

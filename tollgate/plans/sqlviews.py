@@ -160,3 +160,10 @@ SELECT q.*, CAST(q.churn_score >= q.threshold AS INTEGER) AS prediction FROM (
   SELECT s.*, m.model, m.version, m.threshold,
          {rnd(sig(f'greatest(least({_logit_m}, 35.0::DOUBLE), -35.0::DOUBLE)'), 6)} AS churn_score
   FROM churn_split s CROSS JOIN models m) q""")
+
+view("hourly", ("prediction_log",), """
+SELECT service, date_trunc('hour', ts) AS hour, count(*) AS requests,
+       count(*) FILTER (WHERE status <> 'success') AS errors,
+       count(*) FILTER (WHERE status <> 'success') / count(*) AS error_share,
+       max(latency_ms) AS max_latency
+FROM prediction_log GROUP BY ALL""")

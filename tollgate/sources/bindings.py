@@ -165,3 +165,13 @@ def device_events(spark: SparkSession, sf: str) -> DataFrame:
     health = (F.when(F.col("event_type") == "error", "Unhealthy")
                .when(F.col("event_type") == "signup", "Unknown").otherwise("Healthy"))
     return e.select(F.col("user_id").alias("device"), "ts", "event_id", health.alias("health"))
+
+
+def hourly(spark: SparkSession, sf: str) -> DataFrame:
+    """Per (service, hour) request/error counts: the evaluation-step table of alerts."""
+    p = prediction_log(spark, sf)
+    return p.groupBy("service", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
+        F.count(F.lit(1)).alias("requests"),
+        F.count_if(F.col("status") != "success").alias("errors"),
+        (F.count_if(F.col("status") != "success") / F.count(F.lit(1))).alias("error_share"),
+        F.max("latency_ms").alias("max_latency"))
