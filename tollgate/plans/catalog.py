@@ -19,6 +19,7 @@ _ORACLE: dict[str, str] = {}
 PLAN_MODULES = (
     "tollgate.plans.lifecycle",
     "tollgate.plans.signals",
+    "tollgate.plans.usage",
 )
 
 

@@ -167,3 +167,33 @@ SELECT service, date_trunc('hour', ts) AS hour, count(*) AS requests,
        count(*) FILTER (WHERE status <> 'success') / count(*) AS error_share,
        max(latency_ms) AS max_latency
 FROM prediction_log GROUP BY ALL""")
+
+view("alloc_samples", (), """
+SELECT 'ns' || CAST(l_partkey % 10 AS VARCHAR) AS namespace,
+       CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS pod,
+       l_suppkey AS node, l_quantity / 50 AS cpu, l_extendedprice * 1048576 AS mem_bytes,
+       l_returnflag AS team, CASE WHEN l_partkey % 7 = 0 THEN '' ELSE l_linestatus END AS cost_center,
+       l_shipdate AS ts
+FROM lineitem""")
+
+view("node_prices", (), """
+SELECT s_suppkey AS node, 0.02::DOUBLE + (s_suppkey % 10) * 0.005::DOUBLE AS cpu_h,
+       0.003::DOUBLE + (s_suppkey % 7) * 0.0005::DOUBLE AS ram_h,
+       CASE WHEN s_suppkey % 5 = 0 THEN 1.2::DOUBLE ELSE 0.0::DOUBLE END AS gpu_h
+FROM supplier""")
+
+view("workload_samples", (), """
+SELECT l_partkey AS workload, l_quantity * 20 AS cpu_m, l_extendedprice / 50 AS mem_mib, p_size
+FROM lineitem JOIN part ON l_partkey = p_partkey""")
+
+view("tenant_usage", (), """
+SELECT n_name AS tenant, n_nationkey AS tenant_key, n_regionkey AS cohort,
+       coalesce(n_cust, 0) / 10.0::DOUBLE AS cpu_quota, coalesce(n_pos, 0) / 10.0::DOUBLE * 0.8::DOUBLE AS cpu_used,
+       coalesce(bal, 0) / 1000.0::DOUBLE AS memory_quota_gib, coalesce(sbal, 0) / 1000.0::DOUBLE AS memory_used_gib,
+       CAST(coalesce(n_sup, 0) AS DOUBLE) AS pool_slots, CAST(coalesce(n_rich, 0) AS DOUBLE) AS pool_used,
+       CASE WHEN n_nationkey % 3 = 2 THEN 'mlops-low-priority' ELSE 'mlops-batch-normal' END AS priority_class
+FROM nation
+LEFT JOIN (SELECT c_nationkey, count(*) AS n_cust, count(*) FILTER (WHERE c_acctbal > 0) AS n_pos,
+                  sum(greatest(c_acctbal, 0.0)) AS bal FROM customer GROUP BY 1) c ON n_nationkey = c.c_nationkey
+LEFT JOIN (SELECT s_nationkey, count(*) AS n_sup, count(*) FILTER (WHERE s_acctbal > 5000) AS n_rich,
+                  sum(greatest(s_acctbal, 0.0)) AS sbal FROM supplier GROUP BY 1) s ON n_nationkey = s.s_nationkey""")

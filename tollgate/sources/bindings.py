@@ -175,3 +175,60 @@ def hourly(spark: SparkSession, sf: str) -> DataFrame:
         F.count_if(F.col("status") != "success").alias("errors"),
         (F.count_if(F.col("status") != "success") / F.count(F.lit(1))).alias("error_share"),
         F.max("latency_ms").alias("max_latency"))
+
+
+def alloc_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """Container allocation samples (one per lineitem): namespace, pod, node, cpu, memory, labels."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+                                             "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",
+                                             "l_shipdate")
+    return li.select(
+        F.concat(F.lit("ns"), (F.col("l_partkey") % 10).cast("string")).alias("namespace"),
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("pod"),
+        F.col("l_suppkey").alias("node"),
+        (F.col("l_quantity") / 50).alias("cpu"),
+        (F.col("l_extendedprice") * 1048576).alias("mem_bytes"),
+        F.col("l_returnflag").alias("team"),
+        F.when(F.col("l_partkey") % 7 == 0, F.lit("")).otherwise(F.col("l_linestatus")).alias("cost_center"),
+        F.col("l_shipdate").alias("ts"),
+    )
+
+
+def node_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly node prices (one row per supplier = node)."""
+    s = table(spark, sf, "supplier").select("s_suppkey")
+    k = F.col("s_suppkey")
+    return s.select(k.alias("node"), (0.02 + (k % 10) * 0.005).alias("cpu_h"),
+                    (0.003 + (k % 7) * 0.0005).alias("ram_h"),
+                    F.when(k % 5 == 0, F.lit(1.2)).otherwise(F.lit(0.0)).alias("gpu_h"))
+
+
+def workload_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """Usage samples per workload (= part) with the workload's current sizing from ``part``."""
+    li = table(spark, sf, "lineitem").select("l_partkey", "l_quantity", "l_extendedprice")
+    p = table(spark, sf, "part").select("p_partkey", "p_size")
+    s = li.select(F.col("l_partkey").alias("workload"), (F.col("l_quantity") * 20).alias("cpu_m"),
+                  (F.col("l_extendedprice") / 50).alias("mem_mib"))
+    return s.join(p, s.workload == p.p_partkey, "inner").drop("p_partkey")
+
+
+def tenant_usage(spark: SparkSession, sf: str) -> DataFrame:
+    """Tenants = nations, cohorts = regions; quotas/usage from customer and supplier aggregates."""
+    n = table(spark, sf, "nation")
+    c = table(spark, sf, "customer").groupBy("c_nationkey").agg(
+        F.count(F.lit(1)).alias("n_cust"), F.count_if(F.col("c_acctbal") > 0).alias("n_pos"),
+        F.sum(F.greatest(F.col("c_acctbal"), F.lit(0.0))).alias("bal"))
+    s = table(spark, sf, "supplier").groupBy("s_nationkey").agg(
+        F.count(F.lit(1)).alias("n_sup"), F.count_if(F.col("s_acctbal") > 5000).alias("n_rich"),
+        F.sum(F.greatest(F.col("s_acctbal"), F.lit(0.0))).alias("sbal"))
+    j = n.join(c, n.n_nationkey == c.c_nationkey, "left").join(s, n.n_nationkey == s.s_nationkey, "left")
+    z = lambda x: F.coalesce(F.col(x), F.lit(0))
+    return j.select(
+        F.col("n_name").alias("tenant"), F.col("n_nationkey").alias("tenant_key"),
+        F.col("n_regionkey").alias("cohort"),
+        (z("n_cust") / 10.0).alias("cpu_quota"), (z("n_pos") / 10.0 * 0.8).alias("cpu_used"),
+        (z("bal") / 1000.0).alias("memory_quota_gib"), (z("sbal") / 1000.0).alias("memory_used_gib"),
+        z("n_sup").cast("double").alias("pool_slots"), z("n_rich").cast("double").alias("pool_used"),
+        F.when(F.col("n_nationkey") % 3 == 2, "mlops-low-priority").otherwise("mlops-batch-normal")
+         .alias("priority_class"),
+    )
