@@ -108,28 +108,38 @@ def threshold_search(scored: DataFrame, spark: SparkSession, label: str = "churn
                      segment: str = "segment", by: Sequence[str] = ("model", "version")) -> DataFrame:
     """M6: pick the threshold maximising f1 + .15*acc - .05*gap (rounded metrics; ties -> lowest).
 
-    Scale form: rows are first reduced to counts per distinct
-    (group, segment, label, score); scores are rounded to 6 places so that
-    table is bounded (<= 1e6 scores per segment/label) whatever the input size.
-    Only then is it joined with the 41-row grid (broadcast) and re-aggregated.
+    Scores carry 6 decimals, so ``score >= s/100`` is exactly
+    ``floor(round(score * 1e6) / 1e4) >= s``: every row falls into one grid bin
+    (19 = below the grid).  One partial aggregate counts labels per
+    (group, segment, bin); a generated spine (sequence 20..60 per group) fills
+    empty bins; suffix sums over at most 42 bins give tp/fp for every
+    threshold.  No join with the grid and no per-threshold pass.
     """
-    counts = scored.groupBy(*by, segment, label, "churn_score").agg(F.count(F.lit(1)).alias("n"))
-    grid = F.broadcast(threshold_grid(spark))
-    j = counts.crossJoin(grid).withColumn("pred", (F.col("churn_score") >= F.col("threshold")).cast("int"))
-    y, p, n = F.col(label), F.col("pred"), F.col("n")
+    lo, hi = THRESHOLD_STEPS[0], THRESHOLD_STEPS[-1]
+    y = F.col(label)
+    micro = F.round(F.col("churn_score") * 1_000_000).cast("long")
+    k = F.least(F.greatest(F.floor(micro / 10_000), F.lit(lo - 1)), F.lit(hi)).cast("int")
+    bins = scored.groupBy(*by, segment, k.alias("k")).agg(
+        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"), F.count_if(y != 0).alias("nz"))
+    spine = (bins.select(*by, segment).distinct()
+                 .select(*by, segment, F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("k"))
+                 .select(*by, segment, "k", *[F.lit(0).cast("long").alias(c) for c in ("pos", "neg", "nz")]))
+    full = bins.unionByName(spine).groupBy(*by, segment, "k").agg(
+        *[F.sum(c).alias(c) for c in ("pos", "neg", "nz")])
+    tot = Window.partitionBy(*by, segment)
+    ge = tot.orderBy(F.col("k").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per_seg = (full.withColumn("tp", F.sum("pos").over(ge)).withColumn("fp", F.sum("neg").over(ge))
+                   .withColumn("tn", F.sum("neg").over(tot) - F.col("fp"))
+                   .withColumn("fn", F.sum("nz").over(tot) - F.sum("nz").over(ge))
+                   .filter(F.col("k") >= lo)
+                   .withColumn("threshold", F.col("k") / 100.0))
     keys = [*by, "threshold"]
-    per_seg = j.groupBy(*keys, segment).agg(
-        F.sum(F.when((p == 1) & (y == 1), n).otherwise(0)).alias("tp"),
-        F.sum(F.when((p == 1) & (y == 0), n).otherwise(0)).alias("fp"),
-        F.sum(F.when((p == 0) & (y == 0), n).otherwise(0)).alias("tn"),
-        F.sum(F.when((p == 0) & (y != 0), n).otherwise(0)).alias("fn"),
-    )
     seg_acc = F.round((F.col("tp") + F.col("tn")) / F.greatest(F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn"),
                                                                   F.lit(1)), 4)
-    tot = per_seg.withColumn("seg_acc", seg_acc).groupBy(*keys).agg(
+    agg = per_seg.withColumn("seg_acc", seg_acc).groupBy(*keys).agg(
         *[F.sum(c).alias(c) for c in ("tp", "fp", "tn", "fn")],
         F.round(F.max("seg_acc") - F.min("seg_acc"), 4).alias("segment_accuracy_gap"))
-    m = _ratios(tot).withColumn(
+    m = _ratios(agg).withColumn(
         "objective", F.col("f1") + OBJ_ACCURACY_W * F.col("accuracy") - OBJ_GAP_W * F.col("segment_accuracy_gap"))
     w = Window.partitionBy(*by).orderBy(F.col("objective").desc(), F.col("threshold").asc())
     return (m.withColumn("_r", F.row_number().over(w)).filter("_r = 1")

@@ -20,6 +20,7 @@ PLAN_MODULES = (
     "tollgate.plans.lifecycle",
     "tollgate.plans.signals",
     "tollgate.plans.usage",
+    "tollgate.plans.release",
 )
 
 

@@ -44,6 +44,8 @@ def with_views(sql: str, *names: str) -> str:
         return sql
     ctes = ",\n".join(f"{n} AS (\n{_VIEWS[n][1]}\n)" for n in order)
     body = sql.lstrip()
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{sql}"
@@ -197,3 +199,43 @@ LEFT JOIN (SELECT c_nationkey, count(*) AS n_cust, count(*) FILTER (WHERE c_acct
                   sum(greatest(c_acctbal, 0.0)) AS bal FROM customer GROUP BY 1) c ON n_nationkey = c.c_nationkey
 LEFT JOIN (SELECT s_nationkey, count(*) AS n_sup, count(*) FILTER (WHERE s_acctbal > 5000) AS n_rich,
                   sum(greatest(s_acctbal, 0.0)) AS sbal FROM supplier GROUP BY 1) s ON n_nationkey = s.s_nationkey""")
+
+view("registry_events", (), """
+SELECT o_custkey AS model, o_orderkey AS version, o_orderdate AS ts,
+       CASE WHEN o_orderpriority = '1-URGENT' THEN 'rollback'
+            WHEN o_orderstatus IN ('F', 'P') THEN 'promote' ELSE 'register' END AS event,
+       o_orderpriority <> '1-URGENT' AND o_orderstatus = 'F' AS gates_passed
+FROM orders""")
+
+view("spans", (), """
+SELECT sha256(CAST(o_orderkey AS VARCHAR)) AS trace_id,
+       substr(sha256(sha256(CAST(o_orderkey AS VARCHAR)) || ':orders:0'), 1, 16) AS span_id,
+       NULL::VARCHAR AS parent_span_id, 'orders' AS service, 0 AS seq,
+       CAST(round(CAST(CAST(o_totalprice / 10000 AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS duration_ms
+FROM orders
+UNION ALL
+SELECT t, substr(sha256(t || ':line:' || CAST(seq AS VARCHAR)), 1, 16),
+       CASE WHEN seq = 1 THEN substr(sha256(t || ':orders:0'), 1, 16)
+            ELSE substr(sha256(t || ':line:' || CAST(seq - 1 AS VARCHAR)), 1, 16) END,
+       l_returnflag, seq, l_quantity
+FROM (SELECT sha256(CAST(l_orderkey AS VARCHAR)) AS t, l_returnflag, l_quantity,
+             CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+                                     l_extendedprice) AS INTEGER) AS seq
+      FROM lineitem)""")
+
+view("queue_log", (), """
+SELECT o_orderkey AS workload, o_orderpriority AS cluster_queue, 'lq' || CAST(o_custkey % 5 AS VARCHAR) AS local_queue,
+       CASE WHEN o_orderstatus = 'F' THEN 'admitted' WHEN o_orderstatus = 'O' THEN 'pending' ELSE 'preempted' END
+         AS status,
+       o_custkey % 1001 AS priority, o_orderdate AS submitted,
+       CAST(round(CAST(CAST(o_totalprice / 100000 AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE) AS requested_cpu
+FROM orders""")
+
+view("shard_results", (), """
+SELECT l_orderkey AS job, l_linenumber AS idx,
+       CASE WHEN l_returnflag = 'A' THEN '0' WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN '42'
+            WHEN l_returnflag = 'N' THEN 'DisruptionTarget' WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN '78'
+            ELSE '0' END AS exit_code,
+       row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_extendedprice)
+         AS attempt
+FROM lineitem""")

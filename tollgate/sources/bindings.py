@@ -232,3 +232,67 @@ def tenant_usage(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("n_nationkey") % 3 == 2, "mlops-low-priority").otherwise("mlops-batch-normal")
          .alias("priority_class"),
     )
+
+
+def registry_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Model registry event log: model = customer, version = order, one event per order.
+
+    1-URGENT -> rollback; otherwise status F -> promote (gates passed),
+    P -> promote (gates failed), O -> register.
+    """
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus",
+                                          "o_orderpriority")
+    ev = (F.when(F.col("o_orderpriority") == "1-URGENT", "rollback")
+           .when(F.col("o_orderstatus").isin("F", "P"), "promote").otherwise("register"))
+    return o.select(F.col("o_custkey").alias("model"), F.col("o_orderkey").alias("version"),
+                    F.col("o_orderdate").alias("ts"), ev.alias("event"),
+                    ((F.col("o_orderpriority") != "1-URGENT") & (F.col("o_orderstatus") == "F")).alias("gates_passed"))
+
+
+def spans(spark: SparkSession, sf: str) -> DataFrame:
+    """Trace spans: one trace per order (root span 'orders'), its lineitems chained as children.
+
+    Child order is (l_linenumber, l_partkey, l_suppkey, l_extendedprice); the
+    row number is a window per order (a handful of lines).
+    """
+    from tollgate.functions.hashing import sha_prefix
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                             "l_extendedprice", "l_quantity", "l_returnflag")
+    tid = F.sha2(F.col("o_orderkey").cast("string"), 256)
+    root = o.select(tid.alias("trace_id"), sha_prefix(16, tid, F.lit("orders"), F.lit("0")).alias("span_id"),
+                    F.lit(None).cast("string").alias("parent_span_id"), F.lit("orders").alias("service"),
+                    F.lit(0).alias("seq"), F.round(F.col("o_totalprice") / 10000, 2).alias("duration_ms"))
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    ch = li.withColumn("seq", F.row_number().over(w)).withColumn("trace_id", F.sha2(F.col("l_orderkey").cast("string"), 256))
+    span_id = sha_prefix(16, F.col("trace_id"), F.lit("line"), F.col("seq").cast("string"))
+    parent = F.when(F.col("seq") == 1, sha_prefix(16, F.col("trace_id"), F.lit("orders"), F.lit("0"))) \
+              .otherwise(sha_prefix(16, F.col("trace_id"), F.lit("line"), (F.col("seq") - 1).cast("string")))
+    child = ch.select("trace_id", span_id.alias("span_id"), parent.alias("parent_span_id"),
+                      F.col("l_returnflag").alias("service"), "seq", F.col("l_quantity").alias("duration_ms"))
+    return root.unionByName(child)
+
+
+def queue_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Workload decision log: queue = order priority; F admitted, O pending, P preempted."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
+                                          "o_orderdate", "o_totalprice")
+    status = (F.when(F.col("o_orderstatus") == "F", "admitted").when(F.col("o_orderstatus") == "O", "pending")
+               .otherwise("preempted"))
+    return o.select(F.col("o_orderkey").alias("workload"), F.col("o_orderpriority").alias("cluster_queue"),
+                    F.concat(F.lit("lq"), (F.col("o_custkey") % 5).cast("string")).alias("local_queue"),
+                    status.alias("status"), (F.col("o_custkey") % 1001).alias("priority"),
+                    F.col("o_orderdate").alias("submitted"),
+                    F.round(F.col("o_totalprice") / 100000, 2).alias("requested_cpu"))
+
+
+def shard_results(spark: SparkSession, sf: str) -> DataFrame:
+    """Indexed-job attempts: job = order, index = line number, exit code from return flag/status."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                             "l_extendedprice", "l_returnflag", "l_linestatus")
+    rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
+    code = (F.when(rf == "A", "0").when((rf == "N") & (ls == "F"), "42").when(rf == "N", "DisruptionTarget")
+             .when((rf == "R") & (ls == "F"), "78").otherwise("0"))
+    w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey", "l_extendedprice")
+    return li.select(F.col("l_orderkey").alias("job"), F.col("l_linenumber").alias("idx"), code.alias("exit_code"),
+                     F.row_number().over(w).alias("attempt"))
