@@ -45,23 +45,26 @@ def trace_rollup(spans: DataFrame) -> DataFrame:
     return agg.join(leaves, "trace_id", "left")
 
 
-def trace_depth(spans: DataFrame, max_depth: int = 64, checkpoint_every: int = 8) -> DataFrame:
+def trace_depth(spans: DataFrame, max_depth: int = 64) -> DataFrame:
     """Depth of every span by iterative parent joins (frontier expansion).
 
     Each round joins the frontier (spans found at depth d) to their children;
-    it stops when a round finds nothing.  Lineage is cut with a reliable
-    checkpoint every few rounds.  ``max_depth`` bounds runaway cycles.
+    it stops when a round finds nothing.  Every frontier is reliably
+    checkpointed (shared checkpoint dir), so a round never recomputes earlier
+    rounds and a lost executor only redoes one round.  ``max_depth`` bounds
+    runaway cycles.
     """
     ensure_checkpoint_dir(spans.sparkSession)
     edges = spans.select("trace_id", "span_id", "parent_span_id")
-    frontier = edges.filter(F.col("parent_span_id").isNull()).select("trace_id", "span_id", F.lit(0).alias("depth"))
+    edges = edges.checkpoint(eager=True)
+    frontier = (edges.filter(F.col("parent_span_id").isNull())
+                     .select("trace_id", "span_id", F.lit(0).alias("depth")).checkpoint(eager=True))
     found = frontier
     for d in range(1, max_depth + 1):
         nxt = (edges.join(frontier.select("trace_id", F.col("span_id").alias("parent_span_id")),
                           ["trace_id", "parent_span_id"], "inner")
                     .select("trace_id", "span_id", F.lit(d).alias("depth")))
-        if d % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)
+        nxt = nxt.checkpoint(eager=True)
         if nxt.isEmpty():
             break
         found = found.unionByName(nxt)
