@@ -52,3 +52,47 @@ def quantity(x) -> Column:
              .when(suf == "Ki", 1024.0).when(suf == "Mi", 1024.0 ** 2).when(suf == "Gi", 1024.0 ** 3)
              .when(suf == "Ti", 1024.0 ** 4))
     return num * mult
+
+
+def md5_bucket(key, salt: str) -> Column:
+    """Deterministic uniform in [0,1) from md5('<key>:<salt>') (sticky per key)."""
+    digest = F.md5(F.concat_ws(":", col(key).cast("string"), F.lit(salt)))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
+
+
+def hour_key(ts) -> Column:
+    """Start-of-hour partition key yyyy-MM-ddTHH:00Z."""
+    return F.date_format(F.date_trunc("hour", col(ts)), "yyyy-MM-dd'T'HH:00'Z'")
+
+
+def pinned_tag(uri) -> Column:
+    """Tag after the last ':' present and not 'latest' (text after the last colon)."""
+    u = col(uri)
+    tag = F.substring_index(u, ":", -1)
+    return u.contains(":") & ~tag.isin("", "latest")
+
+
+def redact(attrs, deny: list[str], upserts: dict[str, str]) -> Column:
+    """Drop denied keys, then upsert constant attributes (drop + map_concat)."""
+    keys = list(deny) + list(upserts)
+    kept = F.map_filter(col(attrs), lambda k, v: ~k.isin(*keys))
+    if not upserts:
+        return kept
+    add = F.create_map(*[x for kv in upserts.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
+    return F.map_concat(kept, add)
+
+
+def missing_keys(attrs, required: list[str]) -> Column:
+    """Required attribute names absent from the map (sorted array)."""
+    return F.array_sort(F.array_except(F.array(*[F.lit(r) for r in required]), F.map_keys(col(attrs))))
+
+
+def is_numeric_text(x) -> Column:
+    """The text parses as a number."""
+    return col(x).cast("string").try_cast("double").isNotNull()
+
+
+def humanize(x, names: dict[str, str]) -> Column:
+    """Display name from a lookup, else '_' -> ' '."""
+    m = F.create_map(*[F.lit(v) for kv in names.items() for v in kv])
+    return F.coalesce(F.element_at(m, col(x)), F.regexp_replace(col(x), "_", " "))

@@ -134,14 +134,20 @@ def check_rollup(checks: DataFrame, by: Sequence[str], name: str = "check", pass
 def quality_suites(df: DataFrame, partition: str, ts: str, value: str, label: str,
                    now: Column, ref_mean: Column, ref_std: Column, max_age_days: float = 2.0,
                    max_z_shift: float = 3.0, share_range=(0.05, 0.8)) -> DataFrame:
-    """Q4: schema / freshness / distribution / label-balance checks per partition."""
+    """Q4: schema / freshness / distribution / label-balance checks per partition.
+
+    ``ref_mean`` / ``ref_std`` are per-row columns holding the reference
+    statistics (e.g. from a broadcast one-row aggregate).
+    """
     g = df.groupBy(partition).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col(value).isNull() | F.col(label).isNull()).alias("null_cells"),
         F.max(ts).alias("max_ts"),
         F.avg(value).alias("mean_value"),
         F.avg(F.col(label).cast("double")).alias("label_share"),
+        F.max(ref_mean).alias("_ref_mean"), F.max(ref_std).alias("_ref_std"),
     )
+    ref_mean, ref_std = F.col("_ref_mean"), F.col("_ref_std")
     age_days = (F.unix_timestamp(now) - F.unix_timestamp(F.col("max_ts"))) / 86400.0
     z = F.abs(F.col("mean_value") - ref_mean) / F.greatest(ref_std, F.lit(1e-9))
     lo, hi = share_range

@@ -21,6 +21,7 @@ PLAN_MODULES = (
     "tollgate.plans.signals",
     "tollgate.plans.usage",
     "tollgate.plans.release",
+    "tollgate.plans.scalars",
 )
 
 

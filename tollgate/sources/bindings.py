@@ -296,3 +296,41 @@ def shard_results(spark: SparkSession, sf: str) -> DataFrame:
     w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey", "l_extendedprice")
     return li.select(F.col("l_orderkey").alias("job"), F.col("l_linenumber").alias("idx"), code.alias("exit_code"),
                      F.row_number().over(w).alias("attempt"))
+
+
+# Telemetry attribute contract (required, redacted, numeric).
+REQUIRED_ATTRIBUTES = [
+    "service.name", "deployment.environment.name", "k8s.namespace.name", "k8s.pod.name", "k8s.container.name",
+    "airflow.dag_id", "airflow.task_id", "mlflow.run_id", "ml.model.name", "ml.model.version", "ml.model.stage",
+    "kserve.inferenceservice.name", "inference.gateway.objective", "release.version", "slo.name",
+]
+REDACTED_ATTRIBUTES = ["prediction.request.features", "prediction.response.score", "http.request.body", "customer.id"]
+
+
+def attrs(spark: SparkSession, sf: str) -> DataFrame:
+    """Span attributes per event: a MAP of event columns under the contract's attribute names.
+
+    Some attributes are absent by data: no model version on signups, no pod on
+    errors above 150 ms, no SLO name on views.
+    """
+    e = table(spark, sf, "events").select("event_id", "user_id", "event_type", "value", "props")
+    s = F.col("user_id").cast("string")
+    pairs = [
+        ("service.name", F.concat(F.lit("svc"), (F.col("user_id") % 4).cast("string"))),
+        ("deployment.environment.name", F.lit("staging")),
+        ("k8s.namespace.name", F.lit("mlops")),
+        ("k8s.pod.name", F.when(~((F.col("event_type") == "error") & (F.col("value") > 150)), F.concat(F.lit("pod-"), s))),
+        ("k8s.container.name", F.lit("predictor")),
+        ("airflow.dag_id", F.lit("release")), ("airflow.task_id", F.col("event_type")),
+        ("mlflow.run_id", F.concat(F.lit("run-"), s)), ("ml.model.name", F.lit("churn-risk")),
+        ("ml.model.version", F.when(F.col("event_type") != "signup", F.lit("2026.07.0"))),
+        ("ml.model.stage", F.lit("candidate")), ("kserve.inferenceservice.name", F.lit("churn-risk")),
+        ("inference.gateway.objective", F.lit("low-latency")), ("release.version", F.lit("2026.07.0")),
+        ("slo.name", F.when(F.col("event_type") != "view", F.lit("latency_p95"))),
+        ("inference.latency_ms", F.when(F.col("event_type") == "error", F.lit("n/a"))
+                                  .otherwise(F.col("value").cast("string"))),
+        ("customer.id", s), ("http.request.body", F.col("props")),
+    ]
+    m = F.map_from_entries(F.filter(F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in pairs]),
+                                    lambda x: x["value"].isNotNull()))
+    return e.select("event_id", "event_type", m.alias("attributes"))
