@@ -22,6 +22,7 @@ PLAN_MODULES = (
     "tollgate.plans.usage",
     "tollgate.plans.release",
     "tollgate.plans.scalars",
+    "tollgate.plans.streams",
 )
 
 

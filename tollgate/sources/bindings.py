@@ -99,7 +99,11 @@ def churn_current(spark: SparkSession, sf: str, drift: float = 1.12) -> DataFram
 
 def prediction_log(spark: SparkSession, sf: str) -> DataFrame:
     """Prediction log derived from ``events`` (one request per event)."""
-    e = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return to_prediction_log(table(spark, sf, "events"))
+
+
+def to_prediction_log(e: DataFrame) -> DataFrame:
+    """Events (batch or stream) -> prediction log rows."""
     return e.select(
         F.col("event_id").alias("request_id"),
         F.col("ts"),
@@ -150,7 +154,11 @@ def latency_buckets(spark: SparkSession, sf: str) -> DataFrame:
 def asset_events(spark: SparkSession, sf: str) -> DataFrame:
     """Asset materialisation events: view→raw, click→candidate, purchase→canary,
     error with value > 150 → rollback_request; partition key = hour of ts."""
-    e = table(spark, sf, "events").select("event_id", "ts", "event_type", "value")
+    return to_asset_events(table(spark, sf, "events"))
+
+
+def to_asset_events(e: DataFrame) -> DataFrame:
+    """Events (batch or stream) -> asset materialisation events."""
     asset = (F.when(F.col("event_type") == "view", "raw")
               .when(F.col("event_type") == "click", "candidate")
               .when(F.col("event_type") == "purchase", "canary")
