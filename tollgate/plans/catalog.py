@@ -23,6 +23,7 @@ PLAN_MODULES = (
     "tollgate.plans.release",
     "tollgate.plans.scalars",
     "tollgate.plans.streams",
+    "tollgate.plans.ml_io",
 )
 
 
