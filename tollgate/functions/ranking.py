@@ -25,30 +25,69 @@ from tollgate.functions.guards import small_broadcast
 from tollgate.session import ensure_checkpoint_dir
 
 
-def prefix_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], weight: str | None = None,
-                partitions: int | None = None) -> DataFrame:
-    """Add ``cum`` (inclusive running weight within ``by`` in ``order``) and ``n`` (group total).
+def range_partition(df: DataFrame, by: Sequence[str], order: Sequence[str],
+                    partitions: int | None = None) -> DataFrame:
+    """Range-partition on (by, order) and tag rows with their partition id ``_pid``.
 
-    Ties in ``order`` must be broken by the caller (include a unique column).
+    The result is reliably checkpointed (shared checkpoint dir) so partition
+    ids are stable across the passes that use them and across task retries.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wcol = F.col(weight) if weight else F.lit(1)
-    r = (df.withColumn("_w", wcol.cast("long"))
-           .repartitionByRange(p, *by, *order)
-           .withColumn("_pid", F.spark_partition_id())
-           .checkpoint(eager=True))
+    return (df.repartitionByRange(p, *by, *order).withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))
+
+
+def prefix_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], weight: str | Sequence[str] | None = None,
+                partitions: int | None = None) -> DataFrame:
+    """Add ``cum`` (inclusive running weight within ``by`` in ``order``) and ``n`` (group total).
+
+    With several weight columns, adds ``cum_<w>`` and ``n_<w>`` for each.
+    Ties in ``order`` must be broken by the caller (include a unique column).
+    """
+    weights = [weight] if isinstance(weight, str) or weight is None else list(weight)
+    names = ["_w"] if weight is None or isinstance(weight, str) else [f"_w_{w}" for w in weights]
+    d = df
+    for w, nm in zip(weights, names):
+        d = d.withColumn(nm, (F.col(w) if w else F.lit(1)).cast("long"))
+    r = range_partition(d, by, order, partitions)
     local_w = (Window.partitionBy("_pid", *by).orderBy(*order)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = r.withColumn("_lcum", F.sum("_w").over(local_w))
-    tot = r.groupBy("_pid", *by).agg(F.sum("_w").alias("_ptot"))
+    local = r
+    for nm in names:
+        local = local.withColumn(f"_l{nm}", F.sum(nm).over(local_w))
+    tot = r.groupBy("_pid", *by).agg(*[F.sum(nm).alias(f"_p{nm}") for nm in names])
     ow = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select("_pid", *by,
-                      F.coalesce(F.sum("_ptot").over(ow), F.lit(0)).alias("_off"),
-                      F.sum("_ptot").over(Window.partitionBy(*by)).alias("n"))
+    offs = tot.select("_pid", *by, *[F.coalesce(F.sum(f"_p{nm}").over(ow), F.lit(0)).alias(f"_o{nm}") for nm in names],
+                      *[F.sum(f"_p{nm}").over(Window.partitionBy(*by)).alias(f"_n{nm}") for nm in names])
     out = local.join(small_broadcast(offs, "rank offsets"), ["_pid", *by], "inner")
-    return out.withColumn("cum", F.col("_lcum") + F.col("_off")).drop("_lcum", "_off", "_pid")
+    for w, nm in zip(weights, names):
+        suffix = "" if nm == "_w" else f"_{w}"
+        out = out.withColumn(f"cum{suffix}", F.col(f"_l{nm}") + F.col(f"_o{nm}")) \
+                 .withColumn(f"n{suffix}", F.col(f"_n{nm}"))
+    drop = ["_pid", *[c for nm in names for c in (f"_l{nm}", f"_o{nm}", f"_n{nm}")]]
+    if names != ["_w"]:
+        drop += names
+    return out.drop(*drop)
+
+
+def max_gap(df: DataFrame, key: str, ts_seconds: str, tiebreak: str, partitions: int | None = None) -> DataFrame:
+    """Largest gap between consecutive events per key, skew-safe.
+
+    Rows are range-partitioned on (key, ts): gaps inside a partition come from
+    ``lag`` within (partition, key); gaps across partition boundaries come
+    from a window over the per-(partition, key) first/last table (small).
+    """
+    r = range_partition(df.select(key, ts_seconds, tiebreak), [key], [ts_seconds, tiebreak], partitions)
+    w = Window.partitionBy("_pid", key).orderBy(ts_seconds, tiebreak)
+    inner = (r.withColumn("_g", F.col(ts_seconds) - F.lag(ts_seconds).over(w))
+              .groupBy(key).agg(F.max("_g").alias("_gi")))
+    fl = r.groupBy("_pid", key).agg(F.min(ts_seconds).alias("_first"), F.max(ts_seconds).alias("_last"))
+    cross = (fl.withColumn("_g", F.col("_first") - F.lag("_last").over(Window.partitionBy(key).orderBy("_pid")))
+               .groupBy(key).agg(F.max("_g").alias("_gc")))
+    return inner.join(cross, key, "full_outer").select(
+        key, F.greatest(F.coalesce("_gi", F.lit(0)), F.coalesce("_gc", F.lit(0))).alias("max_gap"))
 
 
 def nearest_rank_index(n: Column, pct: float) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tollgate.functions.exprs import floor_div, round_up
-from tollgate.functions.ranking import nearest_rank_percentiles
+from tollgate.functions.ranking import max_gap, nearest_rank_percentiles
 
 # Right-sizing policy.
 CPU_MONTHLY_USD = 28.0
@@ -139,20 +139,7 @@ def device_health(events: DataFrame) -> DataFrame:
                     (F.count_if(F.col("health").isin("Unhealthy", "Unknown")) > 0).alias("release_hold"))
 
 
-def max_gap_seconds(events: DataFrame, key: str, ts: str, tiebreak: str, bucket: Column) -> DataFrame:
-    """Largest gap between consecutive events per key, skew-safe.
-
-    Gaps inside a (key, bucket) come from ``lag`` within that bucket; gaps that
-    cross buckets come from a window over the per-bucket first/last table,
-    which is small (one row per key and bucket).
-    """
-    sec = F.unix_timestamp(F.col(ts).cast("timestamp")).alias("_s")
-    e = events.select(key, tiebreak, sec, bucket.alias("_b"))
-    w = Window.partitionBy(key, "_b").orderBy("_s", tiebreak)
-    inner = e.withColumn("_g", F.col("_s") - F.lag("_s").over(w)).groupBy(key).agg(F.max("_g").alias("_gi"))
-    fl = e.groupBy(key, "_b").agg(F.min("_s").alias("_first"), F.max("_s").alias("_last"))
-    wb = Window.partitionBy(key).orderBy("_b")
-    cross = (fl.withColumn("_g", F.col("_first") - F.lag("_last").over(wb))
-               .groupBy(key).agg(F.max("_g").alias("_gc")))
-    return inner.join(cross, key, "full_outer").select(
-        key, F.greatest(F.coalesce("_gi", F.lit(0)), F.coalesce("_gc", F.lit(0))).alias("max_lag_s"))
+def max_gap_seconds(events: DataFrame, key: str, ts: str, tiebreak: str) -> DataFrame:
+    """Largest gap (seconds) between consecutive events per key (skew-safe ``max_gap``)."""
+    e = events.select(key, tiebreak, F.unix_timestamp(F.col(ts).cast("timestamp")).alias("_s"))
+    return max_gap(e, key, "_s", tiebreak).withColumnRenamed("max_gap", "max_lag_s")

@@ -299,8 +299,7 @@ FROM g LEFT JOIN b USING (controller)""")
 def freshness_budget(spark, sf):
     """Largest gap between consecutive events per controller vs its freshness budget."""
     e = table(spark, sf, "events").select("event_type", "ts", "event_id")
-    gaps = us.max_gap_seconds(e.withColumnRenamed("event_type", "controller"), "controller", "ts", "event_id",
-                              F.to_date("ts"))
+    gaps = us.max_gap_seconds(e.withColumnRenamed("event_type", "controller"), "controller", "ts", "event_id")
     budgets = spark.createDataFrame(FRESHNESS_BUDGETS, "controller string, budget_s bigint")
     j = gaps.join(bounded_broadcast(budgets, 1_000, "freshness budgets"), "controller", "left")
     bud = F.coalesce(F.col("budget_s"), F.lit(DEFAULT_FRESHNESS_S)).cast("long")

@@ -119,18 +119,17 @@ def to_prediction_log(e: DataFrame) -> DataFrame:
 def request_counters(spark: SparkSession, sf: str) -> DataFrame:
     """Cumulative counters requests_total / errors_total per (service, day).
 
-    Counters restart every midnight (a reset).  The running count is a window
-    partitioned by (service, day), so one task never holds more than one day of
-    one service.
+    Counters restart every midnight (a reset).  Running counts come from the
+    skew-safe ``prefix_rank`` (range partitioning + offsets), so even a
+    (service, day) holding a third of all requests is split over many tasks.
     """
-    p = prediction_log(spark, sf).withColumn("day", F.to_date("ts"))
-    w = (Window.partitionBy("service", "day").orderBy("ts", "request_id")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return p.select(
-        "service", "ts", "request_id",
-        F.count(F.lit(1)).over(w).cast("double").alias("requests_total"),
-        F.sum((F.col("status") == "error").cast("int")).over(w).cast("double").alias("errors_total"),
-    )
+    from tollgate.functions.ranking import prefix_rank
+    p = (prediction_log(spark, sf).withColumn("day", F.to_date("ts"))
+         .withColumn("one", F.lit(1)).withColumn("err", (F.col("status") == "error").cast("int"))
+         .select("service", "day", "ts", "request_id", "one", "err"))
+    r = prefix_rank(p, ["service", "day"], ["ts", "request_id"], weight=["one", "err"])
+    return r.select("service", "ts", "request_id", F.col("cum_one").cast("double").alias("requests_total"),
+                    F.col("cum_err").cast("double").alias("errors_total"))
 
 
 LATENCY_BOUNDS = (5.0, 10.0, 25.0, 50.0, 100.0, 250.0)
