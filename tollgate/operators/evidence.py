@@ -45,31 +45,30 @@ def trace_rollup(spans: DataFrame) -> DataFrame:
     return agg.join(leaves, "trace_id", "left")
 
 
-def trace_depth(spans: DataFrame, max_depth: int = 64) -> DataFrame:
-    """Depth of every span by iterative parent joins (frontier expansion).
-
-    Each round joins the frontier (spans found at depth d) to their children;
-    it stops when a round finds nothing.  Every frontier is reliably
-    checkpointed (shared checkpoint dir), so a round never recomputes earlier
-    rounds and a lost executor only redoes one round.  ``max_depth`` bounds
-    runaway cycles.
+def trace_depth(spans: DataFrame, max_rounds: int = 32) -> DataFrame:
+    """Depth of every span (distance to its root) by pointer doubling.
+
+    Each span keeps an ancestor pointer and its distance to it; every round
+    replaces the pointer by the ancestor's pointer and adds the ancestor's
+    distance (one self-join on (trace_id, span_id)).  Depth d needs about
+    log2(d) rounds instead of d frontier rounds.  Every round is reliably
+    checkpointed (shared checkpoint dir): the lineage stays one join deep and
+    a lost executor only redoes one round.  ``max_rounds`` bounds cycles.
     """
     ensure_checkpoint_dir(spans.sparkSession)
-    edges = spans.select("trace_id", "span_id", "parent_span_id")
-    edges = edges.checkpoint(eager=True)
-    frontier = (edges.filter(F.col("parent_span_id").isNull())
-                     .select("trace_id", "span_id", F.lit(0).alias("depth")).checkpoint(eager=True))
-    found = frontier
-    for d in range(1, max_depth + 1):
-        nxt = (edges.join(frontier.select("trace_id", F.col("span_id").alias("parent_span_id")),
-                          ["trace_id", "parent_span_id"], "inner")
-                    .select("trace_id", "span_id", F.lit(d).alias("depth")))
-        nxt = nxt.checkpoint(eager=True)
-        if nxt.isEmpty():
+    parent = F.col("parent_span_id")
+    cur = spans.select("trace_id", "span_id", parent.alias("anc"),
+                       F.when(parent.isNull(), F.lit(0)).otherwise(F.lit(1)).alias("depth")).checkpoint(eager=True)
+    for _ in range(max_rounds):
+        if cur.filter(F.col("anc").isNotNull()).isEmpty():
             break
-        found = found.unionByName(nxt)
-        frontier = nxt
-    return found
+        look = cur.select("trace_id", F.col("span_id").alias("anc"), F.col("anc").alias("_anc2"),
+                          F.col("depth").alias("_d2"))
+        cur = (cur.join(look, ["trace_id", "anc"], "left")
+                  .select("trace_id", "span_id", F.col("_anc2").alias("anc"),
+                          (F.col("depth") + F.coalesce(F.col("_d2"), F.lit(0))).alias("depth"))
+                  .checkpoint(eager=True))
+    return cur.select("trace_id", "span_id", "depth")
 
 
 def pattern_audit(corpus: DataFrame, rules: Sequence[tuple[str, str, str]], text: str = "text") -> DataFrame:

@@ -14,10 +14,12 @@ Append mode emits a window once the watermark passes its end, so a finished
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState
@@ -25,6 +27,10 @@ from pyspark.sql.streaming.state import GroupState
 from tollgate.session import checkpoint_root
 from tollgate.sources.tables import table
 
+# The keyed-state function (W7) runs in Python workers: ship it by value so
+# executors need only pandas and pyspark, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def table_stream(spark: SparkSession, sf: str, name: str, max_files: int | None = None,
                  folder: str | None = None) -> DataFrame:
