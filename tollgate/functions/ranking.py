@@ -1,42 +1,126 @@
-"""Skew-safe exact ranks and nearest-rank percentiles.
+"""Skew-safe exact ranks, running sums and nearest-rank percentiles.
 
 A window ``partitionBy(key).orderBy(v)`` puts every row of a key into one task;
-with one key holding a third of the data that task is the whole job.  Instead:
-
-1. range-partition the rows on (key, order...) -- a hot key spans many tasks;
-2. running sum inside each range partition (window on (partition id, key));
-3. per (partition id, key) totals -> offsets by a window over that *small*
-   table (at most #keys + #partitions rows);
-4. cum = local running sum + offset.
+with one key holding a third of the data that task is the whole job.  Instead
+``prefix_rank``:
+
+1. range-partitions the rows on (key, order...) and sorts within partitions --
+   one shuffle; a hot key spans many tasks;
+2. computes running sums inside each partition in place (a vectorised pandas
+   pass over the sorted partition: no second shuffle);
+3. fixes up the few keys that straddle partition boundaries: only the first
+   and last key of a partition can, so that table has at most 2 x partitions
+   rows and is broadcast;
+4. cum = local running sum + offset, n = group total.
 
 The range-partitioned input is reliably checkpointed (shared
-``spark.checkpoint.dir``) so both passes see the same partition ids even if an
+``spark.checkpoint.dir``) so every pass sees the same partitions, also when an
 executor is lost and tasks are recomputed.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from tollgate.functions.guards import small_broadcast
+from tollgate.functions.guards import bounded_broadcast
 from tollgate.session import ensure_checkpoint_dir
 
+# The per-partition pandas pass runs in Python workers: ship it by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def range_partition(df: DataFrame, by: Sequence[str], order: Sequence[str],
                     partitions: int | None = None) -> DataFrame:
-    """Range-partition on (by, order) and tag rows with their partition id ``_pid``.
+    """Range-partition on (by, order), sort within partitions, tag rows with ``_pid``.
 
     The result is reliably checkpointed (shared checkpoint dir) so partition
-    ids are stable across the passes that use them and across task retries.
+    ids and contents are stable across the passes that use them.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(p, *by, *order).withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
+    return (df.repartitionByRange(p, *by, *order).sortWithinPartitions(*by, *order)
+              .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+
+
+def _local_running_sums(by: list[str], weights: list[str]):
+    """Running sums per key run inside one sorted partition, plus the run's total.
+
+    Batches of one partition arrive in order; an open key run is carried
+    across batches (its rows are held until the run ends, at most one run of
+    one partition).
+    """
+    def fn(batches):
+        pending: list[pd.DataFrame] = []
+        carry_hash = None
+        carry_sum = np.zeros(len(weights), dtype=np.int64)
+
+        def close(frames):
+            run = pd.concat(frames, ignore_index=True)
+            for j, w in enumerate(weights):
+                run[f"_t{w}"] = np.int64(run[f"_l{w}"].iloc[-1]) if len(run) else 0
+            return run
+
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            h = pd.util.hash_pandas_object(pdf[by], index=False).to_numpy() if by else np.zeros(len(pdf), np.uint64)
+            new_run = np.empty(len(pdf), dtype=bool)
+            new_run[0] = carry_hash is None or h[0] != carry_hash
+            new_run[1:] = h[1:] != h[:-1]
+            run_id = np.cumsum(new_run)
+            for j, w in enumerate(weights):
+                v = pdf[w].to_numpy(dtype=np.int64)
+                c = pd.Series(v).groupby(run_id).cumsum().to_numpy()
+                if not new_run[0]:
+                    c = c + np.where(run_id == run_id[0], carry_sum[j], 0)
+                pdf[f"_l{w}"] = c
+            starts = np.flatnonzero(new_run)
+            first_closed = 0
+            if not new_run[0]:
+                # the carried run continues into this batch
+                end = starts[0] if len(starts) else len(pdf)
+                pending.append(pdf.iloc[:end])
+                first_closed = end
+                if len(starts):
+                    yield close(pending)
+                    pending = []
+            elif pending:
+                yield close(pending)
+                pending = []
+            if len(starts):
+                last_start = starts[-1]
+                if last_start > first_closed:
+                    body = pdf.iloc[first_closed:last_start]
+                    rid = run_id[first_closed:last_start]
+                    for w in weights:
+                        body = body.assign(**{f"_t{w}": body.groupby(rid)[f"_l{w}"].transform("last")
+                                              .to_numpy(dtype=np.int64)})
+                    yield body
+                pending = [pdf.iloc[last_start:]]
+            carry_hash = h[-1]
+            carry_sum = np.array([pdf[f"_l{w}"].iloc[-1] for w in weights], dtype=np.int64)
+        if pending:
+            yield close(pending)
+    return fn
+
+
+def _null_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    s = small.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
+                     *[c for c in small.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = big[k].eqNullSafe(s[f"_k_{k}"])
+        cond = c if cond is None else cond & c
+    return big.join(s, cond, "left").drop(*[f"_k_{k}" for k in keys])
 
 
 def prefix_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], weight: str | Sequence[str] | None = None,
@@ -44,29 +128,42 @@ def prefix_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], weight:
     """Add ``cum`` (inclusive running weight within ``by`` in ``order``) and ``n`` (group total).
 
     With several weight columns, adds ``cum_<w>`` and ``n_<w>`` for each.
-    Ties in ``order`` must be broken by the caller (include a unique column).
+    Only ascending order; ties in ``order`` must be broken by the caller.
     """
+    by, order = list(by), list(order)
     weights = [weight] if isinstance(weight, str) or weight is None else list(weight)
     names = ["_w"] if weight is None or isinstance(weight, str) else [f"_w_{w}" for w in weights]
     d = df
     for w, nm in zip(weights, names):
         d = d.withColumn(nm, (F.col(w) if w else F.lit(1)).cast("long"))
     r = range_partition(d, by, order, partitions)
-    local_w = (Window.partitionBy("_pid", *by).orderBy(*order)
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = r
-    for nm in names:
-        local = local.withColumn(f"_l{nm}", F.sum(nm).over(local_w))
-    tot = r.groupBy("_pid", *by).agg(*[F.sum(nm).alias(f"_p{nm}") for nm in names])
-    ow = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select("_pid", *by, *[F.coalesce(F.sum(f"_p{nm}").over(ow), F.lit(0)).alias(f"_o{nm}") for nm in names],
-                      *[F.sum(f"_p{nm}").over(Window.partitionBy(*by)).alias(f"_n{nm}") for nm in names])
-    out = local.join(small_broadcast(offs, "rank offsets"), ["_pid", *by], "inner")
+    p = r.rdd.getNumPartitions()
+    # Keys that may straddle a partition boundary: the first and last key of each partition.
+    key = F.struct(*[F.col(b) for b in by]) if by else F.lit(0)
+    ends = r.groupBy("_pid").agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
+    cand = ends.select("_pid", F.inline(F.array(F.struct(F.col("_first").alias("k")), F.struct(F.col("_last").alias("k")))))
+    if by:
+        cand = cand.select("_pid", *[F.col(f"k.{b}").alias(b) for b in by]).distinct()
+    else:
+        cand = cand.select("_pid").distinct()
+    span = _null_safe_join(r.select("_pid", *by, *names), bounded_broadcast(cand.withColumn("_c", F.lit(True)),
+                                                                             2 * p, "partition-edge keys"),
+                           ["_pid", *by]).filter(F.col("_c"))
+    tot = span.groupBy("_pid", *by).agg(*[F.sum(nm).alias(f"_p{nm}") for nm in names])
+    kw = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    ow = kw.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = tot.select("_pid", *by,
+                      *[F.coalesce(F.sum(f"_p{nm}").over(ow), F.lit(0)).alias(f"_o{nm}") for nm in names],
+                      *[F.sum(f"_p{nm}").over(kw).alias(f"_n{nm}") for nm in names])
+    schema = StructType([*r.schema.fields, *[StructField(f"_l{nm}", LongType()) for nm in names],
+                         *[StructField(f"_t{nm}", LongType()) for nm in names]])
+    local = r.mapInPandas(_local_running_sums(by, names), schema)
+    out = _null_safe_join(local, bounded_broadcast(offs, 2 * p, "edge-key offsets"), ["_pid", *by])
     for w, nm in zip(weights, names):
         suffix = "" if nm == "_w" else f"_{w}"
-        out = out.withColumn(f"cum{suffix}", F.col(f"_l{nm}") + F.col(f"_o{nm}")) \
-                 .withColumn(f"n{suffix}", F.col(f"_n{nm}"))
-    drop = ["_pid", *[c for nm in names for c in (f"_l{nm}", f"_o{nm}", f"_n{nm}")]]
+        out = (out.withColumn(f"cum{suffix}", F.col(f"_l{nm}") + F.coalesce(F.col(f"_o{nm}"), F.lit(0)))
+                  .withColumn(f"n{suffix}", F.coalesce(F.col(f"_n{nm}"), F.col(f"_t{nm}"))))
+    drop = ["_pid", *[c for nm in names for c in (f"_l{nm}", f"_t{nm}", f"_o{nm}", f"_n{nm}")]]
     if names != ["_w"]:
         drop += names
     return out.drop(*drop)
