@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.functions.guards import bounded_broadcast
 from tollgate.session import ensure_checkpoint_dir
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.functions.exprs import is_blank
@@ -169,7 +169,3 @@ def reconcile_counts(source: DataFrame, target: DataFrame, partition: str) -> Da
     s, t = F.coalesce(F.col("source_rows"), F.lit(0)), F.coalesce(F.col("target_rows"), F.lit(0))
     return j.select(partition, s.alias("source_rows"), t.alias("target_rows"), (s - t).alias("diff"),
                     (s == t).alias("matched"))
-
-
-def spark_checks_table(spark: SparkSession, rows) -> DataFrame:
-    return spark.createDataFrame(rows, "check string, passed boolean")

@@ -26,7 +26,7 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
     parts = shuffle_partitions or (int(cpus) if str(cpus) != "*" else 8)
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(parts))
-               .config("spark.driver.memory", os.environ.get("TOLLGATE_DRIVER_MEM", "16g")))
+               .config("spark.driver.memory", os.environ.get("TOLLGATE_DRIVER_MEM", "6g")))
     for k, v in {**_LOCAL_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
