@@ -41,14 +41,18 @@ def range_partition(df: DataFrame, by: Sequence[str], order: Sequence[str],
                     partitions: int | None = None) -> DataFrame:
     """Range-partition on (by, order), sort within partitions, tag rows with ``_pid``.
 
-    The result is reliably checkpointed (shared checkpoint dir) so partition
-    ids and contents are stable across the passes that use them.
+    Without an explicit ``partitions`` the partition count is left to AQE,
+    which coalesces adjacent (still contiguous) ranges to the advisory size --
+    big inputs get many partitions, small ones few.  The result is reliably
+    checkpointed (shared checkpoint dir) so partition ids and contents are
+    stable across the passes that use them.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    p = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(p, *by, *order).sortWithinPartitions(*by, *order)
-              .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    cols = [*by, *order]
+    rp = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    return (rp.sortWithinPartitions(*cols).withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))
 
 
 def _local_running_sums(by: list[str], weights: list[str]):

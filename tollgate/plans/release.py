@@ -91,16 +91,17 @@ LATERAL (SELECT coalesce(g.gates_passed, false) AND coalesce(d.drift_passed, tru
 def release_policy(spark, sf):
     from tollgate.operators import monitoring as mon
     from tollgate.plans.lifecycle import _drift, gate_table
-    gates = gate_table(spark, sf).groupBy("version").agg(F.bool_and("passed").alias("gates_passed"))
+    # The gate table already holds each version's serving p95 (observed value of the latency gate).
+    gates = gate_table(spark, sf).groupBy("version").agg(
+        F.bool_and("passed").alias("gates_passed"),
+        F.max(F.when(F.col("metric") == "latency_p95_ms", F.col("observed"))).alias("latency_p95"))
     drift = mon.drift_alert_list(_drift(spark, sf)).select(F.col("passed").alias("drift_passed"))
     log = b.prediction_log(spark, sf)
-    lat = nearest_rank_percentiles(log, "latency_ms", ["model_version"], (0.95,), ("latency_p95",)) \
-        .withColumnRenamed("model_version", "version").drop("samples")
     err = log.groupBy(F.col("model_version").alias("version")).agg(
         F.avg((F.col("status") != "success").cast("double")).alias("error_rate"))
     q = b.queue_log(spark, sf).agg(F.count_if(F.col("status") == "pending").alias("queued_jobs"),
                                    F.count_if(F.col("status") == "admitted").alias("available_slots"))
-    df = (gates.crossJoin(bounded_broadcast(drift, 1, "drift verdict")).join(lat, "version").join(err, "version")
+    df = (gates.crossJoin(bounded_broadcast(drift, 1, "drift verdict")).join(err, "version")
                .crossJoin(bounded_broadcast(q, 1, "queue state")))
     return rel.release_policy(df).select(
         "version", "gates_passed", "drift_passed", "latency_p95", "error_rate", "queued_jobs", "available_slots",
