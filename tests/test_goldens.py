@@ -134,9 +134,34 @@ def test_registry_fold_sequences(spark):
 
 
 def test_queue_rollup(spark):
-    rows = [("q", "admitted", 100), ("q", "admitted", 950), ("q", "preempted", 10), ("q", "pending", 901),
-            ("q", "admitted", 5)]
-    r = rel.queue_decision_rollup(spark.createDataFrame(rows, "cluster_queue string, status string, priority int")) \
-        .collect()[0]
-    assert (r.admitted, r.pending, r.preempted, r.critical_pending, r.passed) == (3, 1, 1, 1, False)
-    assert math.isclose(r.pressure, 0.75)
+    # decision log of the reference's five workloads after its preemption pass (quota 16 cpu)
+    rows = [("q", "candidate-training-gpu", "admitted", 750, 8.0), ("q", "batch-scoring-validation", "admitted", 500, 4.0),
+            ("q", "ad-hoc-feature-notebook", "preempted", 100, 3.0), ("q", "drift-monitor-backfill", "preempted", 450, 3.0),
+            ("q", "emergency-rollback-validation", "admitted", 1000, 3.0)]
+    log = spark.createDataFrame(rows, "cluster_queue string, workload string, status string, priority int, "
+                                      "requested_cpu double")
+    quotas = spark.createDataFrame([("q", 16.0)], "cluster_queue string, cpu_quota double")
+    r = rel.queue_decision_rollup(log, quotas).collect()[0]
+    assert (r.admitted, r.pending, r.preempted, r.critical_pending, r.passed) == (3, 0, 2, 0, True)
+    assert r.pressure == 0.9375
+
+
+def test_flavor_totals_and_quota_alignment(spark):
+    pol = spark.createDataFrame(
+        [("release-validation", {"cpu-on-demand": 16.0, "cpu-spot": 8.0}, {"cpu-on-demand": 4.0, "cpu-spot": 12.0},
+          ["cpu-on-demand", "cpu-spot"]),
+         ("batch-scoring", {"cpu-spot": 24.0, "cpu-on-demand": 6.0}, {"cpu-spot": 18.0, "cpu-on-demand": 4.0},
+          ["cpu-spot", "cpu-on-demand"]),
+         ("gpu-canary-analysis", {"gpu-l4-reserved": 1.0, "gpu-l4-spot": 2.0}, {"gpu-l4-reserved": 1.0, "gpu-l4-spot": 2.0},
+          ["gpu-l4-reserved", "gpu-l4-spot"])],
+        "name string, nominal_quota map<string,double>, borrowing_limit map<string,double>, flavor_order array<string>")
+    got = {r.name: (r.nominal_total, r.borrowing_total, r.fallback_depth) for r in us.flavor_totals(pol, "name").collect()}
+    assert got == {"release-validation": (24.0, 16.0, 1), "batch-scoring": (30.0, 22.0, 1),
+                   "gpu-canary-analysis": (3.0, 3.0, 1)}
+    workers = spark.createDataFrame(
+        [("mgr", r, q) for r, qs in (("cpu", (64, 48, 32)), ("memory_gib", (256, 192, 256)), ("gpu", (2, 0, 4)))
+         for q in qs], "manager string, resource string, quota double")
+    declared = spark.createDataFrame([("mgr", "cpu", 144.0), ("mgr", "memory_gib", 704.0), ("mgr", "gpu", 6.0)],
+                                     "manager string, resource string, declared_quota double")
+    al = {r.resource: (r.workers_total, r.aligned) for r in us.quota_alignment(workers, declared, "manager").collect()}
+    assert al == {"cpu": (144.0, True), "memory_gib": (704.0, True), "gpu": (6.0, True)}

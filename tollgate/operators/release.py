@@ -93,16 +93,28 @@ def canary_analysis(log: DataFrame, by: Sequence[str], ts: str, ok: Column, inte
     return g.withColumn("decision", F.when(F.col("failures") > failure_limit, "abort").otherwise("promote"))
 
 
-def queue_decision_rollup(log: DataFrame, queue: str = "cluster_queue") -> DataFrame:
-    """admitted/pending/preempted, pressure, critical pending (priority >= 900), passed."""
+def queue_decision_rollup(log: DataFrame, quotas: DataFrame | None = None, queue: str = "cluster_queue",
+                          cpu: str = "requested_cpu") -> DataFrame:
+    """admitted/pending/preempted, critical pending (priority >= 900), pressure, passed.
+
+    Pressure = CPU held by admitted workloads / the queue's CPU quota.  Quotas
+    are a (queue, cpu_quota) table; without one, a queue's quota is the CPU
+    it was asked for (pressure = admitted share of demand).
+    """
     s = F.col("status")
     g = log.groupBy(queue).agg(
         F.count_if(s == "admitted").alias("admitted"), F.count_if(s == "pending").alias("pending"),
         F.count_if(s == "preempted").alias("preempted"),
-        F.count_if((s == "pending") & (F.col("priority") >= CRITICAL_PRIORITY)).alias("critical_pending"))
+        F.count_if((s == "pending") & (F.col("priority") >= CRITICAL_PRIORITY)).alias("critical_pending"),
+        F.sum(F.when(s == "admitted", F.col(cpu)).otherwise(0.0)).alias("_used"),
+        F.sum(F.col(cpu)).alias("_asked"))
+    if quotas is not None:
+        g = g.join(bounded_broadcast(quotas, 100_000, "queue quotas"), queue, "left")
+        quota = F.coalesce(F.col("cpu_quota"), F.col("_asked"))
+    else:
+        quota = F.col("_asked")
     return g.select(queue, "admitted", "pending", "preempted", "critical_pending",
-                    F.round(F.col("admitted") / F.greatest(F.col("admitted") + F.col("preempted"), F.lit(1)), 4)
-                     .alias("pressure"),
+                    F.round(F.col("_used") / F.greatest(quota, F.lit(1e-4)), 4).alias("pressure"),
                     (F.col("critical_pending") == 0).alias("passed"))
 
 

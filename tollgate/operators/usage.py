@@ -107,22 +107,30 @@ def map_total(m: Column) -> Column:
     return F.aggregate(F.map_values(m), F.lit(0.0), lambda a, x: a + x)
 
 
+def flavor_totals(policies: DataFrame, key: str) -> DataFrame:
+    """Per queue, totals of the nominal and borrowing maps and the fallback depth
+    (flavours in the fallback order minus one)."""
+    return policies.select(key, F.round(map_total(F.col("nominal_quota")), 4).alias("nominal_total"),
+                           F.round(map_total(F.col("borrowing_limit")), 4).alias("borrowing_total"),
+                           F.greatest(F.size("flavor_order") - 1, F.lit(0)).alias("fallback_depth"))
+
+
 def flavor_quota(customers: DataFrame, queue: str, flavor: str) -> DataFrame:
-    """Per queue, nominal and borrowing maps over flavors, their totals, fallback depth."""
+    """C13 over data: flavour maps per queue built from per-(queue, flavour) counts
+    (one entry per flavour: bounded by the flavour set), then ``flavor_totals``."""
     per = customers.groupBy(queue, flavor).agg(F.count(F.lit(1)).cast("double").alias("n"))
     maps = per.groupBy(queue).agg(
         F.map_from_entries(F.collect_list(F.struct(flavor, "n"))).alias("nominal_quota"),
         F.map_from_entries(F.collect_list(F.struct(flavor, F.floor(F.col("n") / 2).cast("double")))).alias("borrowing_limit"))
-    return maps.select(queue, F.round(map_total(F.col("nominal_quota")), 4).alias("nominal_total"),
-                       F.round(map_total(F.col("borrowing_limit")), 4).alias("borrowing_total"),
-                       F.greatest(F.size(F.map_keys("nominal_quota")) - 1, F.lit(0)).alias("fallback_depth"))
+    return flavor_totals(maps.withColumn("flavor_order", F.array_sort(F.map_keys("nominal_quota"))), queue)
 
 
-def quota_alignment(workers: DataFrame, declared: DataFrame, manager: str, quota: str) -> DataFrame:
-    """C14: manager quota must equal the sum of its workers' quotas."""
-    s = workers.groupBy(manager).agg(F.round(F.sum(quota), 4).alias("workers_total"))
-    j = s.join(declared, manager, "full_outer")
-    return j.select(manager, "workers_total", F.round("declared_quota", 4).alias("declared_quota"),
+def quota_alignment(workers: DataFrame, declared: DataFrame, manager: str, resource: str = "resource",
+                    quota: str = "quota") -> DataFrame:
+    """C14: per (manager, resource), the manager quota must equal the sum of its workers' quotas."""
+    s = workers.groupBy(manager, resource).agg(F.round(F.sum(quota), 4).alias("workers_total"))
+    j = s.join(declared, [manager, resource], "full_outer")
+    return j.select(manager, resource, "workers_total", F.round("declared_quota", 4).alias("declared_quota"),
                     F.coalesce(F.col("workers_total") == F.round("declared_quota", 4), F.lit(False)).alias("aligned"))
 
 

@@ -211,7 +211,7 @@ def canary_analysis(spark, sf):
     "SELECT cluster_queue, count(*) FILTER (WHERE status = 'admitted') AS admitted, "
     "count(*) FILTER (WHERE status = 'pending') AS pending, count(*) FILTER (WHERE status = 'preempted') AS preempted, "
     "count(*) FILTER (WHERE status = 'pending' AND priority >= 900) AS critical_pending, "
-    f"{rnd('count(*) FILTER (WHERE status = ' + chr(39) + 'admitted' + chr(39) + ') / greatest(count(*) FILTER (WHERE status IN (' + chr(39) + 'admitted' + chr(39) + ', ' + chr(39) + 'preempted' + chr(39) + ')), 1)', 4)} AS pressure, "
+    f"{rnd('sum(CASE WHEN status = ' + chr(39) + 'admitted' + chr(39) + ' THEN requested_cpu ELSE 0.0 END) / greatest(sum(requested_cpu), 1e-4)', 4)} AS pressure, "
     "count(*) FILTER (WHERE status = 'pending' AND priority >= 900) = 0 AS passed FROM queue_log GROUP BY cluster_queue",
     "queue_log"))
 def queue_decision_rollup(spark, sf):

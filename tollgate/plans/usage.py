@@ -224,7 +224,7 @@ def flavor_quota(spark, sf):
 
 
 @query("quota_alignment", with_views(
-    f"SELECT cohort, {rnd('sum(cpu_quota)', 4)} AS workers_total, {rnd('d', 4)} AS declared_quota, "
+    f"SELECT cohort, 'cpu' AS resource, {rnd('sum(cpu_quota)', 4)} AS workers_total, {rnd('d', 4)} AS declared_quota, "
     f"coalesce({rnd('sum(cpu_quota)', 4)} = {rnd('d', 4)}, false) AS aligned FROM tenant_usage "
     f"JOIN (SELECT n_regionkey AS cohort, count(*) / 10.0::DOUBLE AS d FROM customer JOIN nation "
     f"ON c_nationkey = n_nationkey GROUP BY 1) USING (cohort) GROUP BY cohort, d", "tenant_usage"))
@@ -233,8 +233,10 @@ def quota_alignment(spark, sf):
     n = table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
     cu = table(spark, sf, "customer").select("c_nationkey")
     declared = (cu.join(bounded_broadcast(n, 10_000, "nation"), cu.c_nationkey == n.n_nationkey)
-                  .groupBy(F.col("n_regionkey").alias("cohort")).agg((F.count(F.lit(1)) / 10.0).alias("declared_quota")))
-    return us.quota_alignment(t, declared, "cohort", "cpu_quota")
+                  .groupBy(F.col("n_regionkey").alias("cohort")).agg((F.count(F.lit(1)) / 10.0).alias("declared_quota"))
+                  .withColumn("resource", F.lit("cpu")))
+    workers = t.select("cohort", F.lit("cpu").alias("resource"), F.col("cpu_quota").alias("quota"))
+    return us.quota_alignment(workers, declared, "cohort")
 
 
 @query("capacity_demand", """
