@@ -159,7 +159,7 @@ def test_flavor_totals_and_quota_alignment(spark):
     assert got == {"release-validation": (24.0, 16.0, 1), "batch-scoring": (30.0, 22.0, 1),
                    "gpu-canary-analysis": (3.0, 3.0, 1)}
     workers = spark.createDataFrame(
-        [("mgr", r, q) for r, qs in (("cpu", (64, 48, 32)), ("memory_gib", (256, 192, 256)), ("gpu", (2, 0, 4)))
+        [("mgr", r, float(q)) for r, qs in (("cpu", (64, 48, 32)), ("memory_gib", (256, 192, 256)), ("gpu", (2, 0, 4)))
          for q in qs], "manager string, resource string, quota double")
     declared = spark.createDataFrame([("mgr", "cpu", 144.0), ("mgr", "memory_gib", 704.0), ("mgr", "gpu", 6.0)],
                                      "manager string, resource string, declared_quota double")
