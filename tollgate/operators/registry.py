@@ -25,26 +25,35 @@ def registry_fold(events: DataFrame) -> DataFrame:
     """Sequence semantics of promote (passed) / rollback, per model, without collecting histories.
 
     State (champion, previous): promote v -> (v, champion); rollback swaps when a
-    previous exists, else is a no-op.  Closed form: number the promotion
-    segments (running count of passed promotes, skew-safe ``prefix_rank``), count
-    rollbacks per segment; the champion after segment i is the version of the
-    latest segment j <= i whose rollback count is even (or j = 1).
+    previous exists, else is a no-op.  Closed form on promotion segments
+    (segment i = events from the i-th passed promote up to the next): with r_i
+    rollbacks in segment i and v_i its version, the champion after segment i is
+    v_j for the latest j <= i with r_j even (or j = 1); the previous champion is
+    v_i when r_i is odd, else the champion after segment i - 1.
+
+    Segments are numbered with the skew-safe ``prefix_rank``; everything after
+    is grouped aggregation (conditional ``max_by``) plus one join of the
+    segments with a per-model summary, which AQE's skew join splits for a hot
+    model -- no window over a model's whole history.
     """
     e = events.withColumn("_is_p", ((F.col("event") == "promote") & F.col("gates_passed")).cast("int"))
-    ranked = prefix_rank(e, ["model"], ["ts", "version"], weight="_is_p")
-    seg = ranked.withColumnRenamed("cum", "seg")
+    seg = prefix_rank(e, ["model"], ["ts", "version"], weight="_is_p").withColumnRenamed("cum", "seg")
     segs = seg.filter(F.col("seg") >= 1).groupBy("model", "seg").agg(
         F.max(F.when(F.col("_is_p") == 1, F.col("version"))).alias("v"),
         F.count_if(F.col("event") == "rollback").alias("r"))
-    w = Window.partitionBy("model").orderBy("seg").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     keep = (F.col("r") % 2 == 0) | (F.col("seg") == 1)
-    c = segs.withColumn("C", F.last(F.when(keep, F.col("v")), ignorenulls=True).over(w))
-    c = c.withColumn("C_prev", F.lag("C").over(Window.partitionBy("model").orderBy("seg")))
-    prev = (F.when(F.col("seg") == 1, F.lit(None))
-             .when(F.col("r") % 2 == 0, F.col("C_prev")).otherwise(F.col("v")))
-    last = c.withColumn("_rn", F.row_number().over(Window.partitionBy("model").orderBy(F.col("seg").desc())))
-    state = last.filter("_rn = 1").select("model", F.col("C").alias("champion"), prev.alias("previous_champion"),
-                                          F.col("r").alias("trailing_rollbacks"))
+    last = segs.groupBy("model").agg(F.max("seg").alias("last"), F.max_by("r", "seg").alias("r_last"),
+                                     F.max_by("v", "seg").alias("v_last"))
+    j = segs.join(last, "model")
+    state = j.groupBy("model").agg(
+        F.first("last").alias("last"), F.first("r_last").alias("r_last"), F.first("v_last").alias("v_last"),
+        F.max_by(F.when(keep, F.col("v")), F.when(keep, F.col("seg"))).alias("champion"),
+        F.max_by(F.when(keep & (F.col("seg") < F.col("last")), F.col("v")),
+                 F.when(keep & (F.col("seg") < F.col("last")), F.col("seg"))).alias("_c_prev"))
+    prev = (F.when(F.col("last") == 1, F.lit(None))
+             .when(F.col("r_last") % 2 == 0, F.col("_c_prev")).otherwise(F.col("v_last")))
+    state = state.select("model", "champion", prev.alias("previous_champion"),
+                         F.col("r_last").alias("trailing_rollbacks"))
     models = events.groupBy("model").agg(F.count(F.lit(1)).alias("events"))
     return models.join(state, "model", "left")
 
