@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollgate.functions.hashing import uniform
@@ -260,9 +260,11 @@ def spans(spark: SparkSession, sf: str) -> DataFrame:
     """Trace spans: one trace per order (root span 'orders'), its lineitems chained as children.
 
     Child order is (l_linenumber, l_partkey, l_suppkey, l_extendedprice); the
-    row number is a window per order (a handful of lines).
+    position in the chain comes from the skew-safe ``prefix_rank`` (an order
+    with a huge number of lines is still split over tasks).
     """
     from tollgate.functions.hashing import sha_prefix
+    from tollgate.functions.ranking import prefix_rank
     o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                              "l_extendedprice", "l_quantity", "l_returnflag")
@@ -270,8 +272,9 @@ def spans(spark: SparkSession, sf: str) -> DataFrame:
     root = o.select(tid.alias("trace_id"), sha_prefix(16, tid, F.lit("orders"), F.lit("0")).alias("span_id"),
                     F.lit(None).cast("string").alias("parent_span_id"), F.lit("orders").alias("service"),
                     F.lit(0).alias("seq"), F.round(F.col("o_totalprice") / 10000, 2).alias("duration_ms"))
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    ch = li.withColumn("seq", F.row_number().over(w)).withColumn("trace_id", F.sha2(F.col("l_orderkey").cast("string"), 256))
+    ch = (prefix_rank(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"])
+          .withColumn("seq", F.col("cum").cast("int"))
+          .withColumn("trace_id", F.sha2(F.col("l_orderkey").cast("string"), 256)))
     span_id = sha_prefix(16, F.col("trace_id"), F.lit("line"), F.col("seq").cast("string"))
     parent = F.when(F.col("seq") == 1, sha_prefix(16, F.col("trace_id"), F.lit("orders"), F.lit("0"))) \
               .otherwise(sha_prefix(16, F.col("trace_id"), F.lit("line"), (F.col("seq") - 1).cast("string")))
@@ -297,12 +300,13 @@ def shard_results(spark: SparkSession, sf: str) -> DataFrame:
     """Indexed-job attempts: job = order, index = line number, exit code from return flag/status."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                              "l_extendedprice", "l_returnflag", "l_linestatus")
+    from tollgate.functions.ranking import prefix_rank
     rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
     code = (F.when(rf == "A", "0").when((rf == "N") & (ls == "F"), "42").when(rf == "N", "DisruptionTarget")
              .when((rf == "R") & (ls == "F"), "78").otherwise("0"))
-    w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey", "l_extendedprice")
-    return li.select(F.col("l_orderkey").alias("job"), F.col("l_linenumber").alias("idx"), code.alias("exit_code"),
-                     F.row_number().over(w).alias("attempt"))
+    ranked = prefix_rank(li, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_extendedprice"])
+    return ranked.select(F.col("l_orderkey").alias("job"), F.col("l_linenumber").alias("idx"),
+                         code.alias("exit_code"), F.col("cum").cast("int").alias("attempt"))
 
 
 # Telemetry attribute contract (required, redacted, numeric).
