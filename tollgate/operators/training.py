@@ -75,15 +75,22 @@ def train_by_segment(train: DataFrame, segment: str = "segment", features: Seque
 
     The segment list is a small distinct set (collected: one row per
     segment); each fit is a distributed L-BFGS over that segment's rows, so no
-    segment is ever gathered into one task.
+    segment is ever gathered into one task.  The fits are independent and are
+    submitted from driver threads, so their Spark jobs run concurrently.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     spark = train.sparkSession
     segs = sorted(r[0] for r in train.select(segment).distinct().collect())
-    out = None
-    for s in segs:
-        part = train_logistic(train.filter(F.col(segment) == s), features, with_segment=False) \
+
+    def fit(s):
+        return train_logistic(train.filter(F.col(segment) == s), features, with_segment=False) \
             .withColumn(segment, F.lit(s))
-        out = part if out is None else out.unionByName(part)
+
+    out = None
+    with ThreadPoolExecutor(max_workers=max(1, min(len(segs), 8))) as pool:
+        for part in pool.map(fit, segs):
+            out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], f"term string, coefficient double, "
                                                                  f"iterations int, {segment} string")
 

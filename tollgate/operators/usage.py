@@ -26,10 +26,18 @@ UTIL_FLOOR = 1e-4
 
 
 def usage_profile(samples: DataFrame, key: str = "workload") -> DataFrame:
-    """Cpu p95 and memory p99 (nearest rank) per workload, plus the sample count."""
-    cpu = nearest_rank_percentiles(samples, "cpu_m", [key], (0.95,), ("cpu_p95_m",))
-    mem = nearest_rank_percentiles(samples, "mem_mib", [key], (0.99,), ("memory_p99_mib",))
-    return cpu.join(mem.drop("samples"), key).withColumnRenamed("samples", "forecast_units")
+    """Cpu p95 and memory p99 (nearest rank) per workload, plus the sample count.
+
+    Both metrics go through one ranking pass: the samples are unpivoted to
+    (workload, metric, value) and ranked per (workload, metric).
+    """
+    long = samples.select(key, F.inline(F.array(
+        F.struct(F.lit("cpu_m").alias("metric"), F.col("cpu_m").cast("double").alias("value")),
+        F.struct(F.lit("mem_mib").alias("metric"), F.col("mem_mib").cast("double").alias("value")))))
+    p = nearest_rank_percentiles(long, "value", [key, "metric"], (0.95, 0.99), ("p95", "p99"))
+    return p.groupBy(key).agg(F.max(F.when(F.col("metric") == "cpu_m", F.col("p95"))).alias("cpu_p95_m"),
+                              F.max(F.when(F.col("metric") == "mem_mib", F.col("p99"))).alias("memory_p99_mib"),
+                              F.max("samples").alias("forecast_units"))
 
 
 def _cost(cpu_m: Column, mem_mib: Column, replicas: Column) -> Column:
