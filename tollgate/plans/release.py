@@ -13,6 +13,7 @@ from tollgate.operators import evidence as evd
 from tollgate.operators import registry as reg
 from tollgate.operators import release as rel
 from tollgate.plans.catalog import query
+from tollgate.plans.lifecycle import _M7_SQL
 from tollgate.plans.sqlviews import rnd, with_views
 from tollgate.sources import bindings as b
 from tollgate.sources.tables import table
@@ -398,7 +399,7 @@ def evidence_reconcile(spark, sf):
 @query("governance_decision", with_views(
     "SELECT version, CASE WHEN bool_and(passed) THEN 'approved_for_champion' ELSE 'rejected' END AS decision, "
     "CASE WHEN count(*) FILTER (WHERE observed IS NULL) > 0 THEN 'needs_data' WHEN bool_and(passed) THEN 'controlled' "
-    "ELSE 'blocked' END AS risk_status FROM (" + __import__("tollgate.plans.lifecycle", fromlist=["_M7_SQL"])._M7_SQL
+    "ELSE 'blocked' END AS risk_status FROM (" + _M7_SQL
     + ") GROUP BY version", "scored", "churn_base", "prediction_log"))
 def governance_decision(spark, sf):
     from tollgate.plans.lifecycle import gate_table

@@ -12,6 +12,7 @@ from tollgate.functions.hashing import sha_prefix, uniform
 from tollgate.functions.ranking import prefix_rank
 from tollgate.operators import quality as qa
 from tollgate.plans.catalog import query
+from tollgate.plans.lifecycle import _q2_sql
 from tollgate.plans.sqlviews import rnd, u, with_views
 from tollgate.sources import bindings as b
 from tollgate.sources.tables import table
@@ -310,7 +311,7 @@ def check_rollup(spark, sf):
 @query("score_pct", with_views(
     f"SELECT check_name_group, {rnd('100.0 * count(*) FILTER (WHERE passed) / count(*)', 2)} AS score_pct, "
     "count(*) - count(*) FILTER (WHERE passed) AS gaps FROM (SELECT 'contract' AS check_name_group, passed FROM ("
-    + __import__("tollgate.plans.lifecycle", fromlist=["_q2_sql"])._q2_sql() + ")) GROUP BY 1", "churn_base"))
+    + _q2_sql() + ")) GROUP BY 1", "churn_base"))
 def score_pct(spark, sf):
     """Q7: round(100 * passed / total, 2) and the number of gaps over the contract checks."""
     c = qa.contract_check(b.churn_base(spark, sf)).withColumn("check_name_group", F.lit("contract"))
