@@ -66,8 +66,9 @@ def feature_drift(reference: DataFrame, current: DataFrame, limits: DataFrame,
 
 
 def drift_alert_list(drift: DataFrame) -> DataFrame:
-    """Sorted names of flagged features and the overall pass flag."""
-    return drift.agg(F.array_sort(F.collect_list(F.when(F.col("flagged"), F.col("feature")))).alias("alerts"),
+    """Sorted names of flagged features (comma-joined) and the overall pass flag."""
+    return drift.agg(F.array_join(F.array_sort(F.collect_list(F.when(F.col("flagged"), F.col("feature")))), ",")
+                     .alias("alerts"),
                      (~F.bool_or("flagged")).alias("passed"))
 
 

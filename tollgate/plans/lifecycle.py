@@ -328,7 +328,8 @@ def feature_drift(spark, sf):
 
 
 @query("drift_alert_list", with_views(
-    f"SELECT coalesce(list_sort(list(feature) FILTER (WHERE flagged)), []) AS alerts, NOT bool_or(flagged) AS passed "
+    f"SELECT coalesce(array_to_string(list_sort(list(feature) FILTER (WHERE flagged)), ','), '') AS alerts, "
+    f"NOT bool_or(flagged) AS passed "
     f"FROM ({_D3_SQL})", "churn_split", "churn_current"))
 def drift_alert_list(spark, sf):
     return mon.drift_alert_list(_drift(spark, sf))
@@ -343,8 +344,8 @@ def prediction_drift(spark, sf):
 
 
 @query("recent_predictions", with_views(
-    "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY service ORDER BY ts DESC, request_id DESC) "
-    "AS recency_rank FROM prediction_log) WHERE recency_rank <= 20", "prediction_log"))
+    "SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY service ORDER BY ts DESC, request_id DESC) "
+    "AS INTEGER) AS recency_rank FROM prediction_log) WHERE recency_rank <= 20", "prediction_log"))
 def recent_predictions(spark, sf):
     return mon.recent_predictions(b.prediction_log(spark, sf))
 

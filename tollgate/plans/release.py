@@ -221,7 +221,7 @@ def queue_decision_rollup(spark, sf):
 
 @query("pending_triage", with_views(
     "SELECT cluster_queue, local_queue, count(*) AS pending, min(pos) AS best_position, "
-    "max(date_diff('day', CAST(submitted AS DATE), DATE '2001-01-01')) AS max_wait_days, "
+    "CAST(max(date_diff('day', CAST(submitted AS DATE), DATE '2001-01-01')) AS INTEGER) AS max_wait_days, "
     f"{rnd('sum(requested_cpu)', 2)} AS requested_cpu FROM ("
     "SELECT *, row_number() OVER (PARTITION BY cluster_queue ORDER BY -priority, submitted, workload) AS pos "
     "FROM queue_log WHERE status = 'pending') GROUP BY cluster_queue, local_queue", "queue_log"))
@@ -498,7 +498,7 @@ WITH hits AS (
   FROM documents d, (VALUES {rows}) r(rule, clause, needle) GROUP BY ALL),
 rules AS (SELECT source, rule, bool_and(ok) AS ok FROM (
             SELECT source, rule, clause, bool_or(hit) AS ok FROM hits GROUP BY ALL) GROUP BY ALL),
-lines AS (SELECT source, max(len(string_split(text, chr(10)))) AS max_lines FROM documents GROUP BY source)
+lines AS (SELECT source, CAST(max(len(string_split(text, chr(10)))) AS INTEGER) AS max_lines FROM documents GROUP BY source)
 SELECT source, CAST(count(*) FILTER (WHERE ok) AS INTEGER) AS rules_passed, {n_rules} AS rules,
        {rnd(f'100.0 * count(*) FILTER (WHERE ok) / {n_rules}', 2)} AS score_pct, max_lines, max_lines >= 120 AS long_enough
 FROM rules JOIN lines USING (source) GROUP BY source, max_lines"""

@@ -205,7 +205,7 @@ def tenant_utilization(spark, sf):
 
 
 @query("fair_share", with_views(
-    f"SELECT tenant, cohort, weight, drs, borrowing, rank() OVER (PARTITION BY cohort ORDER BY drs) AS share_rank "
+    f"SELECT tenant, cohort, weight, drs, borrowing, CAST(rank() OVER (PARTITION BY cohort ORDER BY drs) AS INTEGER) AS share_rank "
     f"FROM (SELECT tenant, cohort, CAST(1 + tenant_key % 3 AS DOUBLE) AS weight, "
     f"{rnd('cpu_used / greatest((cpu_quota + cpu_quota * 0.5::DOUBLE) * (1 + tenant_key % 3), 1e-4)', 4)} AS drs, "
     f"cpu_used > cpu_quota AS borrowing FROM tenant_usage)", "tenant_usage"))
