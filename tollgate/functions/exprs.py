@@ -96,3 +96,12 @@ def humanize(x, names: dict[str, str]) -> Column:
     """Display name from a lookup, else '_' -> ' '."""
     m = F.create_map(*[F.lit(v) for kv in names.items() for v in kv])
     return F.coalesce(F.element_at(m, col(x)), F.regexp_replace(col(x), "_", " "))
+
+
+EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def epoch_seconds_ntz(name: str) -> Column:
+    """Whole seconds since 1970-01-01 of a naive (TIMESTAMP_NTZ) wall-clock column, independent of
+    the session time zone."""
+    return F.expr(f"timestampdiff(SECOND, {EPOCH_NTZ}, `{name}`)")

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tollgate.functions.exprs import epoch_seconds_ntz
 from tollgate.functions.guards import bounded_broadcast
 
 # Burn-rate tiers (status and action) and the four SLO targets.
@@ -72,7 +73,7 @@ def multiwindow_burn(log: DataFrame, by: Sequence[str], ts: str = "ts", target:
     range sums, (-inf, t] minus (-inf, t - w]; Spark evaluates those
     incrementally (O(n) per entity) instead of re-summing every sliding frame.
     """
-    m = (log.withColumn("_min", F.floor(F.unix_timestamp(F.col(ts).cast("timestamp")) / 60).cast("long"))
+    m = (log.withColumn("_min", F.floor(epoch_seconds_ntz(ts) / 60).cast("long"))
             .groupBy(*by, "_min").agg(F.count(F.lit(1)).alias("req"),
                                       F.count_if(F.col("status") != "success").alias("err")))
     budget = max(1.0 - target, 1e-4)
