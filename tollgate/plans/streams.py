@@ -117,14 +117,14 @@ WITH r AS (SELECT service, ts, latency_ms > 50 AS c,
                   sum(CASE WHEN latency_ms > 50 THEN 0 ELSE 1 END) OVER (PARTITION BY service ORDER BY ts, request_id
                                                                           ROWS UNBOUNDED PRECEDING) AS g
            FROM prediction_log),
-i AS (SELECT service, g, min(ts) AS island_start, max(ts) AS island_end, count(*) AS steps FROM r WHERE c GROUP BY ALL),
-mx AS (SELECT service, max(g) AS mg FROM r GROUP BY service)
-SELECT i.service, island_start, island_end, steps FROM i JOIN mx USING (service)
-WHERE g < mg AND epoch(island_end) - epoch(island_start) >= {HOLD_S}""", "prediction_log"))
+i AS (SELECT service, ts, min(ts) OVER (PARTITION BY service, g) AS s FROM r WHERE c)
+SELECT service, s AS island_start, min(ts) AS fired_at FROM i
+WHERE epoch(ts) - epoch(s) >= {HOLD_S} GROUP BY service, s""", "prediction_log"))
 def stream_alert_hold(spark, sf):
+    """A service alerts once its requests have been slow (> 50 ms) for 5 minutes straight."""
     log = b.to_prediction_log(J.table_stream(spark, sf, "events")).withColumn("slow", F.col("latency_ms") > 50)
     out, _ = J.run_append(J.stream_alert_hold(log, "slow", HOLD_S), "stream_alert_hold")
-    return _ntz(out, "island_start", "island_end")
+    return _ntz(out, "island_start", "fired_at")
 
 
 @query("stream_asset_trigger", with_views(f"""

@@ -148,43 +148,50 @@ def stream_deadline(a: DataFrame, b: DataFrame, key: str, deadline: str, delay:
 
 
 # ---- W7 ---------------------------------------------------------------------
-HOLD_STATE = "start TIMESTAMP, last TIMESTAMP, steps LONG"
-HOLD_OUT = "service STRING, island_start TIMESTAMP, island_end TIMESTAMP, steps LONG"
+HOLD_STATE = "start TIMESTAMP, last TIMESTAMP, fired BOOLEAN"
+HOLD_OUT = "service STRING, island_start TIMESTAMP, fired_at TIMESTAMP"
 
 
-def _hold_fn(hold_seconds: int):
+def _hold_fn(hold_seconds: int, idle_ms: int):
     def fn(key, pdfs, state: GroupState):
         (svc,) = key
-        cur = state.get if state.exists else (None, None, 0)
-        start, last, steps = cur
+        if state.hasTimedOut:                     # no samples for a long time: forget the key
+            state.remove()
+            return
+        start, last, fired = state.get if state.exists else (None, None, False)
         out = []
         batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "request_id"], kind="mergesort")
         for ts, cond in batch[["ts", "cond"]].itertuples(index=False):
-            if True:
-                if last is not None and ts < last:
-                    continue                      # late within the state: ignored
-                if cond:
-                    if start is None:
-                        start, steps = ts, 0
-                    last, steps = ts, steps + 1
-                else:
-                    if start is not None and (last - start).total_seconds() >= hold_seconds:
-                        out.append((svc, start, last, steps))
-                    start, steps = None, 0
-                    last = ts
-        state.update((start, last, steps))
+            if last is not None and ts < last:
+                continue                          # older than what this key has seen: late, ignored
+            if cond:
+                if start is None:
+                    start, fired = ts, False
+                if not fired and (ts - start).total_seconds() >= hold_seconds:
+                    out.append((svc, start, ts))  # the condition has held for the whole hold time
+                    fired = True
+            else:
+                start, fired = None, False
+            last = ts
+        state.update((start, last, fired))
+        if last is not None:
+            wm = state.getCurrentWatermarkMs()
+            state.setTimeoutTimestamp(max(int(pd.Timestamp(last).timestamp() * 1000) + idle_ms, wm + 1))
         if out:
-            yield pd.DataFrame(out, columns=["service", "island_start", "island_end", "steps"])
+            yield pd.DataFrame(out, columns=["service", "island_start", "fired_at"])
     return fn
 
 
-def stream_alert_hold(log: DataFrame, cond: str, hold_seconds: int, delay: str = "10 minutes") -> DataFrame:
-    """``for:`` hold per service with keyed state (applyInPandasWithState).
+def stream_alert_hold(log: DataFrame, cond: str, hold_seconds: int, delay: str = "10 minutes",
+                      idle_ms: int = 24 * 3600 * 1000) -> DataFrame:
+    """``for:`` semantics with keyed state (applyInPandasWithState, event-time timers).
 
-    State per service is the open island (start, last, steps); an island is
-    emitted when a non-matching request closes it and it lasted >= hold.
-    Islands still open at the end of input stay in state (not yet decided).
+    Per service the state is the open run of matching samples (start, last,
+    fired).  The alert fires -- one row per run -- at the first sample where
+    the condition has held for ``hold_seconds``, without waiting for the run to
+    end.  An event-time timer clears a key idle for ``idle_ms`` once the
+    watermark passes, so state stays bounded.
     """
     d = log.withWatermark("ts", delay).select("service", "ts", "request_id", F.col(cond).alias("cond"))
     return d.groupBy("service").applyInPandasWithState(
-        _hold_fn(hold_seconds), HOLD_OUT, HOLD_STATE, "append", "NoTimeout")
+        _hold_fn(hold_seconds, idle_ms), HOLD_OUT, HOLD_STATE, "append", "EventTimeTimeout")
