@@ -44,8 +44,9 @@ def _grad_sql() -> str:
     parts = [f"SELECT m.model, m.version, 'intercept' AS term, {rnd(f'avg({err})', 6)} AS gradient"]
     parts += [f"SELECT m.model, m.version, '{f}', {rnd(f'avg({err} * {zs[f]}) + 0.0005 * any_value(m.w_{f})', 6)}"
               for f in FEATS]
+    ent = "CAST(t.segment = 'enterprise' AS DOUBLE)"
     parts += [f"SELECT m.model, m.version, 'enterprise', "
-              f"{rnd(f'avg({err} * CAST(t.segment = {chr(39)}enterprise{chr(39)} AS DOUBLE)) + 0.0005 * any_value(m.enterprise_adj)', 6)}"]
+              f"{rnd(f'avg({err} * {ent}) + 0.0005 * any_value(m.enterprise_adj)', 6)}"]
     return " UNION ALL ".join(p + " FROM (SELECT * FROM churn_split WHERE split = 'train') t CROSS JOIN models m "
                               "GROUP BY m.model, m.version" for p in parts)
 

@@ -208,11 +208,15 @@ def canary_analysis(spark, sf):
     return rel.canary_analysis(log, ["service"], "ts", F.col("latency_ms") < 75.0)
 
 
+_ADMITTED_SHARE = ("sum(CASE WHEN status = 'admitted' THEN requested_cpu ELSE 0.0 END)"
+                   " / greatest(sum(requested_cpu), 1e-4)")
+
+
 @query("queue_decision_rollup", with_views(
     "SELECT cluster_queue, count(*) FILTER (WHERE status = 'admitted') AS admitted, "
     "count(*) FILTER (WHERE status = 'pending') AS pending, count(*) FILTER (WHERE status = 'preempted') AS preempted, "
     "count(*) FILTER (WHERE status = 'pending' AND priority >= 900) AS critical_pending, "
-    f"{rnd('sum(CASE WHEN status = ' + chr(39) + 'admitted' + chr(39) + ' THEN requested_cpu ELSE 0.0 END) / greatest(sum(requested_cpu), 1e-4)', 4)} AS pressure, "
+    f"{rnd(_ADMITTED_SHARE, 4)} AS pressure, "
     "count(*) FILTER (WHERE status = 'pending' AND priority >= 900) = 0 AS passed FROM queue_log GROUP BY cluster_queue",
     "queue_log"))
 def queue_decision_rollup(spark, sf):
@@ -446,9 +450,13 @@ def span_enrich(spark, sf):
 TRACE_SERVICES = ["orders", "A", "N", "R"]
 
 
+def _svc_duration(service: str) -> str:
+    return f"sum(duration_ms) FILTER (WHERE service = '{service}')"
+
+
 @query("trace_pivot", with_views(
     "SELECT trace_id, " + ", ".join(
-        f"{rnd(f'sum(duration_ms) FILTER (WHERE service = {chr(39)}{s}{chr(39)})', 2)} AS \"{s}\""
+        f"{rnd(_svc_duration(s), 2)} AS \"{s}\""
         for s in TRACE_SERVICES) + " FROM spans GROUP BY trace_id", "spans"))
 def trace_pivot(spark, sf):
     """Per-trace duration by service (pivot with an explicit value list: no extra pass)."""
