@@ -50,7 +50,11 @@ def test_percentiles_match_brute_force(spark):
 
 def test_max_gap_matches_lag(spark):
     df = _data(spark, 2000, 9).filter(F.col("k").isNotNull()).select("k", (F.col("o") * 7 % 1009).alias("t"), "o")
-    got = {r.k: r.max_gap for r in max_gap(df, "k", "t", "o", partitions=6).collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "53")   # key runs cross batches
+    try:
+        got = {r.k: r.max_gap for r in max_gap(df, "k", "t", "o", partitions=6).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     w = Window.partitionBy("k").orderBy("t", "o")
     exp = {r.k: r.g or 0 for r in df.withColumn("g", F.col("t") - F.lag("t").over(w)).groupBy("k")
            .agg(F.max("g").alias("g")).collect()}

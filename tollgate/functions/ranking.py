@@ -173,22 +173,56 @@ def prefix_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], weight:
     return out.drop(*drop)
 
 
+def _run_gaps(key: str, ts: str):
+    """Per key run inside one sorted partition: largest gap between consecutive rows,
+    first and last time.  Emits one row per run (carried across batches)."""
+    def fn(batches):
+        pid = None
+        cur = None                      # [hash, key value, first, last, max gap]
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pid = int(pdf["_pid"].iloc[0])
+            h = pd.util.hash_pandas_object(pdf[[key]], index=False).to_numpy()
+            t = pdf[ts].to_numpy(dtype=np.int64)
+            kv = pdf[key].to_numpy()
+            starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            ends = np.r_[starts[1:], len(pdf)]
+            rows = []
+            for a, z in zip(starts, ends):
+                seg = t[a:z]
+                inner = int(np.max(np.diff(seg))) if z - a > 1 else None
+                if cur is not None and a == 0 and h[0] == cur[0]:
+                    g = int(seg[0] - cur[3])
+                    best = max(x for x in (cur[4], inner, g) if x is not None)
+                    cur = [cur[0], cur[1], cur[2], int(seg[-1]), best]
+                    continue
+                if cur is not None:
+                    rows.append((pid, cur[1], cur[2], cur[3], cur[4]))
+                cur = [h[a], kv[a], int(seg[0]), int(seg[-1]), inner]
+            if rows:
+                yield pd.DataFrame(rows, columns=["_pid", key, "_first", "_last", "_gi"])
+        if cur is not None:
+            yield pd.DataFrame([(pid, cur[1], cur[2], cur[3], cur[4])], columns=["_pid", key, "_first", "_last", "_gi"])
+    return fn
+
+
 def max_gap(df: DataFrame, key: str, ts_seconds: str, tiebreak: str, partitions: int | None = None) -> DataFrame:
-    """Largest gap between consecutive events per key, skew-safe.
+    """Largest gap between consecutive events per key, skew-safe and without a second shuffle.
 
-    Rows are range-partitioned on (key, ts): gaps inside a partition come from
-    ``lag`` within (partition, key); gaps across partition boundaries come
-    from a window over the per-(partition, key) first/last table (small).
+    Rows are range-partitioned and sorted on (key, ts); each partition is
+    reduced in place (pandas pass) to one row per key run -- largest inner
+    gap, first and last time.  Gaps across partition boundaries come from a
+    window over that small table (one row per partition and key).
     """
     r = range_partition(df.select(key, ts_seconds, tiebreak), [key], [ts_seconds, tiebreak], partitions)
-    w = Window.partitionBy("_pid", key).orderBy(ts_seconds, tiebreak)
-    inner = (r.withColumn("_g", F.col(ts_seconds) - F.lag(ts_seconds).over(w))
-              .groupBy(key).agg(F.max("_g").alias("_gi")))
-    fl = r.groupBy("_pid", key).agg(F.min(ts_seconds).alias("_first"), F.max(ts_seconds).alias("_last"))
-    cross = (fl.withColumn("_g", F.col("_first") - F.lag("_last").over(Window.partitionBy(key).orderBy("_pid")))
-               .groupBy(key).agg(F.max("_g").alias("_gc")))
-    return inner.join(cross, key, "full_outer").select(
-        key, F.greatest(F.coalesce("_gi", F.lit(0)), F.coalesce("_gc", F.lit(0))).alias("max_gap"))
+    key_type = r.schema[key].dataType.simpleString()
+    runs = r.mapInPandas(_run_gaps(key, ts_seconds),
+                         f"_pid int, {key} {key_type}, _first long, _last long, _gi long")
+    w = Window.partitionBy(key).orderBy("_pid")
+    cross = runs.withColumn("_gc", F.col("_first") - F.lag("_last").over(w))
+    return cross.groupBy(key).agg(
+        F.greatest(F.coalesce(F.max("_gi"), F.lit(0)), F.coalesce(F.max("_gc"), F.lit(0))).alias("max_gap"))
 
 
 def nearest_rank_index(n: Column, pct: float) -> Column:
