@@ -59,3 +59,28 @@ def test_max_gap_matches_lag(spark):
     exp = {r.k: r.g or 0 for r in df.withColumn("g", F.col("t") - F.lag("t").over(w)).groupBy("k")
            .agg(F.max("g").alias("g")).collect()}
     assert got == exp
+
+
+def test_run_increase_matches_lag_window(spark):
+    from tollgate.functions.ranking import run_increase
+    rnd = random.Random(11)
+    rows, level = [], {}
+    for i in range(5000):
+        k = "hot" if rnd.random() < 0.7 else f"s{rnd.randrange(12)}"
+        w = rnd.randrange(3)
+        level[(k, w)] = 0.0 if rnd.random() < 0.02 else level.get((k, w), 0.0) + rnd.randrange(4)   # resets
+        rows.append((k, w, i, level[(k, w)]))
+    df = spark.createDataFrame(rows, "k string, w int, o long, v double")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "61")
+    try:
+        got = {(r.k, r.w): (r.increase, r.samples) for r in run_increase(df, ["k", "w"], ["o"], "v", partitions=9).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    win = Window.partitionBy("k", "w").orderBy("o")
+    prev = F.lag("v").over(win)
+    d = F.when(prev.isNull(), 0.0).when(F.col("v") >= prev, F.col("v") - prev).otherwise(F.col("v"))
+    exp = {(r.k, r.w): (r.inc, r.n) for r in df.withColumn("d", d).groupBy("k", "w")
+           .agg(F.sum("d").alias("inc"), F.count(F.lit(1)).alias("n")).collect()}
+    assert got.keys() == exp.keys()
+    for key, (inc, n) in exp.items():
+        assert abs(got[key][0] - inc) < 1e-6 and got[key][1] == n

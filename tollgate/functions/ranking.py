@@ -225,6 +225,62 @@ def max_gap(df: DataFrame, key: str, ts_seconds: str, tiebreak: str, partitions:
         F.greatest(F.coalesce(F.max("_gi"), F.lit(0)), F.coalesce(F.max("_gc"), F.lit(0))).alias("max_gap"))
 
 
+def _run_deltas(keys: list[str], value: str):
+    """Per key run inside one sorted partition: sum of counter deltas between consecutive
+    rows (a drop is a reset: the new value counts), first and last value, row count."""
+    cols = ["_pid", *keys, "_first_v", "_last_v", "_inner", "_n"]
+
+    def fn(batches):
+        pid = None
+        cur = None                      # [hash, key values, first, last, inner sum, n]
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pid = int(pdf["_pid"].iloc[0])
+            h = pd.util.hash_pandas_object(pdf[keys], index=False).to_numpy()
+            v = pdf[value].to_numpy(dtype=np.float64)
+            starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            ends = np.r_[starts[1:], len(pdf)]
+            rows = []
+            for a, z in zip(starts, ends):
+                seg = v[a:z]
+                d = np.where(seg[1:] >= seg[:-1], seg[1:] - seg[:-1], seg[1:])
+                inner = float(d.sum()) if len(d) else 0.0
+                if cur is not None and a == 0 and h[0] == cur[0]:
+                    edge = seg[0] - cur[3] if seg[0] >= cur[3] else seg[0]
+                    cur = [cur[0], cur[1], cur[2], float(seg[-1]), cur[4] + edge + inner, cur[5] + (z - a)]
+                    continue
+                if cur is not None:
+                    rows.append((pid, *cur[1], cur[2], cur[3], cur[4], cur[5]))
+                cur = [h[a], tuple(pdf[k].iloc[a] for k in keys), float(seg[0]), float(seg[-1]), inner, z - a]
+            if rows:
+                yield pd.DataFrame(rows, columns=cols)
+        if cur is not None:
+            yield pd.DataFrame([(pid, *cur[1], cur[2], cur[3], cur[4], cur[5])], columns=cols)
+    return fn
+
+
+def run_increase(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
+                 partitions: int | None = None) -> DataFrame:
+    """Counter increase per key (sum of deltas between consecutive rows in ``order``, resets
+    counted as the new value), skew-safe and without a second shuffle of the rows.
+
+    Rows are range-partitioned and sorted on (keys, order) and reduced in place
+    to one summary per key run; deltas across partition edges come from a
+    window over that small table.
+    """
+    keys = list(keys)
+    r = range_partition(df.select(*keys, *[c for c in order if c not in keys], value), keys, list(order), partitions)
+    schema = ", ".join(["_pid int", *[f"`{k}` {r.schema[k].dataType.simpleString()}" for k in keys],
+                        "_first_v double", "_last_v double", "_inner double", "_n long"])
+    runs = r.mapInPandas(_run_deltas(keys, value), schema)
+    prev = F.lag("_last_v").over(Window.partitionBy(*keys).orderBy("_pid"))
+    edge = F.when(prev.isNull(), F.lit(0.0)).when(F.col("_first_v") >= prev, F.col("_first_v") - prev) \
+        .otherwise(F.col("_first_v"))
+    return runs.withColumn("_edge", edge).groupBy(*keys).agg(
+        (F.sum("_inner") + F.sum("_edge")).alias("increase"), F.sum("_n").alias("samples"))
+
+
 def nearest_rank_index(n: Column, pct: float) -> Column:
     """0-based nearest-rank index: min(round_half_even((n-1)*p), n-1)."""
     return F.least(F.rint((n - 1).cast("double") * F.lit(pct)).cast("long"), n - 1)

@@ -5,9 +5,9 @@ matching, absence, hold duration) as DataFrame functions.  Rules are data,
 not parsed text.
 
 Skew: no window is ever partitioned by a series alone over raw samples.
-Counter deltas are taken inside (series, time bucket) partitions, trailing
-range aggregates use overlapping buckets, and hold-duration islands run on a
-pre-aggregated step table.  A hot series is spread over its buckets.
+Counter deltas are taken on range-partitioned, sorted samples (a hot series
+spans many tasks; one shuffle), trailing range aggregates use overlapping time
+buckets, and hold-duration islands run on a pre-aggregated step table.
 
 Semantics chosen: ``increase`` = sum of positive deltas between consecutive
 samples inside the window (a drop is a counter reset: the new value counts),
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tollgate.functions.guards import bounded_broadcast
+from tollgate.functions.ranking import run_increase
 
 
 def _c(x) -> Column:
@@ -58,17 +59,12 @@ def counter_increase(df: DataFrame, series: Sequence[str], ts: str = "ts", value
                      window_seconds: int = 300, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Increase of a counter per (series, tumbling window) with reset handling.
 
-    ``lag`` runs in (series, window) partitions: each partition is one window
-    of one series, so a series with a third of all samples is still split.
+    Consecutive-sample deltas are taken on range-partitioned, sorted rows
+    (``run_increase``): a (series, window) holding a third of all samples is
+    still split across tasks, and the rows are shuffled once.
     """
     b = df.withColumn("window_start", bucket_start(ts, window_seconds))
-    w = Window.partitionBy(*series, "window_start").orderBy(ts, *tiebreak)
-    prev = F.lag(value).over(w)
-    v = F.col(value)
-    delta = F.when(prev.isNull(), F.lit(0.0)).when(v >= prev, v - prev).otherwise(v)
-    d = b.withColumn("_delta", delta)
-    return d.groupBy(*series, "window_start").agg(F.sum("_delta").alias("increase"),
-                                                  F.count(F.lit(1)).alias("samples"))
+    return run_increase(b, [*series, "window_start"], [ts, *tiebreak], value)
 
 
 def counter_rate(df: DataFrame, series: Sequence[str], ts: str = "ts", value: str = "value",
