@@ -17,9 +17,6 @@ _LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Rule, price and model tables are tiny; fact tables never get near this.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    # Streaming state (dedupe, windows, joins, keyed hold) off-heap in RocksDB.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
