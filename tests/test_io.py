@@ -52,3 +52,13 @@ def test_batch_score_dynamic_overwrite_is_idempotent(spark):
     again = batch_score(b, path)          # re-run: same result
     assert again.count() == 2
     assert again.filter(F.col("split") == "test").collect()[0].customer_id == "c3"
+
+
+def test_partitioned_scores_prune_on_read(spark):
+    path = _dir(spark, "scores-prune")
+    rows = [(f"c{i}", i / 10.0, ("train", "validation", "test")[i % 3]) for i in range(30)]
+    out = batch_score(spark.createDataFrame(rows, "customer_id string, s double, split string"), path)
+    q = out.filter(F.col("split") == "test").select("customer_id")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan and "(split#" in plan
+    assert q.count() == 10
