@@ -223,22 +223,40 @@ def alert_hold(steps: DataFrame, series: Sequence[str], step: str, cond: str, st
 
 
 # ---- T15 --------------------------------------------------------------------
-def alert_catalog(samples: DataFrame, rules: DataFrame, series: Sequence[str], ts: str = "ts",
-                  value: str = "value", metric: str = "metric") -> DataFrame:
-    """Evaluate a rule table (alert, metric, agg, op, threshold, severity) on the latest samples.
-
-    Rules are broadcast (a catalog of tens of rules); every rule is evaluated
-    over the instant vector of its metric aggregated by ``by_label``.
+def alert_catalog(samples: DataFrame, rules: DataFrame, series: str, step_seconds: int = 3600,
+                  ts: str = "ts", value: str = "value", metric: str = "metric",
+                  order: Column | None = None) -> DataFrame:
+    """Evaluate a rule table (alert, metric, matcher, agg, op, threshold, hold_s, severity).
+
+    Per evaluation step the instant vector is the latest sample of every
+    series (partial ``max_by``); rules are broadcast (a catalog of tens of
+    rules) and select their series by metric and a fully anchored regex on
+    the series label; the matching series are aggregated per (rule, step) and
+    compared with the threshold; consecutive true steps form runs, and a run
+    fires once it has lasted the rule's ``hold_s`` (``for:``).
     """
-    inst = latest_per_series(samples, [metric, *series], ts, value)
-    j = inst.join(bounded_broadcast(rules, 10_000, "alert rules"), metric, "inner")
-    grp = j.groupBy("alert", "severity", "op", "threshold", "agg", *series[:1]).agg(
+    step = bucket_start(ts, step_seconds).alias("step")
+    key = order if order is not None else F.col(ts)
+    inst = samples.groupBy(metric, series, step).agg(F.max_by(value, key).alias(value))
+    j = inst.join(bounded_broadcast(rules, 10_000, "alert rules"), metric, "inner") \
+        .filter(F.expr(f"`{series}` RLIKE concat('^(?:', matcher, ')$')"))
+    g = j.groupBy("alert", "severity", "agg", "op", "threshold", "hold_s", "step").agg(
         F.sum(value).alias("_sum"), F.max(value).alias("_max"), F.avg(value).alias("_avg"),
         F.count(value).alias("_count"))
     v = (F.when(F.col("agg") == "sum", F.col("_sum")).when(F.col("agg") == "max", F.col("_max"))
           .when(F.col("agg") == "avg", F.col("_avg")).otherwise(F.col("_count").cast("double")))
     t = F.col("threshold")
-    fire = (F.when(F.col("op") == ">", v > t).when(F.col("op") == ">=", v >= t).when(F.col("op") == "<", v < t)
+    cond = (F.when(F.col("op") == ">", v > t).when(F.col("op") == ">=", v >= t).when(F.col("op") == "<", v < t)
              .when(F.col("op") == "<=", v <= t).when(F.col("op") == "==", v == t).otherwise(v != t))
-    return grp.select("alert", "severity", *series[:1], F.round(v, 4).alias("value"), "threshold",
-                      fire.alias("firing"))
+    steps = g.select("alert", "severity", "hold_s", "step", cond.alias("cond"))
+    t_s = steps.filter("cond").withColumn("_s", F.unix_timestamp(F.col("step").cast("timestamp")))
+    isl = t_s.withColumn("_island", F.col("_s") / F.lit(step_seconds)
+                         - F.row_number().over(Window.partitionBy("alert").orderBy("_s")))
+    runs = isl.groupBy("alert", "severity", "hold_s", "_island").agg(
+        F.min("step").alias("island_start"), F.max("step").alias("island_end"), F.count(F.lit(1)).alias("steps"))
+    dur = (F.unix_timestamp(F.col("island_end").cast("timestamp"))
+           - F.unix_timestamp(F.col("island_start").cast("timestamp")))
+    fired = runs.filter(dur >= F.col("hold_s"))
+    firing_at = F.timestamp_seconds(F.unix_timestamp(F.col("island_start").cast("timestamp")) + F.col("hold_s"))
+    return fired.select("alert", "severity", "island_start", "island_end", "steps",
+                        firing_at.cast("timestamp_ntz").alias("firing_at"))

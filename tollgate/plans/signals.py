@@ -173,51 +173,60 @@ def alert_hold(spark, sf):
 
 
 # ---- T15 / T16 --------------------------------------------------------------
-# A rule catalog over the request counters.
+# A rule catalog over the request counters
+# (alert, metric, series matcher, aggregation, comparison, threshold, hold seconds, severity).
 ALERT_RULES = [
-    ("ErrorBudgetCounterHigh", "errors_total", "sum", ">", 10.0, "page"),
-    ("RequestCounterLow", "requests_total", "max", "<", 40.0, "ticket"),
-    ("RequestCounterAvg", "requests_total", "avg", ">=", 20.0, "info"),
+    ("ErrorCounterHigh", "errors_total", "svc[01]", "sum", ">", 6.0, 7200, "page"),
+    ("RequestCounterLow", "requests_total", ".*", "max", "<", 40.0, 3600, "ticket"),
+    ("BusyServices", "requests_total", "svc[23]", "avg", ">=", 20.0, 10800, "info"),
 ]
+RULES_SCHEMA = ("alert string, metric string, matcher string, agg string, op string, threshold double, "
+                "hold_s long, severity string")
 
 
 def _samples(spark, sf):
-    c = b.request_counters(spark, sf).withColumn("day", F.to_date("ts"))
-    long = c.select("service", "day", "ts", "request_id", F.inline(F.array(
+    c = b.request_counters(spark, sf)
+    long = c.select("service", "ts", "request_id", F.inline(F.array(
         F.struct(F.lit("requests_total").alias("metric"), F.col("requests_total").alias("value")),
         F.struct(F.lit("errors_total").alias("metric"), F.col("errors_total").alias("value")))))
-    return long.withColumn("_order", F.struct("ts", "request_id"))
+    return long
 
 
 def _rules_sql() -> str:
-    rows = ", ".join(f"('{a}', '{m}', '{g}', '{o}', CAST({t!r} AS DOUBLE), '{s}')" for a, m, g, o, t, s in ALERT_RULES)
-    return f"(VALUES {rows}) r(alert, metric, agg, op, threshold, severity)"
+    rows = ", ".join(f"('{a}', '{m}', '{x}', '{g}', '{o}', CAST({t!r} AS DOUBLE), {h}, '{s}')"
+                     for a, m, x, g, o, t, h, s in ALERT_RULES)
+    return f"(VALUES {rows}) r(alert, metric, matcher, agg, op, threshold, hold_s, severity)"
 
 
 _T15_SQL = f"""
 WITH inst AS (
-  SELECT metric, service, day, arg_max(value, (ts, request_id)) AS value FROM (
-    SELECT service, CAST(ts AS DATE) AS day, ts, request_id, 'requests_total' AS metric, requests_total AS value
-    FROM request_counters UNION ALL
-    SELECT service, CAST(ts AS DATE), ts, request_id, 'errors_total', errors_total FROM request_counters)
+  SELECT metric, service, date_trunc('hour', ts) AS step, arg_max(value, (ts, request_id)) AS value FROM (
+    SELECT service, ts, request_id, 'requests_total' AS metric, requests_total AS value FROM request_counters
+    UNION ALL SELECT service, ts, request_id, 'errors_total', errors_total FROM request_counters)
   GROUP BY ALL),
 g AS (
-  SELECT r.alert, r.severity, r.op, r.threshold, r.agg, i.service,
+  SELECT r.alert, r.severity, r.op, r.threshold, r.agg, r.hold_s, i.step,
          CASE WHEN r.agg = 'sum' THEN sum(i.value) WHEN r.agg = 'max' THEN max(i.value)
               WHEN r.agg = 'avg' THEN avg(i.value) ELSE CAST(count(i.value) AS DOUBLE) END AS v
-  FROM inst i JOIN {_rules_sql()} ON i.metric = r.metric
-  GROUP BY r.alert, r.severity, r.op, r.threshold, r.agg, i.service)
-SELECT alert, severity, service, {rnd('v', 4)} AS value, threshold,
-       CASE WHEN op = '>' THEN v > threshold WHEN op = '>=' THEN v >= threshold WHEN op = '<' THEN v < threshold
-            WHEN op = '<=' THEN v <= threshold WHEN op = '==' THEN v = threshold ELSE v <> threshold END AS firing
-FROM g"""
+  FROM inst i JOIN {_rules_sql()} ON i.metric = r.metric AND regexp_full_match(i.service, r.matcher)
+  GROUP BY r.alert, r.severity, r.op, r.threshold, r.agg, r.hold_s, i.step),
+c AS (
+  SELECT alert, severity, hold_s, step FROM g
+  WHERE CASE WHEN op = '>' THEN v > threshold WHEN op = '>=' THEN v >= threshold WHEN op = '<' THEN v < threshold
+             WHEN op = '<=' THEN v <= threshold WHEN op = '==' THEN v = threshold ELSE v <> threshold END),
+runs AS (
+  SELECT alert, severity, hold_s, min(step) AS island_start, max(step) AS island_end, count(*) AS steps FROM (
+    SELECT *, epoch(step) / 3600 - row_number() OVER (PARTITION BY alert ORDER BY step) AS isl FROM c)
+  GROUP BY alert, severity, hold_s, isl)
+SELECT alert, severity, island_start, island_end, steps, island_start + to_seconds(hold_s) AS firing_at
+FROM runs WHERE epoch(island_end) - epoch(island_start) >= hold_s"""
 
 
 @query("alert_catalog", with_views(_T15_SQL, "request_counters"))
 def alert_catalog(spark, sf):
-    rules = spark.createDataFrame(ALERT_RULES, "alert string, metric string, agg string, op string, "
-                                               "threshold double, severity string")
-    return ts.alert_catalog(_samples(spark, sf), rules, ["service", "day"], ts="_order")
+    rules = spark.createDataFrame(ALERT_RULES, RULES_SCHEMA)
+    return ts.alert_catalog(_samples(spark, sf), rules, "service", 3600,
+                            order=F.struct("ts", "request_id"))
 
 
 # Event-driven autoscaler trigger (2-minute rate, target 80/s, activation 10/s, 2..12 replicas).
