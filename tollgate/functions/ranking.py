@@ -38,21 +38,25 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def range_partition(df: DataFrame, by: Sequence[str], order: Sequence[str],
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None, stable: bool = True) -> DataFrame:
     """Range-partition on (by, order), sort within partitions, tag rows with ``_pid``.
 
     Without an explicit ``partitions`` the partition count is left to AQE,
     which coalesces adjacent (still contiguous) ranges to the advisory size --
-    big inputs get many partitions, small ones few.  The result is reliably
-    checkpointed (shared checkpoint dir) so partition ids and contents are
-    stable across the passes that use them.
+    big inputs get many partitions, small ones few.  With ``stable`` (several
+    passes over the result must see the same partition ids) the result is
+    reliably checkpointed into the shared checkpoint dir; a single-pass
+    consumer skips that write (a recomputed task reuses the same range
+    partitioner, so it lands on the same rows).
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     cols = [*by, *order]
     rp = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
-    return (rp.sortWithinPartitions(*cols).withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
+    out = rp.sortWithinPartitions(*cols).withColumn("_pid", F.spark_partition_id())
+    if not stable:
+        return out
+    ensure_checkpoint_dir(spark)
+    return out.checkpoint(eager=True)
 
 
 def _local_running_sums(by: list[str], weights: list[str]):
@@ -215,7 +219,7 @@ def max_gap(df: DataFrame, key: str, ts_seconds: str, tiebreak: str, partitions:
     gap, first and last time.  Gaps across partition boundaries come from a
     window over that small table (one row per partition and key).
     """
-    r = range_partition(df.select(key, ts_seconds, tiebreak), [key], [ts_seconds, tiebreak], partitions)
+    r = range_partition(df.select(key, ts_seconds, tiebreak), [key], [ts_seconds, tiebreak], partitions, stable=False)
     key_type = r.schema[key].dataType.simpleString()
     runs = r.mapInPandas(_run_gaps(key, ts_seconds),
                          f"_pid int, {key} {key_type}, _first long, _last long, _gi long")
@@ -270,7 +274,8 @@ def run_increase(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     window over that small table.
     """
     keys = list(keys)
-    r = range_partition(df.select(*keys, *[c for c in order if c not in keys], value), keys, list(order), partitions)
+    r = range_partition(df.select(*keys, *[c for c in order if c not in keys], value), keys, list(order), partitions,
+                        stable=False)
     schema = ", ".join(["_pid int", *[f"`{k}` {r.schema[k].dataType.simpleString()}" for k in keys],
                         "_first_v double", "_last_v double", "_inner double", "_n long"])
     runs = r.mapInPandas(_run_deltas(keys, value), schema)
