@@ -54,6 +54,18 @@ def test_tenant_utilization_and_fair_share(spark):
     assert [t for t, r in u.items() if r.noisy_neighbor] == ["experimentation"]
 
 
+def test_fair_share_goldens(spark):
+    rows = [("release-critical", "c", 4.0, 24.0, 8.0, 2.0, 21.0), ("batch-scoring", "c", 2.0, 18.0, 10.0, 6.0, 20.0),
+            ("experimentation", "c", 1.0, 10.0, 4.0, 8.0, 8.0)]
+    q = spark.createDataFrame(rows, "tenant string, cohort string, weight double, nominal_cpu double, "
+                                    "borrowing_limit_cpu double, lending_limit_cpu double, observed_cpu double")
+    got = {r.tenant: r for r in us.fair_share(q).collect()}
+    assert [got[t].drs for t in ("release-critical", "batch-scoring", "experimentation")] == [0.1641, 0.3571, 0.5714]
+    assert got["release-critical"].exclusive_cpu_after_lending == 22.0
+    assert got["batch-scoring"].max_cpu_after_borrowing == 28.0
+    assert [got[t].share_rank for t in ("release-critical", "batch-scoring", "experimentation")] == [1, 2, 3]
+
+
 def test_burn_rate_status(spark):
     df = spark.createDataFrame([("a", "online_inference_availability", 0.06),
                                 ("b", "feature_drift_clean_window", 1.0)], "svc string, slo string, error_ratio double")

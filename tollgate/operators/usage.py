@@ -100,14 +100,20 @@ def tenant_utilization(t: DataFrame) -> DataFrame:
     return u.join(gaps, "cohort", "left")
 
 
-def fair_share(t: DataFrame, borrow_factor: float = 0.5) -> DataFrame:
-    """Dominant resource share = used / max((nominal + borrow) * weight, 1e-4), ranked per cohort."""
-    weight = (F.lit(1) + F.col("tenant_key") % 3).cast("double")
-    nominal, borrow = F.col("cpu_quota"), F.col("cpu_quota") * borrow_factor
-    drs = F.round(F.col("cpu_used") / F.greatest((nominal + borrow) * weight, F.lit(UTIL_FLOOR)), 4)
-    d = t.select("tenant", "cohort", weight.alias("weight"), drs.alias("drs"),
-                 (F.col("cpu_used") > nominal).alias("borrowing"))
-    return d.withColumn("share_rank", F.rank().over(Window.partitionBy("cohort").orderBy("drs")))
+def fair_share(queues: DataFrame, key: str = "tenant", cohort: str = "cohort") -> DataFrame:
+    """Dominant resource share = observed / max((nominal + borrowing) * weight, 1e-4), round 4,
+    capacity after lending and after borrowing, and the share's rank inside each cohort.
+
+    Input columns: weight, nominal_cpu, borrowing_limit_cpu, lending_limit_cpu, observed_cpu.
+    """
+    c = F.col
+    drs = F.round(c("observed_cpu") / F.greatest((c("nominal_cpu") + c("borrowing_limit_cpu")) * c("weight"),
+                                                  F.lit(UTIL_FLOOR)), 4)
+    d = queues.select(key, cohort, c("weight").cast("double").alias("weight"), drs.alias("drs"),
+                      (c("nominal_cpu") - c("lending_limit_cpu")).alias("exclusive_cpu_after_lending"),
+                      (c("nominal_cpu") + c("borrowing_limit_cpu")).alias("max_cpu_after_borrowing"),
+                      (c("observed_cpu") > c("nominal_cpu")).alias("borrowing"))
+    return d.withColumn("share_rank", F.rank().over(Window.partitionBy(cohort).orderBy("drs")))
 
 
 def map_total(m: Column) -> Column:

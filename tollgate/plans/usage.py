@@ -205,12 +205,22 @@ def tenant_utilization(spark, sf):
 
 
 @query("fair_share", with_views(
-    f"SELECT tenant, cohort, weight, drs, borrowing, CAST(rank() OVER (PARTITION BY cohort ORDER BY drs) AS INTEGER) AS share_rank "
-    f"FROM (SELECT tenant, cohort, CAST(1 + tenant_key % 3 AS DOUBLE) AS weight, "
-    f"{rnd('cpu_used / greatest((cpu_quota + cpu_quota * 0.5::DOUBLE) * (1 + tenant_key % 3), 1e-4)', 4)} AS drs, "
-    f"cpu_used > cpu_quota AS borrowing FROM tenant_usage)", "tenant_usage"))
+    "SELECT tenant, cohort, weight, "
+    f"{rnd('observed_cpu / greatest((nominal_cpu + borrowing_limit_cpu) * weight, 1e-4)', 4)} AS drs, "
+    "nominal_cpu - lending_limit_cpu AS exclusive_cpu_after_lending, "
+    "nominal_cpu + borrowing_limit_cpu AS max_cpu_after_borrowing, observed_cpu > nominal_cpu AS borrowing, "
+    "CAST(rank() OVER (PARTITION BY cohort ORDER BY "
+    f"{rnd('observed_cpu / greatest((nominal_cpu + borrowing_limit_cpu) * weight, 1e-4)', 4)}) AS INTEGER) AS share_rank "
+    "FROM (SELECT tenant, cohort, CAST(1 + tenant_key % 3 AS DOUBLE) AS weight, cpu_quota AS nominal_cpu, "
+    "cpu_quota * 0.5::DOUBLE AS borrowing_limit_cpu, cpu_quota * 0.25::DOUBLE AS lending_limit_cpu, "
+    "cpu_used AS observed_cpu FROM tenant_usage)", "tenant_usage"))
 def fair_share(spark, sf):
-    return us.fair_share(b.tenant_usage(spark, sf))
+    """C12 over tenants: weight 1-3 by tenant, borrowing 50 % and lending 25 % of the nominal quota."""
+    t = b.tenant_usage(spark, sf)
+    q = t.select("tenant", "cohort", (F.lit(1) + F.col("tenant_key") % 3).cast("double").alias("weight"),
+                 F.col("cpu_quota").alias("nominal_cpu"), (F.col("cpu_quota") * 0.5).alias("borrowing_limit_cpu"),
+                 (F.col("cpu_quota") * 0.25).alias("lending_limit_cpu"), F.col("cpu_used").alias("observed_cpu"))
+    return us.fair_share(q)
 
 
 @query("flavor_quota", """
