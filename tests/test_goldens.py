@@ -177,3 +177,24 @@ def test_flavor_totals_and_quota_alignment(spark):
                                      "manager string, resource string, declared_quota double")
     al = {r.resource: (r.workers_total, r.aligned) for r in us.quota_alignment(workers, declared, "manager").collect()}
     assert al == {"cpu": (144.0, True), "memory_gib": (704.0, True), "gpu": (6.0, True)}
+
+
+def test_capacity_cache_health_drills(spark):
+    w = spark.createDataFrame([("p", 8, 0), ("p", 16, 1), ("p", 12, 0)], "g string, max_workers int, gpus_per_worker int")
+    r = us.capacity_demand(w, ["g"]).collect()[0]
+    assert (r.max_workers, r.gpu_demand) == (36, 16)
+    arts = spark.createDataFrame([("n", 312, 3, 2), ("n", 304, 3, 2), ("n", 298, 2, 1)],
+                                 "node_group string, model_mib int, copies int, min_copies int")
+    lim = spark.createDataFrame([("n", 16 * 1024)], "node_group string, limit_mib int")
+    c = us.cache_headroom(arts, lim).collect()[0]
+    assert (c.model_mib, c.headroom_ok, c.copies_ok) == (914, True, True)
+    import datetime as dt
+    ev = spark.createDataFrame([(1, dt.datetime(2026, 7, 1), 1, "Unhealthy"), (2, dt.datetime(2026, 7, 1), 2, "Unknown"),
+                                (3, dt.datetime(2026, 7, 1), 3, "Healthy")],
+                               "device long, ts timestamp, event_id long, health string")
+    h = us.device_health(ev).collect()[0]
+    assert (h.devices, h.unhealthy_or_unknown, h.release_hold) == (3, 2, True)
+    d = spark.createDataFrame([("k8s", 120, True), ("k8s", 300, True), ("k8s", 600, True)],
+                              "platform string, recovery_s int, passed boolean")
+    dr = rel.drill_rollup(d, ["platform"]).collect()[0]
+    assert (dr.scenarios, dr.passed, dr.max_recovery_s) == (3, True, 600)

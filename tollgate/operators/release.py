@@ -178,3 +178,10 @@ def shard_outcome(attempts: DataFrame) -> DataFrame:
     status = (F.when(F.col("fail_job"), "failed_exit_code").when(F.col("failed_indexes") > 2, "failed_max_indexes")
                .when(F.col("succeeded") >= F.least(F.lit(10), F.col("indexes")), "succeeded").otherwise("incomplete"))
     return g.withColumn("status", status)
+
+
+def drill_rollup(drills: DataFrame, by: Sequence[str], passed: str = "passed",
+                 recovery: str = "recovery_s") -> DataFrame:
+    """Drill scenarios per platform: count, all passed, worst recovery time."""
+    return drills.groupBy(*by).agg(F.count(F.lit(1)).alias("scenarios"), F.bool_and(passed).alias("passed"),
+                                   F.max(recovery).alias("max_recovery_s"))

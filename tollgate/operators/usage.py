@@ -148,6 +148,24 @@ def quota_alignment(workers: DataFrame, declared: DataFrame, manager: str, resou
                     F.coalesce(F.col("workers_total") == F.round("declared_quota", 4), F.lit(False)).alias("aligned"))
 
 
+def capacity_demand(workloads: DataFrame, by: Sequence[str], workers: str = "max_workers",
+                    gpus_per_worker: str = "gpus_per_worker") -> DataFrame:
+    """Peak worker demand and GPU demand (workers x GPUs per worker) per group."""
+    return workloads.groupBy(*by).agg(F.sum(workers).cast("long").alias("max_workers"),
+                                      F.sum(F.col(workers) * F.col(gpus_per_worker)).cast("long").alias("gpu_demand"))
+
+
+def cache_headroom(artifacts: DataFrame, limits: DataFrame, group: str = "node_group",
+                   headroom_factor: int = 3) -> DataFrame:
+    """Per node group, cached model size vs storage limit (limit > 3 x total) and
+    whether every artifact keeps its minimum number of copies."""
+    g = artifacts.groupBy(group).agg(F.sum("model_mib").cast("long").alias("model_mib"),
+                                     F.bool_and(F.col("copies") >= F.col("min_copies")).alias("copies_ok"))
+    j = g.join(limits, group, "inner")
+    return j.select(group, "model_mib", "limit_mib",
+                    (F.col("limit_mib") > headroom_factor * F.col("model_mib")).alias("headroom_ok"), "copies_ok")
+
+
 def latest_state(events: DataFrame, key: str, value: str, order: Sequence[str]) -> DataFrame:
     """Latest value per key by ``order`` (max_by; partial aggregation, skew-safe)."""
     return events.groupBy(key).agg(F.max_by(value, F.struct(*order)).alias(value))

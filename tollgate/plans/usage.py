@@ -254,10 +254,11 @@ SELECT p_brand, CAST(sum(p_size) AS BIGINT) AS max_workers,
        CAST(sum(CASE WHEN p_type LIKE '%BRASS%' THEN p_size ELSE 0 END) AS BIGINT) AS gpu_demand
 FROM part GROUP BY p_brand""")
 def capacity_demand(spark, sf):
+    """C15 over parts: cluster = brand, max workers = size, one GPU per worker for BRASS types."""
     p = table(spark, sf, "part").select("p_brand", "p_size", "p_type")
-    gpu = F.when(F.col("p_type").contains("BRASS"), 1).otherwise(0)
-    return p.groupBy("p_brand").agg(F.sum("p_size").cast("long").alias("max_workers"),
-                                    F.sum(F.col("p_size") * gpu).cast("long").alias("gpu_demand"))
+    w = p.select("p_brand", F.col("p_size").alias("max_workers"),
+                 F.when(F.col("p_type").contains("BRASS"), 1).otherwise(0).alias("gpus_per_worker"))
+    return us.capacity_demand(w, ["p_brand"])
 
 
 @query("cache_headroom", """
@@ -268,18 +269,21 @@ JOIN (SELECT node_group, CAST(sum(p_size * 10) AS BIGINT) AS model_mib FROM (
         SELECT DISTINCT s_nationkey AS node_group, l_partkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)
       JOIN part ON l_partkey = p_partkey GROUP BY 1) m USING (node_group)""")
 def cache_headroom(spark, sf):
-    """Node limit > 3 x sum of cached model sizes; copies >= 2 per node group."""
-    s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    """C16 over suppliers: node group = supplier nation; cached models = distinct parts its
+    suppliers ship (10 MiB per size unit), one copy per node, two copies required."""
+    s_ = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     li = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey")
     p = table(spark, sf, "part").select("p_partkey", "p_size")
-    models = (li.join(s, li.l_suppkey == s.s_suppkey).select(F.col("s_nationkey").alias("node_group"), "l_partkey")
+    nodes = s_.groupBy(F.col("s_nationkey").alias("node_group")).agg(F.count(F.lit(1)).alias("nodes"))
+    models = (li.join(s_, li.l_suppkey == s_.s_suppkey).select(F.col("s_nationkey").alias("node_group"), "l_partkey")
                 .distinct().join(p, F.col("l_partkey") == p.p_partkey)
-                .groupBy("node_group").agg(F.sum(F.col("p_size") * 10).cast("long").alias("model_mib")))
-    g = s.groupBy(F.col("s_nationkey").alias("node_group")).agg(F.count(F.lit(1)).alias("nodes"))
-    j = g.join(models, "node_group")
-    lim = F.col("nodes") * 16384
-    return j.select("node_group", "nodes", "model_mib", lim.alias("limit_mib"),
-                    (lim > 3 * F.col("model_mib")).alias("headroom_ok"), (F.col("nodes") >= 2).alias("copies_ok"))
+                .select("node_group", (F.col("p_size") * 10).alias("model_mib")))
+    arts = models.join(nodes, "node_group").select("node_group", "model_mib", F.col("nodes").alias("copies"),
+                                                   F.lit(2).alias("min_copies"))
+    limits = nodes.select("node_group", "nodes", (F.col("nodes") * 16384).alias("limit_mib"))
+    out = us.cache_headroom(arts, limits)
+    return out.join(limits.select("node_group", "nodes"), "node_group").select(
+        "node_group", "nodes", "model_mib", "limit_mib", "headroom_ok", "copies_ok")
 
 
 # ---- C17 / C18 --------------------------------------------------------------
