@@ -1,8 +1,12 @@
-"""Size guards for broadcasts.
-
-A side is broadcast only when it is bounded by construction (rule, price,
-model tables) *and* its optimizer size estimate is under a limit; otherwise
-the join falls back to a shuffle join chosen by Catalyst/AQE.
+"""Broadcast guard.
+
+A side is broadcast explicitly only when its row count is bounded by
+construction (literal policy / registry tables, one-row global aggregates,
+one row per registered model version, one row per partition edge).  Every
+data-dependent side (a dimension whose size grows with the data) is left to
+Catalyst / AQE, which broadcasts it only when its runtime size is under
+``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise keeps a
+shuffle join.
 """
 
 from __future__ import annotations
@@ -10,29 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # noqa: BLE001 - Spark Connect or plan without stats
-        return None
-
-
-def small_broadcast(df: DataFrame, what: str = "", limit: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast-hint ``df`` if its estimated size is under ``limit``.
-
-    Aggregates with a fixed small group count (one stats row, a threshold
-    grid) are bounded even when the estimate is pessimistic; their callers
-    pass a larger limit explicitly.
-    """
-    size = estimated_bytes(df)
-    if size is not None and size <= limit:
-        return F.broadcast(df)
-    return df
-
 
 def bounded_broadcast(df: DataFrame, max_rows: int, what: str = "") -> DataFrame:
     """Broadcast a side whose row count is bounded *by construction*.

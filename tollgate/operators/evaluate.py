@@ -97,6 +97,7 @@ def segment_accuracy(scored: DataFrame, label: str = "churned", segment: str = "
     seg = scored.groupBy(*by, segment).agg(
         F.round(F.avg((F.col("prediction") == F.col(label)).cast("double")), 4).alias("accuracy"))
     gap = seg.groupBy(*by).agg(F.round(F.max("accuracy") - F.min("accuracy"), 4).alias("segment_accuracy_gap"))
+    gap = bounded_broadcast(gap, 100_000, "one gap per evaluated group")
     return seg.join(gap, list(by), "left") if by else seg.crossJoin(gap)
 
 
@@ -156,7 +157,8 @@ def evaluation_gates(metrics_long: DataFrame, policy: DataFrame, by: Sequence[st
     entities = metrics_long.select(*by).distinct() if by else None
     spine = (entities.crossJoin(bounded_broadcast(policy, 1_000, "gate policy"))
              if entities is not None else policy)
-    j = spine.join(metrics_long, [*by, "metric"], "left")
+    # metrics: one row per (entity, metric) -- entities are registered model versions
+    j = spine.join(bounded_broadcast(metrics_long, 100_000, "metrics per version"), [*by, "metric"], "left")
     v, t = F.col("value"), F.col("threshold")
     passed = F.coalesce(F.when(F.col("direction") == "min", v >= t).otherwise(v <= t), F.lit(False))
     return j.select(*by, "gate", "metric", F.col("value").alias("observed"), "threshold", passed.alias("passed"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tollgate.functions.exprs import blank_to_null
-from tollgate.functions.guards import small_broadcast
+from tollgate.functions.guards import bounded_broadcast
 from tollgate.functions.ranking import nearest_rank_percentiles
 
 FEATURES = ("tenure_months", "monthly_spend", "support_tickets", "late_payments", "usage_drop_pct")
@@ -57,7 +57,8 @@ def feature_drift(reference: DataFrame, current: DataFrame, limits: DataFrame,
     cur = cur_wide.select("_n", F.inline(F.array(*[
         F.struct(F.lit(f).alias("feature"), F.round(F.coalesce(F.col(f), F.lit(0.0)), 4).alias("current_mean"))
         for f in features])))
-    j = ref.join(cur, "feature").join(small_broadcast(limits), "feature", "left")
+    cur = bounded_broadcast(cur, len(features), "one current mean per feature")
+    j = ref.join(cur, "feature").join(bounded_broadcast(limits, 10_000, "drift limits"), "feature", "left")
     cm = F.when(F.col("_n") > 0, F.col("current_mean")).otherwise(F.col("reference_mean"))
     delta = F.round(cm - F.col("reference_mean"), 4)
     lim = F.coalesce(F.col("limit"), F.lit(DEFAULT_DRIFT_LIMIT))

@@ -197,7 +197,8 @@ def gate_table(spark: SparkSession, sf: str) -> DataFrame:
           .agg(F.bool_and("passed").cast("double").alias("data_quality_passed")))
     lat = (mon.latency_percentiles(b.prediction_log(spark, sf), by=["model_version"])
            .select(F.col("model_version").alias("version"), F.col("p95").alias("latency_p95_ms")))
-    wide = m.crossJoin(bounded_broadcast(dq, 1, "global quality verdict")).join(lat, "version", "left")
+    wide = (m.crossJoin(bounded_broadcast(dq, 1, "global quality verdict"))
+             .join(bounded_broadcast(lat, 100_000, "p95 per model version"), "version", "left"))
     long = ev.metrics_to_long(wide, ["accuracy", "f1", "brier_score", "segment_accuracy_gap",
                                      "data_quality_passed", "latency_p95_ms"], by)
     return ev.evaluation_gates(long, ev.gate_policy(spark), by=by)
