@@ -544,6 +544,8 @@ def model_card(spark, sf):
                     F.max(F.when(F.col("segment") == "self_serve", acc)).alias("test_accuracy_self_serve")))
     train_rows = seg.filter(F.col("split") == "train").groupBy("model", "version").agg(
         F.sum("rows").alias("train_rows"))
-    return (val.join(test, ["model", "version"]).join(train_rows, ["model", "version"])
+    per_version = 100_000   # one row per registered model version
+    return (val.join(bounded_broadcast(test, per_version, "test accuracy per version"), ["model", "version"])
+               .join(bounded_broadcast(train_rows, per_version, "train rows per version"), ["model", "version"])
                .select("model", "version", F.lit(",".join(FEATURES)).alias("features"), "train_rows",
                        "validation_accuracy", "test_accuracy_enterprise", "test_accuracy_self_serve"))
