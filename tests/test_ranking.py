@@ -84,3 +84,20 @@ def test_run_increase_matches_lag_window(spark):
     assert got.keys() == exp.keys()
     for key, (inc, n) in exp.items():
         assert abs(got[key][0] - inc) < 1e-6 and got[key][1] == n
+
+
+def test_percentiles_property(spark):
+    from hypothesis import given, settings, strategies as st
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 20)), min_size=1, max_size=60))
+    def check(rows):
+        df = spark.createDataFrame([(k, float(v)) for k, v in rows], "k string, v double")
+        got = {r.k: (r.p50, r.p99) for r in nearest_rank_percentiles(df, "v", ["k"], (0.5, 0.99), ("p50", "p99"))
+               .collect()}
+        for k in {k for k, _ in rows}:
+            vals = sorted(float(v) for kk, v in rows if kk == k)
+            exp = tuple(vals[min(int(round((len(vals) - 1) * p)), len(vals) - 1)] for p in (0.5, 0.99))
+            assert got[k] == exp
+
+    check()
