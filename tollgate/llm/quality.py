@@ -34,7 +34,7 @@ from tollgate.session import ensure_checkpoint_dir
 
 MIN_BASE_WORDS, MAX_REPEAT = 20, 30
 MIN_CHARS, MIN_WORDS = 200, 50
-MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.25, 0.75
+MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.48
 COMMON_SHARE = 0.002
 #: A language gets a reference when it holds this share of all words; so there are at most 1000.
 LANG_SHARE = 0.001
