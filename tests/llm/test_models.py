@@ -89,11 +89,12 @@ def test_quality_distances(spark):
             assert math.isclose(r["char_distance"], jsd([x / own.sum() for x in own], [ref[i] / ref.total() for i in range(7)]), abs_tol=1e-9)
         if r["word_distance"] is not None:
             ref = words[t["lang"]]
-            common = sorted(w for w, n in ref.items() if n >= quality.COMMON_SHARE * ref.total())
+            total = ref.total()
+            common = sorted(w for w, n in ref.items() if n >= quality.COMMON_SHARE * total)
             own = Counter(x.encode().lower().decode() for x in words_of(t["text"]))
             h, q = [own[w] for w in common], [ref[w] for w in common]
-            h, q = h + [own.total() - sum(h)], q + [ref.total() - sum(q)]
-            assert math.isclose(r["word_distance"], jsd([x / own.total() for x in h], [x / ref.total() for x in q]), abs_tol=1e-9)
+            h, q = h + [own.total() - sum(h)], q + [total - sum(q)]
+            assert math.isclose(r["word_distance"], jsd([x / own.total() for x in h], [x / total for x in q]), abs_tol=1e-9)
 
 
 def plain_model(texts):

@@ -23,6 +23,8 @@ an empty result; all other columns are kept unchanged (the query returns its own
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +37,10 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9](?:[A
 IPV4 = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9./-])(?:[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{4})(?![0-9]|[-/.][0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
-PHONE = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?(?:[0-9]{2,5}[ .-]?){2,4}[0-9](?![0-9])|(?<![0-9])(?:\([0-9]{3}\) ?|[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])"
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9]|[ -][0-9])"
+PHONE = (r"(?<![0-9])(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+         r"|\+(?:[0-9][ .()-]{0,2}){7,14}[0-9](?![0-9])")
+CARD_FORMS = r"[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}"
+CARD = rf"(?<![0-9])(?:{CARD_FORMS})(?![0-9])"
 #: In this order: what one pattern has taken is not looked at by the next.
 ANY = "|".join((EMAIL, IPV4, DATE, SSN, CARD, PHONE))
 
@@ -45,20 +49,25 @@ def _chars(s: Column) -> Column:
     return F.filter(F.split(s, ""), lambda c: c != "")
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value) with the value worked out once: expressions inside of lambdas are not shared otherwise."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _stream(key: Column, half: Column, n: Column) -> Column:
     """n pseudo-random numbers 0 to 65535 from SHA-256 of key, block and half."""
     blocks = F.transform(F.sequence(F.lit(0), F.floor(n / 16).cast("int")), lambda b: F.sha2(F.concat_ws("|", key, b.cast("string"), half), 256))
-    text = F.array_join(blocks, "")
-    return F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.conv(F.substring(text, i * 4 + 1, F.lit(4)), 16, 10).cast("int"))
+    return let(F.array_join(blocks, ""), lambda text: F.transform(
+        F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: F.conv(F.substring(text, i * 4 + 1, F.lit(4)), 16, 10).cast("int")))
 
 
 def _shift(half: Column, classes: Column, stream: Column) -> Column:
     """Each character moved inside its class: 9 digits, 8 digits from 2, a lower case, A upper case."""
-    def one(c: Column, i: Column) -> Column:
-        k, s = F.substring(classes, i + 1, F.lit(1)), F.get(stream, i)
+    def one(c: Column, k: Column, s: Column) -> Column:
         move = lambda alphabet: F.substring(F.lit(alphabet), F.pmod(F.instr(F.lit(alphabet), c) - 1 + s, F.lit(len(alphabet))) + 1, F.lit(1))
         return F.when(k == "9", move(DIGITS)).when(k == "8", move(DIGITS[2:])).when(k == "a", move(LOWER)).when(k == "A", move(UPPER)).otherwise(c)
-    return F.array_join(F.transform(_chars(half), one), "")
+    zipped = F.arrays_zip(_chars(half).alias("c"), _chars(classes).alias("k"), stream.alias("s"))
+    return F.array_join(F.transform(F.filter(zipped, lambda z: z["c"].isNotNull()), lambda z: one(z["c"], z["k"], z["s"])), "")
 
 
 def classes_of(value: Column) -> Column:
@@ -68,19 +77,19 @@ def classes_of(value: Column) -> Column:
 
 def feistel(value: Column, classes: Column, key: str) -> Column:
     """Permutes the strings with these character classes; one character alone gets a keyed shift."""
-    n = F.length(value)
-    cut = F.floor(n / 2).cast("int")
-    part = lambda s: F.struct(F.substring(s, F.lit(1), cut).alias("l"), F.substring(s, cut + 1, n - cut).alias("r"))
-    state, k = part(value), part(classes)
+    def halves(x: Column) -> Column:
+        cut = F.floor(F.length(x["v"]) / 2).cast("int")
+        part = lambda s, a, b: (F.substring(s, F.lit(1), cut).alias(a), F.substring(s, cut + 1, F.length(s)).alias(b))
+        return F.struct(*part(x["v"], "l", "r"), *part(x["k"], "kl", "kr"))
 
     def step(acc: Column, i: Column) -> Column:
-        name = F.concat_ws("|", F.lit(key), i.cast("string"), classes)
-        left = F.struct(_shift(acc["l"], k["l"], _stream(name, acc["r"], F.length(acc["l"]))).alias("l"), acc["r"].alias("r"))
-        right = F.struct(acc["l"].alias("l"), _shift(acc["r"], k["r"], _stream(name, acc["l"], F.length(acc["r"]))).alias("r"))
-        return F.when(i % 2 == 0, right).otherwise(left)
+        name = F.concat_ws("|", F.lit(key), i.cast("string"), acc["kl"], acc["kr"])
+        shifted = lambda a, k, b: _shift(acc[a], acc[k], _stream(name, acc[b], F.length(acc[a])))
+        # The halves change places each round, so one expression serves both.
+        return F.struct(acc["r"].alias("l"), shifted("l", "kl", "r").alias("r"), acc["kr"].alias("kl"), acc["kl"].alias("kr"))
 
-    done = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), state, step)
-    return F.concat(done["l"], done["r"])
+    start = let(F.struct(value.alias("v"), classes.alias("k")), halves)
+    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step, lambda acc: F.concat(acc["l"], acc["r"]))
 
 
 def _pairs(left: Column, right: Column, a: int, b: int, key: str, kind: str) -> tuple[Column, Column]:
@@ -112,60 +121,70 @@ def luhn_sum(digits: Column, doubled_last: bool) -> Column:
 
 
 def _card(v: Column, key: str) -> Column:
-    d = _digits(v)
-    body = F.substring(d, F.lit(1), F.length(d) - 1)
-    new = feistel(body, classes_of(body), f"{key}|card")
-    whole = F.concat(new, F.pmod(-luhn_sum(new, True), F.lit(10)).cast("string"))
-    return F.when((luhn_sum(d, False) % 10 == 0) & ~d.rlike("^0+$"), _relay(v, whole))
+    def relaid(d: Column) -> Column:
+        body = F.substring(d, F.lit(1), F.length(d) - 1)
+        whole = let(feistel(body, classes_of(body), f"{key}|card"), lambda new: F.concat(new, F.pmod(-luhn_sum(new, True), F.lit(10)).cast("string")))
+        return F.when((luhn_sum(d, False) % 10 == 0) & ~d.rlike("^0+$"), let(whole, lambda w: _relay(v, w)))
+    return let(_digits(v), relaid)
 
 
 def _phone(v: Column, key: str) -> Column:
     """The last ten digits are permuted; area and exchange start with 2 to 9 as before."""
-    d = _digits(v)
-    head, tail = F.substring(d, F.lit(1), F.length(d) - 10), F.substring(d, F.length(d) - 9, F.lit(10))
-    lead = lambda i: F.when(F.substring(tail, i, 1).between("2", "9"), "8").otherwise("9")
-    classes = F.concat(lead(1), F.lit("99"), lead(4), F.lit("999999"))
-    return F.when(F.length(d).between(10, 15), _relay(v, F.concat(head, feistel(tail, classes, f"{key}|phone"))))
+    def relaid(d: Column) -> Column:
+        head, tail = F.substring(d, F.lit(1), F.length(d) - 10), F.substring(d, F.length(d) - 9, F.lit(10))
+        lead = lambda i: F.when(F.substring(tail, i, 1).between("2", "9"), "8").otherwise("9")
+        classes = F.concat(lead(1), F.lit("99"), lead(4), F.lit("999999"))
+        return F.when(F.length(d).between(10, 15), let(F.concat(head, feistel(tail, classes, f"{key}|phone")), lambda w: _relay(v, w)))
+    return let(_digits(v), relaid)
 
 
 def _ipv4(v: Column, key: str) -> Column:
-    p = F.transform(F.split(v, r"\."), lambda x: x.cast("long"))
-    at = lambda i: F.get(p, F.lit(i))
-    new = _pairs(at(0) * 256 + at(1), at(2) * 256 + at(3), 65536, 65536, key, "ipv4")
-    octets = [F.floor(new["l"] / 256), new["l"] % 256, F.floor(new["r"] / 256), new["r"] % 256]
-    return F.when(F.forall(p, lambda x: x <= 255), F.concat_ws(".", *[x.cast("string") for x in octets]))
+    def moved(p: Column) -> Column:
+        at = lambda i: F.get(p, F.lit(i))
+        octets = lambda n: F.concat_ws(".", *[x.cast("string") for x in (F.floor(n["l"] / 256), n["l"] % 256, F.floor(n["r"] / 256), n["r"] % 256)])
+        return F.when(F.forall(p, lambda x: x <= 255), let(_pairs(at(0) * 256 + at(1), at(2) * 256 + at(3), 65536, 65536, key, "ipv4"), octets))
+    return let(F.transform(F.split(v, r"\."), lambda x: x.cast("long")), moved)
 
 
 def _date(v: Column, key: str) -> Column:
     """Year first, else day and month in either order: month first only if the date is valid that way and the separator is /."""
-    part = lambda i: F.get(F.split(v, "[-/.]"), F.lit(i))
-    sep = F.substring(F.regexp_replace(v, "[0-9]", ""), 1, 1)
-    make = lambda y, m, d: F.when(y.cast("int").between(1800, 2199), F.try_to_date(F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd"))
-    year_first = F.length(part(0)) == 4
-    us = make(part(2), part(0), part(1))
-    month_first = ~year_first & (sep == "/") & us.isNotNull()
-    day = F.when(year_first, make(part(0), part(1), part(2))).when(month_first, us).otherwise(make(part(2), part(1), part(0)))
-    number = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
-    new = _pairs(F.floor(number / DAYS_RIGHT), number % DAYS_RIGHT, DAYS_LEFT, DAYS_RIGHT, key, "date")
-    to = F.date_add(F.lit(FIRST_DAY).cast("date"), (new["l"] * DAYS_RIGHT + new["r"]).cast("int"))
-    padded = F.forall(F.split(v, "[-/.]"), lambda x: F.length(x) >= 2)
-    text = lambda wide: F.when(year_first, F.date_format(to, "yyyy-MM-dd" if wide else "yyyy-M-d")).when(
-        month_first, F.date_format(to, "MM-dd-yyyy" if wide else "M-d-yyyy")).otherwise(F.date_format(to, "dd-MM-yyyy" if wide else "d-M-yyyy"))
-    return F.when(day.isNotNull(), F.replace(F.when(padded, text(True)).otherwise(text(False)), F.lit("-"), sep))
+    def make(y: Column, m: Column, d: Column) -> Column:
+        return F.when(y.cast("int").between(1800, 2199), F.try_to_date(F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), "yyyy-MM-dd"))
+
+    def read(p: Column) -> Column:
+        at = lambda i: F.get(p, F.lit(i))
+        slash, us = F.instr(v, F.lit("/")) > 0, make(at(2), at(0), at(1))
+        return (F.when(F.length(at(0)) == 4, F.struct(make(at(0), at(1), at(2)).alias("day"), F.lit("yyyy-M-d").alias("form")))
+                .when(slash & us.isNotNull(), F.struct(us.alias("day"), F.lit("M-d-yyyy").alias("form")))
+                .otherwise(F.struct(make(at(2), at(1), at(0)).alias("day"), F.lit("d-M-yyyy").alias("form"))))
+
+    def moved(x: Column) -> Column:
+        number = F.datediff(x["day"], F.lit(FIRST_DAY).cast("date"))
+        to = let(_pairs(F.floor(number / DAYS_RIGHT), number % DAYS_RIGHT, DAYS_LEFT, DAYS_RIGHT, key, "date"),
+                 lambda n: F.date_add(F.lit(FIRST_DAY).cast("date"), (n["l"] * DAYS_RIGHT + n["r"]).cast("int")))
+        return F.when(x["day"].isNotNull(), let(to, lambda day: written(day, x["form"])))
+
+    def written(day: Column, form: Column) -> Column:
+        wide = F.forall(F.split(v, "[-/.]"), lambda y: F.length(y) >= 2)
+        pad = lambda c: F.when(wide, F.lpad(c.cast("string"), 2, "0")).otherwise(c.cast("string"))
+        sep = F.substring(F.regexp_replace(v, "[0-9]", ""), 1, 1)
+        y, m, d = F.year(day).cast("string"), pad(F.month(day)), pad(F.day(day))
+        join = lambda *parts: F.concat(parts[0], sep, parts[1], sep, parts[2])
+        return F.when(form == "yyyy-M-d", join(y, m, d)).when(form == "M-d-yyyy", join(m, d, y)).otherwise(join(d, m, y))
+
+    return let(F.split(v, "[-/.]"), lambda p: let(read(p), moved))
 
 
 def _ssn(v: Column, key: str) -> Column:
-    """Area, group and serial are valid by their leading rules; the area's first digit stays within 0 to 8 by its class."""
-    d = _digits(v)
-    valid = ~d.rlike("^(000|666|9..)") & ~d.rlike("^...00") & ~d.rlike("0000$")
-    return F.when(valid, _relay(v, feistel(d, classes_of(d), f"{key}|ssn")))
+    """Area, group and serial numbers must be ones that are given out."""
+    return let(_digits(v), lambda d: F.when(~d.rlike("^(000|666|9..)") & ~d.rlike("^...00") & ~d.rlike("0000$"),
+                                            let(feistel(d, classes_of(d), f"{key}|ssn"), lambda w: _relay(v, w))))
 
 
 def _email(v: Column, key: str) -> Column:
     """The local part is permuted in its character classes, case aside; the domain stays."""
-    local, domain = F.substring_index(v, "@", 1), F.substring_index(v, "@", -1)
-    low = F.translate(local, UPPER, LOWER)
-    return F.concat(feistel(low, classes_of(low), f"{key}|email"), F.lit("@"), domain)
+    low = F.translate(F.substring_index(v, "@", 1), UPPER, LOWER)
+    return F.concat(let(low, lambda x: feistel(x, classes_of(x), f"{key}|email")), F.lit("@"), F.substring_index(v, "@", -1))
 
 
 def kind_of(v: Column) -> Column:
@@ -173,14 +192,13 @@ def kind_of(v: Column) -> Column:
     return (F.when(F.instr(v, "@") > 0, "email").when(full(r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"), "ipv4")
             .when(full(r"[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4}"), "date")
             .when(full(r"[0-9]{3}-[0-9]{2}-[0-9]{4}"), "ssn")
-            .when(full(r"[0-9](?:[ -]?[0-9]){12,18}"), "card").otherwise("phone"))
+            .when(full(CARD_FORMS), "card").otherwise("phone"))
 
 
 def pseudonym(value: Column, key: str = KEY) -> Column:
     """Pseudonym of one found value, or null if it fails its check."""
-    k = kind_of(value)
-    return (F.when(k == "email", _email(value, key)).when(k == "ipv4", _ipv4(value, key)).when(k == "date", _date(value, key))
-            .when(k == "ssn", _ssn(value, key)).when(k == "card", _card(value, key)).otherwise(_phone(value, key)))
+    return let(kind_of(value), lambda k: F.when(k == "email", _email(value, key)).when(k == "ipv4", _ipv4(value, key)).when(k == "date", _date(value, key))
+               .when(k == "ssn", _ssn(value, key)).when(k == "card", _card(value, key)).otherwise(_phone(value, key)))
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
