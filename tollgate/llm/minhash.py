@@ -10,10 +10,12 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles.
    non-empty bin of its own random order of the bins (optimal densification).
    ``rows`` values make a bucket key.
 3. A bucket does not emit its pairs.  The member that meets most others over all
-   its buckets is the hub, and each other member gets one edge to it.  Edges are
-   confirmed on the full sets; confirmed links are joined to components.
+   its buckets is its hub.  Hubs are handed on once through the members' other buckets, so
+   that the buckets of one group of copies agree on one centre, and each member gets one
+   edge to the centre.  Edges are confirmed on the full sets and links joined to
+   components; then edges to a bucket's own hub follow where they join components.
 4. What a star can miss lies between members that are still in different
-   components.  For a member x of hub H let a = |x - H| and r = |H - x|.  Two members
+   components.  For a member x of centre H let a = |x - H| and r = |H - x|.  Two members
    of H without a common shingle outside of H can reach the threshold only if their
    sizes a and r allow it (``_feasible``).  So the rest are those pairs, and pairs with
    a common shingle outside of H, found by an equi-join on that shingle.  These
@@ -176,33 +178,56 @@ def _classes(docs: DataFrame) -> DataFrame:
     shared = entry.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
     entry = entry.join(shared, "key").checkpoint()
     weight = entry.groupBy("node").agg(F.sum("m").alias("w"))
-    hubs = entry.join(weight, "node").groupBy("key").agg(F.max(F.struct("w", "node", "n")).alias("hub"))
-    star = (entry.join(hubs, "key").filter("node <> hub.node")
-            .select(F.col("hub.node").alias("a"), F.col("hub.n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb")).distinct())
-    star = star.checkpoint()
+    hubs = entry.join(weight, "node").groupBy("key").agg(F.max(F.struct("w", "node", "n")).alias("hub")).checkpoint()
+    best = entry.join(hubs, "key").groupBy("node").agg(F.max("hub").alias("hub"))
+    centres = entry.join(best, "node").groupBy("key").agg(F.max("hub").alias("hub"))
+    star, local = _spokes(entry, centres).checkpoint(), _spokes(entry, hubs)
+    near = local.join(star.select("a", "b"), ["a", "b"], "left_anti").checkpoint()
 
     # The sets of all nodes with a candidate edge: texts are hashed anew for these alone.
-    wanted = star.select(F.col("b").alias("node")).union(star.select(F.col("a").alias("node"))).distinct()
+    ends = star.select("a", "b").union(near.select("a", "b"))
+    wanted = ends.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     first = reps.join(wanted, "node", "left_semi").select("node", "first_id").checkpoint()
-    near = semi_by_size(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
-                        first.select(F.col("first_id").alias("doc_id")), "doc_id")
-    sets = _sets_of(near, first)
+    texts = semi_by_size(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
+                         first.select(F.col("first_id").alias("doc_id")), "doc_id")
+    sets = _sets_of(texts, first)
 
     starred = _confirm(star, sets).select(
         "a", "b", "na", "nb", "inter", (F.col("nb") - F.col("inter")).alias("x_a"), (F.col("na") - F.col("inter")).alias("x_r"),
         F.array_except("sb", "sa").alias("added")).checkpoint()
-    links = starred.filter(_similar(F.col("inter"), F.col("na"), F.col("nb"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    links = _links(starred)
     comp = components(links)
-
-    rest = _rest(starred, comp)
-    more = (_confirm(rest, sets).join(reps.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-            .join(reps.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-            .filter(_similar(F.col("inter"), F.col("na"), F.col("nb"))).select(F.col("a").alias("u"), F.col("b").alias("v"))).checkpoint()
+    # Edges to a bucket's own hub, as far as they still join two components.
+    found = _links(_confirm(_apart(near, comp), sets)).checkpoint()
+    if found.head(1):
+        links = links.union(found)
+        comp = components(links)
+    rest = _apart(_rest(starred, comp), comp).join(near.select("a", "b"), ["a", "b"], "left_anti")
+    sized = (rest.join(reps.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
+             .join(reps.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b"))
+    more = _links(_confirm(sized, sets)).checkpoint()
     if more.head(1):
         comp = components(links.union(more))
     return _label(rows, comp)
 
 
+def _spokes(entry: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Edges (a, b) from the hub of each bucket to its members."""
+    return (entry.join(hubs, "key").filter("node <> hub.node")
+            .select(F.col("hub.node").alias("a"), F.col("hub.n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb")).distinct())
+
+
+def _links(confirmed: DataFrame) -> DataFrame:
+    return confirmed.filter(_similar(F.col("inter"), F.col("na"), F.col("nb"))).select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
+def _apart(edges: DataFrame, comp: DataFrame) -> DataFrame:
+    """Edges whose ends are in different components."""
+    return (edges.join(comp.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
+            .join(comp.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
+            .filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).drop("ra", "rb"))
+
+
 def _sets_of(near: DataFrame, first: DataFrame) -> DataFrame:
     """node -> set, read from one document of each node."""
     return (near.join(first.select(F.col("first_id").alias("doc_id"), "node"), "doc_id").select("node", "text")
