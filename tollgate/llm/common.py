@@ -6,7 +6,7 @@ import os
 import posixpath
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -74,6 +74,11 @@ def semi_by_size(df: DataFrame, ids: DataFrame, on: str, limit: int = BROADCAST_
     return df.join(F.broadcast(ids) if small else ids.hint("merge"), on, how)
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value) with the value worked out once: expressions inside of lambdas are not shared otherwise."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def held_out(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo; the remainder 1 is held out (a null id is not)."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % F.lit(modulus) == 1, F.lit(False))

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollgate.llm.common import BROADCAST_ROWS, semi_by_size
+from tollgate.llm.common import BROADCAST_ROWS, let, semi_by_size
 
 WINDOW, MIN_WORDS = 8, 4
 COVER, LONG_RUN = 0.5, 20
@@ -42,7 +42,7 @@ TOKEN = "\x01?[\\p{L}\\p{M}]+|\\d+(?:[.,]\\d+)*|[%$€£°]"
 
 def raw_tokens(text: Column) -> Column:
     """Lower-cased tokens; a capitalised word that follows a word, comma or the like carries NAME_MARK."""
-    marked = F.regexp_replace(F.translate(text, NAME_MARK, " "), r"(?<=[\p{Ll}\p{N},;] )(?=\p{Lu}\p{Ll})", NAME_MARK)
+    marked = F.regexp_replace(F.translate(text, NAME_MARK, " "), r" (?<=[\p{Ll}\p{N},;] )(?=\p{Lu}\p{Ll})", f" {NAME_MARK}")
     return F.regexp_extract_all(F.lower(marked), F.lit(TOKEN), F.lit(0))
 
 
@@ -58,15 +58,16 @@ def template(tokens: Column) -> Column:
 
 
 def window_hashes(tokens: Column, n: int = WINDOW) -> Column:
-    return F.when(F.size(tokens) >= n, F.transform(F.sequence(F.lit(1), F.size(tokens) - (n - 1)), lambda i: F.xxhash64(F.slice(tokens, i, n)))
-                  ).otherwise(F.array().cast("array<bigint>"))
+    """Bound once: the optimizer may put the tokens' expression in the place of their column."""
+    return let(tokens, lambda t: F.when(F.size(t) >= n, F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)), lambda i: F.xxhash64(F.slice(t, i, n)))
+                                        ).otherwise(F.array().cast("array<bigint>")))
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
     """(item_id, n_tokens, item_raw, w, item_at) of windows that are evidence."""
     items = (benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null").distinct()
              .select("item_id", raw_tokens(F.col("text")).alias("item_raw")).withColumn("t", template(F.col("item_raw"))))
-    w = items.select("item_id", "item_raw", F.size("t").alias("n_tokens"), "t", F.posexplode(window_hashes(F.col("t"))).alias("item_at", "w"))
+    w = items.select("item_id", "item_raw", F.size("t").alias("n_tokens"), "t", F.posexplode_outer(window_hashes(F.col("t"))).alias("item_at", "w"))
     plain = F.filter(F.slice("t", F.col("item_at") + 1, WINDOW), lambda x: ~x.startswith("<"))
     return w.filter(F.size(F.array_distinct(plain)) >= MIN_WORDS).drop("t")
 
@@ -78,12 +79,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, limit: int = BROADCAST_
     small = hashes.count() <= limit
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
     tokens = texts.select("doc_id", template(raw_tokens(F.col("text"))).alias("t"))
-    spread = tokens.select("doc_id", F.explode(window_hashes(F.col("t"))).alias("w"))
+    # The outer form: for a plain explode the optimizer adds a filter that works its array out a second time.
+    spread = tokens.select("doc_id", F.explode_outer(window_hashes(F.col("t"))).alias("w"))
     hit = spread.join(F.broadcast(hashes) if small else hashes.hint("merge"), "w", "left_semi").select("doc_id").distinct()
 
     # The few documents with a match are read again, now with positions and slot values.
     near = semi_by_size(texts, hit, "doc_id", limit).distinct().withColumn("raw", raw_tokens(F.col("text")))
-    spread = near.select("doc_id", "raw", F.posexplode(window_hashes(template(F.col("raw")))).alias("doc_at", "w"))
+    spread = near.select("doc_id", "raw", F.posexplode_outer(window_hashes(template(F.col("raw")))).alias("doc_at", "w"))
     found = spread.join(F.broadcast(windows) if small else windows.hint("merge"), "w")
     same = F.transform(F.sequence(F.lit(1), F.lit(WINDOW)), lambda i: F.struct(
         F.element_at("item_raw", F.col("item_at") + i).alias("item"), F.element_at("raw", F.col("doc_at") + i).alias("doc")))

@@ -23,11 +23,11 @@ an empty result; all other columns are kept unchanged (the query returns its own
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.llm.common import let
+
 ROUNDS = 8
 KEY = "tollgate-default-key"
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
@@ -49,11 +49,6 @@ def _chars(s: Column) -> Column:
     return F.filter(F.split(s, ""), lambda c: c != "")
 
 
-def let(value: Column, then: Callable[[Column], Column]) -> Column:
-    """then(value) with the value worked out once: expressions inside of lambdas are not shared otherwise."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
-
-
 def _stream(key: Column, half: Column, n: Column) -> Column:
     """n pseudo-random numbers 0 to 65535 from SHA-256 of key, block and half."""
     blocks = F.transform(F.sequence(F.lit(0), F.floor(n / 16).cast("int")), lambda b: F.sha2(F.concat_ws("|", key, b.cast("string"), half), 256))
