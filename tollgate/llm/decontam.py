@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import BROADCAST_ROWS, let, semi_by_size
+from tollgate.session import ensure_checkpoint_dir
 
 WINDOW, MIN_WORDS = 8, 4
 COVER, LONG_RUN = 0.5, 20
@@ -74,6 +75,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """One row per document and item: doc_id, item_id, n_windows, covered, item_tokens, doc_start, doc_end, verdict."""
+    ensure_checkpoint_dir(docs.sparkSession)
     windows = item_windows(benchmark)
     hashes = windows.select("w").distinct()
     small = hashes.count() <= limit
@@ -81,7 +83,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, limit: int = BROADCAST_
     tokens = texts.select("doc_id", template(raw_tokens(F.col("text"))).alias("t"))
     # The outer form: for a plain explode the optimizer adds a filter that works its array out a second time.
     spread = tokens.select("doc_id", F.explode_outer(window_hashes(F.col("t"))).alias("w"))
-    hit = spread.join(F.broadcast(hashes) if small else hashes.hint("merge"), "w", "left_semi").select("doc_id").distinct()
+    hit = spread.join(F.broadcast(hashes) if small else hashes.hint("merge"), "w", "left_semi").select("doc_id").distinct().checkpoint()
 
     # The few documents with a match are read again, now with positions and slot values.
     near = semi_by_size(texts, hit, "doc_id", limit).distinct().withColumn("raw", raw_tokens(F.col("text")))
