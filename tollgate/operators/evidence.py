@@ -44,7 +44,7 @@ def trace_rollup(spans: DataFrame) -> DataFrame:
     return agg.join(leaves, "trace_id", "left")
 
 
-def trace_depth(spans: DataFrame, max_rounds: int = 32) -> DataFrame:
+def trace_depth(spans: DataFrame) -> DataFrame:
     """Depth of every span (distance to its root) by pointer doubling.
 
     Each span keeps an ancestor pointer and its distance to it; every round
@@ -52,22 +52,25 @@ def trace_depth(spans: DataFrame, max_rounds: int = 32) -> DataFrame:
     distance (one self-join on (trace_id, span_id)).  Depth d needs about
     log2(d) rounds instead of d frontier rounds.  Every round is reliably
     checkpointed (shared checkpoint dir): the lineage stays one join deep and
-    a lost executor only redoes one round.  ``max_rounds`` bounds cycles.
+    a lost executor only redoes one round.  A chain is no longer than its trace has
+    spans, so pointers still open after log2 of the largest trace lie on or under a
+    parent cycle: those rows get a null depth.
     """
     ensure_checkpoint_dir(spans.sparkSession)
     parent = F.col("parent_span_id")
     cur = spans.select("trace_id", "span_id", parent.alias("anc"),
-                       F.when(parent.isNull(), F.lit(0)).otherwise(F.lit(1)).alias("depth")).checkpoint(eager=True)
-    for _ in range(max_rounds):
+                       F.when(parent.isNull(), F.lit(0)).otherwise(F.lit(1)).cast("long").alias("depth")).checkpoint(eager=True)
+    largest = spans.groupBy("trace_id").count().agg(F.max("count")).first()[0] or 0
+    for _ in range(largest.bit_length() + 1):
         if cur.filter(F.col("anc").isNotNull()).isEmpty():
             break
         look = cur.select("trace_id", F.col("span_id").alias("anc"), F.col("anc").alias("_anc2"),
                           F.col("depth").alias("_d2"))
         cur = (cur.join(look, ["trace_id", "anc"], "left")
                   .select("trace_id", "span_id", F.col("_anc2").alias("anc"),
-                          (F.col("depth") + F.coalesce(F.col("_d2"), F.lit(0))).alias("depth"))
+                          (F.col("depth") + F.coalesce(F.col("_d2"), F.lit(0).cast("long"))).alias("depth"))
                   .checkpoint(eager=True))
-    return cur.select("trace_id", "span_id", "depth")
+    return cur.select("trace_id", "span_id", F.when(F.col("anc").isNull(), F.col("depth")).cast("int").alias("depth"))
 
 
 def pattern_audit(corpus: DataFrame, rules: Sequence[tuple[str, str, str]], text: str = "text") -> DataFrame:

@@ -160,11 +160,13 @@ def vec_group_left(many: DataFrame, one: DataFrame, on: Sequence[str], op: str =
                    value: str = "value", one_value: str = "value", out: str = "value") -> DataFrame:
     """``many <op> on(labels) group_left one``: many-to-one match.
 
-    The ``one`` side must be unique per ``on``; duplicates are collapsed by
-    max (a PromQL error case) so the result never multiplies rows.  Catalyst /
-    AQE choose broadcast when the one side is small.
+    The ``one`` side must be unique per ``on``: a label set that a left row meets
+    twice stops the job, as it does in PromQL.  Catalyst / AQE choose broadcast
+    when the one side is small.
     """
-    o = one.groupBy(*on).agg(F.max(one_value).alias("_one"))
+    o = one.groupBy(*on).agg(F.max(one_value).alias("_one"), F.count(F.lit(1)).alias("_n"))
+    several = F.raise_error(F.concat(F.lit("many-to-many match: the one side repeats "), F.concat_ws(", ", *[F.col(c).cast("string") for c in on])))
+    o = o.select(*on, F.when(F.col("_n") == 1, F.col("_one")).otherwise(several).alias("_one"))
     j = many.join(o, list(on), "inner")
     expr = {"*": F.col(value) * F.col("_one"), "+": F.col(value) + F.col("_one"),
             "-": F.col(value) - F.col("_one"), "/": F.col(value) / F.nullif(F.col("_one"), F.lit(0.0))}[op]

@@ -88,7 +88,7 @@ FROM churn_base""")
 
 view("churn_current", ("churn_base",), f"""
 SELECT * REPLACE ({rnd('monthly_spend * 1.12', 2)} AS monthly_spend)
-FROM churn_base WHERE {u('c_custkey', 99)} < 0.27""")
+FROM churn_base""")
 
 view("prediction_log", (), f"""
 SELECT event_id AS request_id, ts,

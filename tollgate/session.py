@@ -39,7 +39,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3/...) folder and
-    is used as is.  Only when it is unset (local tests) a scratch folder is made.
+    is used as is.  Where it is unset, a scratch folder is made on a local master
+    only; on a cluster executors would each write to their own disk, so that is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -50,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return conf_dir
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that driver and executors share (master {sc.master})")
     path = tempfile.mkdtemp(prefix="tollgate-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)

@@ -91,10 +91,8 @@ def churn_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def churn_current(spark: SparkSession, sf: str, drift: float = 1.12) -> DataFrame:
-    """Current scoring population: a hash sample of customers with spend drifted."""
-    b = churn_base(spark, sf)
-    return (b.filter(uniform("c_custkey", 99) < 0.27)
-             .withColumn("monthly_spend", F.round(F.col("monthly_spend") * drift, 2)))
+    """Current scoring population: all customers, with spend drifted."""
+    return churn_base(spark, sf).withColumn("monthly_spend", F.round(F.col("monthly_spend") * drift, 2))
 
 
 def prediction_log(spark: SparkSession, sf: str) -> DataFrame:

@@ -6,6 +6,7 @@ writers are distributed DataFrame writes; nothing is funnelled through the drive
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,17 +26,29 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     """Header CSV read as all-string columns (callers cast); a missing path gives 0 rows.
 
-    Columns are matched by header name (only the header line is read to learn
-    the order; no inference pass); requested columns absent from the file are null.
+    Columns are matched by each file's own header (the first line of each file; no
+    inference pass), so files may differ in columns and order; requested columns absent
+    from a file are null.
     """
     try:
-        header = spark.read.option("header", True).csv(path).columns
+        lines = spark.read.text(path)
     except Exception as e:  # noqa: BLE001 - only a missing path is tolerated
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], string_schema(columns))
         raise
-    raw = spark.read.schema(string_schema(header)).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    return raw.select(*[F.col(c) if c in header else F.lit(None).cast("string").alias(c) for c in columns])
+    first = (lines.filter("_metadata.file_block_start = 0")
+             .select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
+             .groupBy("file").agg(F.min_by("value", "line").alias("header")))
+    files: dict[str, list[str]] = {}
+    for r in first.collect():                     # one row per file, as in Spark's own file listing
+        files.setdefault(r["header"], []).append(r["file"])
+    out = spark.createDataFrame([], string_schema(columns))
+    for line, own in sorted(files.items()):
+        header = next(csv.reader([line]))
+        raw = (spark.read.schema(string_schema(header)).option("header", True).option("mode", "PERMISSIVE")
+               .csv(path if len(files) == 1 else own))
+        out = out.unionByName(raw.select(*[F.col(c) if c in header else F.lit(None).cast("string").alias(c) for c in columns]))
+    return out
 
 
 def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:

@@ -56,9 +56,14 @@ def run_append(sdf: DataFrame, name: str) -> tuple[DataFrame, dict]:
     d = _run_dir(spark, name)
     q = (sdf.writeStream.outputMode("append").format("parquet").option("path", f"{d}/data")
             .option("checkpointLocation", f"{d}/checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    progress = {"dropped_by_watermark": sum(
-        sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", [])) for p in q.recentProgress)}
+    dropped: dict[int, int] = {}                  # by batch: Spark itself keeps the last progress reports only
+    ended = False
+    while not ended:
+        ended = q.awaitTermination(1)
+        for p in q.recentProgress:
+            n = sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators", []))
+            dropped[p["batchId"]] = max(n, dropped.get(p["batchId"], 0))
+    progress = {"dropped_by_watermark": sum(dropped.values())}
     return spark.read.schema(sdf.schema).parquet(f"{d}/data"), progress
 
 
@@ -117,7 +122,7 @@ def stream_drift(log: DataFrame, reference: DataFrame, by: Sequence[str], value:
     """Windowed mean per key vs static reference means (stream-static join on a small table)."""
     g = log.withWatermark("ts", delay).groupBy(F.window("ts", window).alias("w"), *by).agg(
         F.avg(value).alias("window_mean"))
-    j = g.join(F.broadcast(reference), list(by), "inner")
+    j = g.join(reference, list(by), "inner")
     delta = F.round(F.col("window_mean") - F.col("reference_mean"), 4)
     return j.select(F.col("w.start").alias("window_start"), *by, F.round("window_mean", 4).alias("window_mean"),
                     delta.alias("delta"), (F.abs(delta) > limit).alias("flagged"))
