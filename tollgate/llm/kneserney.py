@@ -63,6 +63,12 @@ def pair_key(h: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix64(h * GOLDEN + w)
 
 
+def narrow(values: np.ndarray) -> np.ndarray:
+    """Unsigned integers in the narrowest width that holds them; a file's size tells its width."""
+    top = int(values.max()) if values.size else 0
+    return values.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if top <= np.iinfo(t).max))
+
+
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(first index, length) of equal neighbours."""
     if not len(keys):
@@ -213,7 +219,7 @@ def _merge_pairs(folder: SharedFolder, sharding: Sharding):
         keys = pair_key(h, w)
         by = np.argsort(keys)
         folder.write(f"pairs-{key[0]:06d}.key", keys[by].tobytes())
-        folder.write(f"pairs-{key[0]:06d}.count", n[by].astype(np.uint32).tobytes())
+        folder.write(f"pairs-{key[0]:06d}.count", narrow(n[by]).tobytes())
         of = [int(np.count_nonzero(n == k)) for k in (1, 2, 3, 4)]
         at, _ = _runs(h)
         stats = [np.add.reduceat(x.astype(np.uint64), at) for x in (n, n == 1, n == 2, n >= 3)]
@@ -256,7 +262,7 @@ def _merge_words(folder: SharedFolder):
         start = values[keys == START]
         values, keys = values[keys != START], keys[keys != START]
         folder.write(f"words-{key[0]:06d}.key", keys.tobytes())
-        folder.write(f"words-{key[0]:06d}.stat", values.astype(np.uint64).tobytes())
+        folder.write(f"words-{key[0]:06d}.stat", narrow(values).tobytes())
         n = values[:, 4]
         sums = [len(keys), int(values[:, 0].sum()), int(n.sum()), *[int(np.count_nonzero(n == k)) for k in (1, 2, 3, 4)],
                 int(np.count_nonzero(n >= 3)), *(start[0, :4].tolist() if len(start) else [0] * 4)]
@@ -303,7 +309,7 @@ class Scorer:
             self.files[name] = self.m.folder.map(name, dtype)
         return self.files[name]
 
-    def _find(self, kind: str, shard: np.ndarray, keys: np.ndarray, value: str, dtype, columns: int) -> np.ndarray:
+    def _find(self, kind: str, shard: np.ndarray, keys: np.ndarray, value: str, columns: int) -> np.ndarray:
         """Values of sorted-by-shard keys; 0 where a key is not in the model."""
         out = np.zeros((len(keys), columns), dtype=np.uint64)
         at, length = _runs(shard)
@@ -315,13 +321,14 @@ class Scorer:
             asked = keys[i:i + k]
             place = np.minimum(np.searchsorted(known, asked), len(known) - 1)
             hit = known[place] == asked
-            values = self._file(f"{name}.{value}", dtype).reshape(-1, columns)
+            raw = self._file(f"{name}.{value}", np.uint8)
+            values = raw.view(f"u{len(raw) // (len(known) * columns)}").reshape(-1, columns)
             out[i:i + k][hit] = values[place[hit]]
         return out
 
     def word_stats(self, words: np.ndarray) -> np.ndarray:
         """(c as context, N1, N2, N3+, n contexts before) of sorted distinct words."""
-        out = self._find("words", self.m.sharding.word(words), words, "stat", np.uint64, 5)
+        out = self._find("words", self.m.sharding.word(words), words, "stat", 5)
         out[words == START, :4] = (self.m.start_count, *self.m.start_types)
         return out
 
@@ -329,7 +336,7 @@ class Scorer:
         shard, keys = self.m.sharding.pair(h, w), pair_key(h, w)
         order = np.lexsort((keys, shard))
         out = np.zeros(len(h), dtype=np.uint64)
-        out[order] = self._find("pairs", shard[order], keys[order], "count", np.uint32, 1)[:, 0]
+        out[order] = self._find("pairs", shard[order], keys[order], "count", 1)[:, 0]
         return out
 
     @staticmethod
