@@ -17,9 +17,9 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles.
 4. What a star can miss lies between members that are still in different
    components.  For a member x of centre H let a = |x - H| and r = |H - x|.  Two members
    of H without a common shingle outside of H can reach the threshold only if their
-   sizes a and r allow it (``_feasible``).  So the rest are those pairs, and pairs with
-   a common shingle outside of H, found by an equi-join on that shingle.  These
-   are confirmed on the full sets as well.
+   sizes a and r and the shingles of H that both lack allow it (``_reachable``).  So the
+   rest are those pairs, and pairs with enough common shingles outside of H, found and
+   counted by an equi-join on the shingle.  These are confirmed on the full sets as well.
 
 With 40 bands of 4 rows a pair at similarity 0.75 shares no bucket with a
 probability of 3e-7.
@@ -138,14 +138,14 @@ def _confirm(edges: DataFrame, sets: DataFrame) -> DataFrame:
     return both.withColumn("inter", F.size(F.array_intersect("sa", "sb")).cast("long"))
 
 
-def _feasible() -> Column:
-    """Can members x, y of one hub be similar without a common shingle outside of it?
+def _reachable(common_removed: Column, common_added: Column) -> Column:
+    """Are members x, y of one hub H similar, given how many shingles of H both lack and how many others both have?
 
-    |x ^ y| = ax + ay + rx + ry - 2i and |x | y| = |H| - i + ax + ay, where i, the shingles of
-    H that both lack, is at most min(rx, ry).  Similar means |x ^ y| <= (1 - t) |x | y|."""
-    i = F.least("x.r", "y.r")
-    differ = F.col("x.a") + F.col("y.a") + F.col("x.r") + F.col("y.r") - 2 * i
-    union = F.col("x.n_hub") - i + F.col("x.a") + F.col("y.a")
+    With i of the one and q of the other, |x ^ y| = ax + ay - 2q + rx + ry - 2i and |x | y| = |H| - i + ax + ay - q;
+    similar means |x ^ y| <= (1 - t) |x | y|.  More of either only brings a pair nearer, so with upper bounds this is
+    a necessary condition, with the true numbers an exact one."""
+    differ = F.col("x.a") + F.col("y.a") + F.col("x.r") + F.col("y.r") - 2 * common_removed - 2 * common_added
+    union = F.col("x.n_hub") - common_removed + F.col("x.a") + F.col("y.a") - common_added
     return F.lit(DEN) * differ <= F.lit(DEN - NUM) * union
 
 
@@ -194,7 +194,7 @@ def _classes(docs: DataFrame) -> DataFrame:
 
     starred = _confirm(star, sets).select(
         "a", "b", "na", "nb", "inter", (F.col("nb") - F.col("inter")).alias("x_a"), (F.col("na") - F.col("inter")).alias("x_r"),
-        F.array_except("sb", "sa").alias("added")).checkpoint()
+        F.array_except("sb", "sa").alias("added"), F.array_except("sa", "sb").alias("removed")).checkpoint()
     links = _links(starred)
     comp = components(links)
     # Edges to a bucket's own hub, as far as they still join two components.
@@ -243,15 +243,22 @@ def _rest(starred: DataFrame, comp: DataFrame) -> DataFrame:
              .withColumn("broot", root("b")).withColumn("aroot", root("a")))
     # A member in its hub's component needs a partner outside of it: those come first.
     loose = named.filter("aroot <> broot")
-    x = loose.select("a", F.col("b").alias("node"), F.col("broot").alias("root"), F.col("x_a").alias("a_"), F.col("x_r").alias("r"), F.col("na").alias("n_hub"), "added")
-    y = (named.join(loose.select("a").distinct(), "a", "left_semi")
-         .select("a", F.col("b").alias("node"), F.col("broot").alias("root"), F.col("x_a").alias("a_"), F.col("x_r").alias("r"), F.col("na").alias("n_hub"), "added"))
-    plain = lambda d: d.select(F.col("a").alias("hub"), "node", "root", F.col("a_").alias("a"), "r", "n_hub")
-    by_size = (plain(x).alias("x").join(plain(y).alias("y"), (F.col("x.hub") == F.col("y.hub")) & (F.col("x.root") != F.col("y.root")) & _feasible())
+    of = lambda d: d.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.col("broot").alias("root"), F.col("x_a").alias("a"),
+                            F.col("x_r").alias("r"), F.col("na").alias("n_hub"), "added", "removed")
+    x, y = of(loose), of(named.join(loose.select("a").distinct(), "a", "left_semi"))
+    apart = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.root") != F.col("y.root"))
+    low = F.least("x.r", "y.r")
+    # Without a common added shingle: first by sizes alone, then with the shingles both lack.
+    both_lack = F.size(F.array_intersect("x.removed", "y.removed")).cast("long")
+    by_size = (x.drop("added").alias("x").join(y.drop("added").alias("y"), apart & F.when(_reachable(low, F.lit(0)), _reachable(both_lack, F.lit(0))).otherwise(False))
                .select("x.node", F.col("y.node").alias("other")))
-    shingles = lambda d: d.select(F.col("a").alias("hub"), "node", "root", F.explode("added").alias("shingle"))
-    by_shingle = (shingles(x).alias("x").join(shingles(y).alias("y"), (F.col("x.hub") == F.col("y.hub")) & (F.col("x.shingle") == F.col("y.shingle"))
-                                               & (F.col("x.root") != F.col("y.root"))).select("x.node", F.col("y.node").alias("other")))
+    # With common added shingles: as many as the join finds for the pair.
+    shingles = lambda d: d.drop("removed").withColumn("shingle", F.explode("added")).drop("added")
+    by_shingle = (shingles(x).alias("x").join(shingles(y).alias("y"), apart & (F.col("x.shingle") == F.col("y.shingle")))
+                  .groupBy("x.hub", "x.node", F.col("y.node").alias("other"), "x.a", F.col("y.a").alias("y_a"), "x.r", F.col("y.r").alias("y_r"), "x.n_hub")
+                  .agg(F.count("*").alias("q")))
+    by_shingle = (by_shingle.select(F.struct("a", "r", "n_hub").alias("x"), F.struct(F.col("y_a").alias("a"), F.col("y_r").alias("r")).alias("y"), "node", "other", "q")
+                  .filter(_reachable(low, F.col("q"))).select("node", "other"))
     pairs = by_size.union(by_shingle)
     return pairs.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
 
