@@ -15,10 +15,12 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles.
    edge to the centre.  Edges are confirmed on the full sets and links joined to
    components; then edges to a bucket's own hub follow where they join components.
 4. What a star can miss lies between members that are still in different
-   components.  For a member x of centre H let a = |x - H| and r = |H - x|.  Two members
-   of H without a common shingle outside of H can reach the threshold only if their
-   sizes a and r and the shingles of H that both lack allow it (``_reachable``).  So the
-   rest are those pairs, and pairs with enough common shingles outside of H, found and
+   components.  A centre may itself be an edited copy, so the group's consensus C, the
+   shingles of more than half of its members, takes its place: the member nearest to C gets
+   edges to all others.  For a member x let a = |x - C| and r = |C - x|.  Two members
+   without a common shingle outside of C can reach the threshold only if their
+   sizes a and r and the shingles of C that both lack allow it (``_reachable``).  So the
+   rest are those pairs, and pairs with enough common shingles outside of C, found and
    counted by an equi-join on the shingle.  These are confirmed on the full sets as well.
 
 With 40 bands of 4 rows a pair at similarity 0.75 shares no bucket with a
@@ -139,9 +141,9 @@ def _confirm(edges: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _reachable(common_removed: Column, common_added: Column) -> Column:
-    """Are members x, y of one hub H similar, given how many shingles of H both lack and how many others both have?
+    """Are members x, y of one group similar, given how many shingles of its consensus C both lack and how many others both have?
 
-    With i of the one and q of the other, |x ^ y| = ax + ay - 2q + rx + ry - 2i and |x | y| = |H| - i + ax + ay - q;
+    With i of the one and q of the other, |x ^ y| = ax + ay - 2q + rx + ry - 2i and |x | y| = |C| - i + ax + ay - q;
     similar means |x ^ y| <= (1 - t) |x | y|.  More of either only brings a pair nearer, so with upper bounds this is
     a necessary condition, with the true numbers an exact one."""
     differ = F.col("x.a") + F.col("y.a") + F.col("x.r") + F.col("y.r") - 2 * common_removed - 2 * common_added
@@ -193,8 +195,7 @@ def _classes(docs: DataFrame) -> DataFrame:
     sets = _sets_of(texts, first)
 
     starred = _confirm(star, sets).select(
-        "a", "b", "na", "nb", "inter", (F.col("nb") - F.col("inter")).alias("x_a"), (F.col("na") - F.col("inter")).alias("x_r"),
-        F.array_except("sb", "sa").alias("added"), F.array_except("sa", "sb").alias("removed")).checkpoint()
+        "a", "b", "na", "nb", "inter", F.array_except("sb", "sa").alias("added"), F.array_except("sa", "sb").alias("removed")).checkpoint()
     links = _links(starred)
     comp = components(links)
     # Edges to a bucket's own hub, as far as they still join two components.
@@ -202,7 +203,17 @@ def _classes(docs: DataFrame) -> DataFrame:
     if found.head(1):
         links = links.union(found)
         comp = components(links)
-    rest = _apart(_rest(starred, comp), comp).join(near.select("a", "b"), ["a", "b"], "left_anti")
+    # A centre may itself be an edited copy: the member nearest to the consensus of each group gets its edges as well.
+    group = _from_consensus(starred, _shifts(starred, comp))
+    closeness = (F.col("n") - F.col("a")) / (F.col("n_hub") + F.col("a"))
+    nearest = group.groupBy("hub").agg(F.max(F.struct(closeness.alias("s"), "node", "n")).alias("near")).checkpoint()
+    second = (group.select("hub", "node", "n").join(nearest, "hub").filter("node <> near.node")
+              .select(F.col("near.node").alias("a"), F.col("near.n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb")).distinct())
+    found = _links(_confirm(_apart(second, comp), sets)).checkpoint()
+    if found.head(1):
+        links = links.union(found)
+        comp = components(links)
+    rest = _apart(_rest(group, nearest, comp), comp).join(near.select("a", "b"), ["a", "b"], "left_anti")
     sized = (rest.join(reps.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
              .join(reps.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b"))
     more = _links(_confirm(sized, sets)).checkpoint()
@@ -235,22 +246,49 @@ def _sets_of(near: DataFrame, first: DataFrame) -> DataFrame:
             .groupBy("node").agg(F.first("s").alias("s"))).checkpoint()
 
 
-def _rest(starred: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs of one hub's members in different components that the hub does not rule out."""
-    root = lambda side: F.coalesce(F.col(f"{side}root"), F.col(side))
-    named = (starred.join(comp.select(F.col("node").alias("b"), F.col("root").alias("broot")), "b", "left")
-             .join(comp.select(F.col("node").alias("a"), F.col("root").alias("aroot")), "a", "left")
-             .withColumn("broot", root("b")).withColumn("aroot", root("a")))
-    # A member in its hub's component needs a partner outside of it: those come first.
-    loose = named.filter("aroot <> broot")
-    of = lambda d: d.select(F.col("a").alias("hub"), F.col("b").alias("node"), F.col("broot").alias("root"), F.col("x_a").alias("a"),
-                            F.col("x_r").alias("r"), F.col("na").alias("n_hub"), "added", "removed")
-    x, y = of(loose), of(named.join(loose.select("a").distinct(), "a", "left_semi"))
+def _shifts(starred: DataFrame, comp: DataFrame) -> DataFrame:
+    """For each hub with a member outside of its component: what its members' consensus has more and less than the hub.
+
+    The consensus holds the shingles that more than half of the members have.  Only deviations from the hub are
+    counted, by (hub, shingle), so a hot hub is spread over all tasks."""
+    roots = comp.select(F.col("node").alias("b"), F.col("root").alias("broot"))
+    named = (starred.join(roots, "b", "left").join(roots.select(F.col("b").alias("a"), F.col("broot").alias("aroot")), "a", "left"))
+    members = (named.groupBy("a").agg(F.count("*").alias("m"), F.max(F.coalesce("aroot", "a") != F.coalesce("broot", "b")).alias("loose"))
+               .filter("m > 1 and loose").select("a", "m").checkpoint())
+    group = starred.join(members.select("a"), "a", "left_semi")
+    deviation = (group.select("a", F.explode("added").alias("shingle"), F.lit(True).alias("more"))
+                 .union(group.select("a", F.explode("removed").alias("shingle"), F.lit(False).alias("more"))))
+    common = (deviation.groupBy("a", "shingle", "more").agg(F.count("*").alias("c")).filter("c > 1").join(members, "a").filter("2 * c > m")
+              .groupBy("a").agg(F.collect_list(F.when(F.col("more"), F.col("shingle"))).alias("more"),
+                                F.collect_list(F.when(~F.col("more"), F.col("shingle"))).alias("less")))
+    none = F.array().cast("array<bigint>")
+    return members.select("a").join(common, "a", "left").select("a", F.coalesce("more", none).alias("more"), F.coalesce("less", none).alias("less")).checkpoint()
+
+
+def _from_consensus(starred: DataFrame, shifts: DataFrame) -> DataFrame:
+    """Members (node, n) of those hubs, with size and shingles of what they add to the consensus and lack of it."""
+    return starred.join(shifts, "a").select(
+        F.col("a").alias("hub"), F.col("b").alias("node"), F.col("nb").alias("n"),
+        (F.col("na") + F.size("more") - F.size("less")).alias("n_hub"),
+        F.concat(F.array_except("added", "more"), F.array_except("less", "removed")).alias("added"),
+        F.concat(F.array_except("removed", "less"), F.array_except("more", "added")).alias("removed")
+    ).withColumn("a", F.size("added").cast("long")).withColumn("r", F.size("removed").cast("long"))
+
+
+def _rest(group: DataFrame, nearest: DataFrame, comp: DataFrame) -> DataFrame:
+    """Pairs of one hub's members in different components that the consensus does not rule out."""
+    roots = lambda key, name: comp.select(F.col("node").alias(key), F.col("root").alias(name))
+    named = (group.join(nearest.select("hub", F.col("near.node").alias("centre")), "hub").join(roots("node", "root"), "node", "left")
+             .join(roots("centre", "main"), "centre", "left").withColumn("root", F.coalesce("root", "node")).withColumn("main", F.coalesce("main", "centre")))
+    # A member in the component of the group's nearest member needs a partner outside of it: those come first.
+    loose = named.filter("root <> main")
+    x, y = loose, named.join(loose.select("hub").distinct(), "hub", "left_semi")
     apart = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.root") != F.col("y.root"))
     low = F.least("x.r", "y.r")
     # Without a common added shingle: first by sizes alone, then with the shingles both lack.
     both_lack = F.size(F.array_intersect("x.removed", "y.removed")).cast("long")
-    by_size = (x.drop("added").alias("x").join(y.drop("added").alias("y"), apart & F.when(_reachable(low, F.lit(0)), _reachable(both_lack, F.lit(0))).otherwise(False))
+    few = lambda d: d.filter(F.lit(NUM) * F.col("a") <= F.lit(DEN - NUM) * F.col("n_hub")).drop("added")
+    by_size = (few(x).alias("x").join(few(y).alias("y"), apart & F.when(_reachable(low, F.lit(0)), _reachable(both_lack, F.lit(0))).otherwise(False))
                .select("x.node", F.col("y.node").alias("other")))
     # With common added shingles: as many as the join finds for the pair.
     shingles = lambda d: d.drop("removed").withColumn("shingle", F.explode("added")).drop("added")
