@@ -12,8 +12,9 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles.
 3. A bucket does not emit its pairs.  The member that meets most others over all
    its buckets is its hub.  Hubs are handed on once through the members' other buckets, so
    that the buckets of one group of copies agree on one centre, and each member gets one
-   edge to the centre.  Edges are confirmed on the full sets and links joined to
-   components; then edges to a bucket's own hub follow where they join components.
+   edge to the centre.  Edges are confirmed on the full sets; edges to a bucket's own hub
+   follow where their ends are not known to be linked to one centre.  Links are joined to
+   components.
 4. What a star can miss lies between members that are still in different
    components.  A centre may itself be an edited copy, so the group's consensus C, the
    shingles of more than half of its members, takes its place: the member nearest to C gets
@@ -118,7 +119,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         e = (small.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
@@ -196,29 +197,23 @@ def _classes(docs: DataFrame) -> DataFrame:
 
     starred = _confirm(star, sets).select(
         "a", "b", "na", "nb", "inter", F.array_except("sb", "sa").alias("added"), F.array_except("sa", "sb").alias("removed")).checkpoint()
+    # A centre may itself be an edited copy: the member nearest to the consensus of each group gets its edges as well,
+    # and so does a bucket's own hub, but for ends that are known to be linked to one centre.
     links = _links(starred)
-    comp = components(links)
-    # Edges to a bucket's own hub, as far as they still join two components.
-    found = _links(_confirm(_apart(near, comp), sets)).checkpoint()
-    if found.head(1):
-        links = links.union(found)
-        comp = components(links)
-    # A centre may itself be an edited copy: the member nearest to the consensus of each group gets its edges as well.
-    group = _from_consensus(starred, _shifts(starred, comp))
+    group = _from_consensus(starred, _shifts(starred))
     closeness = (F.col("n") - F.col("a")) / (F.col("n_hub") + F.col("a"))
     nearest = group.groupBy("hub").agg(F.max(F.struct(closeness.alias("s"), "node", "n")).alias("near")).checkpoint()
-    second = (group.select("hub", "node", "n").join(nearest, "hub").filter("node <> near.node")
-              .select(F.col("near.node").alias("a"), F.col("near.n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb")).distinct())
-    found = _links(_confirm(_apart(second, comp), sets)).checkpoint()
-    if found.head(1):
-        links = links.union(found)
-        comp = components(links)
+    second = (_with_small(group.select("hub", "node", "n"), nearest, "hub").filter("node <> near.node")
+              .select(F.col("near.node").alias("a"), F.col("near.n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb")))
+    labels = links.groupBy(F.col("v").alias("node")).agg(F.max("u").alias("root"))
+    links = links.union(_links(_confirm(_apart(near.union(second.select(*near.columns)).distinct(), labels), sets))).checkpoint()
+    comp = components(links)
     rest = _apart(_rest(group, nearest, comp), comp).join(near.select("a", "b"), ["a", "b"], "left_anti")
     sized = (rest.join(reps.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
              .join(reps.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b"))
     more = _links(_confirm(sized, sets)).checkpoint()
     if more.head(1):
-        comp = components(links.union(more))
+        comp = components(comp.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
     return _label(rows, comp)
 
 
@@ -246,19 +241,22 @@ def _sets_of(near: DataFrame, first: DataFrame) -> DataFrame:
             .groupBy("node").agg(F.first("s").alias("s"))).checkpoint()
 
 
-def _shifts(starred: DataFrame, comp: DataFrame) -> DataFrame:
-    """For each hub with a member outside of its component: what its members' consensus has more and less than the hub.
+def _with_small(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
+    """Equi-join: the other side is counted, and broadcast only up to BROADCAST_ROWS rows of a few numbers each."""
+    return df.join(F.broadcast(other) if other.count() <= BROADCAST_ROWS else other.hint("merge"), on)
+
+
+def _shifts(starred: DataFrame) -> DataFrame:
+    """For each hub with a member unlike it: what its members' consensus has more and less than the hub.
 
     The consensus holds the shingles that more than half of the members have.  Only deviations from the hub are
     counted, by (hub, shingle), so a hot hub is spread over all tasks."""
-    roots = comp.select(F.col("node").alias("b"), F.col("root").alias("broot"))
-    named = (starred.join(roots, "b", "left").join(roots.select(F.col("b").alias("a"), F.col("broot").alias("aroot")), "a", "left"))
-    members = (named.groupBy("a").agg(F.count("*").alias("m"), F.max(F.coalesce("aroot", "a") != F.coalesce("broot", "b")).alias("loose"))
-               .filter("m > 1 and loose").select("a", "m").checkpoint())
-    group = starred.join(members.select("a"), "a", "left_semi")
+    unlike = F.max(~_similar(F.col("inter"), F.col("na"), F.col("nb")))
+    members = starred.groupBy("a").agg(F.count("*").alias("m"), unlike.alias("loose")).filter("m > 1 and loose").select("a", "m").checkpoint()
+    group = semi_by_size(starred, members.select("a"), "a")
     deviation = (group.select("a", F.explode("added").alias("shingle"), F.lit(True).alias("more"))
                  .union(group.select("a", F.explode("removed").alias("shingle"), F.lit(False).alias("more"))))
-    common = (deviation.groupBy("a", "shingle", "more").agg(F.count("*").alias("c")).filter("c > 1").join(members, "a").filter("2 * c > m")
+    common = (_with_small(deviation.groupBy("a", "shingle", "more").agg(F.count("*").alias("c")).filter("c > 1"), members, "a").filter("2 * c > m")
               .groupBy("a").agg(F.collect_list(F.when(F.col("more"), F.col("shingle"))).alias("more"),
                                 F.collect_list(F.when(~F.col("more"), F.col("shingle"))).alias("less")))
     none = F.array().cast("array<bigint>")
@@ -267,7 +265,8 @@ def _shifts(starred: DataFrame, comp: DataFrame) -> DataFrame:
 
 def _from_consensus(starred: DataFrame, shifts: DataFrame) -> DataFrame:
     """Members (node, n) of those hubs, with size and shingles of what they add to the consensus and lack of it."""
-    return starred.join(shifts, "a").select(
+    hashes = shifts.agg(F.sum(F.size("more") + F.size("less") + 4)).first()[0] or 0
+    return starred.join(F.broadcast(shifts) if hashes <= BROADCAST_ROWS else shifts.hint("merge"), "a").select(
         F.col("a").alias("hub"), F.col("b").alias("node"), F.col("nb").alias("n"),
         (F.col("na") + F.size("more") - F.size("less")).alias("n_hub"),
         F.concat(F.array_except("added", "more"), F.array_except("less", "removed")).alias("added"),
@@ -278,11 +277,11 @@ def _from_consensus(starred: DataFrame, shifts: DataFrame) -> DataFrame:
 def _rest(group: DataFrame, nearest: DataFrame, comp: DataFrame) -> DataFrame:
     """Pairs of one hub's members in different components that the consensus does not rule out."""
     roots = lambda key, name: comp.select(F.col("node").alias(key), F.col("root").alias(name))
-    named = (group.join(nearest.select("hub", F.col("near.node").alias("centre")), "hub").join(roots("node", "root"), "node", "left")
+    named = (_with_small(group, nearest.select("hub", F.col("near.node").alias("centre")), "hub").join(roots("node", "root"), "node", "left")
              .join(roots("centre", "main"), "centre", "left").withColumn("root", F.coalesce("root", "node")).withColumn("main", F.coalesce("main", "centre")))
     # A member in the component of the group's nearest member needs a partner outside of it: those come first.
     loose = named.filter("root <> main")
-    x, y = loose, named.join(loose.select("hub").distinct(), "hub", "left_semi")
+    x, y = loose, semi_by_size(named, loose.select("hub").distinct().checkpoint(), "hub")
     apart = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.root") != F.col("y.root"))
     low = F.least("x.r", "y.r")
     # Without a common added shingle: first by sizes alone, then with the shingles both lack.
