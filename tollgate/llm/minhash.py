@@ -49,6 +49,7 @@ from tollgate.session import ensure_checkpoint_dir
 BANDS, ROWS, WORDS = 40, 4, 5
 #: Similarity of 0.75 or more, as a fraction of whole numbers.
 NUM, DEN = 75, 100
+EDGES_A_PART = 100_000
 
 
 def shingle_set(text: bytes | None, hashes: WordHashes, words: int = WORDS) -> np.ndarray:
@@ -116,6 +117,9 @@ def components(edges: DataFrame) -> DataFrame:
     mark = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     e = (edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()).checkpoint()
     seen = mark(e)
+    # The edges never become more, so the first count sizes the written partitions of every round.
+    parts = 8 + seen[0] // EDGES_A_PART
+    e = e.coalesce(parts)
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -123,7 +127,7 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u")
         e = (small.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
-             .union(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()).checkpoint()
+             .union(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()).coalesce(parts).checkpoint()
         now = mark(e)
         if now == seen:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
