@@ -134,6 +134,12 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now
 
 
+def _release(df: DataFrame) -> None:
+    """Shuffle files of steps that are checkpointed have no reader left; Spark removes them when the
+    driver's collector finds them, so on a long job it is asked to look."""
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def _similar(inter, size_a, size_b):
     return F.lit(DEN) * inter >= F.lit(NUM) * (size_a + size_b - inter)
 
@@ -191,6 +197,9 @@ def _classes(docs: DataFrame) -> DataFrame:
     star, local = _spokes(entry, centres).checkpoint(), _spokes(entry, hubs)
     near = local.join(star.select("a", "b"), ["a", "b"], "left_anti").checkpoint()
 
+    del entry, shared, weight, hubs, best, centres, local
+    _release(docs)
+
     # The sets of all nodes with a candidate edge: texts are hashed anew for these alone.
     ends = star.select("a", "b").union(near.select("a", "b"))
     wanted = ends.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -209,9 +218,11 @@ def _classes(docs: DataFrame) -> DataFrame:
     nearest = group.groupBy("hub").agg(F.max(F.struct(closeness.alias("s"), "node", "n")).alias("near")).checkpoint()
     second = (_with_small(group.select("hub", "node", "n"), nearest, "hub").filter("node <> near.node")
               .select(F.col("near.node").alias("a"), F.col("near.n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb")))
+    _release(docs)
     labels = links.groupBy(F.col("v").alias("node")).agg(F.max("u").alias("root"))
     links = links.union(_links(_confirm(_apart(near.union(second.select(*near.columns)).distinct(), labels), sets))).checkpoint()
     comp = components(links)
+    _release(docs)
     rest = _apart(_rest(group, nearest, comp), comp).join(near.select("a", "b"), ["a", "b"], "left_anti")
     sized = (rest.join(reps.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
              .join(reps.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b"))
