@@ -224,9 +224,10 @@ def _classes(docs: DataFrame) -> DataFrame:
     comp = components(links)
     _release(docs)
     rest = _apart(_rest(group, nearest, comp), comp).join(near.select("a", "b"), ["a", "b"], "left_anti")
-    sized = (rest.join(reps.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-             .join(reps.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b"))
-    more = _links(_confirm(sized, sets)).checkpoint()
+    # Few pairs are left: their sets are picked out before the joins.
+    rest = rest.checkpoint()
+    few = semi_by_size(sets, rest.select(F.explode(F.array("a", "b")).alias("node")).distinct().checkpoint(), "node")
+    more = _links(_confirm(rest, few).withColumn("na", F.size("sa").cast("long")).withColumn("nb", F.size("sb").cast("long"))).checkpoint()
     if more.head(1):
         comp = components(comp.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
     return _label(rows, comp)
