@@ -8,6 +8,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from tollgate.llm import packing
+from tollgate.llm.common import TokenBytes
 from tollgate.sources.tables import table
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -71,3 +72,15 @@ def test_three_limits(spark):
     for r in rows:
         got[r["doc_id"]] += r["length"]
     assert got == tokens
+
+
+def test_ids_equal_the_whole_tokenizers():
+    whole = Tokenizer.from_file(PATH)
+    texts = ["It's 's a.b \"Foo\" foo's ÀÉ×÷ ǅ İstanbul été 中文, foo_bar A'd\tB\r\nC\x0b d  z ﬁ ªº µ ß SS ÿŸ ...", "", None, " \n ", "'",
+             "don't. (can't) !!!word??? $$$ a-b 12ab 3.5% $word$ word", "가 á̧.", "x <|endoftext|> <|startoftext|>x word<|endoftext|>,"]
+    tokens = TokenBytes(PATH)
+    tokens.LIMIT, tokens.TEXT_CHARS = 8, 60
+    assert tokens.merges is not None
+    for _ in range(2):
+        for text, ids in zip(texts, tokens.encode_all(texts), strict=True):
+            assert np.frombuffer(ids, dtype="<u4").tolist() == whole.encode(text or "", add_special_tokens=False).ids, text

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
 import posixpath
+import re
+import string
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -167,31 +170,98 @@ class SharedFolder:
             return np.memmap(copy, dtype=dtype, mode="r") if copy.tell() else np.empty(0, dtype)
 
 
-class TokenBytes(dict):
-    """Chunk of text without blanks -> its token ids as little-endian unsigned 32-bit bytes.
+class TokenBytes:
+    """Texts -> their token ids as little-endian unsigned 32-bit bytes.
 
     The vocabulary drops white space and its pre-tokenizer never crosses a blank, so
-    encoding the chunks between blanks and newlines gives the ids of the whole text,
-    and each distinct chunk is encoded once per task.
+    the chunks between blanks and newlines, encoded one by one, give the ids of the whole
+    text.  Known chunks are kept per task, in two generations of at most ``LIMIT``.
+
+    A chunk that is one word of Latin letters, with signs before or after it, is taken
+    apart: the signs and the word are tokens of the pre-tokenizer each.  New words go
+    through the merges alone, many at once, and are cut at the end-of-word ids.  Whether
+    a tokenizer allows this is read from its file; all other chunks take the whole way.
     """
 
-    LIMIT = 400_000
+    LIMIT = 300_000
+    TEXT_CHARS = 1 << 20
+    SIGNS = re.escape(string.punctuation.replace("'", ""))
+    WORD = re.compile(f"([{SIGNS}]*)([A-Za-zÀ-ÖØ-öø-ÿ]+)([{SIGNS}]*)")
 
     def __init__(self, path: str, special: bool = False):
-        super().__init__()
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special
-
-    def encode(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").split(" ")
-        new = [c for c in set(chunks) if c not in self]
-        if len(self) + len(new) > self.LIMIT:
-            self.clear()
-            new = list(set(chunks))
-        if new:
-            for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self[c] = np.asarray(e.ids, dtype="<u4").tobytes()
-        return b"".join(map(self.__getitem__, chunks))
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.merges = None
+        if self._words_stand_alone():
+            self.merges = Tokenizer.from_file(path)
+            self.merges.normalizer = None
+            self.merges.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+            vocabulary = self.tokenizer.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+
+    def _words_stand_alone(self) -> bool:
+        """Lower-casing, runs of letters and runs of signs as tokens, an end-of-word suffix, no unknown id."""
+        form = json.loads(self.tokenizer.to_str())
+        steps = [x["type"] for x in (form["normalizer"] or {}).get("normalizers", [])]
+        before = (form["pre_tokenizer"] or {}).get("pretokenizers", [])
+        return (steps == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in before] == ["Split", "ByteLevel"]
+                and before[0]["pattern"].get("Regex") == r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+                and form["model"]["type"] == "BPE" and form["model"]["end_of_word_suffix"] == "</w>" and form["model"]["unk_token"] is None)
+
+    def _slow(self, chunks: list[str]) -> None:
+        for c, e in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False), strict=True):
+            self.known[c] = np.asarray(e.ids, dtype="<u4").tobytes()
+
+    def _words(self, words: list[str]) -> None:
+        """Lower-case words of Latin letters."""
+        for i in range(0, len(words), 4096):
+            some = words[i:i + 4096]
+            ids = np.asarray(self.merges.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
+            data, begin = ids.tobytes(), 0
+            for word, end in zip(some, ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist(), strict=True):
+                self.known[word] = data[begin:end]
+                begin = end
+
+    def _learn(self, chunks: set[str], special: bool) -> None:
+        """``special``: an added token of the vocabulary may occur in a chunk."""
+        new = chunks.difference(self.known)
+        if len(self.known) + len(new) > self.LIMIT:
+            self.older, self.known, new = self.known, {}, chunks
+        old = [c for c in new if c in self.older]
+        self.known.update((c, self.older[c]) for c in old)
+        new = new.difference(old)
+        if self.merges is None:
+            self._slow(list(new))
+            return
+        matched = [m for m in map(self.WORD.fullmatch, new) if m and not (special and any(x in m[0] for x in self.added))]
+        split = [(m[0], m[1], m[2].lower(), m[3]) for m in matched]
+        signs = {s for _, a, _, b in split for s in (a, b)}
+        self._slow(list(new.difference([c for c, *_ in split]).union(signs).difference(self.known)))
+        self._words(list({w for _, _, w, _ in split}.difference(self.known)))
+        self.known.update((c, self.known[a] + self.known[w] + self.known[b]) for c, a, w, b in split)
+
+    def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each text, in order; texts are looked up together, up to TEXT_CHARS characters at once."""
+        begin = 0
+        while begin < len(texts):
+            end, size = begin, 0
+            while end < len(texts) and (end == begin or size + len(texts[end] or "") <= self.TEXT_CHARS):
+                size += len(texts[end] or "")
+                end += 1
+            chunks = [(t or "").replace("\n", " ").split(" ") for t in texts[begin:end]]
+            special = self.merges is not None and any(x in t for t in texts[begin:end] if t for x in self.added)
+            self._learn(set().union(*chunks), special)
+            for c in chunks:
+                yield b"".join(map(self.known.__getitem__, c))
+            begin = end
+
+    def encode(self, text: str | None) -> bytes:
+        return next(self.encode_all([text]))

@@ -176,11 +176,13 @@ def pack(docs: DataFrame, tokenizer: str, limits: Limits = Limits(), end_id: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, packer = TokenBytes(tokenizer), Packer(limits, TaskContext.get().partitionId())
         for b in chunked(batches, 256):
-            for doc, body in zip(column(b, "doc_id").to_pylist(), column(b, "parts" if parts else "text").to_pylist(), strict=True):
+            bodies = column(b, "parts" if parts else "text").to_pylist()
+            whole = iter(bodies) if parts else tokens.encode_all(bodies)
+            for doc, body in zip(column(b, "doc_id").to_pylist(), whole, strict=True):
                 if not parts:
-                    ids, loss = tokens.encode(body or "") + end, None
+                    ids, loss = body + end, None
                 else:
-                    own = [(tokens.encode(x["text"] or ""), bool(x["loss"])) for x in body or [] if x]
+                    own = [(tokens.encode(x["text"]), bool(x["loss"])) for x in body or [] if x]
                     ids = b"".join(x for x, _ in own) + end
                     bears = np.concatenate([np.full(len(x) // 4, y) for x, y in own] + [np.array([own[-1][1] if own else True])])
                     loss = np.concatenate(([0], np.cumsum(bears)))

@@ -44,8 +44,8 @@ def write_tokens(docs: DataFrame, folder: SharedFolder, tokenizer: str, separato
         stream, commit = folder.writer(name)
         ordinal, size = 0, 0
         for b in chunked(batches, 512):
-            for text in column(b, "text").to_pylist():
-                data = np.frombuffer(tokens.encode(text or ""), dtype="<u4").astype(DTYPE).tobytes()
+            for ids in tokens.encode_all(column(b, "text").to_pylist()):
+                data = np.frombuffer(ids, dtype="<u4").astype(DTYPE).tobytes()
                 stream.write(data + end)
                 size += len(data) + len(end)
             n = b.num_rows
