@@ -35,6 +35,9 @@ from pyspark.sql import functions as F
 from tollgate.llm.common import chunked, column, held_out
 
 TRAIN_PER_LANG, LANDMARKS_PER_LANG, MAX_LANGS = 300, 48, 64
+#: Times TRAIN_PER_LANG rows of a language are expected below its hash bound; fewer than one time them has no
+#: noticeable chance, unless its rows share few ids.
+CHOICE = 4
 RIDGE = 1.0
 UNKNOWN_LANG = "und"
 
@@ -110,9 +113,12 @@ def fit(docs: DataFrame) -> KernelModel | None:
     """Learns from the bounded sample of rows that are not held out."""
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
             .filter("lang is not null and doc_id is not null").filter(~held_out(F.col("doc_id"), 3)))
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).select("lang")
+    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS)
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
+    # By the language's own count only so many hashes are low enough to be looked at: no task ranks a whole language.
+    share = F.least(F.lit(1.0), F.lit(float(CHOICE * TRAIN_PER_LANG)) / F.col("count"))
     sample = (rows.join(F.broadcast(top), "lang").withColumn("h", F.xxhash64("doc_id"))
+              .filter((share >= 1) | (F.col("h") / F.lit(2.0 ** 64) + 0.5 < share))
               .withColumn("place", F.row_number().over(first)).filter(F.col("place") <= TRAIN_PER_LANG).select("doc_id", "lang", "place"))
     learned = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
                .join(F.broadcast(sample), ["doc_id", "lang"]).orderBy("lang", "place", "doc_id").collect())
