@@ -21,8 +21,8 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles.
    edges to all others.  For a member x let a = |x - C| and r = |C - x|.  Two members
    without a common shingle outside of C can reach the threshold only if their
    sizes a and r and the shingles of C that both lack allow it (``_reachable``).  So the
-   rest are those pairs, and pairs with enough common shingles outside of C, found and
-   counted by an equi-join on the shingle.  These are confirmed on the full sets as well.
+   rest are those pairs, and pairs with enough common shingles outside of C, found by an
+   equi-join on the rarest of them (``_rarest``) and then counted.  These are confirmed on the full sets as well.
 
 With 40 bands of 4 rows a pair at similarity 0.75 shares no bucket with a
 probability of 3e-7.
@@ -40,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import BROADCAST_ROWS, GOLDEN, WordHashes, column, lower_words, mix64, ngram_hashes, semi_by_size, utf8
@@ -305,17 +305,35 @@ def _rest(group: DataFrame, nearest: DataFrame, comp: DataFrame) -> DataFrame:
     few = lambda d: d.filter(F.lit(NUM) * F.col("a") <= F.lit(DEN - NUM) * F.col("n_hub")).drop("added")
     by_size = (few(x).alias("x").join(few(y).alias("y"), apart & F.when(_reachable(low, F.lit(0)), _reachable(both_lack, F.lit(0))).otherwise(False))
                .select("x.node", F.col("y.node").alias("other")))
-    # With common added shingles: as many as the join finds for the pair.
-    shingles = lambda d: d.drop("removed").withColumn("shingle", F.explode("added")).drop("added")
-    by_shingle = (shingles(x).alias("x").join(shingles(y).alias("y"), apart & (F.col("x.shingle") == F.col("y.shingle")))
-                  .groupBy("x.hub", "x.node", F.col("y.node").alias("other"), "x.a", F.col("y.a").alias("y_a"), "x.r", F.col("y.r").alias("y_r"), "x.n_hub")
-                  .agg(F.count("*").alias("q")))
-    by_shingle = (by_shingle.select(F.struct("a", "r", "n_hub").alias("x"), F.struct(F.col("y_a").alias("a"), F.col("y_r").alias("r")).alias("y"), "node", "other", "q")
-                  .filter(_reachable(low, F.col("q"))).select("node", "other"))
+    # With common added shingles: pairs that meet in one of the rarest, which are counted in full after that.
+    rare_x, rare_y = _rarest(y)
+    meet = (rare_x.alias("x").join(rare_y.alias("y"), apart & (F.col("x.shingle") == F.col("y.shingle")) & _reachable(low, F.least("x.a", "y.a")))
+            .select("x.hub", "x.node", F.col("y.node").alias("other")).distinct().checkpoint())
+    ends = semi_by_size(y, meet.select(F.explode(F.array("node", "other")).alias("node")).distinct().checkpoint(), "node")
+    x_end, y_end = (ends.select("hub", F.col("node").alias(name), F.struct("a", "r", "n_hub", "added").alias(side)) for name, side in (("node", "x"), ("other", "y")))
+    by_shingle = (meet.join(y_end, ["hub", "other"]).join(x_end, ["hub", "node"])
+                  .filter(_reachable(low, F.size(F.array_intersect("x.added", "y.added")).cast("long"))).select("node", "other"))
     pairs = by_size.union(by_shingle)
     return pairs.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
 
 
+def _rarest(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(hub, node, root, a, r, n_hub, shingle) of the added shingles a similar pair must meet in, for the loose members and for all.
+
+    From ``_reachable`` with a >= q and r >= i on the other side: a member needs q >= (t a + (1 - t)(r - |C|)) common added
+    shingles, whoever its partner is.  With the shingles of a hub in one order, the rarest first, two sets with
+    q or more in common meet in the first a - q + 1 of either.  So a shingle that many members share is joined only for members
+    that need it.  Shingles of one member alone stand first and meet nothing; they are only counted."""
+    each = members.drop("removed").withColumn("shingle", F.explode("added")).drop("added")
+    shared = each.groupBy("hub", "shingle").agg(F.count("*").alias("c")).filter("c > 1")
+    need = F.greatest(F.lit(1), F.ceil((F.lit(NUM) * F.col("a") + F.lit(DEN - NUM) * (F.col("r") - F.col("n_hub"))) / F.lit(DEN)))
+    own = Window.partitionBy("hub", "node")
+    rare = (each.join(shared, ["hub", "shingle"]).withColumn("alone", F.col("a") - F.count("*").over(own))
+            .withColumn("place", F.row_number().over(own.orderBy("c", "shingle")) + F.col("alone"))
+            .filter(F.col("place") <= F.col("a") - need + 1).select("hub", "node", "root", "main", "a", "r", "n_hub", "shingle")).checkpoint()
+    return rare.filter("root <> main"), rare
+
+
 def _label(rows: DataFrame, comp: DataFrame) -> DataFrame:
     member = (rows.select("doc_id", "text_hash", "n_shingles", "node").join(comp, "node", "left")
               .withColumn("root", F.coalesce("root", "node")))
