@@ -38,3 +38,24 @@ def test_whole_items_of_the_benchmark(spark):
     d = b.selectExpr("item_id as doc_id", f"concat('{FILL} ', text, ' {FILL}') as text")
     got = {(r["doc_id"], r["item_id"]) for r in decontam.contamination(d, b).collect()}
     assert {(r[0], r[0]) for r in b.select("item_id").collect()} <= got
+
+
+def test_runs_on_other_diagonals(spark):
+    """An item is found though inserted or removed tokens, or longer names, cut it into runs that are too short alone."""
+    words = [f"{a}{b}" for a in ("alba", "bero", "cinu") for b in "abcdefghijklmno"]
+    long = " ".join(words)
+    runs = [" ".join(words[i:i + 15]) for i in (0, 15, 30)]
+    name = "yesterday Anna bought seven green apples at that small market and then Anna gave two rotten ones back to him"
+    items = [(1, long), (2, name), (3, f"{long} " + " ".join(f"tail{chr(97 + i)}{chr(97 + j)}" for i in range(12) for j in range(12)))]
+    docs = [(1, f"{FILL} {runs[0]} x y {runs[1]} x y z {runs[2]} {FILL}"), (2, name.replace("Anna", "Anna Maria")), (3, f"{runs[0]} {FILL} {FILL}"),
+            (4, f"{' '.join(words[:13])} {' '.join(words[16:29])} {' '.join(words[32:])}"), (5, f"{runs[0]} {FILL * 9} {runs[1]} {FILL * 9} {runs[2]}"),
+            (6, f"{runs[0]} x y {runs[1]} {FILL} {long} {FILL}")]
+    got = found(spark, docs, items)
+    assert got == [(1, 1, "copy"), (1, 3, "copy"), (2, 2, "reparameterised"), (4, 1, "copy"), (4, 3, "copy"), (6, 1, "copy"), (6, 3, "copy")]
+    assert found(spark, docs, items, limit=0) == got
+
+
+def test_values_changed_one_by_one(spark):
+    item = "she buys 3 apples and 3 pears at the market and walks home with all of them in one bag"
+    assert found(spark, [(1, item.replace("3 apples", "5 apples").replace("3 pears", "7 pears"))], [(1, item)]) == [(1, 1, "reparameterised")]
+    assert found(spark, [(6, ITEM.upper())]) == [(6, 1, "copy")]

@@ -8,10 +8,13 @@ on the hash.  A benchmark window counts only with ``MIN_WORDS`` different plain
 runs of placeholders are no evidence.
 
 Matches of a document and an item on one diagonal (document position less item position) are
-one occurrence.  It is contamination when its windows cover ``COVER`` of the item's tokens or
-``LONG_RUN`` tokens, and its slots are consistent: inside the occurrence a value of the item (a
-number, unit or name) always stands for the same value of the document.  Equal values make
-the verdict ``copy``, others ``reparameterised``.
+one occurrence.  Its slots are consistent if no value of the item (a number, unit or name) stands
+for itself in one slot and for another value in a second (another part of the same name is none).  Inserted and removed tokens shift the
+rest to other diagonals, so consistent occurrences are also joined: those whose diagonals are within the
+item's length, to be held against ``COVER``, and those within ``WINDOW`` tokens, for both limits;
+all of them, and those with equal values alone.  An occurrence, alone or joined, is contamination when its
+windows cover ``COVER`` of the item's tokens or ``LONG_RUN`` tokens and its slots are consistent.  Equal values
+make the verdict ``copy``, others ``reparameterised``.  The largest one is reported.
 
 The benchmark's windows are counted and broadcast only up to ``BROADCAST_ROWS``; beyond
 that the join shuffles, where Spark splits hot hashes.
@@ -73,6 +76,31 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return w.filter(F.size(F.array_distinct(plain)) >= MIN_WORDS).drop("t")
 
 
+def consistent(slots: Column) -> Column:
+    """No value of the item stands for itself and for another value; another part of the same name is no other value."""
+    items = lambda keep: F.transform(F.filter(slots, keep), lambda s: s["item"])
+    return ~F.arrays_overlap(items(lambda s: s["item"] == s["doc"]), items(lambda s: (s["item"] != s["doc"]) & ~s["part"]))
+
+
+def _in_name(tokens: Column, at: Column, name: Column) -> Column:
+    """Whether the token at a place (from 1) and the name are in one run of names, at most two apart."""
+    token = lambda k: F.coalesce(F.get(tokens, at - 1 + k), F.lit(""))
+    beside = lambda k: (token(k) == name) | (token(k).startswith(NAME_MARK) & (token(2 * k) == name))
+    return name.startswith(NAME_MARK) & token(0).startswith(NAME_MARK) & (beside(1) | beside(-1))
+
+
+def equal(slots: Column) -> Column:
+    return F.forall(slots, lambda s: s["item"] == s["doc"])
+
+
+def _groups(diagonal: Column, n_tokens: Column, same: Column) -> Column:
+    """The groups (width, place, only) of an occurrence: its own diagonal (width 0), and for each width the two ranges of twice that
+    width that hold its diagonal, so that diagonals within one width of each other share a range; ``only`` for those of equal values."""
+    group = lambda width, place, only: F.struct(width.cast("int").alias("width"), place.cast("long").alias("place"), F.lit(only).alias("only"))
+    ranges = lambda only: F.array(*[group(w, F.floor(diagonal / w) + k, only) for w in (F.lit(WINDOW), F.greatest(n_tokens, F.lit(WINDOW + 1))) for k in (0, 1)])
+    return F.concat(F.array(group(F.lit(0), diagonal, False)), ranges(False), F.when(same, ranges(True)).otherwise(F.slice(ranges(True), 1, 0)))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """One row per document and item: doc_id, item_id, n_windows, covered, item_tokens, doc_start, doc_end, verdict."""
     ensure_checkpoint_dir(docs.sparkSession)
@@ -90,21 +118,28 @@ def contamination(docs: DataFrame, benchmark: DataFrame, limit: int = BROADCAST_
     spread = near.select("doc_id", "raw", F.posexplode_outer(window_hashes(template(F.col("raw")))).alias("doc_at", "w"))
     found = spread.join(F.broadcast(windows) if small else windows.hint("merge"), "w")
     same = F.transform(F.sequence(F.lit(1), F.lit(WINDOW)), lambda i: F.struct(
-        F.element_at("item_raw", F.col("item_at") + i).alias("item"), F.element_at("raw", F.col("doc_at") + i).alias("doc")))
+        F.element_at("item_raw", F.col("item_at") + i).alias("item"), F.element_at("raw", F.col("doc_at") + i).alias("doc"),
+        (_in_name(F.col("raw"), F.col("doc_at") + i, F.element_at("item_raw", F.col("item_at") + i))
+         | _in_name(F.col("item_raw"), F.col("item_at") + i, F.element_at("raw", F.col("doc_at") + i))).alias("part")))
     slots = F.filter(same, lambda s: kind(s["item"]).isNotNull())
     found = found.select("doc_id", "item_id", "n_tokens", "item_at", "doc_at", (F.col("doc_at") - F.col("item_at")).alias("diagonal"), slots.alias("slots"))
     occurrence = found.groupBy("doc_id", "item_id", "n_tokens", "diagonal").agg(
         F.array_sort(F.collect_set("item_at")).alias("at"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+    occurrence = occurrence.filter(consistent(F.col("slots"))).select(
+        "doc_id", "item_id", "n_tokens", "at", "slots", (F.element_at("at", 1) + F.col("diagonal")).alias("doc_start"),
+        (F.element_at("at", -1) + F.col("diagonal") + WINDOW).alias("doc_end"), F.explode(_groups(F.col("diagonal"), F.col("n_tokens"), equal(F.col("slots")))).alias("g"))
+    joined = occurrence.groupBy("doc_id", "item_id", "n_tokens", "g").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("at")))).alias("at"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"),
+        F.min("doc_start").alias("doc_start"), F.max("doc_end").alias("doc_end"))
     # Tokens of the item under its matched windows: a window adds what the one before does not reach.
     before = F.concat(F.array(F.lit(-WINDOW)), F.slice("at", 1, F.size("at") - 1))
     covered = F.aggregate(F.zip_with("at", before, lambda x, y: F.least(x - y, F.lit(WINDOW))), F.lit(0), lambda acc, x: acc + x)
-    occurrence = occurrence.select(
-        "doc_id", "item_id", F.col("n_tokens").alias("item_tokens"), F.size("at").alias("n_windows"), covered.alias("covered"),
-        (F.element_at("at", 1) + F.col("diagonal")).alias("doc_start"), (F.element_at("at", -1) + F.col("diagonal") + WINDOW).alias("doc_end"),
-        (F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda s: s["item"])))).alias("consistent"),
-        F.forall("slots", lambda s: s["item"] == s["doc"]).alias("equal"))
-    evidence = occurrence.filter((F.col("covered") >= COVER * F.col("item_tokens")) | (F.col("covered") >= LONG_RUN)).filter("consistent")
-    best = evidence.groupBy("doc_id", "item_id").agg(F.max(F.struct("covered", "equal", (-F.col("doc_start")).alias("first"), "n_windows", "item_tokens", "doc_end")).alias("b"))
+    joined = joined.filter(consistent(F.col("slots"))).select(
+        "doc_id", "item_id", F.col("n_tokens").alias("item_tokens"), F.size("at").alias("n_windows"), covered.alias("covered"), "doc_start", "doc_end",
+        F.col("g.width").alias("width"), equal(F.col("slots")).alias("equal"))
+    evidence = joined.filter((F.col("covered") >= COVER * F.col("item_tokens")) | ((F.col("covered") >= LONG_RUN) & (F.col("width") <= WINDOW)))
+    best = evidence.groupBy("doc_id", "item_id").agg(F.max(F.struct(
+        "covered", (-F.col("width")).alias("narrow"), "equal", (-F.col("doc_start")).alias("first"), "n_windows", "item_tokens", "doc_end")).alias("b"))
     return best.select("doc_id", "item_id", F.col("b.n_windows").cast("long").alias("n_windows"), F.col("b.covered").cast("long").alias("covered"),
                        F.col("b.item_tokens").cast("long").alias("item_tokens"), (-F.col("b.first")).cast("long").alias("doc_start"),
                        F.col("b.doc_end").cast("long").alias("doc_end"), F.when(F.col("b.equal"), "copy").otherwise("reparameterised").alias("verdict"))
