@@ -37,3 +37,24 @@ def test_joined_references_judge_alike(spark):
     assert whole.pop(1001)["kept"] and joined.pop(1001)["kept"]  # a null language has the held references alone
     assert whole == joined
     assert not whole[1000]["kept"] and whole[1002]["kept"] and all(whole[100 * k]["word_distance"] is not None for k in range(3))
+
+
+def test_salad_and_wrong_language_go(spark):
+    """On the given documents: texts without common words, identifiers, and texts under another language's name."""
+    from tollgate.sources.tables import table
+
+    sf = "/root/testdata/sf0.01"
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    good = [r[0] for r in table(spark, sf, "labels").filter("quality = 1").collect()]
+    clean = [tuple(r) for r in docs.filter(docs["doc_id"].isin(good)).collect()]
+    rng = random.Random(5)
+    bad = [(-1 - i, prose(rng, "q", 60 + 20 * i, 0), "en") for i in range(10)]
+    bad += [(-20 - i, " ".join(f"id_{rng.randrange(10**9)}" for _ in range(80)), "de") for i in range(3)]
+    # Few and short ones, so that the references stay those of their languages.
+    other = [(-1000 - i, t, to) for own, to in (("en", "de"), ("de", "fr")) for i, t in [(i, t) for i, t, lang in clean if lang == own and 100 <= len(t.split()) < 400][:6]]
+    out = judged(spark, [tuple(r) for r in docs.collect()] + bad + other)
+    assert not any(out[d]["kept"] for d, _, _ in bad)
+    wrong = [out[d]["kept"] for d, _, _ in other if not out[d]["base_failed"]]
+    assert len(wrong) >= 10 and not any(wrong)
+    stay = [out[d]["kept"] for d, _, _ in clean if not out[d]["base_failed"]]
+    assert sum(stay) >= 0.99 * len(stay)

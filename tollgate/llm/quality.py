@@ -12,7 +12,9 @@ References are sums over all documents of a language that pass the base rules.
 character reference from ``REF_DOCS`` documents, and a word reference if these have ``REF_WORDS`` words and
 some of them are common; without one its documents are not judged by that rule.  The
 distance is the square root of the Jensen-Shannon divergence in bits, 0 to 1.
-A document fails if a distance exceeds its limit.  Guards: the character histogram
+A document fails if a distance exceeds its limit, or if its language's common words are too few in it: under
+``MIN_COMMON`` of their number in as many words of the reference, and fewer by ``SURE`` standard deviations or more
+(word salad, lists of names, another language).  Guards: the character histogram
 counts only from ``MIN_CHARS`` characters, the word histogram from ``MIN_WORDS`` words.
 A null language is judged by its nearest reference of the ``HELD_LANGS`` largest languages, but never for a lack of
 common words.
@@ -39,6 +41,7 @@ from tollgate.session import ensure_checkpoint_dir
 MIN_BASE_WORDS, MAX_REPEAT = 20, 30
 MIN_CHARS, MIN_WORDS = 200, 50
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.30, 0.48
+MIN_COMMON, SURE = 0.5, 3.5
 COMMON_SHARE = 0.002
 REF_DOCS, REF_WORDS = 20, 5000
 #: References of so many languages, the largest, are held by every task; those of all others are joined to their documents.
@@ -169,7 +172,10 @@ def _distances(refs: References, lang: str | None, classes: np.ndarray, words: l
             h[-1] = n - h.sum()
             return js_distance(h / n, refs.words[k]), k
         by_word, near = min(map(one, langs))
-        failed |= by_word > max(MAX_WORD_DISTANCE, _without_common(refs.words[near]) if lang is None else 0)
+        if lang is None:
+            failed |= by_word > max(MAX_WORD_DISTANCE, _without_common(refs.words[near]))
+        else:
+            failed |= by_word > MAX_WORD_DISTANCE or _lacks_common(sum(own.get(w, 0) for w in refs.places[near]), n, refs.words[near])
     return by_char, by_word, failed
 
 
@@ -178,6 +184,12 @@ def _without_common(reference: np.ndarray) -> float:
     return js_distance(np.eye(len(reference))[-1], reference) + 1e-9
 
 
+def _lacks_common(found: int, n: int, reference: np.ndarray) -> bool:
+    rest = float(reference[-1])
+    expected = n * (1 - rest)
+    return found < min(MIN_COMMON * expected, expected - SURE * (expected * rest) ** 0.5)
+
+
 def references(docs: DataFrame, held: int = HELD_LANGS) -> tuple[References, DataFrame | None]:
     """From all documents that pass the base rules and have a language.
 
