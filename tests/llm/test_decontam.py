@@ -59,3 +59,12 @@ def test_values_changed_one_by_one(spark):
     item = "she buys 3 apples and 3 pears at the market and walks home with all of them in one bag"
     assert found(spark, [(1, item.replace("3 apples", "5 apples").replace("3 pears", "7 pears"))], [(1, item)]) == [(1, 1, "reparameterised")]
     assert found(spark, [(6, ITEM.upper())]) == [(6, 1, "copy")]
+
+
+def test_stage_judges_every_row(spark):
+    """Null and shared ids of documents, null ids of items: the text decides."""
+    rows = [(None, f"{FILL} {ITEM}"), (None, FILL), (7, f"{COPY} {FILL}"), (7, f"{FILL} {FILL}"), (8, f"{FILL} {ITEM}"), (9, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    for item_id in (1, None):
+        b = spark.createDataFrame([(item_id, ITEM)], "item_id long, text string")
+        assert sorted(map(tuple, decontam.decontaminate(d, b).collect()), key=str) == sorted([rows[1], rows[3], rows[5]], key=str)

@@ -21,7 +21,7 @@ that the join shuffles, where Spark splits hot hashes.
 
 Defined results: null and empty texts have no windows and never match; items with fewer
 tokens than a window are no evidence; rows with a null doc_id or item_id are left out of
-the report; repeated rows report once; an empty table gives an empty result; other
+the report, but not of the stage (``decontaminate``); repeated rows report once; an empty table gives an empty result; other
 columns are ignored.
 """
 
@@ -69,7 +69,7 @@ def window_hashes(tokens: Column, n: int = WINDOW) -> Column:
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
     """(item_id, n_tokens, item_raw, w, item_at) of windows that are evidence."""
-    items = (benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null").distinct()
+    items = (benchmark.select("item_id", "text").filter("item_id is not null").distinct()
              .select("item_id", raw_tokens(F.col("text")).alias("item_raw")).withColumn("t", template(F.col("item_raw"))))
     w = items.select("item_id", "item_raw", F.size("t").alias("n_tokens"), "t", F.posexplode_outer(window_hashes(F.col("t"))).alias("item_at", "w"))
     plain = F.filter(F.slice("t", F.col("item_at") + 1, WINDOW), lambda x: ~x.startswith("<"))
@@ -103,11 +103,17 @@ def _groups(diagonal: Column, n_tokens: Column, same: Column) -> Column:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """One row per document and item: doc_id, item_id, n_windows, covered, item_tokens, doc_start, doc_end, verdict."""
+    with_long = lambda df, key: df.select(F.col(key).cast("long").alias(key), "text")
+    return _contamination(with_long(docs, "doc_id"), with_long(benchmark, "item_id"), limit)
+
+
+def _contamination(docs: DataFrame, benchmark: DataFrame, limit: int) -> DataFrame:
+    """The same for (doc_id, text) and (item_id, text) with keys of any type; null keys are left out."""
     ensure_checkpoint_dir(docs.sparkSession)
     windows = item_windows(benchmark)
     hashes = windows.select("w").distinct()
     small = hashes.count() <= limit
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
+    texts = docs.select("doc_id", "text").filter("doc_id is not null")
     tokens = texts.select("doc_id", template(raw_tokens(F.col("text"))).alias("t"))
     # The outer form: for a plain explode the optimizer adds a filter that works its array out a second time.
     spread = tokens.select("doc_id", F.explode_outer(window_hashes(F.col("t"))).alias("w"))
@@ -146,7 +152,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, limit: int = BROADCAST_
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without contamination, with all their columns."""
-    bad = contamination(docs, benchmark).select(F.col("doc_id").alias("bad_id")).distinct().checkpoint()
-    on = docs["doc_id"].cast("long") == F.col("bad_id")
+    """The documents without contamination, with all their columns.  Documents and items are known by their texts, so
+    every row is judged, also one with a null or repeated id."""
+    keyed = lambda df, key: df.select(F.md5(F.col("text").cast("string").cast("binary")).alias(key), "text")
+    bad = _contamination(keyed(docs, "doc_id"), keyed(benchmark, "item_id"), BROADCAST_ROWS).select(F.col("doc_id").alias("bad_text")).distinct().checkpoint()
+    on = F.md5(docs["text"].cast("string").cast("binary")) == F.col("bad_text")
     return docs.join(F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad.hint("merge"), on, "left_anti")
