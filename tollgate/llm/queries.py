@@ -1,4 +1,4 @@
-"""Registered queries of the training-data operators: op1 to op10."""
+"""Registered queries of the training-data operators: op1 to op13."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tollgate.llm import decontam, htmltext, kneserney, langid, minhash, packing, pseudonyms, quality, tokencounts, urlfilter
+from tollgate.llm import decontam, hardneg, htmltext, kneserney, langid, minhash, packing, pseudonyms, quality, setjoin, spelling, tokencounts, urlfilter
 from tollgate.sources.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -57,6 +57,18 @@ def op10_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardneg.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 OP6_SQL = r"""
 WITH u AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
@@ -75,5 +87,5 @@ FROM v LEFT JOIN hit ON v.host = hit.host AND v.path = hit.path AND hit.k = 1
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_minhash, op2_decontamination, op3_packing, op4_pseudonyms, op5_token_counts, op6_url_filter, op7_html_text, op8_language_id,
-    op9_quality_rules, op10_kneser_ney)}
+    op9_quality_rules, op10_kneser_ney, op11_spelling_variants, op12_hard_negatives, op13_jaccard_join)}
 ORACLE = {"op6_url_filter": OP6_SQL}
