@@ -106,7 +106,7 @@ def _ordered(sets: DataFrame) -> DataFrame:
 
 def _adaptive(ordered: DataFrame) -> DataFrame:
     """Adds l, the shared tokens to ask for, and ``tokens``, the shared part of the prefix for it."""
-    length = lambda l: _prefix(F.col("n")) + l - 1 - F.col("alone")  # noqa: E731,E741
+    length = lambda l: F.greatest(F.lit(0), _prefix(F.col("n")) + l - 1 - F.col("alone"))  # noqa: E731,E741
     met = lambda l: F.aggregate(F.slice("shared", F.lit(1), length(l).cast("int")), F.lit(0).cast("long"), lambda s, t: s + t["c"] - 1)  # noqa: E731,E741
     cost = F.transform(F.sequence(F.lit(1), F.lit(LONGEST)), lambda l: F.struct((met(l) * (1 + F.lit(float(CHECK)) / l)).alias("cost"), l.alias("l")))  # noqa: E741
     chosen = ordered.withColumn("l", F.array_min(cost)["l"].cast("long"))
