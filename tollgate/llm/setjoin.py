@@ -68,40 +68,49 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = [shingle_set(t, hashes, WORDS) for t in utf8(b, "text")]
         yield pa.record_batch([column(b, "doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                                pa.array([s[:2 * prefix(len(s)) - 1].view(np.int64) if len(s) else None for s in sets], pa.list_(pa.int64()))],
-                              names=["doc_id", "n", "node", "first"])
+                              names=["doc_id", "n", "digest", "first"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The set of a node's text; other texts under the same doc_id are left out."""
     hashes = WordHashes()
     for b in batches:
-        found = [(k, s) for k, t in zip(column(b, "node").to_pylist(), utf8(b, "text"), strict=True) if _digest(s := shingle_set(t, hashes, WORDS)) == k]
-        yield pa.record_batch([pa.array([k for k, _ in found], pa.binary()), pa.array([s.view(np.int64) for _, s in found], pa.list_(pa.int64()))], names=["node", "s"])
+        found = [(i, s) for i, k, t in zip(column(b, "node").to_pylist(), column(b, "digest").to_pylist(), utf8(b, "text"), strict=True)
+                 if _digest(s := shingle_set(t, hashes, WORDS)) == k]
+        yield pa.record_batch([pa.array([i for i, _ in found], pa.int64()), pa.array([s.view(np.int64) for _, s in found], pa.list_(pa.int64()))], names=["node", "s"])
 
 
-def _may_match(nodes: DataFrame) -> DataFrame:
-    """Nodes with enough tokens of the first prefix that others have in theirs.  Nodes are told apart by 64 bits here, where an error keeps one too many."""
-    rows = nodes.select(F.xxhash64("node").alias("id"), F.explode("first").alias("token"))
-    shared = rows.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
-    met = rows.join(shared, "token").groupBy("id").agg(F.count("*").alias("met"))
+def _distinct_sets(rows: DataFrame, *more: Column) -> DataFrame:
+    return rows.filter("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("first_id"), *more)
+
+
+def _may_match(rows: DataFrame) -> DataFrame:
+    """node, digest, first_id of the sets with enough tokens of the first prefix that others have in theirs; nodes are numbered from here on.
+
+    Sets are told apart by 64 bits here, where an error keeps one too many."""
+    sets = _distinct_sets(rows, F.max("n").alias("n"), F.first("first").alias("first")).withColumn("id", F.xxhash64("digest"))
+    tokens = sets.select("id", F.explode("first").alias("token"))
+    shared = tokens.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token")
+    met = tokens.join(shared, "token").groupBy("id").agg(F.count("*").alias("met"))
     # A partner may be smaller and have the shorter prefix.
     least = _prefix(F.ceil(F.lit(NUM) * F.col("n") / F.lit(DEN)))
-    return nodes.withColumn("id", F.xxhash64("node")).join(met, "id").filter(F.col("met") >= least).select("node", "n", "first_id")
+    kept = _distinct_sets(rows, F.max("n").alias("n")).withColumn("id", F.xxhash64("digest")).join(met, "id").filter(F.col("met") >= least)
+    return kept.select(F.monotonically_increasing_id().alias("node"), "digest", "first_id").checkpoint()
 
 
 def _whole_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, n, s: texts are read again for these alone."""
     near = semi_by_size(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), nodes.select(F.col("first_id").alias("doc_id")), "doc_id")
-    return (near.join(nodes.select(F.col("first_id").alias("doc_id"), "node"), "doc_id").select("node", "text").mapInArrow(_sets, "node binary, s array<long>")
-            .groupBy("node").agg(F.first("s").alias("s")).withColumn("n", F.size("s").cast("long")))
+    return (near.join(nodes.select(F.col("first_id").alias("doc_id"), "node", "digest"), "doc_id").select("node", "digest", "text").mapInArrow(_sets, "node long, s array<long>")
+            .groupBy("node").agg(F.first("s").alias("s")).withColumn("n", F.size("s").cast("long"))).checkpoint()
 
 
 def _ordered(sets: DataFrame) -> DataFrame:
     """node, n, alone, shared: the tokens that other sets have too, rarest first, and how many are in no other set."""
-    rows = sets.select("node", "n", F.explode("s").alias("token"))
+    rows = sets.select("node", F.explode("s").alias("token"))
     usual = rows.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1")
-    return (rows.join(usual, "token").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("shared"))
-            .withColumn("alone", F.col("n") - F.size("shared")).filter(F.col("alone") < _prefix(F.col("n"))))
+    shared = rows.join(usual, "token").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("c", "token"))).alias("shared"))
+    return shared.join(sets.select("node", "n"), "node").withColumn("alone", F.col("n") - F.size("shared")).filter(F.col("alone") < _prefix(F.col("n")))
 
 
 def _adaptive(ordered: DataFrame) -> DataFrame:
@@ -226,12 +235,10 @@ def _group_links(rows: DataFrame, sets: DataFrame, links: DataFrame) -> DataFram
 def jaccard_classes(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     ensure_checkpoint_dir(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketch, "doc_id long, n long, node binary, first array<long>").checkpoint()
-    nodes = (rows.filter("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"), F.first("first").alias("first"))).checkpoint()
-    sets = _whole_sets(docs, _may_match(nodes).checkpoint()).checkpoint()
-    # Documents that end take their tokens with them, so tokens become rarer: counted twice.
-    ordered = _ordered(sets.join(_ordered(sets).select("node"), "node", "left_semi"))
-    prefixes = _sized(_prefix_rows(_adaptive(ordered)), "token").checkpoint()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketch, "doc_id long, n long, digest binary, first array<long>").checkpoint()
+    nodes = _may_match(rows)
+    sets = _whole_sets(docs, nodes)
+    prefixes = _sized(_prefix_rows(_adaptive(_ordered(sets))), "token").checkpoint()
     links = _verified(_multi_match(prefixes.filter(F.col("m") <= HOT)), sets).checkpoint()
     hot = prefixes.filter(F.col("m") > HOT).select(F.col("token").alias("bucket"), "node", "w")
     if hot.head(1):
@@ -240,11 +247,10 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
 
 
 def _label(rows: DataFrame, nodes: DataFrame, comp: DataFrame) -> DataFrame:
-    """Classes are named on the nodes, so copies of one set do not meet; few nodes are in a class of several."""
-    named = comp.join(nodes.select("node", "first_id"), "node").select("node", "root", "first_id")
-    least = (named.select("root", "first_id").union(comp.select("root").distinct().join(nodes.select(F.col("node").alias("root"), "first_id"), "root"))
-             .groupBy("root").agg(F.min("first_id").alias("least")))
-    classes = (comp.union(comp.select(F.col("root").alias("node"), "root").distinct()).join(least, "root").select("node", "least")).checkpoint()
-    own = nodes.join(classes, "node", "left").select("node", F.coalesce("least", "first_id").alias("least"))
-    return (rows.select("doc_id", F.col("n").alias("n_shingles"), "node").join(own, "node", "left")
+    """Classes are named on the distinct sets, so copies of one do not meet; few sets are in a class of several."""
+    member = comp.union(comp.select(F.col("root").alias("node"), "root").distinct()).join(nodes, "node")
+    least = member.groupBy("root").agg(F.min("first_id").alias("least"))
+    classes = member.join(least, "root").select("digest", "least").checkpoint()
+    own = _distinct_sets(rows).join(classes, "digest", "left").select("digest", F.coalesce("least", "first_id").alias("least"))
+    return (rows.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(own, "digest", "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("component_id")))
