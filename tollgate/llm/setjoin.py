@@ -191,45 +191,59 @@ def _star(group: DataFrame, least: DataFrame) -> DataFrame:
 
 
 def _difference_rows(group: DataFrame, least: DataFrame, comp: DataFrame) -> DataFrame:
-    """bucket, base, node, n, f, root, main: one row for each difference, rarest first, that a link beside the star must share one of.
+    """bucket, base, node, n, f, d, place, root, main: one row for each difference, rarest first, that a link beside the star must share one of.
 
-    Links of x share (F(x) + F(y)) / 38 differences or more, whoever y is, so one of the first d - m + 1 for m = (F(x) + least F) / 38."""
-    named = (group.join(least.select("base", F.col("least.f").alias("low"), F.col("least.node").alias("centre")), "base")
+    A link has an end outside of the star's component.  Links of x share (F(x) + F(y)) / 38 differences or more, whoever y
+    is, so one of the first d - m + 1, with m for the least F that a partner can have: one with a difference, and outside of the star's component if x is in it."""
+    named = (group.join(least.select("base", F.col("least.node").alias("centre")), "base")
              .join(comp, "node", "left").join(comp.select(F.col("node").alias("centre"), F.col("root").alias("main")), "centre", "left")
-             .withColumn("root", F.coalesce("root", "node")).withColumn("main", F.coalesce("main", "centre")))
-    m = F.greatest(F.lit(1), F.ceil((F.col("f") + F.col("low")) / F.lit(2 * WEIGHT)))
-    each = named.withColumn("d", F.size("diff")).withColumn("take", F.col("d") - m + 1).select("base", "node", "n", "f", "d", "take", "root", "main", F.explode("diff").alias("token"))
+             .withColumn("root", F.coalesce("root", "node")).withColumn("main", F.coalesce("main", "centre")).withColumn("d", F.size("diff").cast("long")).filter("d > 0"))
+    low = named.groupBy("base").agg(F.min("f").alias("low"), F.min(F.when(F.col("root") != F.col("main"), F.col("f"))).alias("low_loose")).filter("low_loose is not null")
+    m = _shared(F.col("f") + F.when(F.col("root") == F.col("main"), F.col("low_loose")).otherwise(F.col("low")))
+    each = named.join(low, "base").withColumn("take", F.col("d") - m + 1).select("base", "node", "n", "f", "d", "take", "root", "main", F.explode("diff").alias("token"))
     usual = each.groupBy("base", "token").agg(F.count("*").alias("c"), (F.min("root") != F.max("root")).alias("mixed")).filter("c > 1")
     own = Window.partitionBy("base", "node")
     return (each.join(usual, ["base", "token"]).withColumn("place", F.row_number().over(own.orderBy("c", "token")) + F.col("d") - F.count("*").over(own))
             .filter((F.col("place") <= F.col("take")) & F.col("mixed"))
-            .select(F.xxhash64("base", "token").alias("bucket"), "base", "node", "n", "f", "root", "main")).checkpoint()
+            .select(F.xxhash64("base", "token").alias("bucket"), "base", "node", "n", "f", "d", "place", "root", "main")).checkpoint()
+
+
+def _shared(f: Column) -> Column:
+    """Differences that members whose F sum up to f share at least, if they are similar."""
+    return F.greatest(F.lit(1), F.ceil(f / F.lit(2 * WEIGHT)))
 
 
 def _pairs_of(rows: DataFrame) -> DataFrame:
-    """(a, b) of one bucket in different components, not both in the star's, that F and the sizes allow."""
+    """(a, b) of one bucket in different components, not both in the star's, that F, the sizes and the places of the shared difference allow."""
     loose = rows.filter("root <> main")
     x, y = loose.alias("x"), rows.alias("y")
     sizes = F.lit(DEN) * F.least("x.n", "y.n") >= F.lit(NUM) * F.greatest("x.n", "y.n")
-    met = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.base") == F.col("y.base")) & (F.col("x.root") != F.col("y.root")) & sizes & (F.col("x.f") + F.col("y.f") > 0))
+    total = F.col("x.f") + F.col("y.f")
+    last = lambda side: F.col(f"{side}.d") - _shared(total) + 1
+    met = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.base") == F.col("y.base")) & (F.col("x.root") != F.col("y.root")) & sizes & (total > 0)
+                 & (F.col("x.place") <= last("x")) & (F.col("y.place") <= last("y")))
     return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def _group_links(rows: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
-    """Links with those of the groups (bucket, node, w) added."""
+def _with_links(comp: DataFrame, links: DataFrame) -> DataFrame:
+    return components(comp.select(F.col("node").alias("u"), F.col("root").alias("v")).union(links))
+
+
+def _with_groups(rows: DataFrame, sets: DataFrame, comp: DataFrame) -> DataFrame:
+    """Components with the links inside of the groups (bucket, node, w) added."""
     for level in range(LEVELS):
         group = _based(rows, sets)
         least = group.groupBy("base").agg(F.min(F.struct("f", "node")).alias("least")).checkpoint()
-        links = links.union(_star(group, least)).checkpoint()
-        comp = components(links)
+        comp = _with_links(comp, _star(group, least))
         rest = _sized(_difference_rows(group, least, comp), "bucket")
         hot = rest.filter(F.col("m") > HOT).checkpoint() if level < LEVELS - 1 else None
-        pairs = _pairs_of(rest if hot is None else rest.filter(F.col("m") <= HOT))
-        links = links.union(_verified(_apart(pairs, comp), sets)).checkpoint()
+        more = _verified(_apart(_pairs_of(rest if hot is None else rest.filter(F.col("m") <= HOT)), comp), sets).checkpoint()
+        if more.head(1):
+            comp = _with_links(comp, more)
         if hot is None or not hot.head(1):
             break
         rows = hot.select("bucket", "node", (-F.col("f") / F.col("n")).alias("w"))
-    return links
+    return comp
 
 
 def jaccard_classes(docs: DataFrame) -> DataFrame:
@@ -239,11 +253,11 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     nodes = _may_match(rows)
     sets = _whole_sets(docs, nodes)
     prefixes = _sized(_prefix_rows(_adaptive(_ordered(sets))), "token").checkpoint()
-    links = _verified(_multi_match(prefixes.filter(F.col("m") <= HOT)), sets).checkpoint()
+    comp = components(_verified(_multi_match(prefixes.filter(F.col("m") <= HOT)), sets))
     hot = prefixes.filter(F.col("m") > HOT).select(F.col("token").alias("bucket"), "node", "w")
     if hot.head(1):
-        links = _group_links(hot, sets, links)
-    return _label(rows, nodes, components(links))
+        comp = _with_groups(hot, sets, comp)
+    return _label(rows, nodes, comp)
 
 
 def _label(rows: DataFrame, nodes: DataFrame, comp: DataFrame) -> DataFrame:
