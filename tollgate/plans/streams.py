@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tollgate.operators import model as mdl
 from tollgate.plans.catalog import query
 from tollgate.plans.sqlviews import rnd, sig, with_views
 from tollgate.session import checkpoint_root
@@ -25,13 +26,18 @@ def _ntz(df, *cols):
     return df
 
 
-@query("stream_score", f"""
-SELECT event_id AS request_id, ts, 'svc' || CAST(user_id % 4 AS VARCHAR) AS service,
-       {rnd(sig('(value - 35) / 20'), 6)} AS churn_score,
-       CAST({rnd(sig('(value - 35) / 20'), 6)} >= 0.5 AS INTEGER) AS high_risk FROM events""")
+@query("stream_score", with_views("""
+SELECT p.request_id, p.ts, p.model_version AS version, s.churn_score, s.prediction AS high_risk
+FROM prediction_log p LEFT JOIN scored s ON s.c_custkey = p.user_id AND s.version = p.model_version""", "prediction_log", "scored"))
 def stream_score(spark, sf):
-    out, _ = J.run_append(J.stream_score(J.table_stream(spark, sf, "events")), "stream_score")
-    return _ntz(out, "ts")
+    """Requests are scored with their customer's features by the version they are routed to; a batch that runs again adds nothing."""
+    requests = b.to_prediction_log(J.table_stream(spark, sf, "events")).select("request_id", "ts", "user_id", F.col("model_version").alias("version"))
+    rows = b.churn_split(spark, sf)
+
+    def score(batch, _):
+        return J.stream_score(batch, rows, mdl.model_table(spark, rows.filter(F.col("split") == "train")))
+
+    return _ntz(J.run_foreach_batch(requests, "stream_score", score).drop("batch_id"), "ts")
 
 
 @query("stream_dedupe", "SELECT DISTINCT event_id, event_type FROM events")
@@ -77,17 +83,16 @@ LAG_BUDGETS = [("raw", 120), ("candidate", 60), ("canary", 90)]
 
 
 @query("stream_watcher_lag", with_views(f"""
-SELECT asset, CAST(floor(epoch((SELECT max(ts) FROM asset_events))) - floor(epoch(max(ts))) AS BIGINT) AS lag_s,
-       any_value(b.budget_s) AS budget_s,
-       CAST(floor(epoch((SELECT max(ts) FROM asset_events))) - floor(epoch(max(ts))) AS BIGINT) <= any_value(b.budget_s)
-         AS within_budget
-FROM asset_events LEFT JOIN (VALUES {", ".join(f"('{a}', {s})" for a, s in LAG_BUDGETS)}) b(asset, budget_s) USING (asset)
-GROUP BY asset""", "asset_events"))
+WITH b(asset, budget_s) AS (VALUES {", ".join(f"('{a}', {s})" for a, s in LAG_BUDGETS)}),
+l AS (SELECT asset, CAST(floor(epoch((SELECT max(ts) FROM asset_events))) - floor(epoch(max(ts))) AS BIGINT) AS lag_s FROM asset_events GROUP BY asset)
+SELECT asset, lag_s, budget_s, CASE WHEN lag_s IS NULL THEN false ELSE lag_s <= budget_s END AS within_budget FROM l FULL JOIN b USING (asset)""", "asset_events"))
 def stream_watcher_lag(spark, sf):
+    """The stream's last report; state holds each asset's last event over all micro-batches."""
     budgets = spark.createDataFrame(LAG_BUDGETS, "asset string, budget_s int")
     assets = b.to_asset_events(J.table_stream(spark, sf, "events"))
-    out = J.run_foreach_batch(assets, "stream_watcher_lag", lambda df, _: J.watcher_lag(df, budgets))
-    return out.drop("batch_id").withColumn("lag_s", F.col("lag_s").cast("long"))
+    out = J.run_foreach_batch(J.stream_last_seen(assets), "stream_watcher_lag", lambda df, _: J.watcher_lag(df, budgets), mode="complete")
+    last = out.agg(F.max("batch_id").alias("batch_id"))
+    return out.join(F.broadcast(last), "batch_id").drop("batch_id").withColumn("lag_s", F.col("lag_s").cast("long"))
 
 
 @query("stream_deadline", f"""
@@ -113,18 +118,16 @@ HOLD_S = 300
 
 
 @query("stream_alert_hold", with_views(f"""
-WITH r AS (SELECT service, ts, latency_ms > 50 AS c,
-                  sum(CASE WHEN latency_ms > 50 THEN 0 ELSE 1 END) OVER (PARTITION BY service ORDER BY ts, request_id
-                                                                          ROWS UNBOUNDED PRECEDING) AS g
-           FROM prediction_log),
-i AS (SELECT service, ts, min(ts) OVER (PARTITION BY service, g) AS s FROM r WHERE c)
-SELECT service, s AS island_start, min(ts) AS fired_at FROM i
-WHERE epoch(ts) - epoch(s) >= {HOLD_S} GROUP BY service, s""", "prediction_log"))
+WITH steps AS (SELECT service, date_trunc('minute', ts) AS step, bool_and(latency_ms > 50) AS c FROM prediction_log GROUP BY ALL),
+r AS (SELECT service, step, c, sum(CASE WHEN c THEN 0 ELSE 1 END) OVER (PARTITION BY service ORDER BY step ROWS UNBOUNDED PRECEDING) AS g
+      FROM steps WHERE {_closed('step + INTERVAL 1 MINUTE')}),
+i AS (SELECT service, step, min(step) OVER (PARTITION BY service, g) AS s FROM r WHERE c)
+SELECT service, s AS island_start, min(step) AS fired_at FROM i
+WHERE epoch(step) - epoch(s) >= {HOLD_S} GROUP BY service, s""", "prediction_log"))
 def stream_alert_hold(spark, sf):
-    """A service alerts once its requests have been slow (> 50 ms) for 5 minutes straight."""
+    """A service alerts once its requests have been slow (> 50 ms) for 5 minutes of one-minute steps."""
     log = b.to_prediction_log(J.table_stream(spark, sf, "events")).withColumn("slow", F.col("latency_ms") > 50)
-    out, _ = J.run_append(J.stream_alert_hold(log, "slow", HOLD_S), "stream_alert_hold")
-    return _ntz(out, "island_start", "fired_at")
+    return _ntz(J.run_alert_hold(log, "slow", HOLD_S, "stream_alert_hold", delay=DELAY), "island_start", "fired_at")
 
 
 @query("stream_asset_trigger", with_views(f"""

@@ -14,23 +14,17 @@ Append mode emits a window once the watermark passes its end, so a finished
 
 from __future__ import annotations
 
-import sys
 import uuid
 from collections.abc import Callable, Sequence
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState
 
+from tollgate.functions.exprs import clipped_sigmoid
+from tollgate.operators.model import DEFAULT_THRESHOLD, logit_expr
 from tollgate.session import checkpoint_root
 from tollgate.sources.tables import table
 
-# The keyed-state function (W7) runs in Python workers: ship it by value so
-# executors need only pandas and pyspark, not this package on their path.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
 def table_stream(spark: SparkSession, sf: str, name: str, max_files: int | None = None,
                  folder: str | None = None) -> DataFrame:
@@ -69,27 +63,35 @@ def run_append(sdf: DataFrame, name: str) -> tuple[DataFrame, dict]:
 
 def run_foreach_batch(sdf: DataFrame, name: str, fn: Callable[[DataFrame, int], DataFrame],
                       mode: str = "append") -> DataFrame:
-    """Run a stream whose micro-batches are transformed by ``fn`` and appended to a parquet table."""
+    """Run a stream whose micro-batches are transformed by ``fn``.
+
+    A batch owns the folder of its id and overwrites it, so a batch that runs again adds nothing."""
     spark = sdf.sparkSession
     d = _run_dir(spark, name)
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        fn(batch, batch_id).withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(f"{d}/data")
-
-    q = (sdf.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", f"{d}/checkpoint")
+    q = (sdf.writeStream.outputMode(mode).foreachBatch(batch_sink(f"{d}/data", fn)).option("checkpointLocation", f"{d}/checkpoint")
             .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(f"{d}/data")
 
 
+def batch_sink(path: str, fn: Callable[[DataFrame, int], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """foreachBatch sink that is idempotent by batch id."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        fn(batch, batch_id).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    return sink
+
+
 # ---- W1 / W2 ----------------------------------------------------------------
-def stream_score(events: DataFrame) -> DataFrame:
-    """Prediction log rows scored as they arrive (stateless projection, append)."""
-    score = F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("value") - 35) / 20)), 6)
-    return events.select(
-        F.col("event_id").alias("request_id"), F.col("ts"),
-        F.concat(F.lit("svc"), (F.col("user_id") % 4).cast("string")).alias("service"),
-        score.alias("churn_score"), (score >= 0.5).cast("int").alias("high_risk"))
+def stream_score(requests: DataFrame, features: DataFrame, models: DataFrame, key: str = "user_id", feature_key: str = "c_custkey") -> DataFrame:
+    """Requests scored with the model version each is routed to (P4 / P5 on a stream or a micro-batch).
+
+    Requests meet the feature table on their key and the model table on (version); neither side is collected, and where both are
+    read anew for each micro-batch, a version registered meanwhile scores from the next batch on.  A request of an
+    unknown key or an unregistered version stays, with a null score."""
+    j = requests.join(features, requests[key] == features[feature_key], "left").join(models, "version", "left")
+    known = F.col("bias").isNotNull() & F.col(feature_key).isNotNull()
+    score = F.when(known, F.round(clipped_sigmoid(logit_expr()), 6))
+    return j.select("request_id", "ts", "version", score.alias("churn_score"), (score >= F.coalesce("threshold", F.lit(DEFAULT_THRESHOLD))).cast("int").alias("high_risk"))
 
 
 def stream_dedupe(events: DataFrame, key: str = "event_id", delay: str = "120 seconds") -> DataFrame:
@@ -129,13 +131,20 @@ def stream_drift(log: DataFrame, reference: DataFrame, by: Sequence[str], value:
 
 
 # ---- W5 ---------------------------------------------------------------------
-def watcher_lag(batch: DataFrame, budgets: DataFrame) -> DataFrame:
-    """W5 (per micro-batch): lag of each asset's last event behind the batch's newest event."""
-    last = batch.groupBy("asset").agg(F.max("ts").alias("last_ts"))
-    newest = batch.agg(F.max("ts").alias("batch_max"))
-    j = last.crossJoin(F.broadcast(newest)).join(F.broadcast(budgets), "asset", "left")
-    lag = F.unix_timestamp("batch_max") - F.unix_timestamp("last_ts")
-    return j.select("asset", lag.alias("lag_s"), "budget_s", (lag <= F.col("budget_s")).alias("within_budget"))
+def stream_last_seen(events: DataFrame, key: str = "asset", ts: str = "ts") -> DataFrame:
+    """Last event of each asset over all micro-batches: one state row per asset (run in complete mode)."""
+    return events.groupBy(key).agg(F.max(ts).alias("last_ts"))
+
+
+def watcher_lag(last_seen: DataFrame, budgets: DataFrame) -> DataFrame:
+    """Lag of each asset's last event behind the newest event of the stream, against its budget.
+
+    Every watched asset has a row in every report: one without an event in this batch is as late as its
+    last event says, one never seen has no lag and is out of its budget.  An asset without a budget has no verdict."""
+    newest = last_seen.agg(F.max("last_ts").alias("newest"))
+    j = last_seen.join(budgets, "asset", "full").crossJoin(F.broadcast(newest))  # one row
+    lag = F.unix_timestamp("newest") - F.unix_timestamp("last_ts")
+    return j.select("asset", lag.alias("lag_s"), "budget_s", F.when(F.col("last_ts").isNull(), False).otherwise(lag <= F.col("budget_s")).alias("within_budget"))
 
 
 # ---- W6 ---------------------------------------------------------------------
@@ -153,50 +162,54 @@ def stream_deadline(a: DataFrame, b: DataFrame, key: str, deadline: str, delay:
 
 
 # ---- W7 ---------------------------------------------------------------------
-HOLD_STATE = "start TIMESTAMP, last TIMESTAMP, fired BOOLEAN"
-HOLD_OUT = "service STRING, island_start TIMESTAMP, fired_at TIMESTAMP"
-
-
-def _hold_fn(hold_seconds: int, idle_ms: int):
-    def fn(key, pdfs, state: GroupState):
-        (svc,) = key
-        if state.hasTimedOut:                     # no samples for a long time: forget the key
-            state.remove()
-            return
-        start, last, fired = state.get if state.exists else (None, None, False)
-        out = []
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "request_id"], kind="mergesort")
-        for ts, cond in batch[["ts", "cond"]].itertuples(index=False):
-            if last is not None and ts < last:
-                continue                          # older than what this key has seen: late, ignored
-            if cond:
-                if start is None:
-                    start, fired = ts, False
-                if not fired and (ts - start).total_seconds() >= hold_seconds:
-                    out.append((svc, start, ts))  # the condition has held for the whole hold time
-                    fired = True
-            else:
-                start, fired = None, False
-            last = ts
-        state.update((start, last, fired))
-        if last is not None:
-            wm = state.getCurrentWatermarkMs()
-            state.setTimeoutTimestamp(max(int(pd.Timestamp(last).timestamp() * 1000) + idle_ms, wm + 1))
-        if out:
-            yield pd.DataFrame(out, columns=["service", "island_start", "fired_at"])
-    return fn
-
-
-def stream_alert_hold(log: DataFrame, cond: str, hold_seconds: int, delay: str = "10 minutes",
-                      idle_ms: int = 24 * 3600 * 1000) -> DataFrame:
-    """``for:`` semantics with keyed state (applyInPandasWithState, event-time timers).
-
-    Per service the state is the open run of matching samples (start, last,
-    fired).  The alert fires -- one row per run -- at the first sample where
-    the condition has held for ``hold_seconds``, without waiting for the run to
-    end.  An event-time timer clears a key idle for ``idle_ms`` once the
-    watermark passes, so state stays bounded.
-    """
-    d = log.withWatermark("ts", delay).select("service", "ts", "request_id", F.col(cond).alias("cond"))
-    return d.groupBy("service").applyInPandasWithState(
-        _hold_fn(hold_seconds, idle_ms), HOLD_OUT, HOLD_STATE, "append", "EventTimeTimeout")
+HOLD_STATE = "service string, start timestamp, fired boolean"
+
+
+def stream_steps(log: DataFrame, cond: str, step_seconds: int = 60, delay: str = "10 minutes") -> DataFrame:
+    """(service, step, holds): whether the condition was true of all rows of a step (run in append mode).
+
+    A step waits in state until the watermark passes its end, so a row inside of the lateness budget is always
+    counted, and a hot service is as many groups as it has open steps.  Steps come out in time order over the micro-batches."""
+    g = (log.withWatermark("ts", delay).groupBy(F.window("ts", f"{step_seconds} seconds").alias("w"), "service")
+            .agg(F.coalesce(F.bool_and(cond), F.lit(False)).alias("holds")))
+    return g.select("service", F.col("w.start").alias("step"), "holds")
+
+
+def hold_runs(steps: DataFrame, state: DataFrame, hold_seconds: int) -> tuple[DataFrame, DataFrame]:
+    """Alerts (service, island_start, fired_at) of closed steps, and the state after them: each service's open run.
+
+    A run is a sequence of observed steps that hold; the first run goes on with the state's.  It fires once, at its first step
+    that starts ``hold_seconds`` or more after the run.  A step without rows is no evidence: it neither extends nor ends a run."""
+    own = Window.partitionBy("service").orderBy("step")
+    runs = (steps.join(state, "service", "left").withColumn("run", F.count_if(~F.col("holds")).over(own))
+                 .withColumn("first_run", F.col("run") == 0))
+    start = F.when(F.col("first_run") & F.col("start").isNotNull(), F.col("start")).otherwise(F.min("step").over(Window.partitionBy("service", "run")))
+    held = (runs.filter("holds").select("service", "run", "step", start.alias("start"), (F.col("first_run") & F.coalesce("fired", F.lit(False))).alias("before"))
+                .withColumn("long", F.unix_micros("step") - F.unix_micros("start") >= hold_seconds * 1_000_000))
+    per_run = held.groupBy("service", "run", "start", "before").agg(F.min(F.when(F.col("long"), F.col("step"))).alias("fired_at"), F.max("step").alias("last"))
+    fired = per_run.filter("fired_at is not null and not before").select("service", F.col("start").alias("island_start"), "fired_at")
+    newest = steps.groupBy("service").agg(F.max("step").alias("newest"))
+    going_on = per_run.join(newest, "service").filter("last = newest").select("service", "start", (F.col("before") | F.col("fired_at").isNotNull()).alias("fired"))
+    return fired, going_on.union(state.join(newest, "service", "left_anti").select("service", "start", "fired"))
+
+
+def run_alert_hold(log: DataFrame, cond: str, hold_seconds: int, name: str, step_seconds: int = 60, delay: str = "10 minutes") -> DataFrame:
+    """``for:`` semantics as a stream, independent of how rows fall into micro-batches.
+
+    Spark's window state orders the rows into closed steps; each micro-batch joins its closed steps with the open runs that the batch
+    before it left.  Alerts and state are tables by batch id that a repeated batch overwrites, so a retry changes nothing.  The
+    state is one row per service."""
+    spark = log.sparkSession
+    d = _run_dir(spark, name)
+
+    def sink(steps: DataFrame, batch_id: int) -> None:
+        before = (spark.read.schema(HOLD_STATE).parquet(f"{d}/state/batch_id={batch_id - 1}") if batch_id
+                  else spark.createDataFrame([], HOLD_STATE))
+        fired, state = hold_runs(steps, before, hold_seconds)
+        fired.write.mode("overwrite").parquet(f"{d}/data/batch_id={batch_id}")
+        state.write.mode("overwrite").parquet(f"{d}/state/batch_id={batch_id}")
+
+    q = (stream_steps(log, cond, step_seconds, delay).writeStream.outputMode("append").foreachBatch(sink)
+            .option("checkpointLocation", f"{d}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{d}/data").select("service", "island_start", "fired_at")
