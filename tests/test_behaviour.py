@@ -74,3 +74,22 @@ def test_manifest_sorted_with_hashes(spark):
         assert r.sha256 == hashlib.sha256(files[r.path]).hexdigest() and r.bytes == len(files[r.path])
     lines = sio.checksum_lines(sio.file_manifest(spark, root, glob="*.*")).collect()
     assert lines[0].value == f"{hashlib.sha256(b'abc').hexdigest()}  a.txt"
+
+
+def test_segment_fits_equal_single_fits(spark):
+    """All segments fitted together equal one fit each, also for many segments and one of a single class."""
+    from pyspark.sql import functions as F
+    from tollgate.operators import training as tr
+    from tollgate.sources import bindings as b
+
+    rows = b.churn_split(spark, "/root/testdata/sf0.01").filter("split = 'train'").withColumn("segment", F.concat("segment", (F.col("c_custkey") % 3).cast("string")))
+    fitted = tr.train_by_segment(rows)
+    got = {(r["segment"], r["term"]): r for r in fitted.collect()}
+    assert all(r["converged"] and abs(r["gradient"]) < 1e-8 for r in got.values()) and len(got) == 36
+    for s in ("enterprise0", "self_serve2"):
+        for r in tr.train_logistic(rows.filter(F.col("segment") == s), with_segment=False).collect():
+            assert abs(r["coefficient"] - got[s, r["term"]]["coefficient"]) < 1e-4
+    one_class = rows.withColumn("churned", F.when(F.col("segment") == "enterprise0", 1).otherwise(F.col("churned")))
+    again = {(r["segment"], r["term"]): r for r in tr.train_by_segment(one_class).collect()}
+    assert len(again) == 36 and abs(again["self_serve2", "late_payments"]["coefficient"] - got["self_serve2", "late_payments"]["coefficient"]) < 1e-6
+    assert tr.train_by_segment(rows.limit(0)).count() == 0

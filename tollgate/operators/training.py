@@ -3,16 +3,24 @@ per-segment fits, batch scoring with idempotent partition overwrite, shadow comp
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.functions.exprs import clipped_sigmoid
 from tollgate.functions.guards import bounded_broadcast
 from tollgate.operators.model import FEATURES, feature_stats, standardize
+from tollgate.session import ensure_checkpoint_dir
+
+# The Newton steps (M3) run in Python workers: shipped by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 L2 = 5e-4
 
@@ -70,29 +78,62 @@ def gradient(train: DataFrame, models: DataFrame, features: Sequence[str] = FEAT
     return g.select("model", "version", F.inline(items))
 
 
-def train_by_segment(train: DataFrame, segment: str = "segment", features: Sequence[str] = FEATURES) -> DataFrame:
-    """M3: one model per segment, each a distributed Spark ML fit.
-
-    The segment list is a small distinct set (collected: one row per
-    segment); each fit is a distributed L-BFGS over that segment's rows, so no
-    segment is ever gathered into one task.  The fits are independent and are
-    submitted from driver threads, so their Spark jobs run concurrently.
-    """
-    from concurrent.futures import ThreadPoolExecutor
-
-    spark = train.sparkSession
-    segs = sorted(r[0] for r in train.select(segment).distinct().collect())
-
-    def fit(s):
-        return train_logistic(train.filter(F.col(segment) == s), features, with_segment=False) \
-            .withColumn(segment, F.lit(s))
-
-    out = None
-    with ThreadPoolExecutor(max_workers=max(1, min(len(segs), 8))) as pool:
-        for part in pool.map(fit, segs):
-            out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], f"term string, coefficient double, "
-                                                                 f"iterations int, {segment} string")
+def _newton_step(k: int, l2: float):
+    """Normal equations of each segment (one row) -> its next weights and the gradient at the present ones."""
+    upper = np.triu_indices(k)
+    penalty = np.full(k, l2)
+    penalty[0] = 0.0                                          # the intercept is free
+
+    def run(batches):
+        for d in batches:
+            out = []
+            for r in d.itertuples(index=False):
+                w, n = np.array(r.w, dtype=float), float(r.n)
+                h = np.zeros((k, k))
+                h[upper] = np.array(r.h, dtype=float) / n
+                h = h + np.triu(h, 1).T + np.diag(penalty)
+                g = np.array(r.g, dtype=float) / n + penalty * w
+                step = np.linalg.lstsq(h, g, rcond=None)[0]
+                step *= min(1.0, 5.0 / max(np.abs(step).max(), 1e-300))
+                out.append((r.segment, w - step, g, float(np.abs(step).max())))
+            yield pd.DataFrame(out, columns=["segment", "w", "g", "step"])
+    return run
+
+
+def train_by_segment(train: DataFrame, segment: str = "segment", features: Sequence[str] = FEATURES, label: str = "churned",
+                     l2: float = L2, max_iter: int = 30, tol: float = 1e-9) -> DataFrame:
+    """M3: one model per segment (the objective of M1, z-scores of the segment), all fitted together by Newton's method.
+
+    An iteration is one aggregate over the rows: per segment the sums of gradient and Hessian, combined before the shuffle, so
+    a hot segment is as many tasks as it has rows for, and there may be any number of segments.  The small systems of the segments are
+    solved where their sums are.  One number an iteration reaches the driver, the largest step of any segment.
+    Returns (segment, term, coefficient, gradient, iterations, converged)."""
+    terms = ["intercept", *features]
+    k = len(terms)
+    z = [(F.col(f).cast("double") - F.col(f"mean_{f}")) / F.greatest(F.col(f"std_{f}"), F.lit(1e-9)) for f in features]
+    x = (train.join(feature_stats(train, features, by=[segment]), segment)
+              .select(F.col(segment).alias("segment"), F.col(label).cast("double").alias("y"), *[c.alias(f"x{i}") for i, c in enumerate([F.lit(1.0), *z])]))
+    xs = [F.col(f"x{i}") for i in range(k)]
+    x = x.checkpoint() if ensure_checkpoint_dir(train.sparkSession) else x
+    kind = x.schema["segment"].dataType.simpleString()
+    w = x.groupBy("segment").agg(F.count(F.lit(1)).alias("_n")).select("segment", F.array_repeat(F.lit(0.0), k).alias("w"))
+    done = 0
+    while True:
+        logit = sum((F.get("w", F.lit(i)) * c for i, c in enumerate(xs)), F.lit(0.0))
+        p = x.join(w.select("segment", "w"), "segment").withColumn("p", clipped_sigmoid(logit))
+        v = F.col("p") * (1 - F.col("p"))
+        sums = p.groupBy("segment").agg(
+            F.count(F.lit(1)).alias("n"), F.first("w").alias("w"), *[F.sum((F.col("p") - F.col("y")) * c).alias(f"g{i}") for i, c in enumerate(xs)],
+            *[F.sum(v * xs[i] * xs[j]).alias(f"h{i}_{j}") for i in range(k) for j in range(i, k)])
+        row = sums.select("segment", "n", "w", F.array(*[F.col(f"g{i}") for i in range(k)]).alias("g"),
+                          F.array(*[F.col(f"h{i}_{j}") for i in range(k) for j in range(i, k)]).alias("h"))
+        w = row.mapInPandas(_newton_step(k, l2), f"segment {kind}, w array<double>, g array<double>, step double").checkpoint()
+        done += 1
+        if (w.agg(F.max("step")).first()[0] or 0.0) <= tol or done >= max_iter:
+            break
+    each = F.arrays_zip(F.array(*[F.lit(t) for t in terms]).alias("term"), F.col("w"), F.col("g"))
+    return (w.select("segment", (F.col("step") <= tol).alias("converged"), F.explode(each).alias("e"))
+             .select(F.col("segment").alias(segment), "e.term", F.col("e.w").alias("coefficient"), F.col("e.g").alias("gradient"), F.lit(done).alias("iterations"), "converged"))
 
 
 def batch_score(scored: DataFrame, path: str, partition: str = "split") -> DataFrame:

@@ -30,9 +30,31 @@ def _train(spark, sf):
 
 
 # ---- M1 / M2 / M3 -----------------------------------------------------------
-@query("train_logistic")
+def _descent_sql(by: str, indicator: bool, rounds: int, digits: int, gradient: bool) -> str:
+    """The fits' twin: plain gradient descent of the same objective, with all groups in one recursion."""
+    terms = [*FEATS, *(["enterprise"] if indicator else [])]
+    mean_std = ", ".join(f"{rnd(f'avg({f})', 6)} AS m_{f}, {rnd(f'CASE WHEN stddev_pop({f}) = 0 THEN 1.0::DOUBLE ELSE stddev_pop({f}) END', 6)} AS s_{f}" for f in FEATS)
+    z = ", ".join(f"(t.{f} - m_{f}) / greatest(s_{f}, 1e-9::DOUBLE) AS x{i + 1}" for i, f in enumerate(FEATS))
+    if indicator:
+        z += f", CAST(t.segment = 'enterprise' AS DOUBLE) AS x{len(terms)}"
+    k = range(1, len(terms) + 1)
+    logit = "w0 + " + " + ".join(f"w{i} * x{i}" for i in k)
+    step = ", ".join([f"any_value(w0) - avg({sig(f'greatest(least({logit}, 35.0::DOUBLE), -35.0::DOUBLE)')} - y)",
+                      *[f"any_value(w{i}) - (avg(({sig(f'greatest(least({logit}, 35.0::DOUBLE), -35.0::DOUBLE)')} - y) * x{i}) + {tr.L2!r} * any_value(w{i}))" for i in k]])
+    out = " UNION ALL ".join(f"SELECT {by}, '{t}' AS term, {rnd(f'w{i}', digits)} AS coefficient{', 0.0::DOUBLE AS gradient' if gradient else ''} FROM w WHERE it = {rounds}"
+                             for i, t in enumerate(["intercept", *terms]))
+    return f"""
+WITH RECURSIVE tr AS (SELECT *, 1 AS everything FROM churn_split WHERE split = 'train'),
+st AS (SELECT {by}, {mean_std} FROM tr GROUP BY {by}),
+x AS MATERIALIZED (SELECT t.{by}, CAST(t.churned AS DOUBLE) AS y, {z} FROM tr t JOIN st USING ({by})),
+w AS (SELECT {by}, 0 AS it, 0.0::DOUBLE AS w0, {", ".join(f"0.0::DOUBLE AS w{i}" for i in k)} FROM st
+      UNION ALL SELECT w.{by}, w.it + 1, {step} FROM w JOIN x USING ({by}) WHERE w.it < {rounds} GROUP BY w.{by}, w.it)
+SELECT * EXCLUDE ({by}){f", {by}" if by == "segment" else ""} FROM ({out})"""
+
+
+@query("train_logistic", with_views(_descent_sql("everything", True, 3000, 3, False), "churn_split"))
 def train_logistic(spark, sf):
-    """M1: regularised logistic regression on the train split (rows-only check; see gd_step)."""
+    """M1: regularised logistic regression on the train split."""
     return tr.train_logistic(_train(spark, sf)).select("term", F.round("coefficient", 3).alias("coefficient"))
 
 
@@ -58,10 +80,11 @@ def gd_step(spark, sf):
     return tr.gradient(train, mdl.model_table(spark, train))
 
 
-@query("train_by_segment")
+@query("train_by_segment", with_views(_descent_sql("segment", False, 2000, 4, True), "churn_split"))
 def train_by_segment(spark, sf):
-    """M3: one logistic model per segment (rows-only check)."""
-    return tr.train_by_segment(_train(spark, sf)).select("segment", "term", F.round("coefficient", 3).alias("coefficient"))
+    """M3: one logistic model per segment, with the gradient at its weights (zero to six digits)."""
+    return tr.train_by_segment(_train(spark, sf)).select("segment", "term", F.round("coefficient", 4).alias("coefficient"),
+                                                         F.abs(F.round("gradient", 6)).alias("gradient"))
 
 
 # ---- M8 / M9 ----------------------------------------------------------------
