@@ -101,3 +101,28 @@ def test_percentiles_property(spark):
             assert got[k] == exp
 
     check()
+
+
+def test_hot_key_is_not_held(spark):
+    """A key over many batches leaves batch by batch: the function yields as many rows as it has taken, whatever the key."""
+    import numpy as np
+    import pandas as pd
+    from tollgate.functions import ranking
+
+    taken = 0
+
+    def batches():
+        nonlocal taken
+        for i in range(50):
+            taken += 1000
+            yield pd.DataFrame({"k": ["hot"] * 1000 if i < 49 else ["hot"] * 10 + ["next"] * 990, "_w": np.full(1000, 2)})
+
+    given, last = 0, None
+    for out in ranking._local_running_sums(["k"], ["_w"])(batches()):
+        given += len(out)
+        assert given == taken
+        last = out
+    assert last["_l_w"].iloc[9] == 2 * 49_010 and last["_l_w"].iloc[10] == 2 and last["_l_w"].iloc[-1] == 2 * 990
+    df = spark.range(300_000).select(F.when(F.col("id") % 50 == 0, "b").otherwise("a").alias("k"), F.col("id").alias("o"))
+    got = prefix_rank(df, ["k"], ["o"], partitions=6).groupBy("k").agg(F.max("cum").alias("top"), F.count_distinct("cum").alias("d"), F.max("n").alias("n"))
+    assert sorted(map(tuple, got.collect())) == [("a", 294_000, 294_000, 294_000), ("b", 6_000, 6_000, 6_000)]

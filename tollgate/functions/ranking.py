@@ -7,11 +7,12 @@ with one key holding a third of the data that task is the whole job.  Instead
 1. range-partitions the rows on (key, order...) and sorts within partitions --
    one shuffle; a hot key spans many tasks;
 2. computes running sums inside each partition in place (a vectorised pandas
-   pass over the sorted partition: no second shuffle);
+   pass over the sorted partition, batch by batch: no second shuffle, and no key
+   is held in memory);
 3. fixes up the few keys that straddle partition boundaries: only the first
    and last key of a partition can, so that table has at most 2 x partitions
    rows and is broadcast;
-4. cum = local running sum + offset, n = group total.
+4. cum = local running sum + offset.
 
 The range-partitioned input is reliably checkpointed (shared
 ``spark.checkpoint.dir``) so every pass sees the same partitions, also when an
@@ -41,9 +42,10 @@ def range_partition(df: DataFrame, by: Sequence[str], order: Sequence[str],
                     partitions: int | None = None, stable: bool = True) -> DataFrame:
     """Range-partition on (by, order), sort within partitions, tag rows with ``_pid``.
 
-    Without an explicit ``partitions`` the partition count is left to AQE,
-    which coalesces adjacent (still contiguous) ranges to the advisory size --
-    big inputs get many partitions, small ones few.  With ``stable`` (several
+    Without an explicit ``partitions`` there are as many ranges as
+    ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` (else ``spark.sql.shuffle.partitions``) says,
+    and AQE merges adjacent small ones up to the advisory size.  It does not split a large one: set that number to the
+    largest input over the advisory size.  A range that is too large costs time and sort spill, not memory.  With ``stable`` (several
     passes over the result must see the same partition ids) the result is
     reliably checkpointed into the shared checkpoint dir; a single-pass
     consumer skips that write (a recomputed task reuses the same range
@@ -60,64 +62,32 @@ def range_partition(df: DataFrame, by: Sequence[str], order: Sequence[str],
 
 
 def _local_running_sums(by: list[str], weights: list[str]):
-    """Running sums per key run inside one sorted partition, plus the run's total.
+    """Running sums per key run inside one sorted partition.
 
-    Batches of one partition arrive in order; an open key run is carried
-    across batches (its rows are held until the run ends, at most one run of
-    one partition).
-    """
+    Batches of one partition arrive in order and leave one by one; only the last key's hash and sums are
+    carried, so a key that fills the whole partition needs no more memory than one batch."""
     def fn(batches):
-        pending: list[pd.DataFrame] = []
         carry_hash = None
-        carry_sum = np.zeros(len(weights), dtype=np.int64)
-
-        def close(frames):
-            run = pd.concat(frames, ignore_index=True)
-            for j, w in enumerate(weights):
-                run[f"_t{w}"] = np.int64(run[f"_l{w}"].iloc[-1]) if len(run) else 0
-            return run
-
+        carry = np.zeros(len(weights), dtype=np.int64)
         for pdf in batches:
             if pdf.empty:
                 continue
             h = pd.util.hash_pandas_object(pdf[by], index=False).to_numpy() if by else np.zeros(len(pdf), np.uint64)
-            new_run = np.empty(len(pdf), dtype=bool)
-            new_run[0] = carry_hash is None or h[0] != carry_hash
-            new_run[1:] = h[1:] != h[:-1]
-            run_id = np.cumsum(new_run)
+            new = np.empty(len(pdf), dtype=bool)
+            new[0] = carry_hash is None or h[0] != carry_hash
+            new[1:] = h[1:] != h[:-1]
+            starts = np.flatnonzero(np.r_[True, new[1:]])
+            lengths = np.diff(np.r_[starts, len(pdf)])
             for j, w in enumerate(weights):
-                v = pdf[w].to_numpy(dtype=np.int64)
-                c = pd.Series(v).groupby(run_id).cumsum().to_numpy()
-                if not new_run[0]:
-                    c = c + np.where(run_id == run_id[0], carry_sum[j], 0)
-                pdf[f"_l{w}"] = c
-            starts = np.flatnonzero(new_run)
-            first_closed = 0
-            if not new_run[0]:
-                # the carried run continues into this batch
-                end = starts[0] if len(starts) else len(pdf)
-                pending.append(pdf.iloc[:end])
-                first_closed = end
-                if len(starts):
-                    yield close(pending)
-                    pending = []
-            elif pending:
-                yield close(pending)
-                pending = []
-            if len(starts):
-                last_start = starts[-1]
-                if last_start > first_closed:
-                    body = pdf.iloc[first_closed:last_start]
-                    rid = run_id[first_closed:last_start]
-                    for w in weights:
-                        body = body.assign(**{f"_t{w}": body.groupby(rid)[f"_l{w}"].transform("last")
-                                              .to_numpy(dtype=np.int64)})
-                    yield body
-                pending = [pdf.iloc[last_start:]]
+                total = np.cumsum(pdf[w].to_numpy(dtype=np.int64))
+                before = np.r_[0, total[starts[1:] - 1]]
+                if not new[0]:
+                    before[0] -= carry[j]
+                local = total - np.repeat(before, lengths)
+                pdf[f"_l{w}"] = local
+                carry[j] = local[-1]
             carry_hash = h[-1]
-            carry_sum = np.array([pdf[f"_l{w}"].iloc[-1] for w in weights], dtype=np.int64)
-        if pending:
-            yield close(pending)
+            yield pdf
     return fn
 
 
@@ -132,11 +102,12 @@ def _null_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> Da
 
 
 def prefix_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], weight: str | Sequence[str] | None = None,
-                partitions: int | None = None) -> DataFrame:
-    """Add ``cum`` (inclusive running weight within ``by`` in ``order``) and ``n`` (group total).
+                partitions: int | None = None, totals: bool = True) -> DataFrame:
+    """Add ``cum`` (inclusive running weight within ``by`` in ``order``), and with ``totals`` ``n`` (group total).
 
     With several weight columns, adds ``cum_<w>`` and ``n_<w>`` for each.
     Only ascending order; ties in ``order`` must be broken by the caller.
+    Totals are one grouped sum, joined on the key (Spark broadcasts it where it is small).
     """
     by, order = list(by), list(order)
     weights = [weight] if isinstance(weight, str) or weight is None else list(weight)
@@ -158,20 +129,19 @@ def prefix_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], weight:
                                                                              2 * p, "partition-edge keys"),
                            ["_pid", *by]).filter(F.col("_c"))
     tot = span.groupBy("_pid", *by).agg(*[F.sum(nm).alias(f"_p{nm}") for nm in names])
-    kw = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    ow = kw.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    ow = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select("_pid", *by,
-                      *[F.coalesce(F.sum(f"_p{nm}").over(ow), F.lit(0)).alias(f"_o{nm}") for nm in names],
-                      *[F.sum(f"_p{nm}").over(kw).alias(f"_n{nm}") for nm in names])
-    schema = StructType([*r.schema.fields, *[StructField(f"_l{nm}", LongType()) for nm in names],
-                         *[StructField(f"_t{nm}", LongType()) for nm in names]])
+                      *[F.coalesce(F.sum(f"_p{nm}").over(ow), F.lit(0)).alias(f"_o{nm}") for nm in names])
+    schema = StructType([*r.schema.fields, *[StructField(f"_l{nm}", LongType()) for nm in names]])
     local = r.mapInPandas(_local_running_sums(by, names), schema)
     out = _null_safe_join(local, bounded_broadcast(offs, 2 * p, "edge-key offsets"), ["_pid", *by])
     for w, nm in zip(weights, names):
         suffix = "" if nm == "_w" else f"_{w}"
-        out = (out.withColumn(f"cum{suffix}", F.col(f"_l{nm}") + F.coalesce(F.col(f"_o{nm}"), F.lit(0)))
-                  .withColumn(f"n{suffix}", F.coalesce(F.col(f"_n{nm}"), F.col(f"_t{nm}"))))
-    drop = ["_pid", *[c for nm in names for c in (f"_l{nm}", f"_t{nm}", f"_o{nm}", f"_n{nm}")]]
+        out = out.withColumn(f"cum{suffix}", F.col(f"_l{nm}") + F.coalesce(F.col(f"_o{nm}"), F.lit(0)))
+    if totals:
+        sums = r.groupBy(*by).agg(*[F.sum(nm).alias("n" if nm == "_w" else f"n_{w}") for w, nm in zip(weights, names)])
+        out = _null_safe_join(out, sums, by) if by else out.crossJoin(bounded_broadcast(sums, 1, "grand total"))
+    drop = ["_pid", *[c for nm in names for c in (f"_l{nm}", f"_o{nm}")]]
     if names != ["_w"]:
         drop += names
     return out.drop(*drop)

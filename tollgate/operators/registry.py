@@ -37,7 +37,7 @@ def registry_fold(events: DataFrame) -> DataFrame:
     model -- no window over a model's whole history.
     """
     e = events.withColumn("_is_p", ((F.col("event") == "promote") & F.col("gates_passed")).cast("int"))
-    seg = prefix_rank(e, ["model"], ["ts", "version"], weight="_is_p").withColumnRenamed("cum", "seg")
+    seg = prefix_rank(e, ["model"], ["ts", "version"], weight="_is_p", totals=False).withColumnRenamed("cum", "seg")
     segs = seg.filter(F.col("seg") >= 1).groupBy("model", "seg").agg(
         F.max(F.when(F.col("_is_p") == 1, F.col("version"))).alias("v"),
         F.count_if(F.col("event") == "rollback").alias("r"))

@@ -128,7 +128,7 @@ def pending_triage(log: DataFrame, now: Column) -> DataFrame:
     p = log.filter(F.col("status") == "pending").select(
         "cluster_queue", "local_queue", "workload", "submitted", "requested_cpu",
         (-F.col("priority")).alias("_neg_priority"))
-    ranked = prefix_rank(p, ["cluster_queue"], ["_neg_priority", "submitted", "workload"])
+    ranked = prefix_rank(p, ["cluster_queue"], ["_neg_priority", "submitted", "workload"], totals=False)
     wait_days = F.datediff(now, F.col("submitted"))
     return ranked.groupBy("cluster_queue", "local_queue").agg(
         F.count(F.lit(1)).alias("pending"), F.min("cum").alias("best_position"),

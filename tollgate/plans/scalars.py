@@ -327,7 +327,7 @@ def score_pct(spark, sf):
 def multi_key_sort(spark, sf):
     """O1: global order (priority desc, submitted asc); positions via the skew-safe global rank."""
     q = b.queue_log(spark, sf).select("workload", (-F.col("priority")).alias("_np"), "submitted")
-    return prefix_rank(q, [], ["_np", "submitted", "workload"]).select("workload", F.col("cum").alias("position"))
+    return prefix_rank(q, [], ["_np", "submitted", "workload"], totals=False).select("workload", F.col("cum").alias("position"))
 
 
 @query("set_difference", "SELECT c_custkey FROM customer EXCEPT ALL SELECT DISTINCT o_custkey FROM orders")

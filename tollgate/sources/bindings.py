@@ -125,7 +125,7 @@ def request_counters(spark: SparkSession, sf: str) -> DataFrame:
     p = (prediction_log(spark, sf).withColumn("day", F.to_date("ts"))
          .withColumn("one", F.lit(1)).withColumn("err", (F.col("status") == "error").cast("int"))
          .select("service", "day", "ts", "request_id", "one", "err"))
-    r = prefix_rank(p, ["service", "day"], ["ts", "request_id"], weight=["one", "err"])
+    r = prefix_rank(p, ["service", "day"], ["ts", "request_id"], weight=["one", "err"], totals=False)
     return r.select("service", "ts", "request_id", F.col("cum_one").cast("double").alias("requests_total"),
                     F.col("cum_err").cast("double").alias("errors_total"))
 
@@ -270,7 +270,7 @@ def spans(spark: SparkSession, sf: str) -> DataFrame:
     root = o.select(tid.alias("trace_id"), sha_prefix(16, tid, F.lit("orders"), F.lit("0")).alias("span_id"),
                     F.lit(None).cast("string").alias("parent_span_id"), F.lit("orders").alias("service"),
                     F.lit(0).alias("seq"), F.round(F.col("o_totalprice") / 10000, 2).alias("duration_ms"))
-    ch = (prefix_rank(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"])
+    ch = (prefix_rank(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], totals=False)
           .withColumn("seq", F.col("cum").cast("int"))
           .withColumn("trace_id", F.sha2(F.col("l_orderkey").cast("string"), 256)))
     span_id = sha_prefix(16, F.col("trace_id"), F.lit("line"), F.col("seq").cast("string"))
@@ -302,7 +302,7 @@ def shard_results(spark: SparkSession, sf: str) -> DataFrame:
     rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
     code = (F.when(rf == "A", "0").when((rf == "N") & (ls == "F"), "42").when(rf == "N", "DisruptionTarget")
              .when((rf == "R") & (ls == "F"), "78").otherwise("0"))
-    ranked = prefix_rank(li, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_extendedprice"])
+    ranked = prefix_rank(li, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey", "l_extendedprice"], totals=False)
     return ranked.select(F.col("l_orderkey").alias("job"), F.col("l_linenumber").alias("idx"),
                          code.alias("exit_code"), F.col("cum").cast("int").alias("attempt"))
 
