@@ -234,10 +234,10 @@ def _run_deltas(keys: list[str], value: str):
     return fn
 
 
-def run_increase(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                 partitions: int | None = None) -> DataFrame:
-    """Counter increase per key (sum of deltas between consecutive rows in ``order``, resets
-    counted as the new value), skew-safe and without a second shuffle of the rows.
+def run_summary(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
+                partitions: int | None = None) -> DataFrame:
+    """Per key: counter increase (sum of deltas between consecutive rows in ``order``, resets
+    counted as the new value), samples, first and last value; skew-safe and without a second shuffle of the rows.
 
     Rows are range-partitioned and sorted on (keys, order) and reduced in place
     to one summary per key run; deltas across partition edges come from a
@@ -253,7 +253,14 @@ def run_increase(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     edge = F.when(prev.isNull(), F.lit(0.0)).when(F.col("_first_v") >= prev, F.col("_first_v") - prev) \
         .otherwise(F.col("_first_v"))
     return runs.withColumn("_edge", edge).groupBy(*keys).agg(
-        (F.sum("_inner") + F.sum("_edge")).alias("increase"), F.sum("_n").alias("samples"))
+        (F.sum("_inner") + F.sum("_edge")).alias("increase"), F.sum("_n").alias("samples"),
+        F.min_by("_first_v", "_pid").alias("first_value"), F.max_by("_last_v", "_pid").alias("last_value"))
+
+
+def run_increase(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
+                 partitions: int | None = None) -> DataFrame:
+    """Counter increase and samples per key (see ``run_summary``)."""
+    return run_summary(df, keys, order, value, partitions).drop("first_value", "last_value")
 
 
 def nearest_rank_index(n: Column, pct: float) -> Column:

@@ -61,8 +61,8 @@ def cost_gpu_monthly(samples: DataFrame, prices: DataFrame, by: Sequence[str]) -
 
 
 def budget_exceeded(cpu: DataFrame, mem: DataFrame, budgets: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Cpu + mem cost (vector add = inner join on labels) above the budget."""
-    j = cpu.join(mem, list(on), "inner").join(bounded_broadcast(budgets, 100_000, "budget table"), list(on), "left")
+    """Cpu + mem cost (vector add = inner join on labels) above the budget; labels without one have the sum of all."""
+    j = cpu.join(mem, list(on), "inner").join(budgets, list(on), "left")
     total = F.round((F.col("cpu_cost").cast("decimal(38,6)") + F.col("mem_cost").cast("decimal(38,6)")), 2).cast("double")
     b = F.coalesce(F.col("budget"), F.lit(NAMESPACE_BUDGET))
     return j.select(*on, total.alias("monthly_cost"), b.alias("budget"), (total > b).alias("exceeded"))
@@ -83,7 +83,13 @@ def missing_cost_label(samples: DataFrame, label: str = "cost_center") -> DataFr
                 .withColumn("alert", F.col("pods_missing_label") > 0))
 
 
-def cost_rollup(costed: DataFrame, dims: Sequence[str], value: str = "cost") -> DataFrame:
-    """Spend over the rollup of the allocation dimensions with grouping_id."""
-    return (costed.rollup(*dims).agg(money_sum(F.col(value)).alias("spend"),
-                                     F.grouping_id().cast("int").alias("grouping_id")))
+def cost_rollup(samples: DataFrame, prices: DataFrame, sets: Sequence[Sequence[str]],
+                dims: Sequence[str] = ALLOCATION_DIMENSIONS) -> DataFrame:
+    """Monthly CPU spend over any grouping sets of the allocation dimensions, with grouping_id (bits in their order).
+
+    Quantities are decimals from the first sum on, so cents do not depend on the order of addition.  Samples are summed by
+    (dimensions, node) before the price join and before Spark expands them to the sets."""
+    pre = samples.groupBy(*dims, "node").agg(F.sum(F.col("cpu").cast("decimal(18,6)")).alias("_q"))
+    costed = pre.join(prices.select("node", "cpu_h"), "node").withColumn("cost", F.col("_q") * F.col("cpu_h").cast("decimal(10,6)") * F.lit(HOURS_PER_MONTH))
+    return costed.groupingSets([list(s) for s in sets], *dims).agg(
+        F.round(F.sum(F.col("cost").cast("decimal(38,6)")), 2).cast("double").alias("spend"), F.grouping_id().cast("int").alias("grouping_id"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollgate.session import ensure_checkpoint_dir
@@ -130,3 +130,14 @@ def span_enrich(spans: DataFrame, inventory: DataFrame, key: str = "service") ->
     base = F.create_map(F.lit("service.name"), F.col(key))
     attrs = F.when(F.col("namespace").isNull(), base).otherwise(F.map_concat(base, meta))
     return j.select("trace_id", "span_id", key, attrs.alias("attributes"))
+
+
+def trace_pivot(spans: DataFrame, by: Sequence[str], key: str, value: Column, digits: int = 2) -> DataFrame:
+    """Per group a map from each value of ``key`` that the data hold to the sum of ``value``, and the share of its rows.
+
+    No list of values is needed and none is collected: rows are summed by (group, value) first, so a map has one entry
+    for each value of its group.  Null keys are under 'unknown'."""
+    k = F.coalesce(F.col(key).cast("string"), F.lit("unknown"))
+    sums = spans.groupBy(*by, k.alias("_k")).agg(F.sum(value).alias("_v"), F.count(F.lit(1)).alias("_n"))
+    entry = F.struct(F.col("_k"), F.round("_v", digits).alias("v"))
+    return sums.groupBy(*by).agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("pivot"), F.sum("_n").alias("rows"))

@@ -21,6 +21,8 @@ FEATURES = ("tenure_months", "monthly_spend", "support_tickets", "late_payments"
 # Absolute drift limits (monthly_spend 20.0, every other feature 0.25).
 DRIFT_LIMITS = {"monthly_spend": 20.0}
 DEFAULT_DRIFT_LIMIT = 0.25
+#: Largest difference of a version's mean score from that of all predictions.
+SCORE_DRIFT_LIMIT = 0.005
 HIGH_RISK_SCORE = 0.5
 RECENT_LIMIT = 20
 
@@ -81,6 +83,12 @@ def prediction_drift(log: DataFrame, by: Sequence[str] = ("model_version",), sco
         F.count(F.lit(1)).alias("predictions"))
 
 
+def prediction_drift_verdict(by_version: DataFrame, overall: DataFrame, limit: float = SCORE_DRIFT_LIMIT) -> DataFrame:
+    """Versions whose mean score lies further from the mean of all predictions than the limit."""
+    whole = overall.select(F.col("mean_score").alias("overall"))       # one row
+    return by_version.crossJoin(F.broadcast(whole)).select("model_version", (F.abs(F.round(F.col("mean_score") - F.col("overall"), 6)) > limit).alias("moved"))
+
+
 def recent_predictions(log: DataFrame, by: Sequence[str] = ("service",), k: int = RECENT_LIMIT,
                        order: Sequence[Column] | None = None) -> DataFrame:
     """Last k rows per group by log order (ts, request_id).

@@ -19,13 +19,17 @@ ATTESTATION_ACTION = "actions/attest@v4"
 
 
 def performance_budget(observed: DataFrame, budgets: DataFrame, by: Sequence[str]) -> DataFrame:
-    """(entity, metric, observed) x budgets (metric, budget, lower_is_better) -> pass and margin."""
-    j = observed.join(bounded_broadcast(budgets, 1_000, "performance budgets"), "metric", "inner")
-    lower = F.col("lower_is_better")
-    o, b = F.col("observed"), F.col("budget")
-    return j.select(*by, "metric", F.round(o, 4).alias("observed"), "budget",
-                    F.when(lower, o <= b).otherwise(o >= b).alias("passed"),
-                    F.round(F.when(lower, b - o).otherwise(o - b), 4).alias("margin"))
+    """(entity, metric, observed) x budgets (metric, budget, lower_is_better) -> pass, margin and the entity's action.
+
+    Every entity is held against every budget; a metric without evidence fails, and one failure freezes the release."""
+    spine = observed.select(*by).distinct().crossJoin(bounded_broadcast(budgets, 1_000, "performance budgets"))
+    j = spine.join(observed, [*by, "metric"], "left")
+    lower, o, b = F.col("lower_is_better"), F.col("observed"), F.col("budget")
+    checks = j.select(*by, "metric", F.round(o, 4).alias("observed"), "budget",
+                      F.coalesce(F.when(lower, o <= b).otherwise(o >= b), F.lit(False)).alias("passed"),
+                      F.round(F.when(lower, b - o).otherwise(o - b), 4).alias("margin"))
+    all_passed = F.bool_and("passed").over(Window.partitionBy(*by))     # one row for each budget
+    return checks.withColumn("recommended_action", F.when(all_passed, "allow_release").otherwise("freeze_release_and_open_performance_incident"))
 
 
 def queue_pressure(queued: Column, slots: Column) -> Column:
@@ -40,9 +44,10 @@ def release_policy(df: DataFrame) -> DataFrame:
     burn = F.round(F.col("error_rate") / max(1 - POLICY["availability_slo"], 1e-4), 4)
     pressure = queue_pressure(F.col("queued_jobs"), F.col("available_slots"))
     d = df.withColumn("burn_rate", burn).withColumn("queue_pressure", pressure)
-    checks = (F.coalesce(F.col("gates_passed"), F.lit(False)) & F.coalesce(F.col("drift_passed"), F.lit(True))
-              & (F.col("latency_p95") <= POLICY["p95_ms"]) & (F.col("burn_rate") <= POLICY["burn_ok"])
-              & (F.col("queue_pressure") <= POLICY["queue_pressure"]))
+    # A version without traffic has no latency and no error rate: both checks fail, and it is held.
+    checks = F.coalesce(F.coalesce(F.col("gates_passed"), F.lit(False)) & F.coalesce(F.col("drift_passed"), F.lit(True))
+                        & (F.col("latency_p95") <= POLICY["p95_ms"]) & (F.col("burn_rate") <= POLICY["burn_ok"])
+                        & (F.col("queue_pressure") <= POLICY["queue_pressure"]), F.lit(False))
     action = (F.when((F.col("burn_rate") >= POLICY["burn_rollback"]) | (F.col("error_rate") >= POLICY["error_rollback"]),
                      "rollback").when(checks, "advance_canary").otherwise("hold"))
     return d.withColumn("all_checks_passed", checks).withColumn("action", action)
@@ -144,6 +149,27 @@ def deadline_miss(starts: DataFrame, first_done: DataFrame, key: str, queued: st
     return j.withColumn("status", status)
 
 
+def deadline_policies(events: DataFrame, policies: DataFrame) -> DataFrame:
+    """Events (id, key, ts, event) against policies (policy, a, b, limit_s, severity): is each ``a`` followed by a ``b`` of its key in time?
+
+    Time is cut into slots of the policy's own limit, so the first ``b`` in time lies in the slot of ``a`` or the next one: a window
+    inside of (policy, key, slot), and one equi-join with each slot's first ``b``.  A hot key is as many groups as it has slots.
+    Status: met; missed (not in time); open (the deadline is later than the newest event).  a and b of a policy differ; a null key or time waits for nothing and has no row."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    e = events.filter(F.col("key").isNotNull() & F.col("ts").isNotNull()).withColumn("t", micros)
+    both = e.join(bounded_broadcast(policies, 1_000, "deadline policies"), (F.col("event") == F.col("a")) | (F.col("event") == F.col("b")))
+    both = both.withColumn("limit", F.col("limit_s") * F.lit(1_000_000).cast("long")).withColumn("slot", F.floor(F.col("t") / F.col("limit")))
+    awaited = F.when(F.col("event") == F.col("b"), F.col("t"))
+    in_slot = Window.partitionBy("policy", "key", "slot").orderBy("t").rangeBetween(0, Window.unboundedFollowing)
+    waiting = both.withColumn("done", F.min(awaited).over(in_slot)).filter(F.col("event") == F.col("a"))
+    later = (both.filter(F.col("event") == F.col("b")).groupBy("policy", "key", (F.col("slot") - 1).alias("slot")).agg(F.min("t").alias("next_done")))
+    newest = e.agg(F.max("t").alias("newest"))                          # one row
+    j = waiting.join(later, ["policy", "key", "slot"], "left").crossJoin(F.broadcast(newest))
+    due = F.col("t") + F.col("limit")
+    status = F.when(F.coalesce("done", "next_done") <= due, "met").when(due <= F.col("newest"), "missed").otherwise("open")
+    return j.select("policy", "severity", "id", "key", "ts", status.alias("status"))
+
+
 def asset_expression(events: DataFrame, partition: str = "partition_key") -> DataFrame:
     """A partition fires when (raw and candidate) or rollback_request."""
     g = events.groupBy(partition).agg(

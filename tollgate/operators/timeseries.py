@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tollgate.functions.guards import bounded_broadcast
-from tollgate.functions.ranking import run_increase
+from tollgate.functions.ranking import run_increase, run_summary
 
 
 def _c(x) -> Column:
@@ -73,6 +73,31 @@ def counter_rate(df: DataFrame, series: Sequence[str], ts: str = "ts", value: st
     return inc.withColumn("rate", F.col("increase") / F.lit(float(window_seconds)))
 
 
+def sliding_increase(df: DataFrame, series: Sequence[str], ts: str = "ts", value: str = "value", window_seconds: int = 3600,
+                     slide_seconds: int = 300, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Increase of a counter over overlapping windows, one every ``slide_seconds``, with resets counted.
+
+    Samples are reduced to slots of the slide first: the increase inside of the slot, its first and last value (one
+    shuffle of the samples).  The step from one slot to the next is the reset-aware difference of their edge values.
+    A window is the sum over its slots, without the step into its first one, whose earlier sample lies outside."""
+    if window_seconds % slide_seconds:
+        raise ValueError("the window must be a multiple of the slide")
+    slots = run_summary(df.withColumn("slot", bucket_start(ts, slide_seconds)), [*series, "slot"], [ts, *tiebreak], value)
+    before = F.lag("last_value").over(Window.partitionBy(*series).orderBy("slot"))
+    into = (F.when(before.isNull(), F.lit(0.0)).when(F.col("first_value") >= before, F.col("first_value") - before).otherwise(F.col("first_value")))
+    stepped = slots.withColumn("into", into)
+    starts = F.transform(F.sequence(F.lit(0), F.lit(window_seconds // slide_seconds - 1)), lambda k: F.unix_timestamp(F.col("slot").cast("timestamp")) - k * slide_seconds)
+    g = stepped.withColumn("_start", F.explode(starts)).groupBy(*series, "_start").agg(
+        (F.sum("increase") + F.sum("into") - F.min_by("into", "slot")).alias("increase"), F.sum("samples").alias("samples"))
+    return g.select(*series, F.timestamp_seconds("_start").cast("timestamp_ntz").alias("window_start"), "increase", "samples")
+
+
+def sliding_rate(df: DataFrame, series: Sequence[str], ts: str = "ts", value: str = "value", window_seconds: int = 3600,
+                 slide_seconds: int = 300, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """T3 over overlapping windows."""
+    return sliding_increase(df, series, ts, value, window_seconds, slide_seconds, tiebreak).withColumn("rate", F.col("increase") / F.lit(float(window_seconds)))
+
+
 def rate_ratio(num: DataFrame, den: DataFrame, on: Sequence[str]) -> DataFrame:
     """sum(rate(num)) / sum(rate(den)) by ``on`` (null when the denominator is 0)."""
     a = num.groupBy(*on).agg(F.sum("rate").alias("num_rate"))
@@ -187,19 +212,21 @@ def vec_compare(left: DataFrame, right: DataFrame | float, on: Sequence[str], op
 
 
 # ---- T13 --------------------------------------------------------------------
-def absent_steps(df: DataFrame, series: Sequence[str], ts: str, step_seconds: int) -> DataFrame:
-    """``absent()`` per series and step: steps inside a series' active range with no sample.
-
-    The expected steps are generated per series from its own first to last
-    step (``sequence`` + ``explode``), proportional to the output space.
-    """
-    b = df.select(*series, bucket_start(ts, step_seconds).alias("step"))
-    observed = b.distinct()
-    rng = b.groupBy(*series).agg(F.min("step").alias("_lo"), F.max("step").alias("_hi"))
-    expected = rng.select(*series, F.explode(F.sequence(F.col("_lo").cast("timestamp"), F.col("_hi").cast("timestamp"),
-                                                        F.expr(f"INTERVAL {step_seconds} SECONDS"))).alias("step"))
-    expected = expected.withColumn("step", F.col("step").cast("timestamp_ntz"))
-    return expected.join(observed, [*series, "step"], "left_anti").withColumn("absent", F.lit(1))
+def absent_steps(df: DataFrame, series: Sequence[str], ts: str, step_seconds: int, expected: DataFrame | None = None,
+                 block: str = "1 DAY") -> DataFrame:
+    """``absent()`` per expected series and step, over the whole time range of the table.
+
+    ``expected`` lists the series that should report (else those that ever did); one that stops, starts late or never
+    appears is absent at each step it lacks.  Steps are made in (series, block) pieces that Spark deals out, so a long
+    range of one series is not one task."""
+    observed = df.select(*series, bucket_start(ts, step_seconds).alias("step")).distinct()
+    span = observed.agg(F.min("step").cast("timestamp").alias("_lo"), F.max("step").cast("timestamp").alias("_hi"))
+    spine = (observed if expected is None else expected).select(*series).distinct()
+    blocks = (spine.crossJoin(F.broadcast(span))                      # one row
+                   .select(*series, "_hi", F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {block}"))).alias("_from")).repartition(*series, "_from"))
+    last = F.least(F.col("_hi"), F.col("_from") + F.expr(f"INTERVAL {block}") - F.expr("INTERVAL 1 MICROSECOND"))
+    steps = blocks.select(*series, F.explode(F.sequence("_from", last, F.expr(f"INTERVAL {step_seconds} SECONDS"))).alias("step"))
+    return steps.withColumn("step", F.col("step").cast("timestamp_ntz")).join(observed, [*series, "step"], "left_anti").withColumn("absent", F.lit(1))
 
 
 # ---- T14 --------------------------------------------------------------------

@@ -270,12 +270,12 @@ SELECT source, CAST(sum(length(text) + 1) AS BIGINT) AS total_chars,
        CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS total_lines
 FROM documents GROUP BY source""")
 def corpus_text_scan(spark, sf):
-    """Whole-text read of the corpus folder (recursive, glob-filtered), totals per source folder."""
+    """Block-wise read of the corpus folder (recursive, glob-filtered), totals per source folder."""
     files = sio.corpus_text_scan(spark, _docs_folder(spark, sf))
     src = F.regexp_extract("path", r"source=([^/]+)/", 1)
     return files.groupBy(src.alias("source")).agg(
-        F.sum(F.length("value")).cast("long").alias("total_chars"),
-        F.sum(F.length("value") - F.length(F.regexp_replace("value", "\n", ""))).cast("long").alias("total_lines"))
+        F.sum(F.length("text")).cast("long").alias("total_chars"),
+        F.sum(F.length("text") - F.length(F.regexp_replace("text", "\n", ""))).cast("long").alias("total_lines"))
 
 
 KEEP_HOSTS = r"https?://(?:blog|m)\.[a-z]+\.example\.(?:com|net|org)/.*"

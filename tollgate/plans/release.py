@@ -11,6 +11,7 @@ from tollgate.functions.ranking import nearest_rank_percentiles
 from tollgate.operators import evaluate as ev
 from tollgate.operators import evidence as evd
 from tollgate.operators import registry as reg
+from tollgate.operators import model as mdl
 from tollgate.operators import release as rel
 from tollgate.plans.catalog import query
 from tollgate.plans.lifecycle import _M7_SQL
@@ -29,41 +30,56 @@ def _nr(col: str, p: float) -> str:
 # ---- R5 ---------------------------------------------------------------------
 # Performance budgets (metric, budget, lower_is_better).
 PERF_BUDGETS = [("online_inference_p95_ms", 50.0, True), ("online_inference_p99_ms", 120.0, True),
-                ("error_rate", 0.05, True), ("daily_requests", 50.0, False)]
+                ("error_rate", 0.05, True), ("daily_requests", 50.0, False),
+                ("queue_wait_p95_days", 60.0, True), ("validation_accuracy", 0.70, False)]
 
 
 def _perf_budget_sql() -> str:
     rows = ", ".join(f"('{m}', CAST({v!r} AS DOUBLE), {str(lb).lower()})" for m, v, lb in PERF_BUDGETS)
+    wait = f"{_nr('w', 0.95)}"
     return f"""
 WITH o AS (
   SELECT service, {_nr('latency_ms', 0.95)} AS p95, {_nr('latency_ms', 0.99)} AS p99,
          avg(CAST(status <> 'success' AS DOUBLE)) AS err, count(*) / count(DISTINCT CAST(ts AS DATE)) AS daily
   FROM prediction_log GROUP BY service),
+q AS (SELECT 'svc' || CAST(o_custkey % 5 AS VARCHAR) AS service, {wait} AS wait FROM (
+        SELECT o_custkey, CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(s AS DATE)) AS DOUBLE) AS w
+        FROM orders JOIN (SELECT l_orderkey, min(l_shipdate) AS s FROM lineitem GROUP BY 1) ON o_orderkey = l_orderkey) GROUP BY 1),
+a AS (SELECT avg(CAST(prediction = churned AS DOUBLE)) AS acc FROM scored WHERE split = 'validation' AND version = '2026.07.0'),
 l AS (SELECT service, 'online_inference_p95_ms' AS metric, p95 AS observed FROM o
       UNION ALL SELECT service, 'online_inference_p99_ms', p99 FROM o
       UNION ALL SELECT service, 'error_rate', err FROM o
-      UNION ALL SELECT service, 'daily_requests', daily FROM o)
-SELECT service, metric, {rnd('observed', 4)} AS observed, budget,
-       CASE WHEN lower_is_better THEN observed <= budget ELSE observed >= budget END AS passed,
-       {rnd('CASE WHEN lower_is_better THEN budget - observed ELSE observed - budget END', 4)} AS margin
-FROM l JOIN (VALUES {rows}) b(metric, budget, lower_is_better) USING (metric)"""
+      UNION ALL SELECT service, 'daily_requests', daily FROM o
+      UNION ALL SELECT service, 'queue_wait_p95_days', wait FROM q
+      UNION ALL SELECT service, 'validation_accuracy', acc FROM o, a),
+c AS (SELECT s.service, b.metric, {rnd('observed', 4)} AS observed, budget,
+             coalesce(CASE WHEN lower_is_better THEN observed <= budget ELSE observed >= budget END, false) AS passed,
+             {rnd('CASE WHEN lower_is_better THEN budget - observed ELSE observed - budget END', 4)} AS margin
+      FROM (SELECT DISTINCT service FROM l) s CROSS JOIN (VALUES {rows}) b(metric, budget, lower_is_better) LEFT JOIN l ON l.service = s.service AND l.metric = b.metric)
+SELECT *, CASE WHEN bool_and(passed) OVER (PARTITION BY service) THEN 'allow_release' ELSE 'freeze_release_and_open_performance_incident' END AS recommended_action FROM c"""
 
 
-@query("performance_budget", with_views(_perf_budget_sql(), "prediction_log"))
+@query("performance_budget", with_views(_perf_budget_sql(), "prediction_log", "scored"))
 def performance_budget(spark, sf):
+    """Serving, release-queue and validation metrics of each service against six budgets; what has no evidence fails."""
     log = b.prediction_log(spark, sf)
     pct = nearest_rank_percentiles(log, "latency_ms", ["service"], (0.95, 0.99), ("p95", "p99"))
     other = log.groupBy("service").agg(
         F.avg((F.col("status") != "success").cast("double")).alias("err"),
         (F.count(F.lit(1)) / F.count_distinct(F.to_date("ts"))).alias("daily"))
-    o = pct.join(other, "service")
-    long = o.select("service", F.inline(F.array(
-        F.struct(F.lit("online_inference_p95_ms").alias("metric"), F.col("p95").alias("observed")),
-        F.struct(F.lit("online_inference_p99_ms").alias("metric"), F.col("p99").alias("observed")),
-        F.struct(F.lit("error_rate").alias("metric"), F.col("err").alias("observed")),
-        F.struct(F.lit("daily_requests").alias("metric"), F.col("daily").alias("observed")))))
+    rows = b.churn_split(spark, sf)
+    models = mdl.model_table(spark, rows.filter(F.col("split") == "train")).filter(F.col("version") == "2026.07.0")
+    accuracy = (mdl.score(rows.filter(F.col("split") == "validation"), models, keep=["churned"])
+                .agg(F.avg((F.col("prediction") == F.col("churned")).cast("double")).alias("acc")))
+    o = pct.join(other, "service").crossJoin(bounded_broadcast(accuracy, 1, "one accuracy"))
+    first = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_shipdate").alias("started"))
+    waits = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate").join(first, "o_orderkey").select(
+        F.concat(F.lit("svc"), (F.col("o_custkey") % 5).cast("string")).alias("service"), F.datediff("started", "o_orderdate").cast("double").alias("wait"))
+    wait = nearest_rank_percentiles(waits, "wait", ["service"], (0.95,), ("observed",)).select("service", F.lit("queue_wait_p95_days").alias("metric"), "observed")
+    names = {"online_inference_p95_ms": "p95", "online_inference_p99_ms": "p99", "error_rate": "err", "daily_requests": "daily", "validation_accuracy": "acc"}
+    long = o.select("service", F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("observed")) for m, c in names.items()])))
     budgets = spark.createDataFrame(PERF_BUDGETS, "metric string, budget double, lower_is_better boolean")
-    return rel.performance_budget(long, budgets, ["service"])
+    return rel.performance_budget(long.unionByName(wait), budgets, ["service"])
 
 
 # ---- R6 ---------------------------------------------------------------------
@@ -78,12 +94,12 @@ SELECT g.version, g.gates_passed, d.drift_passed, l.latency_p95, l.error_rate, q
             WHEN all_ok THEN 'advance_canary' ELSE 'hold' END AS action
 FROM (SELECT version, bool_and(passed) AS gates_passed FROM ({_M7_SQL}) GROUP BY version) g
 CROSS JOIN (SELECT NOT bool_or(flagged) AS drift_passed FROM ({_D3_SQL})) d
-JOIN (SELECT model_version AS version, {_nr('latency_ms', 0.95)} AS latency_p95,
+LEFT JOIN (SELECT model_version AS version, {_nr('latency_ms', 0.95)} AS latency_p95,
              avg(CAST(status <> 'success' AS DOUBLE)) AS error_rate FROM prediction_log GROUP BY 1) l USING (version)
 CROSS JOIN (SELECT count(*) FILTER (WHERE status = 'pending') AS queued_jobs,
                    count(*) FILTER (WHERE status = 'admitted') AS available_slots FROM queue_log) q,
-LATERAL (SELECT coalesce(g.gates_passed, false) AND coalesce(d.drift_passed, true) AND l.latency_p95 <= 50.0
-                AND {rnd('l.error_rate / 0.005', 4)} <= 2.0
+LATERAL (SELECT coalesce(g.gates_passed, false) AND coalesce(d.drift_passed, true) AND coalesce(l.latency_p95 <= 50.0, false)
+                AND coalesce({rnd('l.error_rate / 0.005', 4)} <= 2.0, false)
                 AND {rnd('q.queued_jobs / greatest(q.queued_jobs + q.available_slots, 1)', 4)} <= 0.8 AS all_ok)"""
 
 
@@ -102,7 +118,7 @@ def release_policy(spark, sf):
         F.avg((F.col("status") != "success").cast("double")).alias("error_rate"))
     q = b.queue_log(spark, sf).agg(F.count_if(F.col("status") == "pending").alias("queued_jobs"),
                                    F.count_if(F.col("status") == "admitted").alias("available_slots"))
-    df = (gates.crossJoin(bounded_broadcast(drift, 1, "drift verdict")).join(err, "version")
+    df = (gates.crossJoin(bounded_broadcast(drift, 1, "drift verdict")).join(err, "version", "left")
                .crossJoin(bounded_broadcast(q, 1, "queue state")))
     return rel.release_policy(df).select(
         "version", "gates_passed", "drift_passed", "latency_p95", "error_rate", "queued_jobs", "available_slots",
@@ -256,6 +272,25 @@ def deadline_miss(spark, sf):
     return d.groupBy("o_orderpriority", "status").agg(F.count(F.lit(1)).alias("orders")).withColumn("severity", sev)
 
 
+# Deadline policies (policy, event, awaited event, seconds, severity): 10 minutes, 2 hours, 20 and 15 minutes.
+DEADLINE_POLICIES = [("queue_to_start", "view", "click", 600, "page"), ("training_to_candidate", "click", "purchase", 7200, "ticket"),
+                     ("canary_readiness", "signup", "view", 1200, "page"), ("rollback_execution", "error", "view", 900, "page")]
+
+
+@query("deadline_policies", f"""
+WITH p(policy, a, b, limit_s, severity) AS (VALUES {", ".join(str(x) for x in DEADLINE_POLICIES)}),
+w AS (SELECT policy, severity, limit_s, e.event_id, e.ts, (SELECT min(f.ts) FROM events f WHERE f.user_id = e.user_id AND f.event_type = p.b AND f.ts >= e.ts) AS done
+      FROM events e JOIN p ON e.event_type = p.a),
+s AS (SELECT policy, severity, CASE WHEN done <= ts + to_seconds(limit_s) THEN 'met'
+                                    WHEN ts + to_seconds(limit_s) <= (SELECT max(ts) FROM events) THEN 'missed' ELSE 'open' END AS status FROM w)
+SELECT policy, severity, status, count(*) AS events FROM s GROUP BY ALL""")
+def deadline_policies(spark, sf):
+    """Events that wait for another of the same user, each policy with its own interval and severity."""
+    policies = spark.createDataFrame(DEADLINE_POLICIES, "policy string, a string, b string, limit_s int, severity string")
+    e = table(spark, sf, "events").select(F.col("event_id").alias("id"), F.col("user_id").alias("key"), "ts", F.col("event_type").alias("event"))
+    return rel.deadline_policies(e, policies).groupBy("policy", "severity", "status").agg(F.count(F.lit(1)).alias("events"))
+
+
 # ---- R12 / R13 / R14 --------------------------------------------------------
 @query("asset_expression", with_views(
     "SELECT partition_key, bool_or(asset = 'raw') AS has_raw, bool_or(asset = 'candidate') AS has_candidate, "
@@ -449,21 +484,30 @@ def span_enrich(spark, sf):
                     F.element_at("attributes", "k8s.namespace.name").alias("namespace_attr"))
 
 
-TRACE_SERVICES = ["orders", "A", "N", "R"]
-
-
-def _svc_duration(service: str) -> str:
-    return f"sum(duration_ms) FILTER (WHERE service = '{service}')"
-
-
-@query("trace_pivot", with_views(
-    "SELECT trace_id, " + ", ".join(
-        f"{rnd(_svc_duration(s), 2)} AS \"{s}\""
-        for s in TRACE_SERVICES) + " FROM spans GROUP BY trace_id", "spans"))
+@query("trace_pivot", with_views(f"""
+SELECT trace_id, string_agg(service || '=' || printf('%.2f', d), ',' ORDER BY service) AS durations, CAST(count(*) AS INTEGER) AS services, CAST(sum(n) AS BIGINT) AS rows FROM (
+  SELECT trace_id, service, {rnd('sum(duration_ms)', 2)} AS d, count(*) AS n FROM spans GROUP BY trace_id, service) GROUP BY trace_id""", "spans"))
 def trace_pivot(spark, sf):
-    """Per-trace duration by service (pivot with an explicit value list: no extra pass)."""
-    p = b.spans(spark, sf).groupBy("trace_id").pivot("service", TRACE_SERVICES).agg(F.sum("duration_ms"))
-    return p.select("trace_id", *[F.round(F.col(s), 2).alias(s) for s in TRACE_SERVICES])
+    """Per-trace duration by service, for whatever services the spans name."""
+    p = evd.trace_pivot(b.spans(spark, sf), ["trace_id"], "service", F.col("duration_ms"))
+    shown = F.transform(F.map_entries("pivot"), lambda e: F.concat(e["key"], F.lit("="), F.format_string("%.2f", e["value"])))
+    return p.select("trace_id", F.array_join(shown, ",").alias("durations"), F.size("pivot").alias("services"), "rows")
+
+
+#: Release, model, serving and SLO attributes of a span, with their value by event type for the twin.
+PIVOT_ATTRIBUTES = {"release.version": "'2026.07.0'", "ml.model.version": "CASE WHEN event_type <> 'signup' THEN '2026.07.0' END",
+                    "kserve.inferenceservice.name": "'churn-risk'", "slo.name": "CASE WHEN event_type <> 'view' THEN 'latency_p95' END"}
+
+
+@query("attribute_pivot", " UNION ALL ".join(f"""
+SELECT '{a}' AS attribute, event_type, string_agg(v || '=' || CAST(n AS VARCHAR), ',' ORDER BY v) AS counts FROM (
+  SELECT event_type, coalesce({v}, 'unknown') AS v, count(*) AS n FROM events GROUP BY ALL) GROUP BY event_type""" for a, v in PIVOT_ATTRIBUTES.items()))
+def attribute_pivot(spark, sf):
+    """Rows by the values of four span attributes, per event type; an absent attribute is 'unknown'."""
+    one = b.attrs(spark, sf).select("event_type", F.explode(F.array(*[F.struct(F.lit(a).alias("attribute"), F.col("attributes")[a].alias("v")) for a in PIVOT_ATTRIBUTES])).alias("e"))
+    p = evd.trace_pivot(one.select("event_type", "e.attribute", "e.v"), ["attribute", "event_type"], "v", F.lit(1), digits=0)
+    shown = F.transform(F.map_entries("pivot"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("long").cast("string")))
+    return p.select("attribute", "event_type", F.array_join(shown, ",").alias("counts"))
 
 
 # ---- E9 / E10 ---------------------------------------------------------------

@@ -11,6 +11,7 @@ from tollgate.operators import timeseries as ts
 from tollgate.plans.catalog import query
 from tollgate.plans.sqlviews import rnd, with_views
 from tollgate.sources import bindings as b
+from tollgate.sources.tables import table
 
 
 # ---- T1 ---------------------------------------------------------------------
@@ -53,6 +54,18 @@ def counter_rate(spark, sf):
     return r.select("service", "window_start", F.round("rate", 6).alias("rate"))
 
 
+@query("counter_rate_sliding", with_views(f"""
+SELECT service, window_start, {rnd('sum(CASE WHEN prev IS NULL THEN 0.0 WHEN v >= prev THEN v - prev ELSE v END) / 3600.0', 6)} AS rate, count(*) AS samples FROM (
+  SELECT *, lag(v) OVER (PARTITION BY service, window_start ORDER BY ts, request_id) AS prev FROM (
+    SELECT service, ts, request_id, requests_total AS v, time_bucket(INTERVAL 5 MINUTES, ts) - INTERVAL (k * 5) MINUTES AS window_start
+    FROM request_counters, range(0, 12) r(k)))
+GROUP BY service, window_start""", "request_counters"))
+def counter_rate_sliding(spark, sf):
+    """Request rate over the last hour, every five minutes."""
+    r = ts.sliding_rate(b.request_counters(spark, sf), ["service"], "ts", "requests_total", 3600, 300, tiebreak=["request_id"])
+    return r.select("service", "window_start", F.round("rate", 6).alias("rate"), "samples")
+
+
 @query("rate_ratio", with_views(
     f"SELECT e.service, e.window_start, {rnd('e.inc / nullif(r.inc, 0)', 6)} AS ratio "
     f"FROM ({_inc_sql('errors_total', 3600, 'inc')}) e JOIN ({_inc_sql('requests_total', 3600, 'inc')}) r "
@@ -154,11 +167,13 @@ def vec_compare(spark, sf):
 
 
 @query("absent", with_views(
-    "SELECT service, step, 1 AS absent FROM ("
-    "SELECT service, unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS step FROM hourly "
-    "GROUP BY service) WHERE (service, step) NOT IN (SELECT (service, hour) FROM hourly)", "hourly"))
+    "SELECT service, step, 1 AS absent FROM (SELECT DISTINCT 'svc' || CAST(n_nationkey % 6 AS VARCHAR) AS service FROM nation), "
+    "(SELECT unnest(generate_series(min(hour), max(hour), INTERVAL 1 HOUR)) AS step FROM hourly) "
+    "WHERE (service, step) NOT IN (SELECT (service, hour) FROM hourly)", "hourly"))
 def absent(spark, sf):
-    return ts.absent_steps(b.prediction_log(spark, sf), ["service"], "ts", 3600)
+    """Hours without a request of each expected service; each nation has one, and some never report."""
+    expected = table(spark, sf, "nation").select(F.concat(F.lit("svc"), (F.col("n_nationkey") % 6).cast("string")).alias("service"))
+    return ts.absent_steps(b.prediction_log(spark, sf), ["service"], "ts", 3600, expected)
 
 
 @query("alert_hold", with_views(
@@ -251,20 +266,24 @@ def request_rate_trigger(spark, sf):
 # ---- R1..R4 -----------------------------------------------------------------
 def _slo_ratios(spark, sf):
     """(service, slo, error_ratio): availability from status, latency from p95,
-    drift SLOs from the feature-drift verdict (shared by every service)."""
+    drift SLOs from the feature-drift verdict (shared by every service) and from the versions a
+    service answers with: the share of its requests on versions whose mean score has moved (D4)."""
     log = b.prediction_log(spark, sf)
     err = log.groupBy("service").agg(F.avg((F.col("status") != "success").cast("double")).alias("e"))
     p95 = nearest_rank_percentiles(log, "latency_ms", ["service"], (0.95,), ("p95",))
     from tollgate.plans.lifecycle import _drift
     drift_ok = mon.drift_alert_list(_drift(spark, sf)).select(F.col("passed").alias("drift_ok"))
-    j = err.join(p95, "service").crossJoin(F.broadcast(drift_ok))
+    moved = mon.prediction_drift_verdict(mon.prediction_drift(log), mon.prediction_drift(log, by=()))
+    pred = (log.groupBy("service", "model_version").agg(F.count(F.lit(1)).alias("n")).join(moved, "model_version")
+               .groupBy("service").agg((F.sum(F.when(F.col("moved"), F.col("n")).otherwise(0)) / F.sum("n")).alias("moved_share")))
+    j = err.join(p95, "service").join(pred, "service").crossJoin(F.broadcast(drift_ok))
     return j.select("service", F.inline(F.array(
         F.struct(F.lit("online_inference_availability").alias("slo"), F.col("e").alias("error_ratio")),
         F.struct(F.lit("online_inference_latency_p95").alias("slo"),
                  F.when(F.col("p95") <= 50.0, 0.0).otherwise(1.0).alias("error_ratio")),
         F.struct(F.lit("feature_drift_clean_window").alias("slo"),
                  F.when(F.col("drift_ok"), 0.0).otherwise(1.0).alias("error_ratio")),
-        F.struct(F.lit("prediction_drift_clean_window").alias("slo"), F.lit(0.0).alias("error_ratio")))))
+        F.struct(F.lit("prediction_drift_clean_window").alias("slo"), F.col("moved_share").alias("error_ratio")))))
 
 
 def _slo_ratios_sql() -> str:
@@ -279,7 +298,10 @@ ratios AS (
          CASE WHEN {rnd(p95, 4)} <= 50.0 THEN 0.0 ELSE 1.0 END FROM prediction_log GROUP BY service
   UNION ALL SELECT s.service, 'feature_drift_clean_window', CASE WHEN d.ok THEN 0.0 ELSE 1.0 END
   FROM (SELECT DISTINCT service FROM prediction_log) s, (SELECT NOT bool_or(flagged) AS ok FROM ({_D3_SQL})) d
-  UNION ALL SELECT DISTINCT service, 'prediction_drift_clean_window', 0.0 FROM prediction_log),
+  UNION ALL SELECT service, 'prediction_drift_clean_window', avg(CAST(moved AS DOUBLE)) FROM prediction_log JOIN (
+    SELECT model_version, abs({rnd('v.m - a.m', 6)}) > {mon.SCORE_DRIFT_LIMIT!r} AS moved
+    FROM (SELECT model_version, {rnd('avg(churn_score)', 6)} AS m FROM prediction_log GROUP BY 1) v,
+         (SELECT {rnd('avg(churn_score)', 6)} AS m FROM prediction_log) a) USING (model_version) GROUP BY service),
 targets AS (SELECT * FROM (VALUES {", ".join(f"('{n}', CAST({t} AS DOUBLE), '{o}')" for n, t, o in slo.SLO_TARGETS)})
             t(slo, target, owner)),
 st AS (

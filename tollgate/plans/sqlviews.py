@@ -178,6 +178,14 @@ SELECT 'ns' || CAST(l_partkey % 10 AS VARCHAR) AS namespace,
        l_shipdate AS ts
 FROM lineitem""")
 
+view("allocations", (), """
+SELECT 'ns' || CAST(l_partkey % 10 AS VARCHAR) AS namespace, 'deploy' || CAST(l_partkey % 4 AS VARCHAR) AS deployment,
+       'svc' || CAST(l_orderkey % 4 AS VARCHAR) AS service, l_returnflag AS label_team,
+       CASE WHEN l_partkey % 7 = 0 THEN '' ELSE l_linestatus END AS label_cost_center,
+       '2026.07.' || CAST(l_orderkey % 3 AS VARCHAR) AS label_model,
+       CASE WHEN l_linenumber = 1 THEN 'training' ELSE 'serving' END AS label_workload_type, l_suppkey AS node, l_quantity / 50 AS cpu
+FROM lineitem""")
+
 view("node_prices", (), """
 SELECT s_suppkey AS node, 0.02::DOUBLE + (s_suppkey % 10) * 0.005::DOUBLE AS cpu_h,
        0.003::DOUBLE + (s_suppkey % 7) * 0.0005::DOUBLE AS ram_h,

@@ -71,14 +71,17 @@ _tot = "CAST(round(CAST(cpu_cost AS DECIMAL(38,6)) + CAST(mem_cost AS DECIMAL(38
 
 
 @query("budget_exceeded", with_views(
-    f"SELECT namespace, {_tot} AS monthly_cost, {cost.NAMESPACE_BUDGET!r}::DOUBLE AS budget, "
-    f"{_tot} > {cost.NAMESPACE_BUDGET!r} AS exceeded "
-    f"FROM ({_NS_CPU}) JOIN ({_NS_MEM}) USING (namespace)", "alloc_samples", "node_prices"))
+    f"SELECT namespace, {_tot} AS monthly_cost, coalesce(budget, {cost.NAMESPACE_BUDGET!r}::DOUBLE) AS budget, "
+    f"{_tot} > coalesce(budget, {cost.NAMESPACE_BUDGET!r}) AS exceeded "
+    f"FROM ({_NS_CPU}) JOIN ({_NS_MEM}) USING (namespace) LEFT JOIN (SELECT * FROM (VALUES "
+    + ", ".join(f"('ns{i}', {v!r}::DOUBLE)" for i, (_, v) in enumerate(cost.WORKLOAD_BUDGETS)) + ") v(namespace, budget)) USING (namespace)",
+    "alloc_samples", "node_prices"))
 def budget_exceeded(spark, sf):
     s, p = b.alloc_samples(spark, sf), b.node_prices(spark, sf)
     c = cost.cost_cpu_monthly(s, p, ["namespace"])
     m = cost.cost_mem_monthly(s, p, ["namespace"])
-    budgets = spark.createDataFrame([], "namespace string, budget double")
+    # The three workloads run in the first three namespaces.
+    budgets = spark.createDataFrame([(f"ns{i}", v) for i, (_, v) in enumerate(cost.WORKLOAD_BUDGETS)], "namespace string, budget double")
     return cost.budget_exceeded(c, m, budgets, ["namespace"])
 
 
@@ -101,20 +104,19 @@ def missing_cost_label(spark, sf):
     return cost.missing_cost_label(b.alloc_samples(spark, sf))
 
 
+#: Spend of each dimension alone, of team and model together, of all seven, and in total.
+SPEND_SETS = [*[(d,) for d in cost.ALLOCATION_DIMENSIONS], ("label_team", "label_model"), cost.ALLOCATION_DIMENSIONS, ()]
+_DIMS = ", ".join(cost.ALLOCATION_DIMENSIONS)
+
+
 @query("cost_rollup", with_views(
-    f"SELECT namespace, team, cost_center, {msum('c')} AS spend, "
-    "CAST(grouping(namespace, team, cost_center) AS INTEGER) AS grouping_id FROM ("
-    "SELECT namespace, team, cost_center, q * cpu_h * 730 AS c FROM ("
-    "SELECT namespace, team, cost_center, node, sum(cpu) AS q FROM alloc_samples GROUP BY ALL) "
-    "JOIN node_prices USING (node)) GROUP BY ROLLUP (namespace, team, cost_center)",
-    "alloc_samples", "node_prices"))
+    f"SELECT {_DIMS}, CAST(round(sum(CAST(c AS DECIMAL(38,6))), 2) AS DOUBLE) AS spend, CAST(grouping({_DIMS}) AS INTEGER) AS grouping_id FROM ("
+    f"SELECT {_DIMS}, q * CAST(cpu_h AS DECIMAL(10,6)) * 730 AS c FROM ("
+    f"SELECT {_DIMS}, node, CAST(sum(CAST(cpu AS DECIMAL(18,6))) AS DECIMAL(20,6)) AS q FROM allocations GROUP BY ALL) "
+    f"JOIN node_prices USING (node)) GROUP BY GROUPING SETS ({', '.join('(' + ', '.join(x) + ')' for x in SPEND_SETS)})",
+    "allocations", "node_prices"))
 def cost_rollup(spark, sf):
-    s, p = b.alloc_samples(spark, sf), b.node_prices(spark, sf)
-    dims = ["namespace", "team", "cost_center"]
-    pre = s.groupBy(*dims, "node").agg(F.sum("cpu").alias("_q"))
-    costed = pre.join(p.select("node", "cpu_h"), "node").select(
-        *dims, (F.col("_q") * F.col("cpu_h") * cost.HOURS_PER_MONTH).alias("cost"))
-    return cost.cost_rollup(costed, dims)
+    return cost.cost_rollup(b.allocations(spark, sf), b.node_prices(spark, sf), SPEND_SETS)
 
 
 # ---- C1 / C2 / C3 -----------------------------------------------------------

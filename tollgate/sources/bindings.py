@@ -199,6 +199,19 @@ def alloc_samples(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def allocations(spark: SparkSession, sf: str) -> DataFrame:
+    """Allocation samples under the seven cost dimensions (one per lineitem)."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
+    numbered = lambda name, key, n: F.concat(F.lit(name), (F.col(key) % n).cast("string"))
+    return li.select(
+        numbered("ns", "l_partkey", 10).alias("namespace"), numbered("deploy", "l_partkey", 4).alias("deployment"),
+        numbered("svc", "l_orderkey", 4).alias("service"), F.col("l_returnflag").alias("label_team"),
+        F.when(F.col("l_partkey") % 7 == 0, F.lit("")).otherwise(F.col("l_linestatus")).alias("label_cost_center"),
+        numbered("2026.07.", "l_orderkey", 3).alias("label_model"),
+        F.when(F.col("l_linenumber") == 1, "training").otherwise("serving").alias("label_workload_type"),
+        F.col("l_suppkey").alias("node"), (F.col("l_quantity") / 50).alias("cpu"))
+
+
 def node_prices(spark: SparkSession, sf: str) -> DataFrame:
     """Hourly node prices (one row per supplier = node)."""
     s = table(spark, sf, "supplier").select("s_suppkey")

@@ -7,12 +7,19 @@ writers are distributed DataFrame writes; nothing is funnelled through the drive
 from __future__ import annotations
 
 import csv
+import hashlib
+import sys
 from collections.abc import Sequence
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+# File blocks (S8, S10) are read in Python workers: shipped by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def string_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
@@ -71,18 +78,67 @@ def to_json_doc(*cols: Column) -> Column:
     return F.to_json(F.struct(*cols))
 
 
-def file_manifest(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """Relative path, sha256 and size of every file under ``root`` (recursive), sorted by path.
+#: Bytes of a file that a task holds at once.
+BLOCK_BYTES = 4 << 20
+
+
+def _open(path: str):
+    """Stream of a file of any store that a task can reach: local paths directly, others through pyarrow's file systems."""
+    if path.startswith("file:") or "://" not in path:
+        return open("/" + path.removeprefix("file:").lstrip("/"), "rb")
+    from pyarrow import fs
+
+    store, inner = fs.FileSystem.from_uri(path)
+    return store.open_input_stream(inner)
+
+
+def _digest_files(batches):
+    for d in batches:
+        out = []
+        for path in d["path"]:
+            sha, size = hashlib.sha256(), 0
+            with _open(path) as f:
+                while block := f.read(BLOCK_BYTES):
+                    sha.update(block)
+                    size += len(block)
+            out.append((path, sha.hexdigest(), size))
+        yield pd.DataFrame(out, columns=["path", "sha256", "bytes"])
+
 
-    ``glob`` keeps only matching file names (e.g. data files, not markers or
-    the manifest's own output)."""
+def _line_blocks(batches):
+    for d in batches:
+        for path in d["path"]:
+            kept, number = b"", 0
+            with _open(path) as f:
+                while True:
+                    block = f.read(BLOCK_BYTES)
+                    data = kept + block
+                    cut = data.rfind(b"\n") + 1 if block else len(data)
+                    kept = data[cut:]
+                    if cut:
+                        yield pd.DataFrame({"path": [path], "block": [number], "text": [data[:cut].decode("utf-8", "replace")]})
+                        number += 1
+                    if not block:
+                        break
+
+
+def files_under(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+    """Paths of the files under ``root`` (recursive), dealt out evenly; contents are not read.  Spark lists no empty files.
+
+    ``glob`` keeps only matching file names (e.g. data files, not markers or the manifest's own output)."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    files = r.load(root)
+    return r.load(root).select("path").repartition(4 * spark.sparkContext.defaultParallelism, "path")
+
+
+def file_manifest(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+    """Relative path, sha256 and size of every file under ``root`` (recursive), sorted by path.
+
+    Tasks read files block by block, so a file of any size needs no more memory than one block."""
     rel = F.regexp_replace(F.col("path"), r"^.*?" + root.rstrip("/").split("/")[-1] + "/", "")
-    return files.select(rel.alias("path"), F.sha2(F.col("content"), 256).alias("sha256"),
-                        F.col("length").alias("bytes")).orderBy("path")
+    return (files_under(spark, root, glob).mapInPandas(_digest_files, "path string, sha256 string, bytes long")
+                .select(rel.alias("path"), "sha256", "bytes").orderBy("path"))
 
 
 def checksum_lines(df: DataFrame, sha: str = "sha256", path: str = "path") -> DataFrame:
@@ -91,10 +147,10 @@ def checksum_lines(df: DataFrame, sha: str = "sha256", path: str = "path") -> Da
 
 
 def corpus_text_scan(spark: SparkSession, root: str, glob: str = "*.txt") -> DataFrame:
-    """Whole text of every matching file under ``root`` with its path."""
-    return (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-                 .text(root, wholetext=True)
-                 .withColumn("path", F.col("_metadata.file_path")))
+    """Texts of the matching files under ``root``: (path, block, text), blocks of whole lines of about BLOCK_BYTES.
+
+    A small file is one block; a large one is read block by block, so no row holds it whole."""
+    return files_under(spark, root, glob).mapInPandas(_line_blocks, "path string, block int, text string")
 
 
 def keep_matching(df: DataFrame, column: str, regex: str) -> DataFrame:
