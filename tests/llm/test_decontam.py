@@ -68,3 +68,10 @@ def test_stage_judges_every_row(spark):
     for item_id in (1, None):
         b = spark.createDataFrame([(item_id, ITEM)], "item_id long, text string")
         assert sorted(map(tuple, decontam.decontaminate(d, b).collect()), key=str) == sorted([rows[1], rows[3], rows[5]], key=str)
+
+
+def test_long_lines_of_numbers(spark):
+    """Repeats of every group of the token pattern, a hundred thousand times."""
+    n = 100_000
+    docs = [(1, "see " + ",".join(map(str, range(n)))), (2, f"{ITEM} " + "1.2," * n), (3, "\x01a" * n), (4, "%$" * n), (5, "x" * n), (6, "Aé " * n)]
+    assert found(spark, docs) == [(2, 1, "copy")]

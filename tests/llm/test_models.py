@@ -151,3 +151,25 @@ def test_kneser_ney_empty(spark):
     model = kneserney.train(df.limit(0))
     assert [tuple(r)[:7] for r in kneserney.score(df, model).select("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "held_out").collect()] == [(1, 3, 0, 0, 0.0, 0.0, False)]
     assert kneserney.score(df.limit(0), model).count() == 0
+
+
+def test_kneser_ney_all_counts_equal(spark):
+    """Counts of counts of 0: scores are finite, and a word seen scores above one that was not."""
+    train = [(i, "a b c") for i in range(200) if zlib.crc32(str(i).encode()) % 5 != 1][:6]
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 1][:3]
+    df = spark.createDataFrame([*train, (held[0], "a c b"), (held[1], "zz"), (held[2], "a b c")], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in kneserney.score_held_out(df).collect()}
+    assert all(math.isfinite(s) for s in got.values()) and got[held[2]] > got[held[0]] and got[held[2]] > -1
+
+
+def test_language_sample_is_bounded(spark, monkeypatch):
+    """A row repeated ten thousand times is one sample; an id with very many texts gives no more than the limit."""
+    taken = []
+    fit = langid.KernelModel.fit
+    monkeypatch.setattr(langid.KernelModel, "fit", classmethod(lambda cls, texts, labels, landmarks: (taken.extend(labels), fit(texts, labels, landmarks))[1]))
+    hot = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 3 != 1)
+    df = (spark.range(10_000).selectExpr(f"{hot}L as doc_id", "'en' as lang", "'the same words again' as text")
+          .union(spark.range(5_000).selectExpr(f"{hot}L", "'de'", "concat('ein satz mit der zahl ', id)"))
+          .union(spark.createDataFrame([(200 + i, "fr", f"une phrase {i}") for i in range(30)], "doc_id long, lang string, text string")))
+    assert langid.fit(df) is not None
+    assert taken.count("en") == 1 and 200 <= taken.count("de") <= langid.TRAIN_PER_LANG and taken.count("fr") >= 10

@@ -70,3 +70,12 @@ def test_neighbours(spark):
     old = a.split(" ")
     assert len(out) == len(old) and [x for x, y in zip(old, out, strict=True) if x == y] == ["+1", "+1"]
     assert out[3] == out[6] and out[1:3] == out[8:10]
+
+
+def test_long_repeats_of_every_group(spark):
+    """No pattern recurses once for each repeat; an address after them is still found."""
+    n = 100_000
+    parts = ["a@" + "a." * n, "a@" + "a-" * n, "1." * n, "1-" * n, "1/" * n, "+1" * n, "+" + "1 " * n, "(123) " * n, "1234 " * n, "a%" * n + "@", "a@b1." * n]
+    df = spark.createDataFrame([(i, f"{p} write to jane.doe@mail.example.org now") for i, p in enumerate(parts)], "doc_id long, text string")
+    for r in P.pseudonymise(df).collect():
+        assert "jane.doe@" not in r["text"] and r["text"].endswith("example.org now")

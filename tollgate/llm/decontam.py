@@ -41,7 +41,8 @@ UNITS = ("mm cm m km in ft yd mi mg g kg lb oz ml l gal s sec secs second second
          "week weeks month months year years meter meters metre metres kilometer kilometers kilometre kilometres gram grams kilogram "
          "kilograms liter liters litre litres mile miles foot feet inch inches pound pounds dollar dollars cent cents euro euros usd eur gbp "
          "percent degree degrees hz khz mhz ghz kb mb gb tb w kw v").split()
-TOKEN = "\x01?[\\p{L}\\p{M}]+|\\d+(?:[.,]\\d+)*|[%$€£°]"
+#: The repeated group is possessive: Java recurses into any other, and a line of numbers would end the task.
+TOKEN = "\x01?[\\p{L}\\p{M}]+|\\d+(?:[.,]\\d+)*+|[%$€£°]"
 
 
 def raw_tokens(text: Column) -> Column:

@@ -104,6 +104,10 @@ class Sharding:
         return self.word(by)
 
 
+#: Discounts are no smaller, whatever the counts of counts.
+LEAST_DISCOUNT = 0.1
+
+
 @dataclass
 class Model:
     """What the driver knows of a model; the arrays are in the folder."""
@@ -121,10 +125,13 @@ class Model:
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
-    """Modified Kneser-Ney discounts for counts 1, 2 and 3 or more."""
+    """Modified Kneser-Ney discounts for counts 1, 2 and 3 or more.
+
+    Where a count of counts is 0 the formula may give none; the least one leaves every lower order a share, so
+    scores stay finite and probabilities still sum to one (the share is what the discounts take)."""
     y = n1 / (n1 + 2 * n2) if n1 else 0.0
     raw = [k - (k + 1) * y * up / n if n else 0.0 for k, n, up in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-    return tuple(min(max(d, 0.0), float(k)) for k, d in enumerate(raw, 1))
+    return tuple(min(max(d, LEAST_DISCOUNT), float(k)) for k, d in enumerate(raw, 1))
 
 
 def _text_pairs(text: bytes | None, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:

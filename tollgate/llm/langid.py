@@ -111,17 +111,18 @@ class KernelModel:
 
 def fit(docs: DataFrame) -> KernelModel | None:
     """Learns from the bounded sample of rows that are not held out."""
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
-            .filter("lang is not null and doc_id is not null").filter(~held_out(F.col("doc_id"), 3)))
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS)
+    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
+            .filter("lang is not null and doc_id is not null and text is not null").filter(~held_out(F.col("doc_id"), 3))
+            .withColumn("h", F.xxhash64("doc_id", "text")))
+    top = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("count")).orderBy(F.desc("count"), "lang").limit(MAX_LANGS)
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    # By the language's own count only so many hashes are low enough to be looked at: no task ranks a whole language.
+    # By the language's own count only so many hashes are low enough to be looked at: no task ranks a whole language.  Rows are
+    # ranked by id and text, and repeated ones are one before that, so neither a hot id nor a hot text counts twice.
     share = F.least(F.lit(1.0), F.lit(float(CHOICE * TRAIN_PER_LANG)) / F.col("count"))
-    sample = (rows.join(F.broadcast(top), "lang").withColumn("h", F.xxhash64("doc_id"))
-              .filter((share >= 1) | (F.col("h") / F.lit(2.0 ** 64) + 0.5 < share))
-              .withColumn("place", F.row_number().over(first)).filter(F.col("place") <= TRAIN_PER_LANG).select("doc_id", "lang", "place"))
-    learned = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-               .join(F.broadcast(sample), ["doc_id", "lang"]).orderBy("lang", "place", "doc_id").collect())
+    sample = (rows.join(F.broadcast(top), "lang")
+              .filter((share >= 1) | (F.col("h") / F.lit(2.0 ** 64) + 0.5 < share)).groupBy("lang", "h", "doc_id").agg(F.first("text").alias("text"))
+              .withColumn("place", F.row_number().over(first)).filter(F.col("place") <= TRAIN_PER_LANG))
+    learned = sample.orderBy("lang", "place").collect()
     learned = [r for r in learned if r["text"] and any(c.isalpha() for c in r["text"])]
     if not learned:
         return None
