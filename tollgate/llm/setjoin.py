@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tollgate.llm.common import BROADCAST_ROWS, WordHashes, column, semi_by_size, utf8
-from tollgate.llm.minhash import components, shingle_set
+from tollgate.llm.minhash import _release, components, shingle_set
 from tollgate.session import ensure_checkpoint_dir
 
 WORDS, NUM, DEN = 3, 90, 100
@@ -250,9 +250,13 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     ensure_checkpoint_dir(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketch, "doc_id long, n long, digest binary, first array<long>").checkpoint()
+    # Steps end in checkpoints; the shuffle files before them have no reader left.
     nodes = _may_match(rows)
+    _release(docs)
     sets = _whole_sets(docs, nodes)
+    _release(docs)
     prefixes = _sized(_prefix_rows(_adaptive(_ordered(sets))), "token").checkpoint()
+    _release(docs)
     comp = components(_verified(_multi_match(prefixes.filter(F.col("m") <= HOT)), sets))
     hot = prefixes.filter(F.col("m") > HOT).select(F.col("token").alias("bucket"), "node", "w")
     if hot.head(1):
