@@ -6,7 +6,9 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from tollgate.operators import evidence as evd
 from tollgate.operators import model as mdl
+from tollgate.operators import registry as reg
 from tollgate.operators import release as rel
 from tollgate.operators import training as tr
 from tollgate.sources import bindings as b
@@ -93,3 +95,31 @@ def test_segment_fits_equal_single_fits(spark):
     again = {(r["segment"], r["term"]): r for r in tr.train_by_segment(one_class).collect()}
     assert len(again) == 36 and abs(again["self_serve2", "late_payments"]["coefficient"] - got["self_serve2", "late_payments"]["coefficient"]) < 1e-6
     assert tr.train_by_segment(rows.limit(0)).count() == 0
+
+
+def test_run_log_takes_a_run_once(spark):
+    path = tempfile.mkdtemp(prefix="run-log-")
+    runs = lambda *v: reg.run_log(spark.createDataFrame([("m", x, 0.5) for x in v], "model string, version string, f1 double"), ["model", "version"], "e")
+    assert reg.append_runs(runs("1", "1"), f"{path}/log").count() == 1
+    assert reg.append_runs(runs("1", "2"), f"{path}/log").count() == 2
+    log = reg.append_runs(runs("2"), f"{path}/log")
+    assert sorted(r.version for r in log.collect()) == ["1", "2"] and log.columns[0] == "run_id"
+    assert reg.append_runs(runs("1").limit(0), f"{path}/log").count() == 2
+    assert reg.append_runs(runs("1").limit(0), f"{path}/empty").count() == 0
+
+
+def test_model_card_has_every_segment(spark):
+    rows = [("m", "1", s, seg, 10, tp, 2) for s, seg, tp in (("train", "a", 5), ("validation", "a", 6), ("validation", "b", 8), ("test", "c", 7), ("test", "a", 4), ("test", "b", 8))]
+    conf = spark.createDataFrame(rows, "model string, version string, split string, segment string, rows long, tp long, tn long")
+    card = evd.model_card(conf, ["x", "y"]).collect()
+    assert len(card) == 1 and card[0].train_rows == 10 and card[0].validation_accuracy == 0.9
+    assert card[0].test_segment_accuracy == "a=0.6,b=1.0,c=0.9" and card[0].features == "x,y"
+
+
+def test_fitted_row_scores_like_its_coefficients(spark):
+    train = b.churn_split(spark, SF).filter(F.col("split") == "train")
+    fit = tr.train_logistic(train)
+    row = tr.model_row(fit, train, "m", "9").collect()[0]
+    want = {r.term: round(r.coefficient, 3) for r in fit.collect()}
+    assert row.bias == want["intercept"] and row.enterprise_adj == want["enterprise"] and row.w_monthly_spend == want["monthly_spend"]
+    assert row.threshold is None and {f"mean_{f}" for f in mdl.FEATURES} <= set(row.asDict())

@@ -141,3 +141,16 @@ def trace_pivot(spans: DataFrame, by: Sequence[str], key: str, value: Column, di
     sums = spans.groupBy(*by, k.alias("_k")).agg(F.sum(value).alias("_v"), F.count(F.lit(1)).alias("_n"))
     entry = F.struct(F.col("_k"), F.round("_v", digits).alias("v"))
     return sums.groupBy(*by).agg(F.map_from_entries(F.sort_array(F.collect_list(entry))).alias("pivot"), F.sum("_n").alias("rows"))
+
+
+def model_card(confusion: DataFrame, features: Sequence[str], by: Sequence[str] = ("model", "version"), segment: str = "segment") -> DataFrame:
+    """One row per model version from confusion counts per (version, split, segment): train rows, validation accuracy, and
+    the test accuracy of every segment that the data hold, as ``segment=accuracy`` in the order of the segments."""
+    accuracy = lambda rows: F.round((F.sum("tp") + F.sum("tn")) / F.greatest(rows, F.lit(1)), 4)
+    per = confusion.groupBy(*by, "split", segment).agg(F.sum("rows").alias("rows"), F.sum("tp").alias("tp"), F.sum("tn").alias("tn"), accuracy(F.sum("rows")).alias("acc"))
+    of = lambda split, c: F.sum(F.when(F.col("split") == split, F.col(c)))
+    tested = F.sort_array(F.collect_list(F.when(F.col("split") == "test", F.struct(F.col(segment).alias("s"), "acc"))))
+    card = per.groupBy(*by).agg(of("train", "rows").alias("train_rows"),
+                                F.round((of("validation", "tp") + of("validation", "tn")) / F.greatest(of("validation", "rows"), F.lit(1)), 4).alias("validation_accuracy"),
+                                F.array_join(F.transform(tested, lambda x: F.concat_ws("=", x["s"], x["acc"].cast("string"))), ",").alias("test_segment_accuracy"))
+    return card.select(*by, F.lit(",".join(features)).alias("features"), "train_rows", "validation_accuracy", "test_segment_accuracy")

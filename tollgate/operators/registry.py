@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,6 +65,22 @@ def run_log(metrics: DataFrame, keys: list[str], experiment: str) -> DataFrame:
     return metrics.select(F.substring(rid, 1, 32).alias("run_id"), F.lit(experiment).alias("experiment_name"), "*")
 
 
+def append_runs(runs: DataFrame, path: str) -> DataFrame:
+    """Appends the runs that the log at ``path`` does not hold yet and returns the whole log.
+
+    Runs are known by ``run_id``: a repeated or retried call adds no row, and a run given more than once counts once.
+    The log is a Parquet table that grows by files; only its ids are read for the comparison."""
+    reader = runs.sparkSession.read.schema(runs.schema)
+    new = runs.dropDuplicates(["run_id"])
+    try:
+        new = new.join(reader.parquet(path).select("run_id"), "run_id", "left_anti")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    new.select(*runs.columns).write.mode("append").parquet(path)
+    return reader.parquet(path)
+
+
 def serving_health(expected: DataFrame, log: DataFrame, key: str = "service") -> DataFrame:
     """Deployed (any traffic) and Ready (latest request succeeded) per expected service."""
     last = log.groupBy(key).agg(F.max_by("status", F.struct("ts", "request_id")).alias("_last"))

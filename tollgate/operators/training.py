@@ -53,6 +53,15 @@ def train_logistic(train: DataFrame, features: Sequence[str] = FEATURES, with_se
         .withColumn("iterations", F.lit(m.summary.totalIterations))
 
 
+def model_row(fit: DataFrame, train: DataFrame, model: str, version: str, features: Sequence[str] = FEATURES, digits: int = 3) -> DataFrame:
+    """A fit's (term, coefficient) rows as one scorable row of a model table, with the feature statistics it was fitted on
+    and no threshold yet."""
+    weight = lambda term: F.round(F.max(F.when(F.col("term") == term, F.col("coefficient"))), digits)
+    row = fit.agg(weight("intercept").alias("bias"), *[weight(f).alias(f"w_{f}") for f in features], weight("enterprise").alias("enterprise_adj"))
+    return (row.crossJoin(bounded_broadcast(feature_stats(train, features), 1, "global feature stats"))
+               .select(F.lit(model).alias("model"), F.lit(version).alias("version"), "*", F.lit(None).cast("double").alias("threshold")))
+
+
 def gradient(train: DataFrame, models: DataFrame, features: Sequence[str] = FEATURES,
              label: str = "churned", segment: str = "segment", l2: float = L2) -> DataFrame:
     """M2: one full-batch gradient of the regularised objective at each model's weights.

@@ -187,9 +187,9 @@ FROM {_gate_values_sql()} CROSS JOIN (SELECT DISTINCT model, version FROM m) e
 LEFT JOIN long l ON l.model = e.model AND l.version = e.version AND l.metric = p.metric"""
 
 
-def gate_table(spark: SparkSession, sf: str) -> DataFrame:
-    """M7 fan-in: test-split metrics + data-quality suite + serving p95 per version."""
-    scored = _scored(spark, sf)
+def gate_table(spark: SparkSession, sf: str, scored: DataFrame | None = None) -> DataFrame:
+    """M7 fan-in: test-split metrics + data-quality suite + serving p95 per version (of the registered models, or of ``scored``)."""
+    scored = _scored(spark, sf) if scored is None else scored
     test = scored.filter(F.col("split") == "test")
     by = ["model", "version"]
     m = ev.metrics_from_segments(ev.segment_confusion(test, by=by), by=by)

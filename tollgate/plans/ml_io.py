@@ -9,10 +9,13 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from tollgate.functions.exprs import clipped_sigmoid
 from tollgate.functions.hashing import uniform
+from tollgate.operators import evaluate as ev
 from tollgate.operators import model as mdl
+from tollgate.operators import registry as reg
 from tollgate.operators import training as tr
 from tollgate.plans.catalog import query
-from tollgate.plans.sqlviews import rnd, sig, u, with_views
+from tollgate.plans.lifecycle import _M6_SQL, _M7_SQL, gate_table
+from tollgate.plans.sqlviews import _logit_m, rnd, sig, u, with_views
 from tollgate.session import checkpoint_root
 from tollgate.sources import bindings as b
 from tollgate.sources import io as sio
@@ -87,6 +90,45 @@ def train_by_segment(spark, sf):
                                                          F.abs(F.round("gradient", 6)).alias("gradient"))
 
 
+# ---- M1 -> M6 -> E3 -> M8 -> M7 ----------------------------------------------
+CANDIDATE = ("churn-risk", "2026.08.0")
+
+
+def _candidate_sql() -> str:
+    """Fit, threshold, scores and gates of the candidate; the views ``scored`` inside are its own."""
+    weight = lambda term: f"max(coefficient) FILTER (WHERE term = '{term}')"
+    clipped = f"greatest(least({_logit_m}, 35.0::DOUBLE), -35.0::DOUBLE)"
+    return f"""
+WITH fitted AS (SELECT '{CANDIDATE[0]}' AS model, '{CANDIDATE[1]}' AS version, {weight("intercept")} AS bias, {weight("enterprise")} AS enterprise_adj,
+                       {", ".join(f"{weight(f)} AS w_{f}" for f in FEATS)} FROM ({_descent_sql("everything", True, 3000, 3, False)})),
+cand AS MATERIALIZED (SELECT s.*, m.model, m.version, {rnd(sig(clipped), 6)} AS churn_score
+                      FROM churn_split s CROSS JOIN (SELECT * FROM fitted CROSS JOIN train_stats) m),
+best AS (WITH scored AS (SELECT * FROM cand) {_M6_SQL}),
+gates AS (WITH scored AS (SELECT c.*, b.threshold, CAST(c.churn_score >= b.threshold AS INTEGER) AS prediction FROM cand c CROSS JOIN best b),
+          {_M7_SQL.strip()[5:]})
+SELECT g.*, substr(sha256('churn-risk:' || g.model || ':' || g.version), 1, 32) AS run_id, b.threshold AS decision_threshold, CAST(1 AS BIGINT) AS log_rows
+FROM gates g CROSS JOIN best b"""
+
+
+@query("candidate_release", with_views(_candidate_sql(), "churn_split", "train_stats", "churn_base", "prediction_log"))
+def candidate_release(spark, sf):
+    """Fit (M1), threshold (M6), append to the run log (E3), score what the log holds (P4, P5), gates (M7).
+
+    The run is appended twice: the second time adds no row (``log_rows``)."""
+    rows = b.churn_split(spark, sf)
+    train = rows.filter(F.col("split") == "train")
+    keep = ["customer_id", "segment", "churned", "split"]
+    fit = tr.model_row(tr.train_logistic(train), train, *CANDIDATE)
+    found = ev.threshold_search(mdl.score(rows.filter(F.col("split") == "validation"), fit, keep=keep), spark)
+    run = reg.run_log(fit.drop("threshold").join(found.select("model", "version", "threshold"), ["model", "version"]), ["model", "version"], "churn-risk")
+    path = _scratch(spark, "run_log")
+    reg.append_runs(run, path)
+    log = reg.append_runs(run, path)
+    gates = gate_table(spark, sf, mdl.score(rows, log.drop("run_id", "experiment_name"), keep=keep))
+    runs = log.select("model", "version", "run_id", F.col("threshold").alias("decision_threshold")).crossJoin(log.agg(F.count("*").alias("log_rows")))
+    return gates.join(runs, ["model", "version"])
+
+
 # ---- M8 / M9 ----------------------------------------------------------------
 @query("batch_score", with_views(
     "SELECT customer_id, version, churn_score, prediction, split FROM scored WHERE version = '2026.07.0'", "scored"))

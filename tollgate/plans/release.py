@@ -566,30 +566,15 @@ def corpus_scorecard(spark, sf):
 # ---- E13 --------------------------------------------------------------------
 @query("model_card", with_views(f"""
 SELECT v.model, v.version, 'tenure_months,monthly_spend,support_tickets,late_payments,usage_drop_pct' AS features,
-       t.train_rows, v.validation_accuracy, s.test_accuracy_enterprise, s.test_accuracy_self_serve
+       t.train_rows, v.validation_accuracy, s.test_segment_accuracy
 FROM (SELECT model, version, {rnd('avg(CAST(prediction = churned AS DOUBLE))', 4)} AS validation_accuracy
       FROM scored WHERE split = 'validation' GROUP BY ALL) v
 CROSS JOIN (SELECT count(*) AS train_rows FROM churn_split WHERE split = 'train') t
-JOIN (SELECT model, version,
-             {rnd("avg(CAST(prediction = churned AS DOUBLE)) FILTER (WHERE segment = 'enterprise')", 4)} AS test_accuracy_enterprise,
-             {rnd("avg(CAST(prediction = churned AS DOUBLE)) FILTER (WHERE segment = 'self_serve')", 4)} AS test_accuracy_self_serve
-      FROM scored WHERE split = 'test' GROUP BY ALL) s USING (model, version)""", "scored", "churn_split"))
+JOIN (SELECT model, version, string_agg(segment || '=' || CAST(acc AS VARCHAR), ',' ORDER BY segment) AS test_segment_accuracy
+      FROM (SELECT model, version, segment, {rnd("avg(CAST(prediction = churned AS DOUBLE))", 4)} AS acc
+            FROM scored WHERE split = 'test' GROUP BY ALL) GROUP BY model, version) s USING (model, version)""", "scored", "churn_split"))
 def model_card(spark, sf):
-    """One row per model version: features, train rows, validation accuracy, test accuracy per segment."""
+    """One row per model version: features, train rows, validation accuracy, test accuracy of every segment found."""
     from tollgate.plans.lifecycle import _scored
     from tollgate.operators.model import FEATURES
-    sc = _scored(spark, sf)
-    seg = ev.segment_confusion(sc, by=["model", "version", "split"])
-    acc = F.round((F.col("tp") + F.col("tn")) / F.greatest(F.col("rows"), F.lit(1)), 4)
-    val = (seg.filter(F.col("split") == "validation").groupBy("model", "version")
-              .agg(F.round((F.sum("tp") + F.sum("tn")) / F.greatest(F.sum("rows"), F.lit(1)), 4).alias("validation_accuracy")))
-    test = (seg.filter(F.col("split") == "test").groupBy("model", "version")
-               .agg(F.max(F.when(F.col("segment") == "enterprise", acc)).alias("test_accuracy_enterprise"),
-                    F.max(F.when(F.col("segment") == "self_serve", acc)).alias("test_accuracy_self_serve")))
-    train_rows = seg.filter(F.col("split") == "train").groupBy("model", "version").agg(
-        F.sum("rows").alias("train_rows"))
-    per_version = 100_000   # one row per registered model version
-    return (val.join(bounded_broadcast(test, per_version, "test accuracy per version"), ["model", "version"])
-               .join(bounded_broadcast(train_rows, per_version, "train rows per version"), ["model", "version"])
-               .select("model", "version", F.lit(",".join(FEATURES)).alias("features"), "train_rows",
-                       "validation_accuracy", "test_accuracy_enterprise", "test_accuracy_self_serve"))
+    return evd.model_card(ev.segment_confusion(_scored(spark, sf), by=["model", "version", "split"]), FEATURES)

@@ -235,19 +235,31 @@ def flavor_quota(spark, sf):
     return us.flavor_quota(c, "c_nationkey", "c_mktsegment")
 
 
-@query("quota_alignment", with_views(
-    f"SELECT cohort, 'cpu' AS resource, {rnd('sum(cpu_quota)', 4)} AS workers_total, {rnd('d', 4)} AS declared_quota, "
-    f"coalesce({rnd('sum(cpu_quota)', 4)} = {rnd('d', 4)}, false) AS aligned FROM tenant_usage "
-    f"JOIN (SELECT n_regionkey AS cohort, count(*) / 10.0::DOUBLE AS d FROM customer JOIN nation "
-    f"ON c_nationkey = n_nationkey GROUP BY 1) USING (cohort) GROUP BY cohort, d", "tenant_usage"))
+@query("quota_alignment", with_views(f"""
+WITH workers AS (
+  SELECT cohort, resource, {rnd('sum(quota)', 4)} AS workers_total FROM (
+    SELECT cohort, 'cpu' AS resource, cpu_quota AS quota FROM tenant_usage
+    UNION ALL SELECT cohort, 'pool_slots', pool_slots FROM tenant_usage) GROUP BY ALL),
+declared AS (
+  SELECT n_regionkey AS cohort, 'cpu' AS resource, count(*) / 10.0::DOUBLE AS d
+  FROM (SELECT DISTINCT o_custkey FROM orders) JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1
+  UNION ALL SELECT n_regionkey, 'pool_slots', CAST(count(*) AS DOUBLE)
+  FROM (SELECT DISTINCT l_suppkey FROM lineitem) JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY 1)
+SELECT coalesce(w.cohort, d.cohort) AS cohort, coalesce(w.resource, d.resource) AS resource, workers_total, {rnd('d', 4)} AS declared_quota,
+       coalesce(workers_total = {rnd('d', 4)}, false) AS aligned
+FROM workers w FULL JOIN declared d ON w.cohort = d.cohort AND w.resource = d.resource""", "tenant_usage"))
 def quota_alignment(spark, sf):
-    t = b.tenant_usage(spark, sf)
-    n = table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
-    cu = table(spark, sf, "customer").select("c_nationkey")
-    declared = (cu.join(bounded_broadcast(n, 10_000, "nation"), cu.c_nationkey == n.n_nationkey)
-                  .groupBy(F.col("n_regionkey").alias("cohort")).agg((F.count(F.lit(1)) / 10.0).alias("declared_quota"))
-                  .withColumn("resource", F.lit("cpu")))
-    workers = t.select("cohort", F.lit("cpu").alias("resource"), F.col("cpu_quota").alias("quota"))
+    """C14: the manager of a region declares quota for the customers that have orders and the suppliers that ship;
+    its workers, the nations, hold quota for all that are registered."""
+    n = bounded_broadcast(table(spark, sf, "nation").select("n_nationkey", "n_regionkey"), 10_000, "nation")
+    active = lambda fact, key: table(spark, sf, fact).select(key).distinct()
+    customers = active("orders", "o_custkey").join(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    suppliers = active("lineitem", "l_suppkey").join(table(spark, sf, "supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+    declare = lambda rows, key, resource, unit: (rows.join(n, F.col(key) == F.col("n_nationkey")).groupBy(F.col("n_regionkey").alias("cohort"))
+                                                 .agg((F.count(F.lit(1)) / unit).alias("declared_quota")).withColumn("resource", F.lit(resource)))
+    declared = declare(customers, "c_nationkey", "cpu", 10.0).unionByName(declare(suppliers, "s_nationkey", "pool_slots", 1.0))
+    quotas = F.array(*[F.struct(F.lit(r).alias("resource"), F.col(c).alias("quota")) for r, c in (("cpu", "cpu_quota"), ("pool_slots", "pool_slots"))])
+    workers = b.tenant_usage(spark, sf).select("cohort", F.inline(quotas))
     return us.quota_alignment(workers, declared, "cohort")
 
 
