@@ -18,7 +18,7 @@ def test_verdicts(spark):
     docs = [(1, f"{FILL} {ITEM} {FILL}"), (2, f"{FILL} {COPY}"), (3, FILL), (4, None), (5, ""), (6, ITEM.upper()), (7, f"{COPY}\n{FILL}"),
             (8, mixed.replace("5", "7")), (9, mixed.replace("5 red", "6 red")), (10, ITEM[:40]), (None, ITEM), (1, f"{FILL} {ITEM} {FILL}")]
     items = [(1, ITEM), (2, mixed), (3, None), (4, "too short"), (None, ITEM), (1, ITEM)]
-    want = [(1, 1, "copy"), (2, 1, "reparameterised"), (7, 1, "reparameterised"), (8, 2, "reparameterised")]
+    want = [(1, 1, "copy"), (2, 1, "reparameterised"), (7, 1, "reparameterised"), (8, 2, "reparameterised"), (9, 2, "edited")]
     got = found(spark, docs, items)
     assert [x for x in got if x[0] != 6] == want
     assert found(spark, docs, items, limit=0) == got  # the shuffle join
@@ -75,3 +75,41 @@ def test_long_lines_of_numbers(spark):
     n = 100_000
     docs = [(1, "see " + ",".join(map(str, range(n)))), (2, f"{ITEM} " + "1.2," * n), (3, "\x01a" * n), (4, "%$" * n), (5, "x" * n), (6, "Aé " * n)]
     assert found(spark, docs) == [(2, 1, "copy")]
+
+
+def test_short_items_are_compared_whole(spark):
+    items = [(1, "What is the capital of France?"), (2, "Compute 12 + 45 * 3 - 7 / 2"), (3, "red red red red"), (4, "too short"), (5, "What is the capital of Spain?"), (6, None)]
+    docs = [(1, f"{FILL} what is the capital of France? {FILL}"), (2, f"{FILL} What is the capital of Italy?"), (3, f"compute 12+45*3-7/2. {FILL}"),
+            (4, "Compute 12 + 45 * 3 - 7 / 3"), (5, f"red red red red too short {FILL}"), (6, "What is the Capital of Spain"), (7, "What is the capital"), (8, "")]
+    want = [(1, 1, "copy"), (3, 2, "copy"), (6, 5, "copy")]
+    assert found(spark, docs, items) == want
+    assert found(spark, docs, items, limit=0) == want
+
+
+def test_scripts_without_blanks(spark):
+    item = "一列火车以每小时六十公里的速度从北京开往上海请问它需要多少个小时才能到达目的地并返回出发的城市"
+    thai = "รถไฟออกจากสถานีตอนเช้าและวิ่งด้วยความเร็วคงที่ตลอดเส้นทางจนถึงปลายทาง"
+    clean = "今天的天气非常好我们一起去公园散步然后回家吃晚饭并且看了一部关于历史的电影"
+    docs = [(1, f"{clean}{item}{clean}"), (2, clean), (3, f"x {thai} y"), (4, item[:12] + clean), (5, item.replace("六十", "八十"))]
+    assert [x[:2] for x in found(spark, docs, [(1, item), (2, thai)])] == [(1, 1), (3, 2), (5, 1)]
+
+
+def test_against_a_plain_matcher(spark):
+    """Whole items in random texts: a document is found if and only if it holds all tokens of an item in one run."""
+    import random
+
+    rng = random.Random(7)
+    vocab = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrt"]
+    words = lambda n: [rng.choice(vocab) for _ in range(n)]
+    items = {i: words(rng.choice((2, 3, 4, 5, 7, 8, 12, 30))) for i in range(60)}
+    docs = {}
+    for d in range(300):
+        body = words(rng.randint(0, 80))
+        if d % 3 == 0:
+            at = rng.randint(0, len(body))
+            body[at:at] = items[rng.randrange(60)]
+        docs[d] = body
+    holds = lambda body, item: any(body[k:k + len(item)] == item for k in range(len(body) - len(item) + 1))
+    want = {(d, i) for d, body in docs.items() for i, item in items.items() if len(set(item)) >= decontam.MIN_WORDS and holds(body, item)}
+    got = {x[:2] for x in found(spark, [(d, " ".join(b)) for d, b in docs.items()], [(i, " ".join(t)) for i, t in items.items()]) if x[2] == "copy"}
+    assert got == want and len(want) > 60

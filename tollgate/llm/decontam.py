@@ -2,7 +2,8 @@
 
 Texts are read as templates: tokens are runs of letters, numbers, and signs such as %
 or $; a number becomes <num>, a unit of measurement <unit>, and a capitalised word
-inside a sentence <name>; all else is lower-cased.  Every window of ``WINDOW`` template
+inside a sentence <name>; all else is lower-cased.  In scripts that are written without blanks every letter is
+a token.  Every window of ``WINDOW`` template
 tokens is hashed; windows of documents meet windows of benchmark items by an equi-join
 on the hash.  A benchmark window counts only with ``MIN_WORDS`` different plain words, so
 runs of placeholders are no evidence.
@@ -13,14 +14,19 @@ for itself in one slot and for another value in a second (another part of the sa
 rest to other diagonals, so consistent occurrences are also joined: those whose diagonals are within the
 item's length, to be held against ``COVER``, and those within ``WINDOW`` tokens, for both limits;
 all of them, and those with equal values alone.  An occurrence, alone or joined, is contamination when its
-windows cover ``COVER`` of the item's tokens or ``LONG_RUN`` tokens and its slots are consistent.  Equal values
-make the verdict ``copy``, others ``reparameterised``.  The largest one is reported.
+windows cover ``COVER`` of the item's tokens or ``LONG_RUN`` tokens and its slots are consistent, or when they cover
+``WHOLE`` of the item with some values changed and others kept.  Equal values make the verdict ``copy``, consistent ones
+``reparameterised``, the last kind ``edited``.  The largest one is reported.
+
+Items without a window that counts (short ones, and those of numbers and names alone) are searched whole: documents and items
+meet by the hash of the item's first tokens, at most ``WINDOW``, and all of the item's tokens are then compared
+by value.  From ``MIN_WORDS`` different tokens on, such an occurrence is a ``copy``.
 
 The benchmark's windows are counted and broadcast only up to ``BROADCAST_ROWS``; beyond
 that the join shuffles, where Spark splits hot hashes.
 
-Defined results: null and empty texts have no windows and never match; items with fewer
-tokens than a window are no evidence; rows with a null doc_id or item_id are left out of
+Defined results: null and empty texts have no windows and never match; items of fewer than ``MIN_WORDS`` different
+tokens are no evidence; rows with a null doc_id or item_id are left out of
 the report, but not of the stage (``decontaminate``); repeated rows report once; an empty table gives an empty result; other
 columns are ignored.
 """
@@ -34,15 +40,17 @@ from tollgate.llm.common import BROADCAST_ROWS, let, semi_by_size
 from tollgate.session import ensure_checkpoint_dir
 
 WINDOW, MIN_WORDS = 8, 4
-COVER, LONG_RUN = 0.5, 20
+COVER, LONG_RUN, WHOLE = 0.5, 20, 0.9
 NAME_MARK = "\x01"
 # Units of measurement and currency.
 UNITS = ("mm cm m km in ft yd mi mg g kg lb oz ml l gal s sec secs second seconds min mins minute minutes h hr hrs hour hours day days "
          "week weeks month months year years meter meters metre metres kilometer kilometers kilometre kilometres gram grams kilogram "
          "kilograms liter liters litre litres mile miles foot feet inch inches pound pounds dollar dollars cent cents euro euros usd eur gbp "
          "percent degree degrees hz khz mhz ghz kb mb gb tb w kw v").split()
+# Scripts that are written without blanks between words.
+SOLID = "".join(rf"\p{{Is{script}}}" for script in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
 #: The repeated group is possessive: Java recurses into any other, and a line of numbers would end the task.
-TOKEN = "\x01?[\\p{L}\\p{M}]+|\\d+(?:[.,]\\d+)*+|[%$€£°]"
+TOKEN = rf"\x01?[a-z[\p{{L}}\p{{M}}&&[^{SOLID}]]]+|[{SOLID}&&[\p{{L}}\p{{M}}]]|\d+(?:[.,]\d+)*+|[%$€£°]"
 
 
 def raw_tokens(text: Column) -> Column:
@@ -77,6 +85,20 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return w.filter(F.size(F.array_distinct(plain)) >= MIN_WORDS).drop("t")
 
 
+def bare(tokens: Column) -> Column:
+    """Tokens without the mark of names: short items are compared by their words alone."""
+    return F.transform(tokens, lambda t: F.translate(t, NAME_MARK, ""))
+
+
+def whole_items(benchmark: DataFrame, windows: DataFrame) -> DataFrame:
+    """(item_id, item_bare, n_tokens, lead, w) of the items without a window that counts: hash of the first ``lead`` tokens."""
+    items = (benchmark.select("item_id", "text").filter("item_id is not null").distinct().join(windows.select("item_id").distinct(), "item_id", "left_anti")
+             .select("item_id", bare(raw_tokens(F.col("text"))).alias("item_bare")).distinct())
+    items = items.filter(F.size(F.array_distinct("item_bare")) >= MIN_WORDS).withColumn("n_tokens", F.size("item_bare"))
+    items = items.withColumn("lead", F.least("n_tokens", F.lit(WINDOW)))
+    return items.withColumn("w", F.xxhash64(F.slice("item_bare", F.lit(1), F.col("lead"))))
+
+
 def consistent(slots: Column) -> Column:
     """No value of the item stands for itself and for another value; another part of the same name is no other value."""
     items = lambda keep: F.transform(F.filter(slots, keep), lambda s: s["item"])
@@ -112,12 +134,16 @@ def _contamination(docs: DataFrame, benchmark: DataFrame, limit: int) -> DataFra
     """The same for (doc_id, text) and (item_id, text) with keys of any type; null keys are left out."""
     ensure_checkpoint_dir(docs.sparkSession)
     windows = item_windows(benchmark)
-    hashes = windows.select("w").distinct()
+    short = whole_items(benchmark, windows).checkpoint()
+    leads = sorted(r[0] for r in short.select("lead").distinct().collect())  # at most WINDOW numbers
+    hashes = windows.select("w").union(short.select("w")).distinct()
     small = hashes.count() <= limit
+    starts = lambda raw: [window_hashes(bare(raw), n) for n in leads]
     texts = docs.select("doc_id", "text").filter("doc_id is not null")
-    tokens = texts.select("doc_id", template(raw_tokens(F.col("text"))).alias("t"))
+    tokens = texts.select("doc_id", raw_tokens(F.col("text")).alias("raw"))
     # The outer form: for a plain explode the optimizer adds a filter that works its array out a second time.
-    spread = tokens.select("doc_id", F.explode_outer(window_hashes(F.col("t"))).alias("w"))
+    every = let(F.col("raw"), lambda raw: F.concat(window_hashes(template(raw)), *starts(raw)))
+    spread = tokens.select("doc_id", F.explode_outer(every).alias("w"))
     hit = spread.join(F.broadcast(hashes) if small else hashes.hint("merge"), "w", "left_semi").select("doc_id").distinct().checkpoint()
 
     # The few documents with a match are read again, now with positions and slot values.
@@ -132,24 +158,42 @@ def _contamination(docs: DataFrame, benchmark: DataFrame, limit: int) -> DataFra
     found = found.select("doc_id", "item_id", "n_tokens", "item_at", "doc_at", (F.col("doc_at") - F.col("item_at")).alias("diagonal"), slots.alias("slots"))
     occurrence = found.groupBy("doc_id", "item_id", "n_tokens", "diagonal").agg(
         F.array_sort(F.collect_set("item_at")).alias("at"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-    occurrence = occurrence.filter(consistent(F.col("slots"))).select(
+    # Occurrences with inconsistent slots stand alone.
+    own = _groups(F.col("diagonal"), F.col("n_tokens"), equal(F.col("slots")))
+    occurrence = occurrence.select(
         "doc_id", "item_id", "n_tokens", "at", "slots", (F.element_at("at", 1) + F.col("diagonal")).alias("doc_start"),
-        (F.element_at("at", -1) + F.col("diagonal") + WINDOW).alias("doc_end"), F.explode(_groups(F.col("diagonal"), F.col("n_tokens"), equal(F.col("slots")))).alias("g"))
+        (F.element_at("at", -1) + F.col("diagonal") + WINDOW).alias("doc_end"), F.explode(F.when(consistent(F.col("slots")), own).otherwise(F.slice(own, 1, 1))).alias("g"))
     joined = occurrence.groupBy("doc_id", "item_id", "n_tokens", "g").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("at")))).alias("at"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"),
         F.min("doc_start").alias("doc_start"), F.max("doc_end").alias("doc_end"))
     # Tokens of the item under its matched windows: a window adds what the one before does not reach.
     before = F.concat(F.array(F.lit(-WINDOW)), F.slice("at", 1, F.size("at") - 1))
     covered = F.aggregate(F.zip_with("at", before, lambda x, y: F.least(x - y, F.lit(WINDOW))), F.lit(0), lambda acc, x: acc + x)
-    joined = joined.filter(consistent(F.col("slots"))).select(
+    joined = joined.select(
         "doc_id", "item_id", F.col("n_tokens").alias("item_tokens"), F.size("at").alias("n_windows"), covered.alias("covered"), "doc_start", "doc_end",
-        F.col("g.width").alias("width"), equal(F.col("slots")).alias("equal"))
-    evidence = joined.filter((F.col("covered") >= COVER * F.col("item_tokens")) | ((F.col("covered") >= LONG_RUN) & (F.col("width") <= WINDOW)))
+        F.col("g.width").alias("width"), equal(F.col("slots")).alias("equal"), consistent(F.col("slots")).alias("sound"))
+    near_by, share = F.col("width") <= WINDOW, lambda part: F.col("covered") >= part * F.col("item_tokens")
+    evidence = joined.filter(F.when(F.col("sound"), share(COVER) | ((F.col("covered") >= LONG_RUN) & near_by)).otherwise(share(WHOLE) & near_by))
+    if leads:
+        evidence = evidence.unionByName(_whole_occurrences(near, short, leads, small))
     best = evidence.groupBy("doc_id", "item_id").agg(F.max(F.struct(
-        "covered", (-F.col("width")).alias("narrow"), "equal", (-F.col("doc_start")).alias("first"), "n_windows", "item_tokens", "doc_end")).alias("b"))
+        "covered", (-F.col("width")).alias("narrow"), "equal", "sound", (-F.col("doc_start")).alias("first"), "n_windows", "item_tokens", "doc_end")).alias("b"))
     return best.select("doc_id", "item_id", F.col("b.n_windows").cast("long").alias("n_windows"), F.col("b.covered").cast("long").alias("covered"),
                        F.col("b.item_tokens").cast("long").alias("item_tokens"), (-F.col("b.first")).cast("long").alias("doc_start"),
-                       F.col("b.doc_end").cast("long").alias("doc_end"), F.when(F.col("b.equal"), "copy").otherwise("reparameterised").alias("verdict"))
+                       F.col("b.doc_end").cast("long").alias("doc_end"), F.when(F.col("b.equal"), "copy").when(F.col("b.sound"), "reparameterised").otherwise("edited").alias("verdict"))
+
+
+def _whole_occurrences(near: DataFrame, short: DataFrame, leads: list[int], small: bool) -> DataFrame:
+    """Items that are compared whole, in documents (doc_id, raw): evidence rows of the first place of each."""
+    tokens = near.select("doc_id", bare(F.col("raw")).alias("t"))
+    starts = lambda n: F.transform(window_hashes(F.col("t"), n), lambda w, i: F.struct(F.lit(n).alias("lead"), i.alias("at"), w.alias("w")))
+    places = F.concat(*[starts(n) for n in leads])
+    spread = tokens.select("doc_id", "t", F.explode_outer(places).alias("p")).select("doc_id", "t", "p.*")
+    met = spread.join(F.broadcast(short) if small else short.hint("merge"), ["lead", "w"])
+    met = met.filter(F.slice("t", F.col("at") + 1, F.col("n_tokens")) == F.col("item_bare"))
+    return met.groupBy("doc_id", "item_id", F.col("n_tokens").alias("item_tokens")).agg(F.min("at").alias("doc_start")).select(
+        "doc_id", "item_id", "item_tokens", F.lit(1).alias("n_windows"), F.col("item_tokens").alias("covered"), "doc_start",
+        (F.col("doc_start") + F.col("item_tokens")).alias("doc_end"), F.lit(0).alias("width"), F.lit(True).alias("equal"), F.lit(True).alias("sound"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
