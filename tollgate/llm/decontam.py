@@ -50,13 +50,18 @@ UNITS = ("mm cm m km in ft yd mi mg g kg lb oz ml l gal s sec secs second second
 # Scripts that are written without blanks between words.
 SOLID = "".join(rf"\p{{Is{script}}}" for script in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
 #: The repeated group is possessive: Java recurses into any other, and a line of numbers would end the task.
-TOKEN = rf"\x01?[a-z[\p{{L}}\p{{M}}&&[^{SOLID}]]]+|[{SOLID}&&[\p{{L}}\p{{M}}]]|\d+(?:[.,]\d+)*+|[%$€£°]"
+VALUE = r"\d+(?:[.,]\d+)*+|[%$€£°]"
+TOKEN = rf"\x01?[\p{{L}}\p{{M}}]+|{VALUE}"
+SOLID_TOKEN = rf"\x01?[a-z[\p{{L}}\p{{M}}&&[^{SOLID}]]]+|[\p{{L}}\p{{M}}&&[{SOLID}]]|{VALUE}"
+#: The range comes first, so that scripts are looked up for few characters.
+HAS_SOLID = rf"[\x{{0E00}}-\x{{3FFFF}}&&[{SOLID}]]"
 
 
 def raw_tokens(text: Column) -> Column:
     """Lower-cased tokens; a capitalised word that follows a word, comma or the like carries NAME_MARK."""
     marked = F.regexp_replace(F.translate(text, NAME_MARK, " "), r" (?<=[\p{Ll}\p{N},;] )(?=\p{Lu}\p{Ll})", f" {NAME_MARK}")
-    return F.regexp_extract_all(F.lower(marked), F.lit(TOKEN), F.lit(0))
+    tokens = lambda pattern: F.regexp_extract_all(F.lower(marked), F.lit(pattern), F.lit(0))
+    return F.when(text.rlike(HAS_SOLID), tokens(SOLID_TOKEN)).otherwise(tokens(TOKEN))
 
 
 def kind(token: Column) -> Column:
@@ -142,7 +147,7 @@ def _contamination(docs: DataFrame, benchmark: DataFrame, limit: int) -> DataFra
     texts = docs.select("doc_id", "text").filter("doc_id is not null")
     tokens = texts.select("doc_id", raw_tokens(F.col("text")).alias("raw"))
     # The outer form: for a plain explode the optimizer adds a filter that works its array out a second time.
-    every = let(F.col("raw"), lambda raw: F.concat(window_hashes(template(raw)), *starts(raw)))
+    every = F.concat(window_hashes(template(F.col("raw"))), *starts(F.col("raw"))) if leads else window_hashes(template(F.col("raw")))
     spread = tokens.select("doc_id", F.explode_outer(every).alias("w"))
     hit = spread.join(F.broadcast(hashes) if small else hashes.hint("merge"), "w", "left_semi").select("doc_id").distinct().checkpoint()
 
