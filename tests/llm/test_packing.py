@@ -84,3 +84,13 @@ def test_ids_equal_the_whole_tokenizers():
     for _ in range(2):
         for text, ids in zip(texts, tokens.encode_all(texts), strict=True):
             assert np.frombuffer(ids, dtype="<u4").tolist() == whole.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_many_empty_texts_need_no_padding(spark):
+    """The limit of segments closes such sequences: they end at a power of two."""
+    docs = [(i, "" if i % 3 else "some words stand here " * (i % 40)) for i in range(6000)]
+    for part in (docs, [(i, None) for i in range(4000)]):
+        rows = packing.pack(spark.createDataFrame(part, "doc_id long, text string").repartition(2), PATH).collect()
+        waste, total = check(rows, part)
+        padded = {r["sequence_id"]: r["padded_to"] for r in rows}
+        assert waste == 0 and sum(padded.values()) == total

@@ -6,8 +6,8 @@ whole sequences; the rests wait in a pool of at most ``POOL`` pieces.  From the
 the next piece for the open sequence is the one that fits and whose demand vector
 has the largest dot product with the room that is left (both as shares of the
 limits).  When none fits, the best one is cut so that the tokens or the loss-bearing
-tokens are filled exactly.  At a task's end the last open sequence is cut into
-sequences whose lengths are powers of two, which need no padding.
+tokens are filled exactly.  A sequence that another limit closes before its tokens are full ends at the
+greatest power of two, which needs no padding, and its rest stays open; so does the last open one at a task's end.
 
 Defined results: null or empty text is the end id alone; a null doc_id is passed
 through; repeated rows are packed as often as they occur; an empty table gives an
@@ -136,29 +136,27 @@ class Packer:
         self.room -= (p.length, 1, p.losses())
 
     def close(self) -> None:
-        self.emit(self.open)
+        """Emits the open sequence if its tokens are full, else its greatest power of two; the rest stays open."""
+        total = sum(p.length for p in self.open)
+        size = total if total == self.limits.tokens else 1 << (total.bit_length() - 1)
+        now, left, need = [], self.open, size
+        while need:
+            p = left.pop(0)
+            if p.length > need:
+                p, rest = p.cut(need)
+                left.insert(0, rest)
+            now.append(p)
+            need -= p.length
+        self.emit(now, padded_to=size)
         self.open, self.room = [], self.full.copy()
+        for p in left:
+            self.place(p)
 
     def finish(self) -> None:
         while self.pieces:
             self.fill()
-        left, total = self.open, sum(p.length for p in self.open)
-        if total == self.limits.tokens:
+        while self.open:
             self.close()
-            return
-        while total:
-            size = 1 << (total.bit_length() - 1)
-            total -= size
-            now, need = [], size
-            while need:
-                p = left.pop(0)
-                if p.length > need:
-                    p, rest = p.cut(need)
-                    left.insert(0, rest)
-                now.append(p)
-                need -= p.length
-            self.emit(now, padded_to=size)
-        self.open, self.room = [], self.full.copy()
 
     def rows(self) -> pa.RecordBatch:
         cols = list(zip(*self.out, strict=True)) or [()] * 9
