@@ -79,3 +79,15 @@ def test_long_repeats_of_every_group(spark):
     df = spark.createDataFrame([(i, f"{p} write to jane.doe@mail.example.org now") for i, p in enumerate(parts)], "doc_id long, text string")
     for r in P.pseudonymise(df).collect():
         assert "jane.doe@" not in r["text"] and r["text"].endswith("example.org now")
+
+
+def test_key_of_the_session_and_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "mail a.person@example.org now", "x", "y", 7)], "doc_id long, text string, __found string, __new string, n_replaced long")
+    plain = P.pseudonymise(df).collect()[0]
+    assert plain["__found"] == "x" and plain["__new"] == "y" and plain["n_replaced"] == 1 and plain.asDict().keys() == set(df.columns)
+    spark.conf.set(P.KEY_CONF, "another key")
+    try:
+        other = P.pseudonymise(df).collect()[0]
+    finally:
+        spark.conf.unset(P.KEY_CONF)
+    assert other["text"] != plain["text"] and other["text"] == P.pseudonymise(df, "another key").collect()[0]["text"]

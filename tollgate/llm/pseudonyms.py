@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from tollgate.llm.common import let
 
 ROUNDS = 8
-KEY = "tollgate-default-key"
+#: The session's setting that names the key; whoever has the key can undo the pseudonyms.  The default is for trials alone.
+KEY_CONF, KEY = "spark.tollgate.pseudonyms.key", "tollgate-default-key"
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 FIRST_DAY, DAYS_LEFT, DAYS_RIGHT = "1800-01-01", 189, 773
 
@@ -197,11 +198,14 @@ def pseudonym(value: Column, key: str = KEY) -> Column:
                .when(k == "ssn", _ssn(value, key)).when(k == "card", _card(value, key)).otherwise(_phone(value, key)))
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """docs with new text, and n_chars if there is one; adds n_replaced.
+def pseudonymise(docs: DataFrame, key: str | None = None) -> DataFrame:
+    """docs with new text, and n_chars if there is one; adds n_replaced (a column of that name is replaced).
+    Without a key, the session's ``KEY_CONF`` gives it.
 
     A text is cut at the found values; texts without any skip all further work."""
-    hits, gaps, news = "__found", "__gaps", "__new"
+    key = key or docs.sparkSession.conf.get(KEY_CONF, KEY)
+    taken = "_" * (1 + max(map(len, docs.columns)))  # longer than any name, so no column has these
+    hits, gaps, news = f"{taken}found", f"{taken}gaps", f"{taken}new"
     out = docs.withColumn(hits, F.coalesce(F.regexp_extract_all("text", F.lit(f"({ANY})"), F.lit(1)), F.array().cast("array<string>")))
     some = F.size(hits) > 0
     out = out.withColumn(gaps, F.when(some, F.split("text", ANY, -1)))
