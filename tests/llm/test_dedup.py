@@ -75,3 +75,22 @@ def test_edges(spark):
     assert got == [(3, 2, 3, True), (3, 2, 3, True), (None, 2, None, True), (None, 2, None, True)]
     assert len(minhash.one_of_each(df).collect()) == 3
     assert minhash.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_loose_group_is_no_square(spark, monkeypatch):
+    """Documents of one template, too different to be linked: the rows joined do not grow with the square of the group."""
+    rng = random.Random(3)
+    frame = [f"t{i}" for i in range(100)]
+    rows = [(i, " ".join([f"o{i}x{k}" for k in range(10)] + frame + [f"p{i}x{k}" for k in range(14)])) for i in range(400)]
+    rows += [(1000 + i, rows[i][1].replace("t50", f"z{rng.randrange(9)}")) for i in range(0, 60, 3)]
+    met = []
+    rarest = minhash._rarest
+
+    def counted(members):
+        rare = rarest(members)
+        met.append(rare.groupBy("hub", "shingle").count().selectExpr("sum(count * count)").first()[0] or 0)
+        return rare
+
+    monkeypatch.setattr(minhash, "_rarest", counted)
+    assert result(spark, rows) == brute(rows)
+    assert sum(met) <= 20 * len(rows)

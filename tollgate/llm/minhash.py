@@ -18,11 +18,12 @@ A document's set holds the 64-bit hashes of its distinct 5-word shingles.
 4. What a star can miss lies between members that are still in different
    components.  A centre may itself be an edited copy, so the group's consensus C, the
    shingles of more than half of its members, takes its place: the member nearest to C gets
-   edges to all others.  For a member x let a = |x - C| and r = |C - x|.  Two members
-   without a common shingle outside of C can reach the threshold only if their
-   sizes a and r and the shingles of C that both lack allow it (``_reachable``).  So the
-   rest are those pairs, and pairs with enough common shingles outside of C, found by an
-   equi-join on the rarest of them (``_rarest``) and then counted.  These are confirmed on the full sets as well.
+   edges to all others.  For a member x let a = |x - C|, r = |C - x|, D the a + r shingles in which it differs
+   from C and v = 75 a + 100 r.  Two members with o differences in common are similar if and only if
+   v + v' - 175 o <= 25 |C| (``_similar_members``).  So all members near enough to the one of least v are linked to
+   it, by their sizes alone, and any other needs common differences with whatever partner it has.  These
+   pairs meet in one of the rarest of their differences (``_rarest``), an equi-join, and are then counted, and
+   confirmed on the full sets.  No pair of members is tried that shares neither.
 
 With 40 bands of 4 rows a pair at similarity 0.75 shares no bucket with a
 probability of 3e-7.
@@ -151,15 +152,17 @@ def _confirm(edges: DataFrame, sets: DataFrame) -> DataFrame:
     return both.withColumn("inter", F.size(F.array_intersect("sa", "sb")).cast("long"))
 
 
-def _reachable(common_removed: Column, common_added: Column) -> Column:
-    """Are members x, y of one group similar, given how many shingles of its consensus C both lack and how many others both have?
+def _cost(a: Column, r: Column) -> Column:
+    return F.lit(NUM) * a + F.lit(DEN) * r
 
-    With i of the one and q of the other, |x ^ y| = ax + ay - 2q + rx + ry - 2i and |x | y| = |C| - i + ax + ay - q;
-    similar means |x ^ y| <= (1 - t) |x | y|.  More of either only brings a pair nearer, so with upper bounds this is
-    a necessary condition, with the true numbers an exact one."""
-    differ = F.col("x.a") + F.col("y.a") + F.col("x.r") + F.col("y.r") - 2 * common_removed - 2 * common_added
-    union = F.col("x.n_hub") - common_removed + F.col("x.a") + F.col("y.a") - common_added
-    return F.lit(DEN) * differ <= F.lit(DEN - NUM) * union
+
+def _similar_members(cost_x: Column, cost_y: Column, common: Column) -> Column:
+    """Are members x, y of one group similar, given how many differences from its consensus C they share?
+
+    With i common shingles that both lack and q that both add, |x ^ y| = ax + ay - 2q + rx + ry - 2i and
+    |x | y| = |C| - i + ax + ay - q; similar means |x ^ y| <= (1 - t) |x | y|, which is
+    t (ax + ay) + rx + ry - (1 + t)(i + q) <= (1 - t) |C|.  So an upper bound of ``common`` makes it a necessary condition."""
+    return cost_x + cost_y - F.lit(DEN + NUM) * common <= F.lit(DEN - NUM) * F.col("n_hub")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -215,12 +218,14 @@ def _classes(docs: DataFrame) -> DataFrame:
     links = _links(starred)
     group = _from_consensus(starred, _shifts(starred))
     closeness = (F.col("n") - F.col("a")) / (F.col("n_hub") + F.col("a"))
-    nearest = group.groupBy("hub").agg(F.max(F.struct(closeness.alias("s"), "node", "n")).alias("near")).checkpoint()
+    nearest = group.groupBy("hub").agg(F.max(F.struct(closeness.alias("s"), "node", "n")).alias("near"),
+                                       F.min(F.struct(_cost(F.col("a"), F.col("r")).alias("v"), "node")).alias("least")).checkpoint()
     second = (_with_small(group.select("hub", "node", "n"), nearest, "hub").filter("node <> near.node")
               .select(F.col("near.node").alias("a"), F.col("near.n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb")))
     _release(docs)
     labels = links.groupBy(F.col("v").alias("node")).agg(F.max("u").alias("root"))
-    links = links.union(_links(_confirm(_apart(near.union(second.select(*near.columns)).distinct(), labels), sets))).checkpoint()
+    links = (links.union(_links(_confirm(_apart(near.union(second.select(*near.columns)).distinct(), labels), sets)))
+             .union(_near_least(group, nearest))).checkpoint()
     comp = components(links)
     _release(docs)
     rest = _apart(_rest(group, nearest, comp), comp).join(near.select("a", "b"), ["a", "b"], "left_anti")
@@ -290,48 +295,54 @@ def _from_consensus(starred: DataFrame, shifts: DataFrame) -> DataFrame:
     ).withColumn("a", F.size("added").cast("long")).withColumn("r", F.size("removed").cast("long"))
 
 
+def _near_least(group: DataFrame, nearest: DataFrame) -> DataFrame:
+    """Links of a hub's members to the one of least cost, where their costs alone show that they are similar."""
+    return (_with_small(group.select("hub", "node", "n_hub", _cost(F.col("a"), F.col("r")).alias("v")), nearest.select("hub", "least"), "hub")
+            .filter(F.col("node") != F.col("least.node")).filter(_similar_members(F.col("v"), F.col("least.v"), F.lit(0)))
+            .select(F.col("least.node").alias("u"), F.col("node").alias("v")))
+
+
 def _rest(group: DataFrame, nearest: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs of one hub's members in different components that the consensus does not rule out."""
+    """Pairs of one hub's members in different components that are similar by their differences from the consensus."""
     roots = lambda key, name: comp.select(F.col("node").alias(key), F.col("root").alias(name))
-    named = (_with_small(group, nearest.select("hub", F.col("near.node").alias("centre")), "hub").join(roots("node", "root"), "node", "left")
-             .join(roots("centre", "main"), "centre", "left").withColumn("root", F.coalesce("root", "node")).withColumn("main", F.coalesce("main", "centre")))
+    named = (_with_small(group.select("hub", "node", "n_hub", "a", "r", F.concat("added", "removed").alias("differ")),
+                         nearest.select("hub", F.col("near.node").alias("centre"), F.col("least.v").alias("least")), "hub")
+             .join(roots("node", "root"), "node", "left").join(roots("centre", "main"), "centre", "left")
+             .withColumn("root", F.coalesce("root", "node")).withColumn("main", F.coalesce("main", "centre")).withColumn("v", _cost(F.col("a"), F.col("r"))))
     # A member in the component of the group's nearest member needs a partner outside of it: those come first.
     loose = named.filter("root <> main")
-    x, y = loose, semi_by_size(named, loose.select("hub").distinct().checkpoint(), "hub")
-    apart = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.root") != F.col("y.root"))
-    low = F.least("x.r", "y.r")
-    # Without a common added shingle: first by sizes alone, then with the shingles both lack.
-    both_lack = F.size(F.array_intersect("x.removed", "y.removed")).cast("long")
-    few = lambda d: d.filter(F.lit(NUM) * F.col("a") <= F.lit(DEN - NUM) * F.col("n_hub")).drop("added")
-    by_size = (few(x).alias("x").join(few(y).alias("y"), apart & F.when(_reachable(low, F.lit(0)), _reachable(both_lack, F.lit(0))).otherwise(False))
-               .select("x.node", F.col("y.node").alias("other")))
-    # With common added shingles: pairs that meet in one of the rarest, which are counted in full after that.
-    rare_x, rare_y = _rarest(y)
-    meet = (rare_x.alias("x").join(rare_y.alias("y"), apart & (F.col("x.shingle") == F.col("y.shingle")) & _reachable(low, F.least("x.a", "y.a")))
+    members = semi_by_size(named, loose.select("hub").distinct().checkpoint(), "hub")
+    rare = _rarest(members)
+    x, y = rare.filter("root <> main").alias("x"), rare.drop("n_hub").alias("y")
+    apart = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.root") != F.col("y.root"))
+    most = F.least("x.a", "y.a") + F.least("x.r", "y.r")
+    meet = (x.join(y, apart & _similar_members(F.col("x.v"), F.col("y.v"), most))
             .select("x.hub", "x.node", F.col("y.node").alias("other")).distinct().checkpoint())
-    ends = semi_by_size(y, meet.select(F.explode(F.array("node", "other")).alias("node")).distinct().checkpoint(), "node")
-    x_end, y_end = (ends.select("hub", F.col("node").alias(name), F.struct("a", "r", "n_hub", "added").alias(side)) for name, side in (("node", "x"), ("other", "y")))
-    by_shingle = (meet.join(y_end, ["hub", "other"]).join(x_end, ["hub", "node"])
-                  .filter(_reachable(low, F.size(F.array_intersect("x.added", "y.added")).cast("long"))).select("node", "other"))
-    pairs = by_size.union(by_shingle)
+    ends = semi_by_size(members, meet.select(F.explode(F.array("node", "other")).alias("node")).distinct().checkpoint(), "node")
+    x, y = ends.select("hub", "node", "n_hub", "v", "differ"), ends.select("hub", F.col("node").alias("other"), F.col("v").alias("v2"), F.col("differ").alias("differ2"))
+    common = F.size(F.array_intersect("differ", "differ2")).cast("long")
+    pairs = meet.join(y, ["hub", "other"]).join(x, ["hub", "node"]).filter(_similar_members(F.col("v"), F.col("v2"), common))
     return pairs.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
 
 
-def _rarest(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(hub, node, root, a, r, n_hub, shingle) of the added shingles a similar pair must meet in, for the loose members and for all.
+def _rarest(members: DataFrame) -> DataFrame:
+    """(hub, node, root, main, n_hub, a, r, v, shingle) of the differences a similar pair must meet in.
 
-    From ``_reachable`` with a >= q and r >= i on the other side: a member needs q >= (t a + (1 - t)(r - |C|)) common added
-    shingles, whoever its partner is.  With the shingles of a hub in one order, the rarest first, two sets with
-    q or more in common meet in the first a - q + 1 of either.  So a shingle that many members share is joined only for members
-    that need it.  Shingles of one member alone stand first and meet nothing; they are only counted."""
-    each = members.drop("removed").withColumn("shingle", F.explode("added")).drop("added")
+    From ``_similar_members``: with cost v, a member needs (v + least - (1 - t)|C|) / (1 + t) common differences or more, as no
+    partner costs less than ``least``; and, as a partner's cost is t q + i at the least for its share of them, v - (1 - t)|C| as well.
+    Members that would need none are linked to the one of least cost, all to one, so of two in different components one needs some.
+    With the differences of a hub in one order, the rarest first, two sets with k or more in common meet in the first
+    a + r - k + 1 of either.  So a difference that many members share is joined only for members that need it.
+    Differences of one member alone stand first and meet nothing; they are only counted."""
+    each = members.withColumn("shingle", F.explode("differ")).drop("differ")
     shared = each.groupBy("hub", "shingle").agg(F.count("*").alias("c")).filter("c > 1")
-    need = F.greatest(F.lit(1), F.ceil((F.lit(NUM) * F.col("a") + F.lit(DEN - NUM) * (F.col("r") - F.col("n_hub"))) / F.lit(DEN)))
+    spare = F.lit(DEN - NUM) * F.col("n_hub")
+    need = F.greatest(F.lit(1), F.ceil((F.col("v") + F.col("least") - spare) / F.lit(DEN + NUM)), F.ceil((F.col("v") - spare) / F.lit(DEN)))
+    size = F.col("a") + F.col("r")
     own = Window.partitionBy("hub", "node")
-    rare = (each.join(shared, ["hub", "shingle"]).withColumn("alone", F.col("a") - F.count("*").over(own))
+    return (each.join(shared, ["hub", "shingle"]).withColumn("alone", size - F.count("*").over(own))
             .withColumn("place", F.row_number().over(own.orderBy("c", "shingle")) + F.col("alone"))
-            .filter(F.col("place") <= F.col("a") - need + 1).select("hub", "node", "root", "main", "a", "r", "n_hub", "shingle")).checkpoint()
-    return rare.filter("root <> main"), rare
+            .filter(F.col("place") <= size - need + 1).select("hub", "node", "root", "main", "n_hub", "a", "r", "v", "shingle")).checkpoint()
 
 
 def _label(rows: DataFrame, comp: DataFrame) -> DataFrame:
