@@ -86,8 +86,8 @@ def test_loose_group_is_no_square(spark, monkeypatch):
     met = []
     rarest = minhash._rarest
 
-    def counted(members):
-        rare = rarest(members)
+    def counted(*args):
+        rare = rarest(*args)
         met.append(rare.groupBy("hub", "shingle").count().selectExpr("sum(count * count)").first()[0] or 0)
         return rare
 

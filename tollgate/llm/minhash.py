@@ -305,44 +305,57 @@ def _near_least(group: DataFrame, nearest: DataFrame) -> DataFrame:
 def _rest(group: DataFrame, nearest: DataFrame, comp: DataFrame) -> DataFrame:
     """Pairs of one hub's members in different components that are similar by their differences from the consensus."""
     roots = lambda key, name: comp.select(F.col("node").alias(key), F.col("root").alias(name))
-    named = (_with_small(group.select("hub", "node", "n_hub", "a", "r", F.concat("added", "removed").alias("differ")),
+    named = (_with_small(group.select("hub", "node", "n_hub", "a", "r", "added", "removed"),
                          nearest.select("hub", F.col("near.node").alias("centre"), F.col("least.v").alias("least")), "hub")
              .join(roots("node", "root"), "node", "left").join(roots("centre", "main"), "centre", "left")
              .withColumn("root", F.coalesce("root", "node")).withColumn("main", F.coalesce("main", "centre")).withColumn("v", _cost(F.col("a"), F.col("r"))))
     # A member in the component of the group's nearest member needs a partner outside of it: those come first.
     loose = named.filter("root <> main")
     members = semi_by_size(named, loose.select("hub").distinct().checkpoint(), "hub")
-    rare = _rarest(members)
+    spare = F.lit(DEN - NUM) * F.col("n_hub")
+    # More common differences than these, of whatever kind, no partner can spare it.
+    any_kind = F.ceil((F.col("v") + F.col("least") - spare) / F.lit(DEN + NUM))
+    # With a common added shingle: t q >= ... whatever both lack.
+    both_add = F.greatest(any_kind - F.col("r"), F.ceil((F.lit(NUM) * F.col("a") + F.lit(DEN - NUM) * F.col("r") - spare) / F.lit(DEN)))
+    by_added = _meet(members, "added", both_add, F.least("x.a", "y.a") + F.least("x.r", "y.r"))
+    # Without one, both must lack enough of the consensus, and neither adds much.
+    both_lack = F.greatest(any_kind, F.ceil((F.col("v") - spare) / F.lit(NUM)))
+    by_removed = _meet(members.filter(F.lit(NUM) * F.col("a") + F.lit(DEN - NUM) * F.col("r") <= spare), "removed", both_lack, F.least("x.r", "y.r"))
+    pairs = by_added.union(by_removed)
+    return pairs.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
+
+
+def _meet(members: DataFrame, kind: str, need: Column, most: Column) -> DataFrame:
+    """Similar pairs (node, other) of different components with a common one of their rarest shingles of a kind; ``most`` bounds their common differences."""
+    rare = _rarest(members, kind, need)
     x, y = rare.filter("root <> main").alias("x"), rare.drop("n_hub").alias("y")
     apart = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.root") != F.col("y.root"))
-    most = F.least("x.a", "y.a") + F.least("x.r", "y.r")
     meet = (x.join(y, apart & _similar_members(F.col("x.v"), F.col("y.v"), most))
             .select("x.hub", "x.node", F.col("y.node").alias("other")).distinct().checkpoint())
     ends = semi_by_size(members, meet.select(F.explode(F.array("node", "other")).alias("node")).distinct().checkpoint(), "node")
-    x, y = ends.select("hub", "node", "n_hub", "v", "differ"), ends.select("hub", F.col("node").alias("other"), F.col("v").alias("v2"), F.col("differ").alias("differ2"))
-    common = F.size(F.array_intersect("differ", "differ2")).cast("long")
-    pairs = meet.join(y, ["hub", "other"]).join(x, ["hub", "node"]).filter(_similar_members(F.col("v"), F.col("v2"), common))
-    return pairs.select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
-
-
-def _rarest(members: DataFrame) -> DataFrame:
-    """(hub, node, root, main, n_hub, a, r, v, shingle) of the differences a similar pair must meet in.
-
-    From ``_similar_members``: with cost v, a member needs (v + least - (1 - t)|C|) / (1 + t) common differences or more, as no
-    partner costs less than ``least``; and, as a partner's cost is t q + i at the least for its share of them, v - (1 - t)|C| as well.
-    Members that would need none are linked to the one of least cost, all to one, so of two in different components one needs some.
-    With the differences of a hub in one order, the rarest first, two sets with k or more in common meet in the first
-    a + r - k + 1 of either.  So a difference that many members share is joined only for members that need it.
-    Differences of one member alone stand first and meet nothing; they are only counted."""
-    each = members.withColumn("shingle", F.explode("differ")).drop("differ")
+    x_end, y_end = (ends.select("hub", F.col("node").alias(name), "n_hub", F.col("v").alias(f"v_{name}"), F.concat("added", "removed").alias(f"d_{name}")) for name in ("node", "other"))
+    common = F.size(F.array_intersect("d_node", "d_other")).cast("long")
+    return (meet.join(y_end.drop("n_hub"), ["hub", "other"]).join(x_end, ["hub", "node"])
+            .filter(_similar_members(F.col("v_node"), F.col("v_other"), common)).select("node", "other"))
+
+
+def _rarest(members: DataFrame, kind: str, need: Column) -> DataFrame:
+    """(hub, node, root, main, n_hub, a, r, v, shingle) of the shingles added or removed that a similar pair must meet in.
+
+    By ``_similar_members`` a member of cost v with a partner of cost v' needs q + i >= (v + v' - (1 - t)|C|) / (1 + t), where v' is
+    the group's least cost or more, and also t q + i or more, as the partner has the common differences too.  So it needs
+    q >= t a + (1 - t)(r - |C|), as i <= r; and with q = 0, t i >= v - (1 - t)|C|.
+    Members that would need none are all linked to the one of least cost, so of two in different components one needs some.
+    With the shingles of a hub in one order, the rarest first, two sets with k or more in common meet in the first
+    size - k + 1 of either.  So a shingle that many members share is joined only for members that need it.
+    Shingles of one member alone stand first and meet nothing; they are only counted."""
+    each = members.withColumn("need", F.greatest(F.lit(1), need)).withColumn("size", F.size(kind)).filter("need <= size").select(
+        "hub", "node", "root", "main", "n_hub", "a", "r", "v", "need", "size", F.explode(kind).alias("shingle"))
     shared = each.groupBy("hub", "shingle").agg(F.count("*").alias("c")).filter("c > 1")
-    spare = F.lit(DEN - NUM) * F.col("n_hub")
-    need = F.greatest(F.lit(1), F.ceil((F.col("v") + F.col("least") - spare) / F.lit(DEN + NUM)), F.ceil((F.col("v") - spare) / F.lit(DEN)))
-    size = F.col("a") + F.col("r")
     own = Window.partitionBy("hub", "node")
-    return (each.join(shared, ["hub", "shingle"]).withColumn("alone", size - F.count("*").over(own))
+    return (each.join(shared, ["hub", "shingle"]).withColumn("alone", F.col("size") - F.count("*").over(own))
             .withColumn("place", F.row_number().over(own.orderBy("c", "shingle")) + F.col("alone"))
-            .filter(F.col("place") <= size - need + 1).select("hub", "node", "root", "main", "n_hub", "a", "r", "v", "shingle")).checkpoint()
+            .filter("place <= size - need + 1").drop("need", "size", "c", "alone", "place")).checkpoint()
 
 
 def _label(rows: DataFrame, comp: DataFrame) -> DataFrame:
