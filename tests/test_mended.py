@@ -122,3 +122,56 @@ def test_pivot_keeps_unseen_values(spark):
     from pyspark.sql import functions as F
     got = {r["trace_id"]: (r["pivot"], r["rows"]) for r in evidence.trace_pivot(spans, ["trace_id"], "service", F.col("d")).collect()}
     assert got == {"t": ({"a": 2.0, "new": 2.5}, 3), "u": ({"unknown": 4.0}, 1)}
+
+
+SPAN = "trace_id string, span_id string, parent_span_id string"
+
+
+def _all_depths(df):
+    return sorted(((r["trace_id"], r["span_id"], r["depth"]) for r in df.collect()), key=str)
+
+
+def test_trace_depth_writes_no_round(spark, monkeypatch):
+    """Bounded traces are solved in one shuffle; only larger ones are joined and checkpointed round by round."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    written = []
+    plain = DataFrame.checkpoint
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda self, *a, **k: written.append(1) or plain(self, *a, **k))
+    rows = [(f"t{i % 40}", f"s{i // 40}", f"s{i // 40 - 1}" if i >= 40 else None) for i in range(40 * 30)]
+    rows += [("wide", f"w{i}", "w0" if i else None) for i in range(300)]
+    spans = spark.createDataFrame(rows, SPAN).repartition(7)
+    want = sorted(((t, s, int(s[1:]) if t != "wide" else int(s != "w0")) for t, s, _ in rows), key=str)
+    assert _all_depths(evidence.trace_depth(spans)) == want and not written
+    monkeypatch.setattr(evidence, "TRACE_ROWS", 100)
+    assert _all_depths(evidence.trace_depth(spans)) == want and written
+
+
+def test_trace_depth_in_tasks_as_by_joins(spark, monkeypatch):
+    """Repeated spans, missing parents, null ids, ids that are hex and such that only look like it: the same rows both ways."""
+    import random
+
+    rng = random.Random(5)
+    rows = [("ab12", "00ff", None), ("ab12", "00ff", None), ("ab12", "0abc", "00ff"), ("ab12", "0abc", "00ff"), ("ab12", "abc", "0abc"), ("ab12", "ABCD", "abc"),
+            (None, "00ff", None), (None, "0abc", "00ff"), ("AB12", "x", "00ff"), ("", "", None), ("", "y", ""), ("é", "z", "é"), ("n", None, None), ("n", "c", None), ("n", None, "c"), ("n", "d", "none")]
+    for t in range(60):
+        ids = [f"{t}-{i}" for i in range(rng.randrange(1, 25))]
+        for i, x in enumerate(ids):
+            for _ in range(rng.choice((1, 1, 1, 2))):
+                rows.append((f"t{t}", x, rng.choice(ids[:i] or [None])))
+    rows += [("loop", "a", "b"), ("loop", "b", "a"), ("loop", "c", "b"), ("loop", "r", None), ("loop", "s", "r")]
+    spans = spark.createDataFrame(rows, SPAN).repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")   # traces run over batches
+    try:
+        got = _all_depths(evidence.trace_depth(spans))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == _all_depths(evidence._depth_by_joins(spans))
+    monkeypatch.setattr(evidence, "TRACE_ROWS", 0)
+    assert got == _all_depths(evidence.trace_depth(spans))
+
+
+def test_repeated_spans_on_a_cycle_end(spark):
+    rows = [("t", "a", "b"), ("t", "b", "a"), ("t", "b", "a"), ("t", "c", "b"), ("t", "r", None), ("t", "s", "r"), ("t", "s", None), ("t", "u", "s")]
+    got = _all_depths(evidence.trace_depth(spark.createDataFrame(rows, SPAN)))
+    assert got == sorted([("t", "a", None), ("t", "b", None), ("t", "b", None), ("t", "c", None), ("t", "r", 0), ("t", "s", 1), ("t", "s", 0), ("t", "u", 1), ("t", "u", 2)], key=str)

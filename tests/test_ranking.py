@@ -126,3 +126,24 @@ def test_hot_key_is_not_held(spark):
     df = spark.range(300_000).select(F.when(F.col("id") % 50 == 0, "b").otherwise("a").alias("k"), F.col("id").alias("o"))
     got = prefix_rank(df, ["k"], ["o"], partitions=6).groupBy("k").agg(F.max("cum").alias("top"), F.count_distinct("cum").alias("d"), F.max("n").alias("n"))
     assert sorted(map(tuple, got.collect())) == [("a", 294_000, 294_000, 294_000), ("b", 6_000, 6_000, 6_000)]
+
+
+def test_only_large_keys_are_ranged(spark, monkeypatch):
+    """Keys that fit one task are summed by a window, with no range partition and nothing written; a key over the bound is split as before."""
+    from tollgate.functions import ranking
+
+    df = _data(spark)
+    win = Window.partitionBy("k").orderBy("o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    exp = sorted(df.select("*", F.sum("w1").over(win).alias("cum"), F.sum("w1").over(Window.partitionBy("k")).alias("n")).collect(), key=str)
+    ranged, plain = [], ranking.range_partition
+    monkeypatch.setattr(ranking, "range_partition", lambda d, *a, **k: ranged.append(d.select("k").distinct().collect()) or plain(d, *a, **k))
+    got = prefix_rank(df, ["k"], ["o"], "w1")
+    assert got.columns == [*df.columns, "_w", "cum", "n"]
+    assert sorted(got.drop("_w").collect(), key=str) == exp and not ranged
+    monkeypatch.setattr(ranking, "WINDOW_ROWS", 1000)
+    got = prefix_rank(df, ["k"], ["o"], "w1")
+    assert got.columns == [*df.columns, "_w", "cum", "n"]
+    assert sorted(got.drop("_w").collect(), key=str) == exp
+    assert [[r.k for r in keys] for keys in ranged] == [["hot"]]
+    two = prefix_rank(df, ["k"], ["o"], ["w1", "w2"], totals=False)
+    assert two.columns == [*df.columns, "cum_w1", "cum_w2"] and two.count() == 6000

@@ -98,6 +98,20 @@ def humanize(x, names: dict[str, str]) -> Column:
     return F.coalesce(F.element_at(m, col(x)), F.regexp_replace(col(x), "_", " "))
 
 
+def pack_hex(x) -> Column:
+    """Text as binary: lower-case hex digits (ids, digests) at half their length after a 1, other text as UTF-8 after a 0."""
+    c = col(x)
+    return F.when(F.lower(F.hex(F.unhex(c))) == c, F.concat(F.unhex(F.lit("01")), F.unhex(c))) \
+            .otherwise(F.concat(F.unhex(F.lit("00")), c.cast("binary")))
+
+
+def unpack_hex(x) -> Column:
+    """The text of ``pack_hex``."""
+    c = col(x)
+    return F.when(F.substring(c, 1, 1) == F.unhex(F.lit("01")), F.lower(F.hex(c.substr(F.lit(2), F.length(c))))) \
+            .otherwise(c.substr(F.lit(2), F.length(c)).cast("string"))
+
+
 EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 

@@ -1,8 +1,9 @@
 """Skew-safe exact ranks, running sums and nearest-rank percentiles.
 
 A window ``partitionBy(key).orderBy(v)`` puts every row of a key into one task;
-with one key holding a third of the data that task is the whole job.  Instead
-``prefix_rank``:
+with one key holding a third of the data that task is the whole job.  So
+``prefix_rank`` uses the window only for keys of a bounded number of rows
+(``WINDOW_ROWS``): one shuffle, nothing written.  For the others it:
 
 1. range-partitions the rows on (key, order...) and sorts within partitions --
    one shuffle; a hot key spans many tasks;
@@ -37,6 +38,29 @@ from tollgate.session import ensure_checkpoint_dir
 # The per-partition pandas pass runs in Python workers: ship it by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: A key of more rows does not go to one task whole.
+WINDOW_ROWS = 1_000_000
+#: Keys are counted by hash in so many buckets.
+SIZE_BUCKETS = 1 << 16
+
+
+def split_by_size(df: DataFrame, by: Sequence[str], limit: int, counted: DataFrame | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+    """``df`` as (keys of at most ``limit`` rows, the other keys); a part that is known to be empty is None.
+
+    Rows are counted by a hash of the key in ``SIZE_BUCKETS`` buckets, so the counts stay small however many keys
+    there are; all keys of a bucket over ``limit`` go to the second part, so the first never holds a larger key.
+    ``counted`` stands for ``df`` in the count: it must have at least as many rows of each key."""
+    bucket = F.pmod(F.xxhash64(*by), F.lit(SIZE_BUCKETS)).alias("_bucket")
+    sizes = (df if counted is None else counted).groupBy(bucket).agg(F.count(F.lit(1)).alias("_n"))
+    large = [r["_bucket"] for r in sizes.filter(F.col("_n") > limit).select("_bucket").collect()]
+    if not large:
+        return df, None
+    if len(large) == SIZE_BUCKETS:
+        return None, df
+    t = bounded_broadcast(df.sparkSession.createDataFrame([(b,) for b in large], "_bucket long"), SIZE_BUCKETS, "buckets of large keys")
+    at = df.select("*", bucket)
+    return at.join(t, "_bucket", "left_anti").select(*df.columns), at.join(t, "_bucket", "left_semi").select(*df.columns)
+
 
 def range_partition(df: DataFrame, by: Sequence[str], order: Sequence[str],
                     partitions: int | None = None, stable: bool = True) -> DataFrame:
@@ -102,12 +126,13 @@ def _null_safe_join(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> Da
 
 
 def prefix_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], weight: str | Sequence[str] | None = None,
-                partitions: int | None = None, totals: bool = True) -> DataFrame:
+                partitions: int | None = None, totals: bool = True, counted: DataFrame | None = None) -> DataFrame:
     """Add ``cum`` (inclusive running weight within ``by`` in ``order``), and with ``totals`` ``n`` (group total).
 
     With several weight columns, adds ``cum_<w>`` and ``n_<w>`` for each.
     Only ascending order; ties in ``order`` must be broken by the caller.
-    Totals are one grouped sum, joined on the key (Spark broadcasts it where it is small).
+    Keys of up to ``WINDOW_ROWS`` rows are summed by a window, larger ones (all, if ``partitions`` is given or there is no
+    key) over ranges.  ``counted``: rows to count the keys' sizes in, see ``split_by_size``.
     """
     by, order = list(by), list(order)
     weights = [weight] if isinstance(weight, str) or weight is None else list(weight)
@@ -115,6 +140,32 @@ def prefix_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], weight:
     d = df
     for w, nm in zip(weights, names):
         d = d.withColumn(nm, (F.col(w) if w else F.lit(1)).cast("long"))
+    small, large = (None, d) if partitions or not by else split_by_size(d, by, WINDOW_ROWS, counted)
+    parts = []
+    if small is not None:
+        parts.append(_rank_by_window(small, by, order, weights, names, totals))
+    if large is not None:
+        parts.append(_rank_by_ranges(large, by, order, weights, names, partitions, totals))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out if names == ["_w"] else out.drop(*names)
+
+
+def _rank_by_window(d: DataFrame, by: list[str], order: list[str], weights: list[str | None], names: list[str],
+                    totals: bool) -> DataFrame:
+    """Running sums of keys that fit one task: one shuffle on the key."""
+    key = Window.partitionBy(*by)
+    upto = key.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    suffixes = ["" if nm == "_w" else f"_{w}" for w, nm in zip(weights, names)]
+    cums = [F.sum(nm).over(upto).alias(f"cum{x}") for nm, x in zip(names, suffixes)]
+    sums = [F.sum(nm).over(key).alias(f"n{x}") for nm, x in zip(names, suffixes)] if totals else []
+    return d.select("*", *cums, *sums)
+
+
+def _rank_by_ranges(d: DataFrame, by: list[str], order: list[str], weights: list[str | None], names: list[str],
+                    partitions: int | None, totals: bool) -> DataFrame:
+    """Running sums over sorted ranges, which split a key over tasks.
+
+    Totals are one grouped sum, joined on the key (Spark broadcasts it where it is small)."""
     r = range_partition(d, by, order, partitions)
     p = r.rdd.getNumPartitions()
     # Keys that may straddle a partition boundary: the first and last key of each partition.
@@ -141,10 +192,7 @@ def prefix_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], weight:
     if totals:
         sums = r.groupBy(*by).agg(*[F.sum(nm).alias("n" if nm == "_w" else f"n_{w}") for w, nm in zip(weights, names)])
         out = _null_safe_join(out, sums, by) if by else out.crossJoin(bounded_broadcast(sums, 1, "grand total"))
-    drop = ["_pid", *[c for nm in names for c in (f"_l{nm}", f"_o{nm}")]]
-    if names != ["_w"]:
-        drop += names
-    return out.drop(*drop)
+    return out.drop("_pid", *[c for nm in names for c in (f"_l{nm}", f"_o{nm}")])
 
 
 def _run_gaps(key: str, ts: str):

@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tollgate.functions.exprs import pack_hex, unpack_hex
+from tollgate.functions.ranking import split_by_size
 from tollgate.session import ensure_checkpoint_dir
 
+# The per-partition pandas pass of trace_depth runs in Python workers: ship it by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+#: A trace of more spans is not held in one task.
+TRACE_ROWS = 100_000
+
 
 def evidence_reconcile(expected: DataFrame, found: DataFrame, key: str, content: str) -> DataFrame:
     """E5: expected artifacts left-joined with what exists: exists flag, sha256, bytes."""
@@ -49,12 +61,115 @@ def trace_depth(spans: DataFrame) -> DataFrame:
 
     Each span keeps an ancestor pointer and its distance to it; every round
     replaces the pointer by the ancestor's pointer and adds the ancestor's
-    distance (one self-join on (trace_id, span_id)).  Depth d needs about
-    log2(d) rounds instead of d frontier rounds.  Every round is reliably
-    checkpointed (shared checkpoint dir): the lineage stays one join deep and
-    a lost executor only redoes one round.  A chain is no longer than its trace has
-    spans, so pointers still open after log2 of the largest trace lie on or under a
-    parent cycle: those rows get a null depth.
+    distance.  Depth d needs about log2(d) rounds instead of d frontier rounds.
+    Traces of up to ``TRACE_ROWS`` spans come whole to a task (one shuffle on
+    trace_id with hex ids packed, nothing written) and do their rounds there,
+    many traces at once; larger ones do each round as a self-join
+    (``_depth_by_joins``).  A span below a repeated span id has a row for each
+    path to a root, a parent that is not in the trace is one step above, and
+    spans on or under a parent cycle get a null depth.
+    """
+    small, large = split_by_size(spans.select("trace_id", "span_id", "parent_span_id"), ["trace_id"], TRACE_ROWS)
+    parts = []
+    if small is not None:
+        text = [c for c, t in small.dtypes if t == "string"]
+        packed = small.withColumns({c: pack_hex(c) for c in text}).repartition("trace_id").sortWithinPartitions("trace_id")
+        types = dict(packed.dtypes)
+        depths = packed.mapInPandas(_depths_of_traces, f"trace_id {types['trace_id']}, span_id {types['span_id']}, depth int")
+        parts.append(depths.withColumns({c: unpack_hex(c) for c in text if c in depths.columns}))
+    if large is not None:
+        parts.append(_depth_by_joins(large))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _depths_of_traces(batches):
+    """Depths of whole traces, from rows sorted by trace: the last trace of a batch waits for the next one."""
+    held = []
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        t = pdf["trace_id"].to_numpy()
+        last = int(np.flatnonzero(np.r_[True, t[1:] != t[:-1]])[-1])
+        if held and held[-1]["trace_id"].iloc[-1] != t[0]:
+            yield _depths(pd.concat(held, ignore_index=True))
+            held = []
+        if last:
+            yield _depths(pd.concat([*held, pdf.iloc[:last]], ignore_index=True))
+            held = []
+        held.append(pdf.iloc[last:])
+    if held:
+        yield _depths(pd.concat(held, ignore_index=True))
+
+
+def _depths(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Depths of the spans of whole traces, given trace after trace."""
+    n = len(pdf)
+    t = pdf["trace_id"].to_numpy()
+    trace = np.cumsum(np.r_[0, t[1:] != t[:-1]]).astype(np.int64)
+    lost = pd.isna(t)                                                 # without a trace no parent is found
+    ids, names = pd.factorize(pd.concat([pdf["span_id"], pdf["parent_span_id"]], ignore_index=True))
+    ids = ids.astype(np.int64)                                       # -1: null
+    key = np.where((ids >= 0) & ~np.r_[lost, lost], np.r_[trace, trace] * max(len(names), 1) + ids, -1)
+    me, distinct = pd.factorize(np.where(key[:n] >= 0, key[:n], -2 - np.arange(n)))   # a null id is nobody's parent
+    up = pd.Index(distinct).get_indexer(key[n:])
+    up[key[n:] < 0] = -1
+    depth = (ids[n:] >= 0).astype(np.int64)
+    if len(distinct) < n:
+        row, depth, ended = _depths_of_repeated(me, up, depth)
+        pdf, me = pdf.iloc[row], me[row]
+    else:
+        anc = up.copy()                                               # ids are numbered by row: an id is its row
+        for _ in range(n.bit_length() + 1):
+            open_ = np.flatnonzero(anc >= 0)
+            if not len(open_):
+                break
+            to = anc[open_]
+            depth[open_], anc[open_] = depth[open_] + depth[to], anc[to]
+        ended = anc < 0
+    return pd.DataFrame({"trace_id": pdf["trace_id"].to_numpy(), "span_id": pdf["span_id"].to_numpy(),
+                         "depth": pd.arrays.IntegerArray(depth.astype(np.int32), ~ended)})
+
+
+def _depths_of_repeated(me, up, depth):
+    """(row, depth, ended) with a row for each path to a root, where span ids come more than once; rows on or under a
+    cycle come once, not ended.  ``me``: the row's id; ``up``: its parent's or -1; ``depth``: of the rows without ``up``."""
+    order = np.argsort(up, kind="stable")
+    lo, hi = (np.searchsorted(up[order], np.arange(me.max() + 1), side) for side in ("left", "right"))
+
+    def children(of):
+        """Rows below the ids, and the position of each one's id."""
+        count = hi[of] - lo[of]
+        at = np.repeat(np.arange(len(of)), count)
+        return order[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + lo[of][at]], at
+
+    # Rows above which no cycle lies: an id is settled with the last of its rows.
+    settled, waiting = up < 0, np.bincount(me)
+    rows = np.flatnonzero(settled)
+    while len(rows):
+        of, less = np.unique(me[rows], return_counts=True)
+        waiting[of] -= less
+        rows = children(of[waiting[of] == 0])[0]
+        settled[rows] = True
+    rows = np.flatnonzero(up < 0)
+    found = [(rows, depth[rows])]
+    while len(rows):
+        below, at = children(me[rows])
+        keep = settled[below]
+        rows, depths = below[keep], found[-1][1][at[keep]] + 1
+        found.append((rows, depths))
+    rest = np.flatnonzero(~settled)
+    row = np.concatenate([*[r for r, _ in found], rest])
+    return (row, np.concatenate([*[d for _, d in found], np.zeros(len(rest), np.int64)]),
+            np.arange(len(row)) < len(row) - len(rest))
+
+
+def _depth_by_joins(spans: DataFrame) -> DataFrame:
+    """Pointer doubling over all tasks: one self-join on (trace_id, span_id) a round.
+
+    Every round is reliably checkpointed (shared checkpoint dir): the lineage
+    stays one join deep and a lost executor only redoes one round.  A chain is
+    no longer than its trace has spans, so pointers still open after log2 of
+    the largest trace lie on or under a parent cycle.
     """
     ensure_checkpoint_dir(spans.sparkSession)
     parent = F.col("parent_span_id")
