@@ -147,3 +147,15 @@ def test_only_large_keys_are_ranged(spark, monkeypatch):
     assert [[r.k for r in keys] for keys in ranged] == [["hot"]]
     two = prefix_rank(df, ["k"], ["o"], ["w1", "w2"], totals=False)
     assert two.columns == [*df.columns, "cum_w1", "cum_w2"] and two.count() == 6000
+
+
+def test_percentiles_of_many_groups_write_nothing(spark, monkeypatch):
+    from tollgate.functions import ranking
+    from tollgate.operators import usage
+
+    samples = spark.range(4000).select((F.col("id") % 100).alias("workload"), (F.col("id") * 7919 % 4001).alias("cpu_m"), (F.col("id") * 31 % 977).alias("mem_mib"))
+    monkeypatch.setattr(ranking, "WINDOW_ROWS", 0)
+    by_ranges = sorted(map(tuple, usage.usage_profile(samples).collect()))
+    monkeypatch.undo()
+    monkeypatch.setattr(ranking, "range_partition", None)
+    assert sorted(map(tuple, usage.usage_profile(samples).collect())) == by_ranges and len(by_ranges) == 100

@@ -323,11 +323,13 @@ def nearest_rank_percentiles(df: DataFrame, value: str, by: Sequence[str] = (),
 
     Rows are first reduced to (group, value) counts (map-side combine), then
     ranked with ``prefix_rank``; the selected value is the first whose running
-    count passes the index.
+    count passes the index.  A group has no more values than rows, so its size is
+    taken from the rows: the counts are not made twice.
     """
     names = list(names or [f"p{int(round(p * 100))}" for p in pcts])
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
-    ranked = prefix_rank(counts, by, [value], weight="_c")
+    rows = df.filter(F.col(value).isNotNull())
+    counts = rows.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = prefix_rank(counts, by, [value], weight="_c", counted=rows)
     picks = []
     for p, name in zip(pcts, names):
         idx = nearest_rank_index(F.col("n"), p)
