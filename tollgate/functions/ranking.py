@@ -131,8 +131,8 @@ def prefix_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], weight:
 
     With several weight columns, adds ``cum_<w>`` and ``n_<w>`` for each.
     Only ascending order; ties in ``order`` must be broken by the caller.
-    Keys of up to ``WINDOW_ROWS`` rows are summed by a window, larger ones (all, if ``partitions`` is given or there is no
-    key) over ranges.  ``counted``: rows to count the keys' sizes in, see ``split_by_size``.
+    Keys of up to ``WINDOW_ROWS`` rows are summed by a window, larger ones (all, if ``partitions`` is given, there is no
+    key or a weight may be null) over ranges.  ``counted``: rows to count the keys' sizes in, see ``split_by_size``.
     """
     by, order = list(by), list(order)
     weights = [weight] if isinstance(weight, str) or weight is None else list(weight)
@@ -140,7 +140,8 @@ def prefix_rank(df: DataFrame, by: Sequence[str], order: Sequence[str], weight:
     d = df
     for w, nm in zip(weights, names):
         d = d.withColumn(nm, (F.col(w) if w else F.lit(1)).cast("long"))
-    small, large = (None, d) if partitions or not by else split_by_size(d, by, WINDOW_ROWS, counted)
+    ranges = partitions or not by or any(d.schema[nm].nullable for nm in names)
+    small, large = (None, d) if ranges else split_by_size(d, by, WINDOW_ROWS, counted)
     parts = []
     if small is not None:
         parts.append(_rank_by_window(small, by, order, weights, names, totals))

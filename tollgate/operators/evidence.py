@@ -40,12 +40,23 @@ def governance_decision(gates: DataFrame, by: Sequence[str]) -> DataFrame:
     return g.select(*by, decision.alias("decision"), risk.alias("risk_status"))
 
 
+def _packed(spans: DataFrame, *ids: str) -> tuple[DataFrame, list[str]]:
+    """Spans with text ids packed for their shuffles, and the names of those ids."""
+    text = [c for c in ids if dict(spans.dtypes)[c] == "string"]
+    return spans.withColumns({c: pack_hex(c) for c in text}), text
+
+
+def _unpacked(df: DataFrame, text: Sequence[str]) -> DataFrame:
+    return df.withColumns({c: unpack_hex(c) for c in text if c in df.columns})
+
+
 def trace_rollup(spans: DataFrame) -> DataFrame:
     """Span count, critical path (sum of durations on the chain), root and leaf service.
 
     Leaves are spans no other span names as parent: a left-anti join on
     (trace_id, span_id), shuffled by trace like the aggregate.
     """
+    spans, text = _packed(spans, "trace_id", "span_id", "parent_span_id")
     parents = spans.select("trace_id", F.col("parent_span_id").alias("span_id")).filter(F.col("span_id").isNotNull())
     leaves = spans.join(parents, ["trace_id", "span_id"], "left_anti").groupBy("trace_id").agg(
         F.min("service").alias("leaf_service"), F.count(F.lit(1)).alias("leaves"))
@@ -53,7 +64,7 @@ def trace_rollup(spans: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("span_count"),
         F.round(F.sum("duration_ms"), 2).alias("critical_path_ms"),
         F.max(F.when(F.col("parent_span_id").isNull(), F.col("service"))).alias("root_service"))
-    return agg.join(leaves, "trace_id", "left")
+    return _unpacked(agg.join(leaves, "trace_id", "left"), text)
 
 
 def trace_depth(spans: DataFrame) -> DataFrame:
@@ -72,11 +83,11 @@ def trace_depth(spans: DataFrame) -> DataFrame:
     small, large = split_by_size(spans.select("trace_id", "span_id", "parent_span_id"), ["trace_id"], TRACE_ROWS)
     parts = []
     if small is not None:
-        text = [c for c, t in small.dtypes if t == "string"]
-        packed = small.withColumns({c: pack_hex(c) for c in text}).repartition("trace_id").sortWithinPartitions("trace_id")
+        packed, text = _packed(small, *small.columns)
         types = dict(packed.dtypes)
-        depths = packed.mapInPandas(_depths_of_traces, f"trace_id {types['trace_id']}, span_id {types['span_id']}, depth int")
-        parts.append(depths.withColumns({c: unpack_hex(c) for c in text if c in depths.columns}))
+        depths = packed.repartition("trace_id").sortWithinPartitions("trace_id").mapInPandas(
+            _depths_of_traces, f"trace_id {types['trace_id']}, span_id {types['span_id']}, depth int")
+        parts.append(_unpacked(depths, text))
     if large is not None:
         parts.append(_depth_by_joins(large))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -239,12 +250,13 @@ def corpus_scorecard(corpus: DataFrame, rules: Sequence[tuple[str, int, str]], g
 
 def span_enrich(spans: DataFrame, inventory: DataFrame, key: str = "service") -> DataFrame:
     """Attach inventory metadata (namespace/pod/container) to span attributes (map_concat)."""
+    spans, text = _packed(spans, *{"trace_id", "span_id"} - {key})
     j = spans.join(inventory, key, "left")
     meta = F.map_from_arrays(F.array(F.lit("k8s.namespace.name"), F.lit("k8s.pod.name"), F.lit("k8s.container.name")),
                              F.array(F.col("namespace"), F.col("pod"), F.col("container")))
     base = F.create_map(F.lit("service.name"), F.col(key))
     attrs = F.when(F.col("namespace").isNull(), base).otherwise(F.map_concat(base, meta))
-    return j.select("trace_id", "span_id", key, attrs.alias("attributes"))
+    return _unpacked(j.select("trace_id", "span_id", key, attrs.alias("attributes")), text)
 
 
 def trace_pivot(spans: DataFrame, by: Sequence[str], key: str, value: Column, digits: int = 2) -> DataFrame:
